@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions.text import clean_name, map_distinct, normalize_title, py_strip
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
-from shelfmatch.operators.match import MatchConfig, match_catalogues
-from shelfmatch.plans.tables import shop_catalogue, table
+from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
+from shelfmatch.operators.match import MatchConfig, match_catalogues, rouge_join
+from shelfmatch.operators.variants import variant_overlap
+from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,6 +98,39 @@ def match_exact_parts(spark: SparkSession, sf: str) -> DataFrame:
                         "colors_1", "colors_2")
 
 
+# ------------------------------------------------ L1-L3 / J5 / J6 / U1 / A8 --
+@query("variant_overlap_parts", """
+WITH va AS (SELECT p_name, p_size, min(p_partkey) AS k,
+                   list_sort(list(DISTINCT upper(p_type[1]) || lower(p_type[2:]))) AS colours
+            FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INT) <= 12 GROUP BY p_name, p_size),
+     a AS (SELECT p_name, min(k) AS _ord FROM va GROUP BY p_name),
+     vb AS (SELECT p_name, min(p_partkey) AS _ord, list(DISTINCT p_size || 'GB') AS caps,
+                   list(DISTINCT upper(p_type[1]) || lower(p_type[2:])) AS colours
+            FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INT) > 12 GROUP BY p_name)
+SELECT CAST(a._ord AS VARCHAR) AS _id1, CAST(vb._ord AS VARCHAR) AS _id2, a.p_name AS title_cleaned,
+       vb.p_name AS references_cleaned, va.p_size || 'GB' AS capacity,
+       array_to_string(list_sort(va.colours), '|') AS colors1_for_cap,
+       array_to_string(list_sort(vb.colours), '|') AS colors2_for_row,
+       array_to_string(list_sort(list_intersect(va.colours, vb.colours)), '|') AS common_colors,
+       CAST(len(list_intersect(va.colours, vb.colours)) AS INT) AS num_common_colors
+FROM a JOIN vb ON a.p_name = vb.p_name JOIN va ON va.p_name = a.p_name
+WHERE list_contains(vb.caps, va.p_size || 'GB')
+""")
+def variant_overlap_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages 2 and 3 end to end: shops grouped by title, exact match, then
+    per shared capacity the colours both shops offer."""
+    a = dedupe_by_title(grouped_catalogue(spark, sf, "A"))
+    b = dedupe_by_title(grouped_catalogue(spark, sf, "B"))
+    pairs = match_catalogues(a, b, MatchConfig(main_score="string", use_rouge=False))
+    v = variant_overlap(pairs)
+    def joined(c):
+        return F.array_join(F.array_sort(c), "|")
+    return v.select("_id1", "_id2", "title_cleaned", "references_cleaned", "capacity",
+                    joined("colors1_for_cap").alias("colors1_for_cap"),
+                    joined("colors2_for_row").alias("colors2_for_row"),
+                    joined("common_colors").alias("common_colors"), "num_common_colors")
+
+
 # ------------------------------------------------------------------- N1 ----
 # On ``part`` names the cleaner's effect is the colour fold: the English colour
 # words are removed as whole words and blanks collapsed.
@@ -112,6 +147,109 @@ def clean_names_part(spark: SparkSession, sf: str) -> DataFrame:
     return map_distinct(part, "p_name", "title_cleaned", clean_name).select("p_partkey", "title_cleaned")
 
 
+# ------------------------------------------------------------- R1 / J2 ----
+_TOK = "list_filter(string_split(regexp_replace(lower(trim({x})), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: t <> '')"
+_LCS = ("list_reduce({a}, lambda prev, x: list_reduce(range(1, len({b})+1), lambda cur, j: list_append(cur, "
+        "CASE WHEN {b}[j] = x THEN prev[j] + 1 ELSE greatest(prev[j+1], cur[j]) END), [0]), "
+        "list_resize([0], len({b})+1, 0))[len({b})+1]")
+# Page text: scripts/styles/comments removed, tags dropped, entities decoded, blanks collapsed.
+_BODY = ("regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>', ' ', 'g'), "
+         "'(?is)<style\\b.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g')")
+_TEXT = ("trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace("
+         "regexp_replace({x}, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
+         "'&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g'))")
+
+
+def _elem_sql(tag: str, body: str = "body") -> str:
+    pat = f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}>"
+    return (f"CASE WHEN regexp_matches({body}, '{pat}') THEN "
+            + _TEXT.format(x=f"regexp_extract({body}, '{pat}', 1)") + " END")
+
+
+_TITLES_SQL = ("WITH pg AS (SELECT page_id, " + _BODY + " AS body FROM pages), "
+               "t AS (SELECT min(page_id) AS id, title FROM (SELECT page_id, " + _elem_sql("title") +
+               " AS title FROM pg) GROUP BY title), "
+               "tk AS (SELECT id, CASE WHEN title IS NULL OR title = '' THEN []::VARCHAR[] ELSE "
+               + _TOK.format(x="title") + " END AS toks FROM t) ")
+
+
+@query("match_rouge_titles", _TITLES_SQL + f"""
+SELECT id_l, id_r, rouge_score FROM (
+  SELECT l.id AS id_l, r.id AS id_r, len(l.toks) AS m, len(r.toks) AS n,
+         {_LCS.format(a='r.toks', b='l.toks')} AS lcs,
+         round(2.0 * lcs / (m + n), 6) AS rouge_score
+  FROM tk l JOIN tk r ON l.id < r.id WHERE len(l.toks) > 0 AND len(r.toks) > 0)
+WHERE 2.0 * lcs / (m + n) >= 0.3
+""")
+def match_rouge_titles(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate page titles: ROUGE-L F1 >= 0.3 between distinct titles
+    (first page per title), prefix-filtered join, each pair once."""
+    titles = extract_fields(table(spark, sf, "pages"), [Rule("title", "title")], keep=("page_id",))
+    distinct = titles.groupBy("title").agg(F.min("page_id").alias("id")).select("id", F.col("title").alias("text"))
+    pairs = rouge_join(distinct, distinct, 0.3).where(F.col("id_l") < F.col("id_r"))
+    return pairs.select("id_l", "id_r", F.round("score", 6).alias("rouge_score"))
+
+
+@query("match_rouge_parts", f"""
+WITH a AS (SELECT min(p_partkey) AS id, trim(p_name) AS title FROM part
+           WHERE CAST(split_part(p_brand, '#', 2) AS INT) <= 12 GROUP BY trim(p_name)),
+     b AS (SELECT min(p_partkey) AS id, trim(p_name) AS title FROM part
+           WHERE CAST(split_part(p_brand, '#', 2) AS INT) > 12 GROUP BY trim(p_name)),
+     ta AS (SELECT id, title, {_TOK.format(x='title')} AS toks FROM a),
+     tb AS (SELECT id, title, {_TOK.format(x='title')} AS toks FROM b)
+SELECT _id1, _id2, title, "references", rouge_score FROM (
+  SELECT CAST(ta.id AS VARCHAR) AS _id1, CAST(tb.id AS VARCHAR) AS _id2, ta.title AS title, tb.title AS "references",
+         {_LCS.format(a='ta.toks', b='tb.toks')} AS lcs, len(ta.toks) AS m, len(tb.toks) AS n,
+         round(2.0 * lcs / (m + n), 6) AS rouge_score
+  FROM ta, tb WHERE len(ta.toks) > 0 AND len(tb.toks) > 0)
+WHERE 2.0 * lcs / (m + n) >= 0.5
+""")
+def match_rouge_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every shop-A/shop-B title pair with ROUGE-L F1 >= 0.5 (J2 + R1)."""
+    a = dedupe_by_title(shop_catalogue(spark, sf, "A"))
+    b = dedupe_by_title(shop_catalogue(spark, sf, "B"))
+    ids = rouge_join(a.select(F.col("_ord").alias("id"), F.col("title").alias("text")),
+                     b.select(F.col("_ord").alias("id"), F.col("title").alias("text")), 0.5)
+    out = (ids.join(a.select(F.col("_ord").alias("id_l"), "_id", "title"), "id_l")
+              .join(b.select(F.col("_ord").alias("id_r"), F.col("_id").alias("_id2"), F.col("title").alias("references")), "id_r"))
+    return out.select(F.col("_id").alias("_id1"), "_id2", "title", "references", F.round("score", 6).alias("rouge_score"))
+
+
+# ------------------------------------------------------ X1 / X2 / F5 / F6 ----
+PAGE_RULES = [
+    Rule("title", "title"),
+    Rule("product_name", "h1"),
+    Rule("ad_text", "div", cls="ad"),
+    Rule("nav_links", "a", mode="list"),
+    Rule("hrefs", "a", mode="attr", attr="href"),
+    Rule("n_paragraphs", "p", mode="count"),
+    Rule("footer", "footer"),
+]
+_AD = "(?is)<div[^>]*\\bclass=\"[^\"]*\\bad\\b[^>]*>(.*?)</div>"
+
+
+@query("page_fields", "WITH pg AS (SELECT page_id, url, " + _BODY + " AS body FROM pages "
+       "WHERE regexp_matches(" + _BODY + ", '(?is)<article\\b[^>]*>(.*?)</article>')) "
+       "SELECT page_id, url, " + _elem_sql("title") + " AS title, " + _elem_sql("h1") + " AS product_name, "
+       "CASE WHEN regexp_matches(body, '" + _AD + "') THEN "
+       + _TEXT.format(x="regexp_extract(body, '" + _AD + "', 1)") + " END AS ad_text, "
+       "array_to_string(list_transform(regexp_extract_all(body, '(?is)<a\\b[^>]*>(.*?)</a>', 1), lambda x: "
+       + _TEXT.format(x="x") + "), '|') AS nav_links, "
+       "array_to_string(regexp_extract_all(body, '(?is)<a\\b[^>]*\\bhref=\"([^\"]*)\"', 1), '|') AS hrefs, "
+       "CAST(len(regexp_extract_all(body, '(?is)<p\\b[^>]*>', 0)) AS INT) AS n_paragraphs, "
+       + _elem_sql("footer") + " AS footer, "
+       "CASE WHEN " + _elem_sql("h1") + " IS NULL OR " + _elem_sql("h1") + " = '' THEN 'no_name_found' ELSE 'success' END AS status "
+       "FROM pg")
+def page_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Extraction over every page: pages lacking the ``<article>`` container give
+    no record (F6), fields by rule (X1/X2), status by name (F5)."""
+    pages = require_container(table(spark, sf, "pages"), Rule("article", "article"))
+    rec = extract_fields(pages, PAGE_RULES)
+    return rec.select("page_id", "url", "title", "product_name", "ad_text",
+                      F.array_join("nav_links", "|").alias("nav_links"), F.array_join("hrefs", "|").alias("hrefs"),
+                      "n_paragraphs", "footer", record_status(F.col("product_name")).alias("status"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
