@@ -18,7 +18,10 @@ from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
 from shelfmatch.operators.match import MatchConfig, match_catalogues, rouge_join
 from shelfmatch.operators.variants import variant_overlap
+from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_topk, load_store, lsh_topk, save_store,
+                                                search_topk)
 from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
+from shelfmatch.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -250,6 +253,122 @@ def page_fields(spark: SparkSession, sf: str) -> DataFrame:
                       "n_paragraphs", "footer", record_status(F.col("product_name")).alias("status"))
 
 
+# ------------------------------------------------- T1 / T2 / T3 / J3 / J4 ----
+_VEC_SQL = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+     u AS (SELECT label, unnest(v) AS x, unnest(generate_series(1, len(v))) AS i FROM e),
+     q AS (SELECT label, list(m ORDER BY i) AS qv FROM (SELECT label, i, avg(x) AS m FROM u GROUP BY label, i) GROUP BY label)
+"""
+
+
+def label_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    """Query vectors derived from the table: the mean embedding of each label."""
+    emb = table(spark, sf, "embeddings")
+    per_dim = (emb.select("label", F.posexplode("embedding").alias("i", "x"))
+                  .groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m")))
+    return (per_dim.groupBy("label")
+                   .agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("s"))
+                   .select(F.col("label").cast("long").alias("qid"), F.transform("s", lambda e: e["m"]).alias("embedding")))
+
+
+def embedding_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The vector store over ``embeddings``: ids in ``vec_id`` order, metadata = other columns."""
+    emb = table(spark, sf, "embeddings")
+    return add_vectors(None, emb.select(F.col("vec_id").cast("string").alias("text"), "vec_id", "label", "embedding"),
+                       order=["vec_id"])
+
+
+@query("topk_vectors", _VEC_SQL + """
+SELECT label, vec_id, rank, round(score, 6) AS score FROM (
+  SELECT q.label, e.vec_id, list_dot_product(q.qv, e.v) / (sqrt(list_dot_product(q.qv, q.qv)) * sqrt(list_dot_product(e.v, e.v))) AS score,
+         CAST(row_number() OVER (PARTITION BY q.label ORDER BY list_dot_product(q.qv, e.v) / (sqrt(list_dot_product(q.qv, q.qv)) * sqrt(list_dot_product(e.v, e.v))) DESC, e.vec_id) AS INT) AS rank
+  FROM q, e) WHERE rank <= 5
+""")
+def topk_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact top-5 search (T1) over the whole store for each label's mean vector."""
+    store = embedding_store(spark, sf)
+    hits = search_topk(store, label_centroids(spark, sf), k=5)
+    return hits.join(store.select("id", F.col("metadata.vec_id").alias("vec_id")), "id") \
+               .select(F.col("qid").alias("label"), "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("ivf_topk_vectors")
+def ivf_topk_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate top-5 (T2): 100 k-means lists, one probed per query."""
+    store = embedding_store(spark, sf)
+    hits = ivf_topk(store, label_centroids(spark, sf), k=5, nlist=100, nprobe=1)
+    return hits.select(F.col("qid").alias("label"), "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("lsh_topk_vectors")
+def lsh_topk_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate top-5 (T3): random-projection LSH buckets as candidate keys."""
+    store = embedding_store(spark, sf)
+    hits = lsh_topk(store, label_centroids(spark, sf), k=5, bucket_length=1.0, tables=8)
+    return hits.select(F.col("qid").alias("label"), "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("match_semantic_vectors", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+SELECT id_l, id_r, round(score, 6) AS semantic_score FROM (
+  SELECT a.vec_id AS id_l, b.vec_id AS id_r,
+         list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS score
+  FROM e a JOIN e b ON a.vec_id < b.vec_id) WHERE score >= 0.4
+""")
+def match_semantic_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact cosine threshold join (J3, V1, V2): all vector pairs with cosine >= 0.4."""
+    emb = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    pairs = cosine_join(emb, emb, 0.4, clusters=16).where(F.col("id_l") < F.col("id_r"))
+    return pairs.select("id_l", "id_r", F.round("score", 6).alias("semantic_score"))
+
+
+@query("match_combined_parts", f"""
+WITH c AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, trim(p_name) AS title, p_name AS title_cleaned, p_partkey AS _ord,
+                  CAST(split_part(p_brand, '#', 2) AS INT) AS bno, CAST(embedding AS DOUBLE[]) AS v
+           FROM part JOIN embeddings ON p_partkey = vec_id),
+     a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY _ord) rn FROM c WHERE bno <= 12) WHERE rn = 1),
+     b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY _ord) rn FROM c WHERE bno > 12) WHERE rn = 1),
+     ta AS (SELECT *, {_TOK.format(x='title_cleaned')} AS toks FROM a),
+     tb AS (SELECT *, {_TOK.format(x='title_cleaned')} AS toks FROM b),
+     s AS (SELECT ta._id AS _id1, tb._id AS _id2, ta.title_cleaned AS title, tb.title AS "references", ta._ord AS o1, tb._ord AS o2,
+                  CASE WHEN len(ta.toks) = 0 OR len(tb.toks) = 0 THEN 0.0
+                       ELSE 2.0 * {_LCS.format(a='tb.toks', b='ta.toks')} / (len(ta.toks) + len(tb.toks)) END AS rouge,
+                  list_dot_product(ta.v, tb.v) / (sqrt(list_dot_product(ta.v, ta.v)) * sqrt(list_dot_product(tb.v, tb.v))) AS sem
+           FROM ta, tb),
+     k AS (SELECT *, rouge * 0.7 + sem * 0.3 AS comb FROM s)
+SELECT _id1, _id2, title, "references", round(comb, 6) AS main_score, round(rouge, 6) AS rouge_score,
+       round(sem, 6) AS semantic_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY o1, o2) AS rk FROM k WHERE comb >= 0.5)
+WHERE rk = 1
+""")
+def match_combined_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Weighted ROUGE (0.7) + cosine (0.3) matching at 0.5 (J4) of the shop
+    catalogues restricted to parts that have an embedding; one pair per title."""
+    emb = table(spark, sf, "embeddings").select(F.col("vec_id").alias("_ord"), "embedding")
+    a = dedupe_by_title(shop_catalogue(spark, sf, "A").join(emb, "_ord"))
+    b = dedupe_by_title(shop_catalogue(spark, sf, "B").join(emb, "_ord"))
+    cfg = MatchConfig(main_score="combined", threshold=0.5, use_rouge=True, use_semantic=True)
+    pairs = match_catalogues(a, b, cfg)
+    return pairs.select("_id1", "_id2", "title", "references", F.round("main_score", 6).alias("main_score"),
+                        F.round("rouge_score", 6).alias("rouge_score"), F.round("semantic_score", 6).alias("semantic_score"))
+
+
+@query("vector_roundtrip", """
+SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS BIGINT) AS id, CAST(vec_id AS VARCHAR) AS text, vec_id, label,
+       CAST(len(embedding) AS INT) AS dims
+FROM embeddings
+""")
+def vector_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Build the store (V3, F9), save it with its info row (K3), load it back
+    with the dimension check (S6)."""
+    store = embedding_store(spark, sf)
+    path = scratch_path(spark, "vector-store")
+    save_store(store, path, model_name="embeddings-table", dimension=64)
+    loaded, _ = load_store(spark, path, model_name="embeddings-table", dimension=64)
+    return loaded.select("id", "text", F.col("metadata.vec_id").alias("vec_id"), F.col("metadata.label").alias("label"),
+                         F.size("embedding").alias("dims"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
