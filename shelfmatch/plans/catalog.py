@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from shelfmatch.functions.text import clean_name, map_distinct, normalize_title, py_strip
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
+from shelfmatch.operators.ingest import batch_stats, insert_all_batches
 from shelfmatch.operators.match import MatchConfig, match_catalogues, rouge_join
+from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls, url_counts
 from shelfmatch.operators.variants import variant_overlap
 from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_topk, load_store, lsh_topk, save_store,
                                                 search_topk)
 from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
 from shelfmatch.session import scratch_path
+from shelfmatch.sources.sitemap import read_sitemap, write_sitemap
+from shelfmatch.streaming.ingest import stage_batches, stream_insert_if_absent
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -369,6 +373,139 @@ def vector_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                          F.size("embedding").alias("dims"))
 
 
+# ------------------------------------------------ F1 / F2 / F3 / A4 / S2 ----
+def _seen_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The already-stored collection: the English section crawled earlier."""
+    return table(spark, sf, "pages").where(F.col("url").contains("/en/")).select("url")
+
+
+@query("new_urls", """
+SELECT DISTINCT url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE contains(url, '/en/'))
+""")
+def new_urls_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """sitemap URLs not in the store (left anti join on the key column)."""
+    return new_urls(table(spark, sf, "pages").select("url"), _seen_store(spark, sf))
+
+
+@query("url_counts", """
+SELECT CAST(count(*) AS BIGINT) AS total,
+       CAST(sum(CASE WHEN url IN (SELECT url FROM pages WHERE contains(url, '/en/')) THEN 0 ELSE 1 END) AS BIGINT) AS new
+FROM pages
+""")
+def url_counts_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: total and new URL counts."""
+    return url_counts(table(spark, sf, "pages").select("url"), _seen_store(spark, sf))
+
+
+@query("url_keyword_filter", """
+SELECT page_id, url FROM pages
+WHERE contains(url, 'https') AND contains(url, 'example') AND NOT contains(url, 'spam') AND NOT contains(url, 'utm_source')
+""")
+def url_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """F1 with shop-independent keywords: https pages, no spam farm, no tracking links."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return keyword_filter(pages, "url", all_of=("https", "example"), none_of=("spam", "utm_source"))
+
+
+@query("brand_filter", """
+SELECT page_id, url FROM pages WHERE regexp_matches(lower(url),
+  'iphone|samsung|xiaomi|oppo|realme|nothing|infinix|vivo|tecno|sony|itel|nubia|masstel|nokia|oneplus|tcl|inoi|benco|asus')
+""")
+def brand_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """URLs naming one of the phone brands."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return pages.where(contains_brand("url"))
+
+
+@query("sitemap_urls", "SELECT url AS loc FROM pages")
+def sitemap_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """The page URLs written as a sitemap (urlset/url/loc) and read back one row per loc."""
+    path = scratch_path(spark, "sitemap")
+    write_sitemap(table(spark, sf, "pages"), path)
+    return read_sitemap(spark, path).select("loc")
+
+
+# ------------------------------------------------ K2 / A3 / ST1-ST5 ---------
+_FIRST_EVENT_SQL = """
+SELECT user_id, event_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_day FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE), ts, event_id) AS rn FROM events
+  WHERE user_id IS NOT NULL) WHERE rn = 1
+"""
+
+
+def _events_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").withColumn("batch_day", F.to_date("ts"))
+
+
+@query("insert_if_absent", _FIRST_EVENT_SQL)
+def insert_if_absent_events(spark: SparkSession, sf: str) -> DataFrame:
+    """K2 over daily batches of ``events`` keyed by ``user_id``: the store that
+    first-write-wins leaves after all batches."""
+    stored = insert_all_batches(_events_by_day(spark, sf), "user_id", "batch_day", ["ts", "event_id"])
+    return stored.select("user_id", "event_id", "event_type", F.col("batch_day").cast("string").alias("batch_day"))
+
+
+@query("load_stats", """
+WITH f AS (""" + _FIRST_EVENT_SQL + """),
+     b AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_day, count(*) AS processed,
+                  sum(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS errors FROM events GROUP BY 1),
+     i AS (SELECT batch_day, count(*) AS inserted FROM f GROUP BY 1)
+SELECT b.batch_day, CAST(processed AS BIGINT) AS processed, CAST(coalesce(inserted, 0) AS BIGINT) AS inserted,
+       CAST(processed - errors - coalesce(inserted, 0) AS BIGINT) AS duplicates, CAST(errors AS BIGINT) AS errors
+FROM b LEFT JOIN i ON b.batch_day = i.batch_day
+""")
+def load_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 per daily batch: processed, inserted, duplicates, errors."""
+    items = _events_by_day(spark, sf)
+    stored = insert_all_batches(items, "user_id", "batch_day", ["ts", "event_id"])
+    st = batch_stats(items, stored, "user_id", "batch_day")
+    return st.select(F.col("batch_day").cast("string").alias("batch_day"), "processed", "inserted", "duplicates",
+                     F.col("errors").cast("long").alias("errors"))
+
+
+_STREAM_RUNS: dict = {}
+
+
+def _run_event_stream(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Run the streaming load once per session and input; both stream queries read its output."""
+    run_key = (id(spark.sparkContext._jsc), sf)
+    if run_key in _STREAM_RUNS:
+        return _STREAM_RUNS[run_key]
+    base = scratch_path(spark, "event-stream")
+    items = _events_by_day(spark, sf)
+    stage_batches(spark, items, "batch_day", f"{base}/in")
+    stream = (spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{base}/in/b*/part-*.parquet"))
+    q = stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/checkpoint", key="user_id",
+                                order=["batch_day", "ts", "event_id"], quarantine=f"{base}/quarantine")
+    q.awaitTermination()
+    _STREAM_RUNS[run_key] = (f"{base}/store", f"{base}/stats")
+    return _STREAM_RUNS[run_key]
+
+
+@query("stream_insert_if_absent", _FIRST_EVENT_SQL)
+def stream_insert_if_absent_events(spark: SparkSession, sf: str) -> DataFrame:
+    """ST2/ST3: ``events`` replayed as one file per day through a file stream;
+    each micro-batch is inserted-if-absent; the result is the store."""
+    store, _ = _run_event_stream(spark, sf)
+    return spark.read.parquet(store).select("user_id", "event_id", "event_type",
+                                            F.col("batch_day").cast("string").alias("batch_day"))
+
+
+@query("stream_stats", """
+WITH f AS (""" + _FIRST_EVENT_SQL + """),
+     b AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_day, count(*) AS processed FROM events GROUP BY 1),
+     i AS (SELECT batch_day, count(*) AS inserted FROM f GROUP BY 1)
+SELECT b.batch_day AS first_item, CAST(processed AS BIGINT) AS processed, CAST(coalesce(inserted, 0) AS BIGINT) AS inserted,
+       CAST(processed - coalesce(inserted, 0) AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS errors
+FROM b LEFT JOIN i ON b.batch_day = i.batch_day
+""")
+def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """ST4: the per-micro-batch stats rows the streaming load writes."""
+    _, stats = _run_event_stream(spark, sf)
+    return spark.read.parquet(stats).select("first_item", "processed", "inserted", "duplicates", "errors")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
