@@ -13,11 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.functions.text import clean_name, map_distinct, normalize_title, py_strip
+from shelfmatch.functions.prices import crawl_time, format_price, parse_price, pick_price_text, reward_points, strip_label
+from shelfmatch.functions.text import clean_name, join_clean_lines, map_distinct, normalize_title, py_strip
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
 from shelfmatch.operators.match import MatchConfig, match_catalogues, rouge_join
+from shelfmatch.operators.specs import drop_keys, group_specs_long, parse_noisy_json, resolve_refs
 from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls, url_counts
 from shelfmatch.operators.variants import variant_overlap
 from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_topk, load_store, lsh_topk, save_store,
@@ -506,6 +508,113 @@ def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(stats).select("first_item", "processed", "inserted", "duplicates", "errors")
 
 
+# ------------------------------------------------ A6 / J8 / F7 / S5 ---------
+@query("group_specs_events", """
+SELECT user_id AS doc_id, event_type AS "group", name, value FROM (
+  SELECT user_id, event_type, props, value AS v,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE event_type IS NOT NULL AND trim(event_type) <> '') e,
+  LATERAL (SELECT 'k' AS name, CAST(json_extract(e.props, '$.k') AS VARCHAR) AS value
+           UNION ALL SELECT 'value', CAST(e.v AS VARCHAR)) a
+WHERE rn = 1 AND value IS NOT NULL
+""")
+def group_specs_events(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 over ``events``: each event is an attribute item of its user, grouped by
+    event type; the latest item of a group wins whole."""
+    ev = table(spark, sf, "events")
+    items = ev.select(F.col("user_id").alias("doc_id"), F.struct("ts", "event_id").alias("item_pos"),
+                      F.col("event_type").alias("groupName"),
+                      F.array(F.struct(F.lit("k").alias("displayName"),
+                                       F.get_json_object("props", "$.k").alias("value")),
+                              F.struct(F.lit("value").alias("displayName"),
+                                       F.col("value").cast("string").alias("value"))).alias("attributes"))
+    return group_specs_long(items).select("doc_id", "group", "name", "value")
+
+
+_REF_VALUE_SQL = ("CASE WHEN event_type = 'click' AND event_id > 0 THEN '$' || CAST(event_id // 2 AS VARCHAR) "
+                  "WHEN event_type = 'error' THEN '$missing' ELSE event_type END")
+
+
+@query("resolve_refs_events", f"""
+WITH RECURSIVE n AS (SELECT CAST(event_id AS VARCHAR) AS k, {_REF_VALUE_SQL} AS v FROM events),
+r AS (SELECT k, v AS cur, 0 AS depth FROM n
+      UNION ALL
+      SELECT r.k, n.v, r.depth + 1 FROM r JOIN n ON substr(r.cur, 2) = n.k
+      WHERE starts_with(r.cur, '$') AND r.depth < 64)
+SELECT CAST(k AS VARCHAR) AS "key", CASE WHEN starts_with(cur, '$') THEN NULL ELSE cur END AS resolved FROM (
+  SELECT k, cur, row_number() OVER (PARTITION BY k ORDER BY depth DESC) AS rn FROM r) WHERE rn = 1
+""")
+def resolve_refs_events(spark: SparkSession, sf: str) -> DataFrame:
+    """J8 over a node table derived from ``events``: a click points at event
+    id//2, an error at a key that does not exist; values resolve transitively."""
+    ev = table(spark, sf, "events")
+    value = (F.when((F.col("event_type") == "click") & (F.col("event_id") > 0),
+                    F.concat(F.lit("$"), (F.col("event_id") / 2).cast("long").cast("string")))
+              .when(F.col("event_type") == "error", F.lit("$missing")).otherwise(F.col("event_type")))
+    nodes = ev.select(F.lit(0).alias("doc_id"), F.col("event_id").cast("string").alias("key"), value.alias("value"))
+    return resolve_refs(nodes).select("key", "resolved")
+
+
+@query("drop_keys_pages", """
+SELECT page_id, to_json({'page_id': page_id, 'links': list_transform(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2), lambda t: {'text': t})}) AS record
+FROM pages
+""")
+def drop_keys_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """nested page records lose every ``url`` field, at the top and inside the link list."""
+    pages = table(spark, sf, "pages")
+    links = F.transform(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)">([^<]*)</a>'), 0),
+                        lambda a: F.struct(F.regexp_extract(a, r'href="([^"]*)"', 1).alias("url"),
+                                           F.regexp_extract(a, r">([^<]*)<", 1).alias("text")))
+    rec = pages.select("page_id", F.struct("url", "page_id", links.alias("links")).alias("record"))
+    cleaned = drop_keys(rec)
+    return cleaned.select("page_id", F.to_json("record").alias("record"))
+
+
+@query("noisy_json_events", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def noisy_json_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The props JSON wrapped in log noise ('[log] ... done') is recovered."""
+    ev = table(spark, sf, "events")
+    noisy = F.concat(F.lit("[log] event "), F.col("event_id").cast("string"), F.lit(": "), F.col("props"), F.lit(" done"))
+    return ev.select("event_id", parse_noisy_json(noisy, "struct<k bigint>").getField("k").alias("k"))
+
+
+# ------------------------------------------------ C1-C6 / N5 ----------------
+@query("price_parse_orders", """
+SELECT o_orderkey, replace(format('{:,}', CAST(round(o_totalprice) AS BIGINT)), ',', '.') || '₫' AS price_text,
+       CAST(round(o_totalprice) AS BIGINT) AS price,
+       CAST(round(o_totalprice) AS BIGINT) AS reward_points,
+       replace(format('{:,}', CAST(round(o_totalprice) AS BIGINT)), ',', '.') || '₫' AS picked_text,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS crawled_at,
+       trim(replace(o_orderpriority, '-', '')) AS priority_label
+FROM orders
+""")
+def price_parse_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """C1-C6 over ``orders``: totals rendered as shop price text, parsed back,
+    read as reward points, picked among candidate texts; order date as crawl time."""
+    o = table(spark, sf, "orders")
+    text = format_price(F.round("o_totalprice"))
+    return o.select("o_orderkey", text.alias("price_text"), parse_price(text).alias("price"),
+                    reward_points(F.concat(F.lit("+"), text, F.lit(" Điểm thưởng"))).alias("reward_points"),
+                    pick_price_text(F.array("o_orderpriority", "o_orderstatus", text)).alias("picked_text"),
+                    crawl_time("o_orderdate").alias("crawled_at"),
+                    strip_label("o_orderpriority", "-").alias("priority_label"))
+
+
+@query("clean_lines_documents", """
+SELECT doc_id, CAST(length(c) AS BIGINT) AS n_chars, md5(c) AS digest FROM (
+  SELECT doc_id, coalesce(list_reduce(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)),
+                                                  lambda x: length(x) >= 2), lambda acc, x: acc || x || chr(10), ''), '') AS c
+  FROM documents)
+""")
+def clean_lines_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """N5 over whole documents: lines stripped, those under 2 characters dropped, newline after each."""
+    docs = table(spark, sf, "documents")
+    c = join_clean_lines(F.split("text", "\n"))
+    return docs.select("doc_id", F.length(c).cast("long").alias("n_chars"), F.md5(c).alias("digest"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
