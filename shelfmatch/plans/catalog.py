@@ -18,14 +18,15 @@ from shelfmatch.functions.text import clean_name, join_clean_lines, map_distinct
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
-from shelfmatch.operators.match import MatchConfig, match_catalogues, rouge_join
+from shelfmatch.operators.match import MatchConfig, match_catalogues, match_summary, rouge_join
 from shelfmatch.operators.specs import drop_keys, group_specs_long, parse_noisy_json, resolve_refs
 from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls, url_counts
-from shelfmatch.operators.variants import variant_overlap
+from shelfmatch.operators.variants import spec_counts, variant_matrix, variant_overlap
 from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_topk, load_store, lsh_topk, save_store,
                                                 search_topk)
 from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
 from shelfmatch.session import scratch_path
+from shelfmatch.sources.files import read_catalogue, write_csv, write_json
 from shelfmatch.sources.sitemap import read_sitemap, write_sitemap
 from shelfmatch.streaming.ingest import stage_batches, stream_insert_if_absent
 
@@ -615,6 +616,64 @@ def clean_lines_documents(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", F.length(c).cast("long").alias("n_chars"), F.md5(c).alias("digest"))
 
 
+# ------------------------------------------------ S1 / K1 / J7 / A5 / K4 / A9 --
+@query("csv_roundtrip_pairs", _SHOPS_SQL + """
+SELECT _id1, _id2, title, "references", main_score, main_score_type, capacities_1, capacities_2 FROM (
+  SELECT a._id AS _id1, b._id AS _id2, a.title_cleaned AS title, b.title AS "references",
+         1.0::DOUBLE AS main_score, 'string' AS main_score_type,
+         a.capacities AS capacities_1, b.capacities AS capacities_2,
+         row_number() OVER (PARTITION BY lower(trim(a.title_cleaned)) ORDER BY a._ord, b._ord) AS rk
+  FROM a JOIN b ON a.title_cleaned = b.title_cleaned) WHERE rk = 1
+""")
+def csv_roundtrip_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 then S1: the stage-2 pair table written as CSV and read back with its schema."""
+    pairs = match_exact_parts(spark, sf)
+    path = scratch_path(spark, "pairs-csv")
+    write_csv(pairs, path)
+    schema = ", ".join(f"`{c}` string" for c in pairs.columns)
+    back = read_catalogue(spark, path, schema)
+    return back.select("_id1", "_id2", "title", "references", F.col("main_score").cast("double").alias("main_score"),
+                       "main_score_type", "capacities_1", "capacities_2")
+
+
+@query("variant_matrix_parts", """
+WITH s AS (SELECT DISTINCT p_name, p_size FROM part), c AS (SELECT DISTINCT p_name, p_type FROM part)
+SELECT s.p_name AS product, s.p_size || 'GB' AS storage, c.p_type AS color,
+       CAST(3 AS INT) AS specCount
+FROM s JOIN c ON s.p_name = c.p_name
+""")
+def variant_matrix_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """J7 + A5 + K4: per product every storage x colour variant with its spec
+    section, written as JSON and read back."""
+    part = table(spark, sf, "part")
+    per = part.groupBy("p_name").agg(
+        F.array_sort(F.collect_set(F.concat(F.col("p_size").cast("string"), F.lit("GB")))).alias("storages"),
+        F.array_sort(F.collect_set("p_type")).alias("colors"))
+    variants, _errors = variant_matrix(per, key="p_name")
+    spec = F.array(F.struct(F.lit("general").alias("id"), F.lit("General").alias("title"),
+                            F.array(F.struct(F.lit("storage").alias("label"), F.array("storage").alias("value")),
+                                    F.struct(F.lit("color").alias("label"), F.array("color").alias("value")),
+                                    F.struct(F.lit("product").alias("label"), F.array("p_name").alias("value")))
+                            .alias("specifications")))
+    counted = spec_counts(variants.withColumn("sections", spec))
+    path = scratch_path(spark, "variants-json")
+    write_json(counted.select("p_name", "storage", "color", "sections", "totalSpecs"), path)
+    back = spark.read.schema("p_name string, storage string, color string, totalSpecs int").json(path)
+    return back.select(F.col("p_name").alias("product"), "storage", "color", F.col("totalSpecs").alias("specCount"))
+
+
+@query("match_summary_parts", _SHOPS_SQL + """
+SELECT CAST((SELECT count(*) FROM a) AS BIGINT) AS n1, CAST((SELECT count(*) FROM b) AS BIGINT) AS n2,
+       CAST((SELECT count(*) FROM a JOIN b ON a.title_cleaned = b.title_cleaned) AS BIGINT) AS n_results
+""")
+def match_summary_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalogue sizes after de-duplication and number of matched pairs."""
+    a = dedupe_by_title(shop_catalogue(spark, sf, "A"))
+    b = dedupe_by_title(shop_catalogue(spark, sf, "B"))
+    pairs = match_catalogues(a, b, MatchConfig(main_score="string", use_rouge=False))
+    return match_summary(a, b, pairs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
