@@ -169,14 +169,47 @@ def _assign(df: DataFrame, cents_bc, vec: str = "embedding") -> DataFrame:
              .withColumn("cdist", F.col("__a.dist")).drop("__a")
 
 
-def cosine_join(left: DataFrame, right: DataFrame, t: float, clusters: int = 64, seed: int = 7) -> DataFrame:
-    """Every (id_l, id_r, score) with cosine(v_l, v_r) >= t, exactly; inputs ``(id, v)``."""
+def _broadcast_cosine_join(ln: DataFrame, rn: DataFrame, t: float) -> DataFrame:
+    """Right side shipped to every task (its size was checked): one matrix product per batch."""
+    rows = rn.select("id", "embedding").collect()
+    r_ids = np.array([r[0] for r in rows], dtype=np.int64)
+    r_mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    bc = ln.sparkSession.sparkContext.broadcast((r_ids, r_mat))
+
+    def scan(batches):
+        ids_r, mat_r = bc.value
+        for pdf in batches:
+            if len(pdf) == 0 or len(ids_r) == 0:
+                continue
+            m = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
+            if m.shape[1] != mat_r.shape[1]:
+                raise ValueError(f"dimension mismatch: {m.shape[1]} vs {mat_r.shape[1]}")
+            sims = m @ mat_r.T
+            li, ri = np.nonzero(sims >= t)
+            yield pd.DataFrame({"id_l": pdf["id"].to_numpy()[li], "id_r": ids_r[ri], "score": sims[li, ri]})
+
+    return ln.select("id", "embedding").mapInPandas(scan, "id_l long, id_r long, score double")
+
+
+def cosine_join(left: DataFrame, right: DataFrame, t: float, clusters: int = 64, seed: int = 7,
+                broadcast_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+    """Every (id_l, id_r, score) with cosine(v_l, v_r) >= t, exactly; inputs ``(id, v)``.
+
+    Strategy by measured size: when the right side's vectors fit the
+    shipped-size bound (rows x dims x 8 bytes, counted before collecting),
+    each left partition multiplies its batch with the right matrix.  Beyond
+    the bound, the cluster-pruned equi-join is used; both are exact.
+    """
     if not -1.0 < t <= 1.0:
         raise ValueError("cosine_join needs -1 < t <= 1")
     spark = left.sparkSession
-    ln = left.select("id", l2_normalize("v").alias("embedding")).where(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x) > 0)
-    rn = right.select("id", l2_normalize("v").alias("embedding")).where(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x) > 0)
-    cents = fit_clusters(rn, clusters, seed)
+    nonzero = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x) > 0
+    ln = left.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
+    rn = right.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
+    size = rn.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    if size[0] * max(size[1] or 0, 1) * 8 <= broadcast_bytes:
+        return _broadcast_cosine_join(ln, rn, t)
+    cents = fit_clusters(rn, clusters, seed, max_iter=10)
     cbc = spark.sparkContext.broadcast(cents)
     rc = _assign(rn, cbc)
     radius = {r[0]: r[1] for r in rc.groupBy("cluster").agg(F.max("cdist")).collect()}  # <= k rows

@@ -95,3 +95,21 @@ def test_rouge_join_random_texts_no_miss(spark):
     want = {(i, j) for (i, a), (j, b) in itertools.product(rows, rows)
             if 2 * _lcs(b.split(), a.split()) / (len(a.split()) + len(b.split())) >= 0.6}
     assert got == want
+
+
+def test_cosine_join_paths_agree_with_brute_force(spark):
+    import numpy as np
+
+    from shelfmatch.operators.vector_search import cosine_join
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(6, 8))
+    vecs = np.vstack([base[i % 6] + 0.3 * rng.normal(size=8) for i in range(60)] + [np.zeros(8)])
+    rows = [(i, v.tolist()) for i, v in enumerate(vecs)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    unit = vecs / np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-300)
+    sims = unit @ unit.T
+    want = {(i, j) for i in range(60) for j in range(60) if sims[i, j] >= 0.8}
+    small = {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, 0.8).collect()}
+    big = {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, 0.8, clusters=6, broadcast_bytes=0).collect()}
+    assert small == want
+    assert big == want
