@@ -1,0 +1,221 @@
+"""Per-page HTML helper for the extraction step (X1): a small DOM built with
+the standard library's ``html.parser`` and a CSS-selector subset (tag,
+``.class``, ``#id``, ``[attr]``, ``[attr=v]``, ``:not(...)``, descendant and
+``>`` combinators, ``,`` groups).
+
+It runs inside ``mapInPandas`` on Arrow batches of pages; Spark partitions
+the pages and everything after the per-page field extraction is native
+columns.  Text follows the usual ``get_text(strip=True)`` convention: every
+text node stripped, empty ones dropped, the rest joined by a separator;
+script and style contents are not text.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+NON_TEXT = frozenset(("script", "style", "template"))
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+
+    @property
+    def classes(self) -> list[str]:
+        return (self.attrs.get("class") or "").split()
+
+    def iter(self):
+        for c in self.children:
+            if isinstance(c, Node):
+                yield c
+                yield from c.iter()
+
+    def strings(self):
+        for c in self.children:
+            if isinstance(c, Node):
+                if c.tag not in NON_TEXT:
+                    yield from c.strings()
+            else:
+                yield c
+
+    def text(self, sep: str = "", strip: bool = True) -> str:
+        parts = (s.strip() for s in self.strings()) if strip else self.strings()
+        return sep.join(p for p in parts if p) if strip else sep.join(parts)
+
+    def raw_text(self) -> str:
+        """Concatenated text including script contents (for JSON payloads)."""
+        out = []
+        for c in self.children:
+            out.append(c.raw_text() if isinstance(c, Node) else c)
+        return "".join(out)
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("[document]", {}, None)
+        self.cur = self.root
+
+    def handle_starttag(self, tag, attrs):
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
+        self.cur.children.append(node)
+        if tag not in VOID:
+            self.cur = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.cur.children.append(Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur))
+
+    def handle_endtag(self, tag):
+        n = self.cur
+        while n is not None and n.tag != tag:
+            n = n.parent
+        if n is not None and n.parent is not None:
+            self.cur = n.parent
+
+    def handle_data(self, data):
+        self.cur.children.append(data)
+
+
+def parse(html: str | None) -> Node:
+    b = _Builder()
+    if html:
+        b.feed(html)
+        b.close()
+    return b.root
+
+
+# ----------------------------------------------------------------- selectors --
+_IDENT = r"(?:\\.|[\w\-])+"
+_TOKEN = re.compile(rf"\s*(>)\s*|\s+|({_IDENT}|\*)|\.({_IDENT})|#({_IDENT})|\[\s*({_IDENT})\s*(?:=\s*[\"']?([^\]\"']*)[\"']?)?\s*\]|:not\(([^)]*)\)")
+
+
+def _unescape(s: str) -> str:
+    return re.sub(r"\\(.)", r"\1", s)
+
+
+def _compound(text: str) -> dict:
+    comp = {"tag": None, "classes": [], "id": None, "attrs": [], "not": []}
+    pos = 0
+    while pos < len(text):
+        m = _TOKEN.match(text, pos)
+        if not m or m.end() == pos:
+            raise ValueError(f"unsupported selector part {text[pos:]!r}")
+        if m.group(2):
+            comp["tag"] = None if m.group(2) == "*" else _unescape(m.group(2)).lower()
+        elif m.group(3):
+            comp["classes"].append(_unescape(m.group(3)))
+        elif m.group(4):
+            comp["id"] = _unescape(m.group(4))
+        elif m.group(5):
+            comp["attrs"].append((_unescape(m.group(5)), m.group(6)))
+        elif m.group(7) is not None:
+            comp["not"].append(_compound(m.group(7).strip()))
+        pos = m.end()
+    return comp
+
+
+def compile_selector(sel: str) -> list[list[tuple[str, dict]]]:
+    """``'a b > c, d'`` -> groups of (combinator, compound) steps."""
+    groups = []
+    for part in _split_top(sel, ","):
+        steps, comb, buf = [], " ", ""
+        i = 0
+        part = part.strip()
+        while i < len(part):
+            ch = part[i]
+            if ch == "\\" and i + 1 < len(part):
+                buf += part[i:i + 2]
+                i += 2
+                continue
+            if ch == "(":
+                j = part.index(")", i)
+                buf += part[i:j + 1]
+                i = j + 1
+                continue
+            if ch == ">":
+                if buf.strip():
+                    steps.append((comb, _compound(buf.strip())))
+                buf, comb = "", ">"
+                i += 1
+                continue
+            if ch == " ":
+                if buf.strip():
+                    steps.append((comb, _compound(buf.strip())))
+                    comb = " "
+                buf = ""
+                i += 1
+                continue
+            buf += ch
+            i += 1
+        if buf.strip():
+            steps.append((comb, _compound(buf.strip())))
+        groups.append(steps)
+    return groups
+
+
+def _split_top(s: str, sep: str) -> list[str]:
+    out, depth, cur = [], 0, ""
+    for ch in s:
+        depth += ch == "("
+        depth -= ch == ")"
+        if ch == sep and depth == 0:
+            out.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    out.append(cur)
+    return out
+
+
+def _matches(n: Node, c: dict) -> bool:
+    if c["tag"] and n.tag != c["tag"]:
+        return False
+    if c["id"] is not None and n.attrs.get("id") != c["id"]:
+        return False
+    if c["classes"]:
+        have = n.classes
+        if any(k not in have for k in c["classes"]):
+            return False
+    for k, v in c["attrs"]:
+        if k not in n.attrs or (v is not None and n.attrs[k] != v):
+            return False
+    return not any(_matches(n, x) for x in c["not"])
+
+
+def _match_steps(n: Node, steps: list, i: int) -> bool:
+    """Right-to-left match; ancestors may lie outside the scope, as in soupsieve."""
+    comb, comp = steps[i]
+    if not _matches(n, comp):
+        return False
+    if i == 0:
+        return True
+    p = n.parent
+    if comb == ">":
+        return p is not None and _match_steps(p, steps, i - 1)
+    while p is not None:
+        if _match_steps(p, steps, i - 1):
+            return True
+        p = p.parent
+    return False
+
+
+def select(scope: Node, sel: str) -> list[Node]:
+    """Elements below ``scope`` matching the selector, in document order."""
+    groups = compile_selector(sel)
+    out = []
+    for n in scope.iter():
+        for steps in groups:
+            if _match_steps(n, steps, len(steps) - 1):
+                out.append(n)
+                break
+    return out
+
+
+def select_one(scope: Node, sel: str) -> Node | None:
+    found = select(scope, sel)
+    return found[0] if found else None

@@ -28,7 +28,17 @@ def rouge_tokens(c: Column | str) -> Column:
 
 
 def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two string arrays."""
+    """Length of the longest common subsequence of two string arrays.
+
+    Both arrays are first bound to lambda variables (one ``transform`` over a
+    one-element array), so an input given as an expression - e.g. the
+    tokenizer - is evaluated once per row, not once per DP cell.
+    """
+    return F.get(F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))),
+                             lambda p: _lcs_bound(p["a"], p["b"])), 0)
+
+
+def _lcs_bound(a: Column, b: Column) -> Column:
     n = F.size(b)
     first_row = F.array_repeat(F.lit(0), n + 1)
 
@@ -50,10 +60,13 @@ def f1_from_lcs(lcs: Column, m: Column, n: Column) -> Column:
 def rouge_l_f1(reference: Column | str, response: Column | str) -> Column:
     """ROUGE-L F1 of two texts; empty or null either side -> 0.0."""
     r, s = _c(reference), _c(response)
-    ta, tb = rouge_tokens(py_strip(r)), rouge_tokens(py_strip(s))
-    score = f1_from_lcs(lcs_length(ta, tb), F.size(ta), F.size(tb))
+    toks = F.array(F.struct(rouge_tokens(py_strip(r)).alias("a"), rouge_tokens(py_strip(s)).alias("b")))
+
+    def score(p: Column) -> Column:
+        return f1_from_lcs(_lcs_bound(p["a"], p["b"]), F.size(p["a"]), F.size(p["b"]))
+
     empty = r.isNull() | s.isNull() | (r == "") | (s == "")
-    return F.when(empty, F.lit(0.0)).otherwise(score)
+    return F.when(empty, F.lit(0.0)).otherwise(F.get(F.transform(toks, score), 0))
 
 
 def string_score(t1: Column | str, t2: Column | str) -> Column:

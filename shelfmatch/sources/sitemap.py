@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 SITEMAP_SCHEMA = "loc string, lastmod string"
 
 
-def read_sitemap(spark: SparkSession, path: str, index: bool = False) -> DataFrame:
+def read_sitemap(spark: SparkSession, path: str | list[str], index: bool = False) -> DataFrame:
     """One row per ``loc``: ``url`` entries of a urlset, or ``sitemap`` entries of an index."""
     df = (spark.read.format("xml").option("rowTag", "sitemap" if index else "url")
           .option("ignoreNamespace", "true").schema(SITEMAP_SCHEMA).load(path))

@@ -1,0 +1,115 @@
+"""Page layouts on hand-written pages: one full and one sparse page per layout."""
+
+from shelfmatch.operators.pages import LAYOUT_A, LAYOUT_B, LAYOUT_C, assemble_product
+
+A_FULL = """<html><body><section class="detail">
+<ul class="breadcrumb"><li><a>Điện thoại</a></li><li><a>Samsung</a></li></ul>
+<div class="product-name"><h1> Samsung Galaxy A54 </h1><span class="quantity-sale">Đã bán 1,2k</span>
+<div class="detail-rate">4.8</div></div>
+<div class="group-box03"><div class="box03"><a class="act">128GB</a><a>256GB</a></div>
+<div class="box03 color"><a class="act">Đen</a><a>Tím</a></div></div>
+</section>
+<div class="price-one"><p class="box-price-present">8.490.000₫</p><p class="box-price-old">9.990.000₫</p>
+<p class="box-price-percent">-15%</p></div>
+<div id="location-detail"><a>Hồ Chí Minh</a></div>
+<div class="block__promo"><p class="pr-txtb">Khuyến mãi</p><div class="divb-right"><p>Giảm 500k</p><p>Tặng ốp</p></div></div>
+<div class="box-specifi"><h3>Màn hình</h3><ul><li><aside>Công nghệ:</aside><aside>Super <b>AMOLED</b></aside></li>
+<li><aside>Lẻ</aside></li><li><aside>Kích thước:</aside><aside>6.4"</aside></li></ul></div>
+<div class="box-specifi"><ul><li><aside>x</aside><aside>y</aside></li></ul></div>
+<ul class="policy__list"><li><div class="pl-txt">Hư gì đổi nấy</div></li><li><div class="pl-txt">Bảo hành 12 tháng</div></li></ul>
+<div id="popup-baohanh-content"><div class="warranty-box"><h2 class="title">Bảo hành</h2><span>12 tháng</span></div>
+<div class="change-box"><div class="block-change"><h3>Đổi trả</h3><div class="content-insider"><p>30 ngày</p><p>miễn phí</p></div></div></div></div>
+</body></html>"""
+A_SPARSE = '<html><body><section class="detail"><div class="product-name"><h1></h1></div></section></body></html>'
+A_NONE = '<html><body><div class="detail">not a section</div></body></html>'
+
+B_FULL = """<html><head><script type="application/ld+json">{"@type":"BreadcrumbList","itemListElement":[
+{"item":{"name":"Trang chủ"}},{"item":{"name":"Apple"}}]}</script></head><body><div class="box-detail-product">
+<div class="box-detail-product__box-left"><div class="box-product-name"><h1>iPhone 15</h1></div>
+<div class="box-rating"><span>4.9</span><span class="total-rating">(120)</span></div>
+<div class="box-bottom-item"><span class="label">Yêu thích</span></div>
+<div class="pdp-compare-button-box"><a class="label">So sánh</a></div>
+<div class="box-warranty-info"><div class="box-title"><p>Cam kết</p></div></div>
+<div class="item-warranty-info"><div class="description">Máy mới <a href="/bh">xem</a></div></div></div>
+<div class="box-detail-product__box-center"><div class="box-product-price"><div class="sale-price">19.990.000đ</div>
+<del class="base-price">22.990.000đ</del></div>
+<div class="box-linked"><a class="item-linked active" href="/128"><strong>128GB</strong></a><a class="item-linked" href="/256"><strong>256GB</strong></a></div>
+<div class="box-product-variants"><ul><li class="item-variant active"><a href="/den"></a><strong class="item-variant-name">Đen</strong>
+<span class="item-variant-price">19.990.000đ</span></li></ul></div>
+<div class="promotion-pack_item"><div class="box-product-promotion-detail">Giảm <b>5%</b> <a href="/p">chi tiết</a></div></div>
+<div class="render-promotion"><ul><li>Trả góp 0%</li></ul></div></div>
+<table class="technical-content"><tr><th>Chip</th><td>A16</td></tr><tr><td>Lẻ</td></tr></table>
+</div></body></html>"""
+
+C_FULL = r"""<html><body><nav class="Breadcrumb"><ul><li><a>Trang chủ</a></li><li><a></a></li><li><a>Điện thoại</a></li></ul></nav>
+<div id="ThongTinSanPham"><h1 class="text-textOnWhitePrimary b2-medium pc:l6-semibold">Xiaomi 14</h1>
+<div class="ml-1.5 flex items-center gap-1"><div class="text-textOnWhitePrimary b2-regular">4.7</div></div>
+<div class="ml-1 cursor-pointer text-textOnWhiteHyperLink f1-medium pc:b2-medium">35 đánh giá</div>
+<div class="grid gap-y-3 pb-4 pt-3 pc:gap-y-2 pc:py-0"><div><span>Dung lượng</span><div>
+<button class="Selection_buttonSelect__7lW_h"><span class="block text-textOnWhitePrimary b2-medium">256GB</span></button>
+<button><span class="block text-textOnWhitePrimary b2-medium">512GB</span></button></div></div>
+<div><span>Màu sắc</span><div><button><span class="block text-textOnWhitePrimary b2-medium">Trắng</span><img src="/w.png"></button>
+<button><span class="block text-textOnWhitePrimary b2-medium">Đen</span></button></div></div></div>
+<div id="tradePrice"><span class="h4-bold">22.990.000₫</span><span class="text-neutral-gray-5 line-through">24.990.000₫</span>
+<span class="text-red-red-7">-8%</span><span class="text-yellow-yellow-7 b2-medium">+5.747 Điểm thưởng</span></div>
+<div class="relative flex flex-col gap-2.5 rounded-[0.375rem] border"><p>Giảm 2 triệu</p></div>
+<div class="flex flex-col pc:flex-col-reverse pc:gap-3"><div class="swiper-wrapper"><div class="swiper-slide"><img alt=" VNPay " src="/v.png"></div></div>
+<div class="flex flex-col gap-3"><p class="text-textOnWhitePrimary">Tặng sạc Xem chi tiết</p><p class="text-textOnWhitePrimary">Xem chi tiết</p></div></div>
+<div class="flex flex-col gap-2 px-4 pb-4 pt-3"><div class="relative grid h-14"><p class="line-clamp-2">Bảo hành 1 năm</p>
+<span class="text-textOnWhiteBrand">990.000₫</span><span class="text-textOnWhiteDisable line-through">1.290.000₫</span></div></div>
+</div></body></html>"""
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame(rows, "url string, html string")
+
+
+def test_layout_a(spark):
+    out = {r["url"]: r for r in assemble_product(_pages(spark, [("a1", A_FULL), ("a2", A_SPARSE), ("a3", A_NONE)]),
+                                                 LAYOUT_A).collect()}
+    assert set(out) == {"a1", "a2"}
+    d = out["a1"]["product_data"]
+    assert out["a1"]["status"] == "success" and out["a2"]["status"] == "no_name_found"
+    assert d["product_name"] == "Samsung Galaxy A54" and d["product_type"] == ["Điện thoại", "Samsung"]
+    assert d["selected_capacity"] == "128GB" and d["all_colors"] == ["Đen", "Tím"]
+    assert (d["current_price"], d["original_price"], d["discount"], d["installment_info"]) == \
+        ("8.490.000₫", "9.990.000₫", "-15%", "")
+    assert d["location"] == "Hồ Chí Minh" and d["promo_list"] == ["Giảm 500k", "Tặng ốp"]
+    assert d["specifications"] == {"Màn hình": {"Công nghệ": "Super AMOLED", "Kích thước": '6.4"'}}
+    assert d["commitments"] == ["Hư gì đổi nấy", "Bảo hành 12 tháng"]
+    assert d["warranty_policy"].asDict() == {"title": "Bảo hành", "details": "12 tháng"}
+    assert d["change_policy"] == {"Đổi trả": "30 ngày\nmiễn phí"}
+    s = out["a2"]["product_data"]
+    assert s["current_price"] == "" and s["product_type"] == [] and s["selected_capacity"] is None
+
+
+def test_layout_b(spark):
+    r = assemble_product(_pages(spark, [("b1", B_FULL)]), LAYOUT_B).first()
+    d = r["product_data"]
+    assert r["status"] == "success"
+    assert d["breadcrumb"] == ["Trang chủ", "Apple"]
+    assert (d["product_name"], d["rating_score"], d["total_ratings"]) == ("iPhone 15", "4.9", "120")
+    assert d["actions"] == ["Yêu thích", "So sánh"]
+    assert d["versions"]["128GB"].asDict() == {"url": "/128", "is_active": True}
+    assert d["colors"]["Đen"].asDict() == {"price": "19.990.000đ", "url": "/den", "is_active": True}
+    assert d["promotions"]["title"] == "Khuyến mãi"
+    assert d["promotions"]["promotions"][0].asDict() == {"detail": "Giảm 5% chi tiết", "link": "/p"}
+    assert d["payment_promotions"]["title"] == "Ưu đãi thanh toán"
+    assert d["product_commitments"]["title"] == "Cam kết"
+    assert d["specifications"] == {"Chip": "A16"}
+
+
+def test_layout_c(spark):
+    r = assemble_product(_pages(spark, [("c1", C_FULL)]), LAYOUT_C).first()
+    d = r["product_data"]
+    assert d["product_name"] == "Xiaomi 14" and d["product_type"] == ["Trang chủ", "Điện thoại"]
+    assert (d["rating_score"], d["rating_count"]) == ("4.7", "35 đánh giá")
+    assert [x.asDict() for x in d["storage_options"]] == [{"value": "256GB", "is_selected": True},
+                                                         {"value": "512GB", "is_selected": False}]
+    assert [x["name"] for x in d["color_options"]] == ["Trắng"]  # a colour needs text and image
+    assert (d["current_price"], d["original_price"], d["reward_points"]) == (22990000, 24990000, 5747)
+    assert d["promotions"]["general_promotions"] == ["Giảm 2 triệu"]
+    assert d["promotions"]["payment_promotions"][0].asDict() == {"description": "VNPay", "image_url": "/v.png"}
+    assert d["promotions"]["other_promotions_and_gifts"] == ["Tặng sạc"]
+    assert d["extended_warranty"][0].asDict() == {"title": "Bảo hành 1 năm", "current_price": 990000,
+                                                  "original_price": 1290000}
