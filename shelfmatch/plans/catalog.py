@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.prices import crawl_time, format_price, parse_price, pick_price_text, reward_points, strip_label
-from shelfmatch.functions.text import clean_name, join_clean_lines, map_distinct, normalize_title, py_strip
+from shelfmatch.functions.text import clean_name, clean_title, join_clean_lines, map_distinct, normalize_title, py_strip
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
@@ -157,6 +157,36 @@ def clean_names_part(spark: SparkSession, sf: str) -> DataFrame:
     return map_distinct(part, "p_name", "title_cleaned", clean_name).select("p_partkey", "title_cleaned")
 
 
+# ------------------------------------------------------- N1 / N2 / N3 / T4 ----
+@query("clean_names_decorated", f"""
+SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(trim(p_name)), '\\b({_ASCII_COLOURS})\\b', '', 'g'), '\\s+', ' ', 'g'))
+       AS title_cleaned
+FROM part
+""")
+def clean_names_decorated(spark: SparkSession, sf: str) -> DataFrame:
+    """N1 on shop-style titles built from ``part``: prefix, storage, colour in
+    brackets and the shop suffix are all removed, leaving the model name."""
+    part = table(spark, sf, "part")
+    title = F.concat(F.lit("Điện thoại "), F.initcap("p_name"), F.lit(" "), F.col("p_size").cast("string"),
+                     F.lit("GB (Đen) - Chỉ có tại Shop"))
+    named = part.select("p_partkey", title.alias("raw"))
+    return map_distinct(named, "raw", "title_cleaned", clean_name).select("p_partkey", "title_cleaned")
+
+
+@query("clean_names_dashed_part", """
+SELECT p_partkey, 'galaxy ' || lower(trim(p_name)) AS title_cleaned FROM part
+""")
+def clean_names_dashed_part(spark: SparkSession, sf: str) -> DataFrame:
+    """N2 + T4 on dashed titles built from ``part``: the leading phone label and
+    storage go, the part naming a brand is kept ('galaxy ...')."""
+    part = table(spark, sf, "part")
+    title = F.concat(F.lit("Điện thoại Galaxy "), F.initcap("p_name"), F.lit(" - Hàng mới "),
+                     F.col("p_size").cast("string"), F.lit("GB"))
+    named = part.select("p_partkey", title.alias("raw"))
+    cleaned = map_distinct(named, "raw", "title_cleaned", lambda c: clean_title(c, "hoanghamobile", True))
+    return cleaned.select("p_partkey", "title_cleaned")
+
+
 # ------------------------------------------------------------- R1 / J2 ----
 _TOK = "list_filter(string_split(regexp_replace(lower(trim({x})), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: t <> '')"
 _LCS = ("list_reduce({a}, lambda prev, x: list_reduce(range(1, len({b})+1), lambda cur, j: list_append(cur, "
