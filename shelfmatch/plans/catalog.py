@@ -467,7 +467,9 @@ SELECT user_id, event_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch
 
 
 def _events_by_day(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").withColumn("batch_day", F.to_date("ts"))
+    """The item stream: events keyed by user, one batch per day (only the columns the store keeps)."""
+    return (table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+            .withColumn("batch_day", F.to_date("ts")))
 
 
 @query("insert_if_absent", _FIRST_EVENT_SQL)

@@ -113,3 +113,20 @@ def test_layout_c(spark):
     assert d["promotions"]["other_promotions_and_gifts"] == ["Tặng sạc"]
     assert d["extended_warranty"][0].asDict() == {"title": "Bảo hành 1 năm", "current_price": 990000,
                                                   "original_price": 1290000}
+
+
+def test_embedded_specs_payload(spark):
+    import json as _json
+
+    from shelfmatch.operators.pages import embedded_specs
+    arr = '["$root"]'
+    rest = ('"root":{"data":{"product":"$p"}},"p":{"x":[{"attributeItem":[]},{"attributeItem":"$items"}]},'
+            '"items":[{"groupName":" Màn hình ","attributes":[{"displayName":"Kích thước","value":"6.7"},'
+            '{"displayName":"Kích thước","value":"6.9"},{"displayName":"","value":"x"}]},'
+            '{"groupName":"Pin","attributes":[{"displayName":"Dung lượng","value":"$cap"}]}],"cap":"5000 mAh",'
+            '"loop":"$loop","n":1')
+    js = _json.dumps("16:" + arr + "," + rest)[1:-1]  # the page holds it as a JS string body
+    html = '<html><script>self.__next_f.push([1, "' + js + '"])</script></html>'
+    pages = spark.createDataFrame([("u1", html), ("u2", "<html></html>")], "url string, html string")
+    got = sorted((r["group"], r["name"], r["value"]) for r in embedded_specs(pages).collect())
+    assert got == [("Màn hình", "Kích thước", "6.9"), ("Pin", "Dung lượng", "5000 mAh")]
