@@ -38,7 +38,9 @@ B_FULL = """<html><head><script type="application/ld+json">{"@type":"BreadcrumbL
 <span class="item-variant-price">19.990.000đ</span></li></ul></div>
 <div class="promotion-pack_item"><div class="box-product-promotion-detail">Giảm <b>5%</b> <a href="/p">chi tiết</a></div></div>
 <div class="render-promotion"><ul><li>Trả góp 0%</li></ul></div></div>
-<table class="technical-content"><tr><th>Chip</th><td>A16</td></tr><tr><td>Lẻ</td></tr></table>
+<div class="modal"><div class="technical-content-section"><p class="title">Cấu hình</p><table>
+<tr class="technical-content-item"><td>Chip</td><td>A16</td></tr><tr class="technical-content-item"><td>Lẻ</td></tr></table></div></div>
+<div class="tech-specs"><p class="title">Khác</p></div>
 </div></body></html>"""
 
 C_FULL = r"""<html><body><nav class="Breadcrumb"><ul><li><a>Trang chủ</a></li><li><a></a></li><li><a>Điện thoại</a></li></ul></nav>
@@ -96,7 +98,7 @@ def test_layout_b(spark):
     assert d["promotions"]["promotions"][0].asDict() == {"detail": "Giảm 5% chi tiết", "link": "/p"}
     assert d["payment_promotions"]["title"] == "Ưu đãi thanh toán"
     assert d["product_commitments"]["title"] == "Cam kết"
-    assert d["specifications"] == {"Chip": "A16"}
+    assert d["specifications"] == {"Cấu hình": {"Chip": "A16"}}
 
 
 def test_layout_c(spark):
