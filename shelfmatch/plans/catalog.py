@@ -187,6 +187,49 @@ def clean_names_dashed_part(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.select("p_partkey", "title_cleaned")
 
 
+# --------------------------------------------------- N3 inside J1 (clean_titles) --
+def _decorated_catalogue(spark: SparkSession, sf: str, shop: str) -> DataFrame:
+    """Shop titles as the two shops write them: shop A 'Điện thoại <Name> <n>GB - Chính hãng',
+    shop B '<Name> <n>GB - Chỉ có tại Shop'."""
+    cat = shop_catalogue(spark, sf, shop)
+    size = F.regexp_extract("capacities", r"(\d+GB)", 1)
+    if shop == "A":
+        title = F.concat(F.lit("Điện thoại "), F.initcap("title"), F.lit(" "), size, F.lit(" - Chính hãng"))
+    else:
+        title = F.concat(F.initcap("title"), F.lit(" "), size, F.lit(" - Chỉ có tại Shop"))
+    return cat.withColumn("title", title).withColumn("title_cleaned", F.col("title"))
+
+
+_INITCAP = "array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+
+
+@query("match_cleaned_parts", f"""
+WITH a2 AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, p_partkey AS _ord, lower(trim(p_name)) AS t,
+                   'Điện thoại ' || {_INITCAP.format(x='p_name')} || ' ' || p_size || 'GB - Chính hãng' AS title
+            FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INT) <= 12),
+     b2 AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, p_partkey AS _ord,
+                   trim(regexp_replace(regexp_replace(lower(trim(p_name)), '\\b({_ASCII_COLOURS})\\b', '', 'g'), '\\s+', ' ', 'g')) AS t,
+                   {_INITCAP.format(x='p_name')} || ' ' || p_size || 'GB - Chỉ có tại Shop' AS title
+            FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INT) > 12),
+     a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY _ord) rn FROM a2) WHERE rn = 1),
+     b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY _ord) rn FROM b2) WHERE rn = 1)
+SELECT _id1, _id2, title, "references", title_cleaned, references_cleaned, main_score FROM (
+  SELECT a._id AS _id1, b._id AS _id2, a.title AS title, b.title AS "references", a.t AS title_cleaned,
+         b.t AS references_cleaned, 1.0::DOUBLE AS main_score,
+         row_number() OVER (PARTITION BY lower(a.title) ORDER BY a._ord, b._ord) AS rk
+  FROM a JOIN b ON a.t = b.t) WHERE rk = 1
+""")
+def match_cleaned_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 with ``clean_titles``: shop A titles go through the dashed-title cleaner,
+    shop B titles through the generic one (N3), then exact match, one pair per title."""
+    a = dedupe_by_title(_decorated_catalogue(spark, sf, "A"))
+    b = dedupe_by_title(_decorated_catalogue(spark, sf, "B"))
+    cfg = MatchConfig(main_score="string", use_rouge=False, clean_titles=True,
+                      dataset1_type="hoanghamobile", dataset2_type="other")
+    pairs = match_catalogues(a, b, cfg)
+    return pairs.select("_id1", "_id2", "title", "references", "title_cleaned", "references_cleaned", "main_score")
+
+
 # ------------------------------------------------------------- R1 / J2 ----
 _TOK = "list_filter(string_split(regexp_replace(lower(trim({x})), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: t <> '')"
 _LCS = ("list_reduce({a}, lambda prev, x: list_reduce(range(1, len({b})+1), lambda cur, j: list_append(cur, "

@@ -113,3 +113,16 @@ def test_cosine_join_paths_agree_with_brute_force(spark):
     big = {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, 0.8, clusters=6, broadcast_bytes=0).collect()}
     assert small == want
     assert big == want
+
+
+def test_semantic_main_score_and_threshold_guard(spark):
+    import pytest
+    a = _cat(spark, [("a1", "x", "alpha", None, None, 1), ("a2", "y", "beta", None, None, 2)])
+    b = _cat(spark, [("b1", "x", "gamma", None, None, 1), ("b2", "y", "delta", None, None, 2)])
+    emb = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.6, 0.8])], "_ord long, embedding array<double>")
+    cfg = MatchConfig(main_score="semantic", threshold=0.9, use_rouge=False, use_semantic=True)
+    out = {(r["_id1"], r["_id2"]): r["semantic_score"]
+           for r in match_catalogues(a.join(emb, "_ord"), b.join(emb, "_ord"), cfg).collect()}
+    assert set(out) == {("a1", "b1"), ("a2", "b2")}
+    with pytest.raises(ValueError):
+        match_catalogues(a, b, MatchConfig(threshold=0.0))
