@@ -1,12 +1,15 @@
 """Insert-if-absent into a keyed store (K2), load statistics (A3), quarantine (ST5).
 
-The store is a Parquet directory partitioned by ``batch_id``.  Writing a
-batch = keep the first row per key inside the batch (partial aggregate),
-drop keys already stored by *earlier* batches (left anti join on the key
-column only - Parquet column pruning reads nothing else), and overwrite the
-batch's own partition.  Because a batch's result depends only on earlier
-partitions, replaying a batch rewrites the same rows: idempotent, which is
-what makes the streaming form safe after an executor or driver loss.
+The store is a Parquet directory partitioned by ``key_bucket`` (a hash of
+the key, like a unique index's pages) and ``batch_id``.  Writing a batch =
+keep the first row per key inside the batch (partial aggregate), drop keys
+already stored by *earlier* batches, and overwrite the batch's own
+partitions.  The anti join reads only the key column (column pruning) of
+only the buckets the batch touches (partition pruning on the bucket list,
+at most ``buckets`` values), so a micro-batch does not scan the whole store.
+Because a batch's result depends only on earlier partitions, replaying a
+batch rewrites the same rows: idempotent, which is what makes the streaming
+form safe after an executor or driver loss.
 """
 
 from __future__ import annotations
@@ -30,9 +33,13 @@ def _store_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def key_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
 def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id: int, key: str = "url",
                      order: Sequence[str] = (), valid: Column | None = None,
-                     quarantine: str | None = None) -> dict:
+                     quarantine: str | None = None, buckets: int = 64) -> dict:
     """K2 + A3 (+ ST5): write one batch; returns its stats row as a dict."""
     t0 = time.time()
     batch = batch.persist()
@@ -45,12 +52,16 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id
                .partitionBy("batch_id").parquet(quarantine)
         ordered = list(order) or [key]
         first = keep_first(good.withColumn("__src", F.monotonically_increasing_id()), [key],
-                           [*ordered, "__src"]).drop("__src")
+                           [*ordered, "__src"]).drop("__src").withColumn("key_bucket", key_bucket(key, buckets))
         if _store_exists(spark, store):
-            earlier = spark.read.parquet(store).where(F.col("batch_id") < batch_id).select(key)
-            first = first.join(earlier, key, "left_anti")
+            touched = [r[0] for r in first.select("key_bucket").distinct().collect()]  # <= buckets values
+            earlier = (spark.read.parquet(store)
+                       .where((F.col("batch_id") < batch_id) & F.col("key_bucket").isin(touched))
+                       .select(key, "key_bucket"))
+            first = first.join(earlier, [key, "key_bucket"], "left_anti")
         out = first.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+           .partitionBy("key_bucket", "batch_id").parquet(store)
         counts = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(ok_cond, 0).otherwise(1)).alias("bad")).first()
         inserted = spark.read.parquet(store).where(F.col("batch_id") == batch_id).count()
     finally:

@@ -47,12 +47,12 @@ PROFILES = {
 def stream_insert_if_absent(stream: DataFrame, store: str, stats: str, checkpoint: str, key: str = "url",
                             order: Sequence[str] = (), valid: Column | None = None,
                             quarantine: str | None = None, drain: bool = True,
-                            profile: BatchProfile = PROFILES["default"]) -> StreamingQuery:
+                            profile: BatchProfile = PROFILES["default"], buckets: int = 64) -> StreamingQuery:
     """ST2 + ST4 + ST5 (+ ST3 when ``drain``): start the load; returns the query."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid,
-                               quarantine=quarantine)
+                               quarantine=quarantine, buckets=buckets)
         day = batch.agg(F.min(order[0]).alias("first")).first()["first"] if order else None
         stats_df = spark.createDataFrame([row], STATS_SCHEMA).withColumn(
             "first_item", F.lit(str(day) if day is not None else None))
