@@ -101,6 +101,13 @@ def require_container(pages: DataFrame, rule: Rule, html: str = "html") -> DataF
     return pages.where(strip_blocks(F.col(html)).rlike(rule.element()))
 
 
+def drop_forbidden(pages: DataFrame, status: str = "http_status") -> DataFrame:
+    """a page fetched with HTTP 403 yields no record (no-op when the column is absent)."""
+    if status not in pages.columns:
+        return pages
+    return pages.where(F.coalesce(F.col(status) != 403, F.lit(True)))
+
+
 def record_status(name: Column, error: Column | None = None) -> Column:
     """``error: <msg>`` / ``no_name_found`` / ``success``."""
     st = F.when((name.isNull()) | (name == ""), F.lit(STATUS_NO_NAME)).otherwise(F.lit(STATUS_SUCCESS))

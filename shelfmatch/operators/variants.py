@@ -48,8 +48,14 @@ def variant_matrix(products: DataFrame, storages: str = "storages", colours: str
     return variants, errors
 
 
+# --- fixed value: title of a specification section that has none -------------
+UNKNOWN_SECTION = "Unknown Section"
+
+
 def spec_counts(variants: DataFrame, sections: str = "sections") -> DataFrame:
-    """A5: per-section spec count and the total per variant."""
-    with_counts = F.transform(sections, lambda s: s.withField("specCount", F.size(s["specifications"])))
+    """A5 (+ X20 section rules): untitled sections are named 'Unknown Section'; per-section
+    spec count and the total per variant."""
+    with_counts = F.transform(sections, lambda s: s.withField("title", F.coalesce(s["title"], F.lit(UNKNOWN_SECTION)))
+                              .withField("specCount", F.size(s["specifications"])))
     return (variants.withColumn(sections, with_counts)
                     .withColumn("totalSpecs", F.aggregate(sections, F.lit(0), lambda acc, s: acc + s["specCount"])))

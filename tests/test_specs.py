@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from shelfmatch.operators.extract import Rule, extract_fields, merge_sections, record_status, require_container
+from shelfmatch.operators.extract import (Rule, drop_forbidden, extract_fields, merge_sections, record_status,
+                                          require_container)
 from shelfmatch.operators.specs import drop_keys, find_attribute_items, group_specs, parse_noisy_json, resolve_refs
 
 
@@ -74,3 +75,8 @@ def test_merge_sections_later_wins(spark):
     df = spark.createDataFrame([((1, "a"), ("b", 2))], "s1 struct<x:int,name:string>, s2 struct<name:string,y:int>")
     r = merge_sections(df, ["s1", "s2"]).first()["product_data"].asDict()
     assert r == {"x": 1, "name": "b", "y": 2}
+
+
+def test_drop_forbidden(spark):
+    df = spark.createDataFrame([("a", 200), ("b", 403), ("c", None)], "url string, http_status int")
+    assert sorted(r["url"] for r in drop_forbidden(df).collect()) == ["a", "c"]

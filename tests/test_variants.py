@@ -66,6 +66,9 @@ def test_variant_matrix_and_counts(spark):
     assert variants.count() == 4
     assert [r["url"] for r in errors.collect()] == ["u2"]
     sec = variants.selectExpr("url", "array(named_struct('id','a','title','A','specifications', "
-                              "array(named_struct('label','x','value',array('1')), named_struct('label','y','value',array('2'))))) as sections")
+                              "array(named_struct('label','x','value',array('1')), named_struct('label','y','value',array('2')))),"
+                              "named_struct('id','b','title',cast(null as string),'specifications', "
+                              "array(named_struct('label','z','value',array('3'))))) as sections")
     r = spec_counts(sec).first()
-    assert r["totalSpecs"] == 2 and r["sections"][0]["specCount"] == 2
+    assert r["totalSpecs"] == 3 and r["sections"][0]["specCount"] == 2
+    assert r["sections"][1]["title"] == "Unknown Section"
