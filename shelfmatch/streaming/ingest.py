@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shelfmatch.operators.ingest import STATS_SCHEMA, insert_if_absent
 
@@ -51,9 +51,13 @@ def stream_insert_if_absent(stream: DataFrame, store: str, stats: str, checkpoin
     """ST2 + ST4 + ST5 (+ ST3 when ``drain``): start the load; returns the query."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid,
-                               quarantine=quarantine, buckets=buckets)
-        day = batch.agg(F.min(order[0]).alias("first")).first()["first"] if order else None
+        batch = batch.persist()  # every action below reads the micro-batch once
+        try:
+            day = batch.agg(F.min(order[0]).alias("first")).first()["first"] if order else None
+            row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid,
+                                   quarantine=quarantine, buckets=buckets)
+        finally:
+            batch.unpersist()
         stats_df = spark.createDataFrame([row], STATS_SCHEMA).withColumn(
             "first_item", F.lit(str(day) if day is not None else None))
         stats_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
@@ -71,3 +75,28 @@ def stage_batches(spark: SparkSession, items: DataFrame, batch_col: str, path: s
     for i, v in enumerate(values):
         items.where(F.col(batch_col) == v).coalesce(1).write.mode("overwrite").parquet(f"{path}/b{i:06d}")
     return values
+
+
+class LoadProgress(StreamingQueryListener):
+    """ST4 running totals from the engine's own progress events: rows read,
+    batches done and the input rate, per query id (driver-side, O(queries))."""
+
+    def __init__(self):
+        super().__init__()
+        self.totals: dict = {}
+
+    def onQueryStarted(self, event):
+        self.totals[str(event.id)] = {"batches": 0, "rows": 0, "rate": 0.0}
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        t = self.totals.setdefault(str(p.id), {"batches": 0, "rows": 0, "rate": 0.0})
+        t["batches"] += 1
+        t["rows"] += int(p.numInputRows or 0)
+        t["rate"] = float(p.processedRowsPerSecond or 0.0)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

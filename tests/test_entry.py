@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from shelfmatch.operators.ingest import insert_all_batches
 from shelfmatch.plans import catalog
 from shelfmatch.plans.tables import table
-from shelfmatch.streaming.ingest import PROFILES, stage_batches, stream_insert_if_absent
+from shelfmatch.streaming.ingest import PROFILES, LoadProgress, stage_batches, stream_insert_if_absent
 from shelfmatch.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -27,10 +27,15 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     stage_batches(spark, items, "batch_day", f"{base}/in")
     stream = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/b*/part-*.parquet")
     args = dict(key="user_id", order=["batch_day", "ts", "event_id"])
-    stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/ck", **args).awaitTermination()
+    listener = LoadProgress()
+    spark.streams.addListener(listener)
+    q = stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/ck", **args)
+    q.awaitTermination()
+    spark.streams.removeListener(listener)
     got = {r["user_id"]: r["event_id"] for r in spark.read.parquet(f"{base}/store").collect()}
     want = {r["user_id"]: r["event_id"] for r in insert_all_batches(items, "user_id", "batch_day", ["ts", "event_id"]).collect()}
     assert got == want
+    assert listener.totals[str(q.id)]["rows"] == items.count()
     n_stats = spark.read.parquet(f"{base}/stats").count()
     # restart from the checkpoint: nothing new to read, nothing inserted
     stream2 = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/b*/part-*.parquet")
