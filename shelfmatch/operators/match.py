@@ -166,19 +166,24 @@ def _token_table(texts: DataFrame, side: str) -> DataFrame:
                         F.when(empty, F.array().cast("array<string>")).otherwise(toks).alias("toks"))
 
 
-def rouge_join(left: DataFrame, right: DataFrame, t: float) -> DataFrame:
+def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     """All (id_l, id_r, score) with ROUGE-L F1(text_r, text_l) >= t, t in (0, 1].
 
-    Inputs ``(id, text)`` with unique ids.  Prefix filter: F1 >= t forces a
-    multiset overlap of at least alpha(m) = ceil(t*m/(2-t)) for a text of m
-    tokens, so the first m - alpha + 1 token occurrences in a global
-    rarest-first order of two qualifying texts intersect.  Candidate pairs
-    are the equi-join of those prefixes; a length bound and the exact LCS
-    then decide.
+    Inputs ``(id, text)`` with unique ids; ``right=None`` joins ``left`` with
+    itself and, the score being symmetric, returns each pair once
+    (``id_l < id_r``).  Prefix filter: F1 >= t forces a multiset overlap of at
+    least alpha(m) = ceil(t*m/(2-t)) for a text of m tokens, so the first
+    m - alpha + 1 token occurrences in a global rarest-first order of two
+    qualifying texts intersect.  Candidate pairs are the equi-join of those
+    prefixes; a length bound and the exact LCS then decide.
     """
     if not 0 < t <= 1:
         raise ValueError("rouge_join needs 0 < t <= 1")
-    toks = _token_table(left, "l").unionByName(_token_table(right, "r")).withColumn("m", F.size("toks"))
+    self_join = right is None
+    toks = _token_table(left, "l")
+    if not self_join:
+        toks = toks.unionByName(_token_table(right, "r"))
+    toks = toks.withColumn("m", F.size("toks"))
     # (token, occurrence) elements; the occurrence number comes from a count per text.
     counts = (toks.select("side", "id", "m", F.explode("toks").alias("tok"))
                   .groupBy("side", "id", "m", "tok").agg(F.count(F.lit(1)).alias("c")))
@@ -190,11 +195,16 @@ def rouge_join(left: DataFrame, right: DataFrame, t: float) -> DataFrame:
                     .where(F.col("rn") <= F.col("m") - min_overlap(F.col("m"), t) + 1)
                     .select("side", "id", "m", "tok", "k"))
     pl = prefix.where(F.col("side") == "l").select(F.col("id").alias("id_l"), F.col("m").alias("m_l"), "tok", "k")
-    pr = prefix.where(F.col("side") == "r").select(F.col("id").alias("id_r"), F.col("m").alias("m_r"), "tok", "k")
-    cand = pl.join(pr, ["tok", "k"]).select("id_l", "id_r", "m_l", "m_r").distinct()
+    pr = (prefix.where(F.col("side") == ("l" if self_join else "r"))
+                .select(F.col("id").alias("id_r"), F.col("m").alias("m_r"), "tok", "k"))
+    cand = pl.join(pr, ["tok", "k"])
+    if self_join:
+        cand = cand.where(F.col("id_l") < F.col("id_r"))
+    cand = cand.select("id_l", "id_r", "m_l", "m_r").distinct()
     cand = cand.where(2.0 * F.least("m_l", "m_r") >= F.lit(t) * (F.col("m_l") + F.col("m_r")) - 1e-9)
     tl = toks.where(F.col("side") == "l").select(F.col("id").alias("id_l"), F.col("toks").alias("toks_l"))
-    tr = toks.where(F.col("side") == "r").select(F.col("id").alias("id_r"), F.col("toks").alias("toks_r"))
+    tr = (toks.where(F.col("side") == ("l" if self_join else "r"))
+              .select(F.col("id").alias("id_r"), F.col("toks").alias("toks_r")))
     scored = (cand.join(tl, "id_l").join(tr, "id_r")
                   .withColumn("lcs", lcs_length(F.col("toks_r"), F.col("toks_l")))
                   .withColumn("score", 2.0 * F.col("lcs") / (F.col("m_l") + F.col("m_r"))))

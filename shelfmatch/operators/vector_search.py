@@ -169,7 +169,7 @@ def _assign(df: DataFrame, cents_bc, vec: str = "embedding") -> DataFrame:
              .withColumn("cdist", F.col("__a.dist")).drop("__a")
 
 
-def _broadcast_cosine_join(ln: DataFrame, rn: DataFrame, t: float) -> DataFrame:
+def _broadcast_cosine_join(ln: DataFrame, rn: DataFrame, t: float, once: bool = False) -> DataFrame:
     """Right side shipped to every task (its size was checked): one matrix product per batch."""
     rows = rn.select("id", "embedding").collect()
     r_ids = np.array([r[0] for r in rows], dtype=np.int64)
@@ -185,16 +185,22 @@ def _broadcast_cosine_join(ln: DataFrame, rn: DataFrame, t: float) -> DataFrame:
             if m.shape[1] != mat_r.shape[1]:
                 raise ValueError(f"dimension mismatch: {m.shape[1]} vs {mat_r.shape[1]}")
             sims = m @ mat_r.T
-            li, ri = np.nonzero(sims >= t)
-            yield pd.DataFrame({"id_l": pdf["id"].to_numpy()[li], "id_r": ids_r[ri], "score": sims[li, ri]})
+            ids_l = pdf["id"].to_numpy()
+            keep = sims >= t
+            if once:
+                keep &= ids_l[:, None] < ids_r[None, :]
+            li, ri = np.nonzero(keep)
+            yield pd.DataFrame({"id_l": ids_l[li], "id_r": ids_r[ri], "score": sims[li, ri]})
 
     return ln.select("id", "embedding").mapInPandas(scan, "id_l long, id_r long, score double")
 
 
-def cosine_join(left: DataFrame, right: DataFrame, t: float, clusters: int = 64, seed: int = 7,
+def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: int = 64, seed: int = 7,
                 broadcast_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
     """Every (id_l, id_r, score) with cosine(v_l, v_r) >= t, exactly; inputs ``(id, v)``.
 
+    ``right=None`` joins ``left`` with itself and returns each pair once (``id_l < id_r``).
+
     Strategy by measured size: when the right side's vectors fit the
     shipped-size bound (rows x dims x 8 bytes, counted before collecting),
     each left partition multiplies its batch with the right matrix.  Beyond
@@ -204,11 +210,12 @@ def cosine_join(left: DataFrame, right: DataFrame, t: float, clusters: int = 64,
         raise ValueError("cosine_join needs -1 < t <= 1")
     spark = left.sparkSession
     nonzero = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x) > 0
+    once = right is None
     ln = left.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
-    rn = right.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
+    rn = ln if once else right.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
     size = rn.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     if size[0] * max(size[1] or 0, 1) * 8 <= broadcast_bytes:
-        return _broadcast_cosine_join(ln, rn, t)
+        return _broadcast_cosine_join(ln, rn, t, once)
     cents = fit_clusters(rn, clusters, seed, max_iter=10)
     cbc = spark.sparkContext.broadcast(cents)
     rc = _assign(rn, cbc)
@@ -228,6 +235,8 @@ def cosine_join(left: DataFrame, right: DataFrame, t: float, clusters: int = 64,
     routed = ln.select(F.col("id").alias("id_l"), F.col("embedding").alias("v_l"),
                        F.explode(candidate_clusters("embedding")).alias("cluster"))
     pairs = routed.join(rc.select(F.col("id").alias("id_r"), F.col("embedding").alias("v_r"), "cluster"), "cluster")
+    if once:
+        pairs = pairs.where(F.col("id_l") < F.col("id_r"))
     scored = pairs.select("id_l", "id_r", dot("v_l", "v_r").alias("score"))
     return scored.where(F.col("score") >= F.lit(t))
 

@@ -269,7 +269,7 @@ def match_rouge_titles(spark: SparkSession, sf: str) -> DataFrame:
     (first page per title), prefix-filtered join, each pair once."""
     titles = extract_fields(table(spark, sf, "pages"), [Rule("title", "title")], keep=("page_id",))
     distinct = titles.groupBy("title").agg(F.min("page_id").alias("id")).select("id", F.col("title").alias("text"))
-    pairs = rouge_join(distinct, distinct, 0.3).where(F.col("id_l") < F.col("id_r"))
+    pairs = rouge_join(distinct, None, 0.3)
     return pairs.select("id_l", "id_r", F.round("score", 6).alias("rouge_score"))
 
 
@@ -398,7 +398,7 @@ SELECT id_l, id_r, round(score, 6) AS semantic_score FROM (
 def match_semantic_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Exact cosine threshold join (J3, V1, V2): all vector pairs with cosine >= 0.4."""
     emb = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
-    pairs = cosine_join(emb, emb, 0.4, clusters=16).where(F.col("id_l") < F.col("id_r"))
+    pairs = cosine_join(emb, None, 0.4, clusters=16)
     return pairs.select("id_l", "id_r", F.round("score", 6).alias("semantic_score"))
 
 

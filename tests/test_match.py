@@ -72,6 +72,8 @@ def test_rouge_join_equals_brute_force(spark, texts, t):
     assert set(got) == set(want)
     for k in want:
         assert abs(got[k] - want[k]) < 1e-12
+    once = {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, t).collect()}
+    assert once == {(i, j) for (i, j) in want if i < j}
 
 
 def test_rouge_and_combined_main_scores(spark):
@@ -113,6 +115,9 @@ def test_cosine_join_paths_agree_with_brute_force(spark):
     big = {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, 0.8, clusters=6, broadcast_bytes=0).collect()}
     assert small == want
     assert big == want
+    once = {(r["id_l"], r["id_r"]) for r in cosine_join(df, None, 0.8).collect()}
+    once_big = {(r["id_l"], r["id_r"]) for r in cosine_join(df, None, 0.8, clusters=6, broadcast_bytes=0).collect()}
+    assert once == once_big == {(i, j) for (i, j) in want if i < j}
 
 
 def test_semantic_main_score_and_threshold_guard(spark):
