@@ -66,3 +66,10 @@ def test_sitemap_single_and_many(spark, tmp_path):
     locs = sorted(r["loc"] for r in read_sitemap(spark, [str(one), str(many)]).collect())
     assert locs == ["https://a/1", "https://a/2", "https://a/3"]
     assert [r["loc"] for r in read_sitemap(spark, str(idx), index=True).collect()] == ["https://a/s1.xml"]
+
+
+def test_new_urls_plan_is_anti_join(spark):
+    cands = spark.createDataFrame([("a",), ("b",)], "url string")
+    seen = spark.createDataFrame([("a",)], "url string")
+    plan = new_urls(cands, seen)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Cartesian" not in plan
