@@ -44,25 +44,29 @@ def metadata_projection(df: DataFrame, text: str) -> DataFrame:
 
 
 def with_dense_ids(df: DataFrame, start: int = 0, order: list[str] | None = None) -> DataFrame:
-    """Consecutive ids in ``order`` (or current order), computed in the JVM.
-
-    The (sorted) rows are checkpointed to the shared folder so partition
-    numbering is fixed; per-partition counts (one row per partition) give
-    each partition its offset; the id is offset + position inside the
-    partition.  No window over the whole table, no rows through Python.
+    """Consecutive ids in ``order`` (or scan order), computed in the JVM without a global window.
+
+    Rows are range-partitioned on ``order`` into a fixed number of partitions
+    (a numbered repartition is never coalesced by AQE, and the range bounds
+    are sampled deterministically), so the partition of a row is the same in
+    the per-partition count job and in the final job.  Offsets (one row per
+    partition) are broadcast; id = offset + position inside the partition.
+    Ties in ``order`` keep ids dense and unique but may be numbered either way.
     """
-    from shelfmatch.session import work_dir
-
-    work_dir(df.sparkSession)
-    src = (df.orderBy(*order) if order else df).withColumn("__m", F.monotonically_increasing_id())
-    src = src.withColumn("__p", F.shiftright("__m", 33)).checkpoint(eager=True)
+    spark = df.sparkSession
+    if order:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        src = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    else:
+        src = df
+    src = src.withColumn("__m", F.monotonically_increasing_id()).withColumn("__p", F.spark_partition_id())
     counts = sorted((r[0], r[1]) for r in src.groupBy("__p").count().collect())  # one row per partition
     offsets, acc = [], start
     for p, c in counts:
         offsets.append((p, acc))
         acc += c
-    off = df.sparkSession.createDataFrame(offsets or [(0, start)], "__p long, __off long")
-    pos = F.col("__m") - F.shiftleft(F.col("__p"), 33)
+    off = spark.createDataFrame(offsets or [(0, start)], "__p int, __off long")
+    pos = F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33)
     return src.join(F.broadcast(off), "__p").withColumn("id", F.col("__off") + pos).drop("__m", "__p", "__off")
 
 
@@ -82,14 +86,16 @@ def add_vectors(store: DataFrame | None, new: DataFrame, text: str = "text", emb
     return added if store is None else store.unionByName(added)
 
 
+MAX_QUERIES = 1 << 16
+
+
 def _query_matrix(queries: DataFrame, qid: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
-    """Collect a bounded query set (size checked before collecting)."""
-    n = queries.count()
-    dims = queries.select(F.max(F.size(vec))).first()[0] or 0
-    if n * max(dims, 1) * 8 > MAX_QUERY_BYTES:
-        raise ValueError(f"{n} queries x {dims} dims exceed the shipped-query bound; "
+    """Collect a bounded query set: at most MAX_QUERIES rows are ever fetched, then the bytes are checked."""
+    rows = queries.select(qid, vec).limit(MAX_QUERIES + 1).collect()
+    dims = max((len(r[1]) for r in rows if r[1] is not None), default=0)
+    if len(rows) > MAX_QUERIES or len(rows) * max(dims, 1) * 8 > MAX_QUERY_BYTES:
+        raise ValueError(f"more than {MAX_QUERIES} queries or {MAX_QUERY_BYTES} bytes of query vectors; "
                          "use cosine_join/ivf_topk for large query sets")
-    rows = queries.select(qid, vec).collect()
     ids = np.array([r[0] for r in rows], dtype=np.int64)
     mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), dims)
     norms = np.linalg.norm(mat, axis=1, keepdims=True)

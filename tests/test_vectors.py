@@ -84,3 +84,13 @@ def test_store_save_load_checks_dimension(spark):
     assert back.count() == 2 and warnings
     with pytest.raises(ValueError):
         load_store(spark, path, "m1", 3)
+
+
+def test_dense_ids_follow_order_across_partitions(spark):
+    from shelfmatch.operators.vector_search import with_dense_ids
+    import random
+    keys = list(range(3000))
+    random.Random(4).shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
+    rows = with_dense_ids(df, start=10, order=["k"]).collect()
+    assert sorted((r["id"], r["k"]) for r in rows) == [(k + 10, k) for k in range(3000)]
