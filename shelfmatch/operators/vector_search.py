@@ -46,27 +46,25 @@ def metadata_projection(df: DataFrame, text: str) -> DataFrame:
 def with_dense_ids(df: DataFrame, start: int = 0, order: list[str] | None = None) -> DataFrame:
     """Consecutive ids in ``order`` (or scan order), computed in the JVM without a global window.
 
-    Rows are range-partitioned on ``order`` into a fixed number of partitions
-    (a numbered repartition is never coalesced by AQE, and the range bounds
-    are sampled deterministically), so the partition of a row is the same in
-    the per-partition count job and in the final job.  Offsets (one row per
-    partition) are broadcast; id = offset + position inside the partition.
-    Ties in ``order`` keep ids dense and unique but may be numbered either way.
+    The (sorted) rows are checkpointed to the shared folder first: a range
+    partitioning is sampled at run time and need not repeat, so the
+    partition numbering must be fixed before counting.  Per-partition counts
+    (one row per partition) give each partition its offset; the id is offset
+    + position inside the partition.
     """
+    from shelfmatch.session import work_dir
+
     spark = df.sparkSession
-    if order:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        src = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    else:
-        src = df
-    src = src.withColumn("__m", F.monotonically_increasing_id()).withColumn("__p", F.spark_partition_id())
+    work_dir(spark)
+    src = (df.orderBy(*order) if order else df).withColumn("__m", F.monotonically_increasing_id())
+    src = src.withColumn("__p", F.shiftright("__m", 33)).checkpoint(eager=True)
     counts = sorted((r[0], r[1]) for r in src.groupBy("__p").count().collect())  # one row per partition
     offsets, acc = [], start
     for p, c in counts:
         offsets.append((p, acc))
         acc += c
-    off = spark.createDataFrame(offsets or [(0, start)], "__p int, __off long")
-    pos = F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33)
+    off = spark.createDataFrame(offsets or [(0, start)], "__p long, __off long")
+    pos = F.col("__m") - F.shiftleft(F.col("__p"), 33)
     return src.join(F.broadcast(off), "__p").withColumn("id", F.col("__off") + pos).drop("__m", "__p", "__off")
 
 
