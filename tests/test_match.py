@@ -74,6 +74,8 @@ def test_rouge_join_equals_brute_force(spark, texts, t):
         assert abs(got[k] - want[k]) < 1e-12
     once = {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, t).collect()}
     assert once == {(i, j) for (i, j) in want if i < j}
+    mixed = {(r["id_l"], r["id_r"]) for r in rouge_join(df, df, t, short=3).collect()}  # long-text path too
+    assert mixed == set(want)
 
 
 def test_rouge_and_combined_main_scores(spark):
@@ -93,10 +95,14 @@ def test_rouge_join_random_texts_no_miss(spark):
     rnd = random.Random(3)
     rows = [(i, " ".join(rnd.choice(VOCAB) for _ in range(rnd.randint(1, 8)))) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, text string")
-    got = {(r["id_l"], r["id_r"]) for r in rouge_join(df, df, 0.6).collect()}
     want = {(i, j) for (i, a), (j, b) in itertools.product(rows, rows)
             if 2 * _lcs(b.split(), a.split()) / (len(a.split()) + len(b.split())) >= 0.6}
-    assert got == want
+    for short in (32, 4, 0):
+        got = {(r["id_l"], r["id_r"]) for r in rouge_join(df, df, 0.6, short=short).collect()}
+        assert got == want, short
+    low = {(i, j) for (i, a), (j, b) in itertools.product(rows, rows)
+           if i < j and 2 * _lcs(b.split(), a.split()) / (len(a.split()) + len(b.split())) >= 0.25}
+    assert {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, 0.25).collect()} == low
 
 
 def test_cosine_join_paths_agree_with_brute_force(spark):
