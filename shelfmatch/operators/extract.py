@@ -89,10 +89,14 @@ def rule_column(body: Column, rule: Rule) -> Column:
     return val.alias(rule.field)
 
 
-def extract_fields(pages: DataFrame, rules: list[Rule], html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """One output row per page, one column per rule."""
+def extract_fields(pages: DataFrame, rules: list[Rule], html: str = "html", keep: tuple[str, ...] = ("page_id", "url"),
+                   container: Rule | None = None) -> DataFrame:
+    """One output row per page, one column per rule; with ``container`` (F6),
+    pages lacking it give no row.  Scripts and styles are stripped once per page."""
     body = strip_blocks(F.col(html))
     staged = pages.select(*keep, body.alias("__body"))
+    if container is not None:
+        staged = staged.where(F.col("__body").rlike(container.element()))
     return staged.select(*keep, *[rule_column(F.col("__body"), r) for r in rules])
 
 

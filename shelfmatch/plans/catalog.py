@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.prices import crawl_time, format_price, parse_price, pick_price_text, reward_points, strip_label
-from shelfmatch.functions.text import clean_name, clean_title, join_clean_lines, map_distinct, normalize_title, py_strip
+from shelfmatch.functions.text import clean_name, clean_title, join_clean_lines, map_distinct, normalize_title
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
-from shelfmatch.operators.extract import Rule, extract_fields, record_status, require_container
+from shelfmatch.operators.extract import Rule, extract_fields, record_status
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
 from shelfmatch.operators.match import MatchConfig, match_catalogues, match_summary, rouge_join
 from shelfmatch.operators.specs import drop_keys, group_specs_long, parse_noisy_json, resolve_refs
@@ -326,8 +326,7 @@ _AD = "(?is)<div[^>]*\\bclass=\"[^\"]*\\bad\\b[^>]*>(.*?)</div>"
 def page_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Extraction over every page: pages lacking the ``<article>`` container give
     no record (F6), fields by rule (X1/X2), status by name (F5)."""
-    pages = require_container(table(spark, sf, "pages"), Rule("article", "article"))
-    rec = extract_fields(pages, PAGE_RULES)
+    rec = extract_fields(table(spark, sf, "pages"), PAGE_RULES, container=Rule("article", "article"))
     return rec.select("page_id", "url", "title", "product_name", "ad_text",
                       F.array_join("nav_links", "|").alias("nav_links"), F.array_join("hrefs", "|").alias("hrefs"),
                       "n_paragraphs", "footer", record_status(F.col("product_name")).alias("status"))
