@@ -132,3 +132,10 @@ def test_embedded_specs_payload(spark):
     pages = spark.createDataFrame([("u1", html), ("u2", "<html></html>")], "url string, html string")
     got = sorted((r["group"], r["name"], r["value"]) for r in embedded_specs(pages).collect())
     assert got == [("Màn hình", "Kích thước", "6.9"), ("Pin", "Dung lượng", "5000 mAh")]
+
+
+def test_prices_per_colour(spark):
+    from shelfmatch.operators.pages import prices_per_colour
+    rec = assemble_product(_pages(spark, [("a1", A_FULL), ("a2", A_SPARSE)]), LAYOUT_A)
+    rows = sorted((r["url"], r["color"], r["current_price"]) for r in prices_per_colour(rec).collect())
+    assert rows == [("a1", "Tím", "8.490.000₫"), ("a1", "Đen", "8.490.000₫"), ("a2", None, "")]
