@@ -17,7 +17,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.operators.dedupe import keep_first
@@ -45,13 +45,15 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id
     batch = batch.persist()
     try:
         ok_cond = F.col(key).isNotNull() if valid is None else (F.col(key).isNotNull() & valid)
-        good = batch.where(ok_cond)
-        if quarantine is not None:
+        ordered = list(order) or [key]
+        counts = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(ok_cond, 0).otherwise(1)).alias("bad"),
+                           F.min(ordered[0]).alias("first_item")).first()
+        errors = int(counts["bad"] or 0)
+        if quarantine is not None and errors:
             bad = batch.where(~ok_cond | ok_cond.isNull()).withColumn("batch_id", F.lit(batch_id).cast("long"))
             bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                .partitionBy("batch_id").parquet(quarantine)
-        ordered = list(order) or [key]
-        first = keep_first(good.withColumn("__src", F.monotonically_increasing_id()), [key],
+        first = keep_first(batch.where(ok_cond).withColumn("__src", F.monotonically_increasing_id()), [key],
                            [*ordered, "__src"]).drop("__src").withColumn("key_bucket", key_bucket(key, buckets))
         if _store_exists(spark, store):
             touched = [r[0] for r in first.select("key_bucket").distinct().collect()]  # <= buckets values
@@ -59,18 +61,19 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id
                        .where((F.col("batch_id") < batch_id) & F.col("key_bucket").isin(touched))
                        .select(key, "key_bucket"))
             first = first.join(earlier, [key, "key_bucket"], "left_anti")
-        out = first.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        written = Observation(f"insert-{batch_id}")
+        out = first.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(written, F.count(F.lit(1)).alias("n"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
            .partitionBy("key_bucket", "batch_id").parquet(store)
-        counts = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(ok_cond, 0).otherwise(1)).alias("bad")).first()
-        inserted = spark.read.parquet(store).where(F.col("batch_id") == batch_id).count()
+        inserted = int(written.get["n"])  # rows of this batch's partitions, counted during the write
     finally:
         batch.unpersist()
-    processed, errors = counts["n"], int(counts["bad"] or 0)
+    processed = int(counts["n"])
     elapsed = time.time() - t0
-    return {"batch_id": int(batch_id), "processed": int(processed), "inserted": int(inserted),
-            "duplicates": int(processed - errors - inserted), "errors": errors,
-            "elapsed": float(elapsed), "rate": float(processed / max(elapsed, 1.0))}
+    return {"batch_id": int(batch_id), "processed": processed, "inserted": inserted,
+            "duplicates": processed - errors - inserted, "errors": errors,
+            "elapsed": float(elapsed), "rate": float(processed / max(elapsed, 1.0)),
+            "first_item": counts["first_item"]}
 
 
 def insert_all_batches(items: DataFrame, key: str, batch_col: str, order: Sequence[str]) -> DataFrame:

@@ -51,13 +51,9 @@ def stream_insert_if_absent(stream: DataFrame, store: str, stats: str, checkpoin
     """ST2 + ST4 + ST5 (+ ST3 when ``drain``): start the load; returns the query."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()  # every action below reads the micro-batch once
-        try:
-            day = batch.agg(F.min(order[0]).alias("first")).first()["first"] if order else None
-            row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid,
-                                   quarantine=quarantine, buckets=buckets)
-        finally:
-            batch.unpersist()
+        row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid,
+                               quarantine=quarantine, buckets=buckets)
+        day = row.pop("first_item")
         stats_df = spark.createDataFrame([row], STATS_SCHEMA).withColumn(
             "first_item", F.lit(str(day) if day is not None else None))
         stats_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
