@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.rouge import lcs_length, min_overlap, rouge_l_f1, rouge_tokens, string_score
-from shelfmatch.functions.text import clean_name, clean_name_dashed, map_distinct, normalize_title, py_strip
+from shelfmatch.functions.text import DASHED_TITLE_DATASET, clean_title, map_distinct, normalize_title, py_strip
 from shelfmatch.functions.vectors import cosine
 from shelfmatch.operators.dedupe import keep_first
 
@@ -48,7 +48,7 @@ class MatchConfig:
     use_semantic: bool = False
     weights: dict = field(default_factory=lambda: {"rouge": 0.7, "semantic": 0.3})
     clean_titles: bool = False
-    dataset1_type: str = "hoanghamobile"
+    dataset1_type: str = DASHED_TITLE_DATASET
     dataset2_type: str = "other"
 
 
@@ -62,8 +62,7 @@ def _cleaned(df: DataFrame, dataset_type: str, use_clean: bool, dst: str) -> Dat
     """N3 on ``title_cleaned`` into ``dst`` (once per distinct title when cleaning)."""
     if not use_clean:
         return df.withColumn(dst, F.col("title_cleaned"))
-    fn = clean_name_dashed if dataset_type.lower() == "hoanghamobile" else clean_name
-    return map_distinct(df, "title_cleaned", dst, fn)
+    return map_distinct(df, "title_cleaned", dst, lambda c: clean_title(c, dataset_type, True))
 
 
 def _project(pairs: DataFrame, cfg: MatchConfig) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.prices import crawl_time, format_price, parse_price, pick_price_text, reward_points, strip_label
-from shelfmatch.functions.text import clean_name, clean_title, join_clean_lines, map_distinct, normalize_title
+from shelfmatch.functions.text import (DASHED_TITLE_DATASET, clean_name, clean_title, join_clean_lines, map_distinct,
+                                       normalize_title)
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, record_status
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
@@ -183,7 +184,7 @@ def clean_names_dashed_part(spark: SparkSession, sf: str) -> DataFrame:
     title = F.concat(F.lit("Điện thoại Galaxy "), F.initcap("p_name"), F.lit(" - Hàng mới "),
                      F.col("p_size").cast("string"), F.lit("GB"))
     named = part.select("p_partkey", title.alias("raw"))
-    cleaned = map_distinct(named, "raw", "title_cleaned", lambda c: clean_title(c, "hoanghamobile", True))
+    cleaned = map_distinct(named, "raw", "title_cleaned", lambda c: clean_title(c, DASHED_TITLE_DATASET, True))
     return cleaned.select("p_partkey", "title_cleaned")
 
 
@@ -225,7 +226,7 @@ def match_cleaned_parts(spark: SparkSession, sf: str) -> DataFrame:
     a = dedupe_by_title(_decorated_catalogue(spark, sf, "A"))
     b = dedupe_by_title(_decorated_catalogue(spark, sf, "B"))
     cfg = MatchConfig(main_score="string", use_rouge=False, clean_titles=True,
-                      dataset1_type="hoanghamobile", dataset2_type="other")
+                      dataset1_type=DASHED_TITLE_DATASET, dataset2_type="other")
     pairs = match_catalogues(a, b, cfg)
     return pairs.select("_id1", "_id2", "title", "references", "title_cleaned", "references_cleaned", "main_score")
 
