@@ -1,0 +1,29 @@
+from shelfmatch.functions.html import parse, select, select_one
+
+DOC = parse("""<html><head><script>var x = "<p>not text</p>";</script><title>T &amp; co</title></head><body>
+<div id="main" class="box a"><ul><li class="x"><span>one</span></li><li><span>two</span> <b>bold</b></li></ul>
+<p>unclosed <p>nested</div><a href="/1" data-k="v">L1</a><a>L2</a><img src="i.png"><br/>
+<div class="box color"><a class="act">Đen</a></div></body></html>""")
+
+
+def test_tag_class_id_attr():
+    assert [n.text() for n in select(DOC, "li span")] == ["one", "two"]
+    assert [n.text() for n in select(DOC, "ul > li.x > span")] == ["one"]
+    assert select_one(DOC, "#main").attrs["class"] == "box a"
+    assert [n.attrs["href"] for n in select(DOC, "a[href]")] == ["/1"]
+    assert [n.text() for n in select(DOC, "a[data-k=v]")] == ["L1"]
+    assert [n.text() for n in select(DOC, "div.box:not(.color) li:not(.x)")] == ["twobold"]
+
+
+def test_groups_order_text_and_scripts():
+    assert [n.text() for n in select(DOC, "title, a.act")] == ["T & co", "Đen"]
+    assert select_one(DOC, "head").text() == "T & co"  # script contents are not text
+    assert select_one(DOC, "li:not(.x)").text(" ") == "two bold"
+    assert select_one(DOC, "img").attrs["src"] == "i.png"
+    assert select_one(DOC, "nothing") is None
+
+
+def test_scoped_select_allows_outer_ancestors():
+    main = select_one(DOC, "#main")
+    assert [n.text() for n in select(main, "div.box li span")] == ["one", "two"]
+    assert select(main, "a") == []
