@@ -20,11 +20,19 @@ def l2_norm(v: Column | str) -> Column:
 
 
 def l2_normalize(v: Column | str) -> Column:
-    """V1: unit vector; the zero vector is returned unchanged."""
-    v = _c(v)
-    norm = l2_norm(v)
-    return F.when(norm == 0, F.transform(v, lambda x: x.cast("double"))).otherwise(
-        F.transform(v, lambda x: x.cast("double") / norm))
+    """V1: unit vector; the zero vector is returned unchanged.
+
+    The norm is bound once per row (a lambda variable over a one-element
+    array); written inline inside ``transform`` it would be recomputed for
+    every element.
+    """
+    bound = F.array(F.struct(_c(v).alias("v"), l2_norm(v).alias("n")))
+
+    def scale(p: Column) -> Column:
+        return F.when(p["n"] == 0, F.transform(p["v"], lambda x: x.cast("double"))).otherwise(
+            F.transform(p["v"], lambda x: x.cast("double") / p["n"]))
+
+    return F.get(F.transform(bound, scale), 0)
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:

@@ -160,12 +160,19 @@ def fit_clusters(store: DataFrame, k: int, seed: int = 7, max_iter: int = 20, sa
     return cents
 
 
+def _unit_rows(v: pd.Series) -> np.ndarray:
+    """Stack a batch of vectors and scale each to unit length (zero rows stay zero)."""
+    m = np.stack(v.to_numpy()).astype(np.float64)
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
 def _assign(df: DataFrame, cents_bc, vec: str = "embedding") -> DataFrame:
-    """Nearest centroid and the distance to it, per vector."""
+    """Nearest centroid and the distance to it, per vector (vectors taken raw, scaled in the batch)."""
     @F.pandas_udf("struct<cluster:int,dist:double>")
     def nearest(v: pd.Series) -> pd.DataFrame:
         c = cents_bc.value
-        m = np.stack(v.to_numpy()).astype(np.float64)
+        m = _unit_rows(v)
         d2 = (m * m).sum(1)[:, None] - 2 * m @ c.T + (c * c).sum(1)[None, :]
         j = d2.argmin(1)
         return pd.DataFrame({"cluster": j.astype(np.int32), "dist": np.sqrt(np.maximum(d2[np.arange(len(j)), j], 0))})
@@ -215,14 +222,14 @@ def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: in
     spark = left.sparkSession
     nonzero = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x) > 0
     once = right is None
-    ln = left.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
-    rn = ln if once else right.select("id", l2_normalize("v").alias("embedding")).where(nonzero(F.col("embedding")))
+    ln = left.select("id", "v", l2_normalize("v").alias("embedding")).where(nonzero(F.col("v")))
+    rn = ln if once else right.select("id", "v", l2_normalize("v").alias("embedding")).where(nonzero(F.col("v")))
     size = rn.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     if size[0] * max(size[1] or 0, 1) * 8 <= broadcast_bytes:
         return _broadcast_cosine_join(ln, rn, t, once)
     cents = fit_clusters(rn, clusters, seed, max_iter=10)
     cbc = spark.sparkContext.broadcast(cents)
-    rc = _assign(rn, cbc)
+    rc = _assign(rn, cbc, vec="v")
     radius = {r[0]: r[1] for r in rc.groupBy("cluster").agg(F.max("cdist")).collect()}  # <= k rows
     rad = np.array([radius.get(j, -1.0) for j in range(len(cents))], dtype=np.float64)
     reach = float(np.sqrt(max(0.0, 2.0 - 2.0 * t))) + 1e-9
@@ -231,13 +238,13 @@ def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: in
     @F.pandas_udf("array<int>")
     def candidate_clusters(v: pd.Series) -> pd.Series:
         c, r = cbc.value, rbc.value
-        m = np.stack(v.to_numpy()).astype(np.float64)
+        m = _unit_rows(v)
         d = np.sqrt(np.maximum((m * m).sum(1)[:, None] - 2 * m @ c.T + (c * c).sum(1)[None, :], 0))
         ok = (d <= r[None, :] + reach) & (r[None, :] >= 0)
         return pd.Series([np.nonzero(row)[0].astype(np.int32).tolist() for row in ok])
 
     routed = ln.select(F.col("id").alias("id_l"), F.col("embedding").alias("v_l"),
-                       F.explode(candidate_clusters("embedding")).alias("cluster"))
+                       F.explode(candidate_clusters("v")).alias("cluster"))
     pairs = routed.join(rc.select(F.col("id").alias("id_r"), F.col("embedding").alias("v_r"), "cluster"), "cluster")
     if once:
         pairs = pairs.where(F.col("id_l") < F.col("id_r"))
@@ -256,13 +263,13 @@ def ivf_topk(store: DataFrame, queries: DataFrame, k: int = 5, nlist: int = 100,
     @F.pandas_udf("array<int>")
     def probes(v: pd.Series) -> pd.Series:
         c = cbc.value
-        m = np.stack(v.to_numpy()).astype(np.float64)
+        m = _unit_rows(v)
         d2 = (m * m).sum(1)[:, None] - 2 * m @ c.T + (c * c).sum(1)[None, :]
         p = min(nprobe, c.shape[0])
         return pd.Series([row.tolist() for row in np.argsort(d2, axis=1)[:, :p].astype(np.int32)])
 
-    q = queries.select(F.col(qid).alias("qid"), l2_normalize(vec).alias("q"))
-    routed = q.select("qid", "q", F.explode(probes("q")).alias("cluster"))
+    q = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("raw"), l2_normalize(vec).alias("q"))
+    routed = q.select("qid", "q", F.explode(probes("raw")).alias("cluster"))
     cand = routed.join(sc.select("id", "embedding", "cluster"), "cluster") \
                  .select("qid", "id", dot("q", "embedding").alias("score"))
     return _merge_topk(cand, k).select("qid", "id", "score", "rank")
