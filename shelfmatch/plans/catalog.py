@@ -8,6 +8,7 @@ compared value by value.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from shelfmatch.operators.variants import spec_counts, variant_matrix, variant_o
 from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_topk, load_store, lsh_topk, save_store,
                                                 search_topk)
 from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
-from shelfmatch.session import scratch_path
+from shelfmatch.session import ensure_session_defaults, scratch_path
 from shelfmatch.sources.files import read_catalogue, write_csv, write_json
 from shelfmatch.sources.sitemap import read_sitemap, write_sitemap
 from shelfmatch.streaming.ingest import stage_batches, stream_insert_if_absent
@@ -749,8 +750,17 @@ def match_summary_parts(spark: SparkSession, sf: str) -> DataFrame:
     return match_summary(a, b, pairs)
 
 
+def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Apply the session settings (UTC, work folder, package shipped to workers) before planning."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ensure_session_defaults(spark)
+        return fn(spark, sf)
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: _prepared(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -45,6 +45,37 @@ def ensure_session_defaults(spark: SparkSession) -> None:
     """Settings the library relies on; applied to whatever session we are handed."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     work_dir(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shelfmatch`` importable in the Python workers (Arrow UDFs, mapInPandas).
+
+    The package's sources are zipped once per Spark context and added with
+    ``addPyFile``, which is how executors on a cluster receive it too.
+    """
+    import zipfile
+
+    import shelfmatch
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(shelfmatch.__file__)))
+    fd, path = tempfile.mkstemp(prefix="shelfmatch-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "shelfmatch")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
 
 
 def work_dir(spark: SparkSession) -> str:
