@@ -137,3 +137,10 @@ def test_semantic_main_score_and_threshold_guard(spark):
     assert set(out) == {("a1", "b1"), ("a2", "b2")}
     with pytest.raises(ValueError):
         match_catalogues(a, b, MatchConfig(threshold=0.0))
+
+
+def test_keep_first_is_a_partial_aggregate_not_a_window(spark):
+    df = spark.createDataFrame([(i, f"t{i % 3}") for i in range(30)], "o long, t string")
+    plan = keep_first(df, ["t"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert plan.count("Aggregate") >= 2  # partial (map side) and final
