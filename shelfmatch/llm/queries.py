@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate
+from shelfmatch.llm import decontaminate, piece_coding, quality, token_counts
 
 
 def queries() -> dict:
-    return {"op7_contamination": decontaminate.op7_contamination}
+    return {
+        "op1_quality": quality.op1_quality,
+        "op7_contamination": decontaminate.op7_contamination,
+        "op8_token_counts": token_counts.op8_token_counts,
+        "op9_piece_coding": piece_coding.op9_piece_coding,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

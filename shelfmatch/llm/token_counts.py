@@ -31,9 +31,9 @@ from shelfmatch.llm.pieces import SPACE, Pieces
 CHUNK_CHARS = 65536
 LIMIT = 4096
 #: Units whose transition is kept; the table is dropped and filled anew beyond it.
-KEPT_UNITS = 600_000
+KEPT_UNITS = 250_000
 #: States kept likewise.
-KEPT_STATES = 400_000
+KEPT_STATES = 300_000
 
 _SYNC = re.compile("[^ ] ")
 
