@@ -3,7 +3,8 @@
 The units of a batch of texts that were not met before are joined to one text and its suffix array is built by
 doubling, up to the longest piece.  Binary search then finds, for all pieces at once and one character deeper per
 round, the range of suffixes that start with the piece: each suffix in it is an occurrence, an edge from its start
-to its end.  The edges are sorted by end position, longest first, and relaxed: an edge is taken if its start is
+to its end.  The edges are sorted by position (distance of the end
+from the unit's start, end, longest first) and relaxed: an edge is taken if its start is
 reached and the piece may stand after the last piece there (for a BPE model exactly one edge may end at each
 position, see ``pieces``); following the taken edges back from a unit's end gives its ids.  Units are
 separated by a character of no piece, so no edge leaves its unit.  Characters without a piece fall back to bytes.
@@ -29,7 +30,9 @@ from shelfmatch.llm.common import fresh, per_row, prepare, table
 from shelfmatch.llm.pieces import SPACE, Pieces
 
 #: Units whose ids are kept between batches; the table is dropped and filled anew beyond it.
-KEPT_UNITS = 250_000
+KEPT_UNITS = 400_000
+#: Pairs of pieces kept likewise.
+KEPT_PAIRS = 1_000_000
 #: Characters of unit text per suffix array.
 INDEX_CHARS = 400_000
 SEPARATOR = "\U0010ffff"
@@ -59,6 +62,9 @@ class Coder:
         self.piece_codes = np.full((len(names), model.longest), -1, dtype=np.int64)
         for k, n in enumerate(names):
             self.piece_codes[k, :len(n)] = [ord(c) for c in n]
+        #: Pairs of pieces looked at, sorted, with the answer; the last key is above all.
+        self.pair_keys = np.array([np.iinfo(np.int64).max])
+        self.pair_fits = np.array([False])
         back = [(t.replace(SPACE, " ")).encode() for t in model.text]
         for b, i in model.byte_id.items():
             back[i] = bytes([b])
@@ -91,36 +97,68 @@ class Coder:
         offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
         return order[low[which] + offset], which
 
+    def may_follow(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """For each pair of piece ids whether the model keeps them apart; pairs seen before are looked up."""
+        keys = before * len(self.model.text) + piece
+        at = np.searchsorted(self.pair_keys, keys)
+        new = np.unique(keys[self.pair_keys[at] != keys])
+        if len(new):
+            text = self.model.text
+            first, second = np.divmod(new, len(text))
+            fits = [self.model.pair(text[a], text[b]) for a, b in zip(first.tolist(), second.tolist())]
+            if len(self.pair_keys) > KEPT_PAIRS:
+                self.pair_keys, self.pair_fits = self.pair_keys[-1:], self.pair_fits[-1:]
+                return self.may_follow(before, piece)
+            where = np.searchsorted(self.pair_keys, new)
+            self.pair_keys = np.insert(self.pair_keys, where, new)
+            self.pair_fits = np.insert(self.pair_fits, where, fits)
+            at = np.searchsorted(self.pair_keys, keys)
+        return self.pair_fits[at]
+
+    def relax(self, starts: np.ndarray, ends: np.ndarray, pieces_: np.ndarray, offsets: np.ndarray, size: int):
+        """The id and the start of the edge that is taken to each position, -1 where none leads.
+
+        All edges that end at the same distance from the start of their unit are relaxed together, longest first.
+        """
+        order = np.lexsort((starts, ends, offsets))
+        starts, ends, pieces_, offsets = starts[order], ends[order], pieces_[order], offsets[order]
+        first = np.nonzero(np.diff(ends, prepend=-1))[0]  # the longest edge to each end
+        last_of = np.append(first[1:], len(ends))
+        taken, came = np.full(size, -1, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+        rounds = np.nonzero(np.diff(offsets[first], prepend=-1))[0].tolist() + [len(first)]
+        for a, b in zip(rounds, rounds[1:]):
+            edge, stop = first[a:b], last_of[a:b]
+            while len(edge):
+                before = taken[starts[edge]]
+                fits = before < 0
+                rest = np.nonzero(~fits)[0]
+                fits[rest] = self.may_follow(before[rest], pieces_[edge[rest]])
+                good = edge[fits]
+                taken[ends[good]], came[ends[good]] = pieces_[good], starts[good]
+                edge, stop = edge[~fits] + 1, stop[~fits]
+                edge, stop = edge[edge < stop], stop[edge < stop]
+        return taken, came
+
     def encode_units(self, units: list[str]) -> None:
         """Ids of ``units``, as little-endian 32-bit integers, into ``known``."""
-        model, pair = self.model, self.model.pair
         text = SEPARATOR + "".join(u.replace(" ", SPACE) + SEPARATOR for u in units)
-        starts, which = self.occurrences(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64))
+        codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        starts, which = self.occurrences(codes)
         ends = starts + self.piece_len[which]
-        by_end = np.lexsort((starts, ends))
-        #: Position -> last piece before it, and the id and start of the edge taken to it; None where no edge leads.
-        last: list[str | None] = [None] * (len(text) + 1)
-        taken: list[tuple[int, int] | None] = [None] * (len(text) + 1)
-        for start, end, number in zip(starts[by_end].tolist(), ends[by_end].tolist(), self.piece_ids[which[by_end]].tolist()):
-            if taken[end] is None:
-                piece = model.text[number]
-                before = last[start]
-                if before is None or pair(before, piece):
-                    taken[end], last[end] = (number, start), piece
-        end = 1
-        for u in units:
-            at = end + len(u)
-            ids: list[int] = []
-            while at > end:
-                edge = taken[at]
-                if edge:
-                    ids.append(edge[0])
-                    at = edge[1]
+        sizes = np.array([len(u) + 1 for u in units])
+        unit_starts = np.cumsum(sizes) - sizes + 1
+        offsets = ends - unit_starts[np.searchsorted(unit_starts, starts, side="right") - 1]
+        taken, came = (x.tolist() for x in self.relax(starts, ends, self.piece_ids[which], offsets, len(text) + 1))
+        for u, begin in zip(units, unit_starts.tolist()):
+            at, ids = begin + len(u), []
+            while at > begin:
+                if taken[at] >= 0:
+                    ids.append(taken[at])
+                    at = came[at]
                 else:
                     at -= 1
-                    ids += model.fallback(text[at])[::-1]
+                    ids += self.model.fallback(text[at])[::-1]
             self.known[u] = array("I", ids[::-1]).tobytes()
-            end += len(u) + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""

@@ -3,7 +3,7 @@
 Facts used by the operators (checked on loading): the normaliser is the identity with a dummy prefix, no piece
 holds the space mark after another character, and characters without a piece fall back to bytes.  Then
 
-* a text is a run of units (space marks and what follows them) that merge on their own;
+* a text may be cut into units that merge on their own wherever no piece holds the two characters at the cut;
 * a segmentation is the model's own if and only if each two neighbours are the model's own segmentation of
   their joined text, so the last piece of every prefix of a unit is unique, and ``pair`` decides it.
 """
@@ -14,6 +14,7 @@ import functools
 import re
 
 SPACE = "▁"
+LETTERS = "A-Za-zÀ-ɏ"
 
 
 class Pieces:
@@ -30,8 +31,13 @@ class Pieces:
         if len(self.byte_id) != 256 or any(SPACE in p.lstrip(SPACE) for p in self.id) or any(c not in self.id for p in self.id for c in p):
             raise ValueError("the model is no BPE model with byte fallback whose pieces hold the space mark in front only")
         self.prefixes = {p[:k] for p in self.id for k in range(1, len(p))}
-        #: A unit: spaces and what follows them; line ends, which have no piece, cut it too.
-        self.units = re.compile(" +[^ ]*|[^ ]+" if "\n" in self.id else " +[^ \n]*|[^ \n]+|\n")
+        #: A unit: spaces and what follows them up to the next space or line end, or up to the end of a run of letters
+        #: if no piece goes on behind one.
+        cut = "" if "\n" in self.id else "\n"
+        letters, after = f"[{LETTERS}]", re.compile(f"[{LETTERS}][^{LETTERS}]")
+        whole = f" +[^ {cut}]*|[^ {cut}]+"
+        parts = f" *[^ {cut}{LETTERS}]*{letters}+| +[^ {cut}{LETTERS}]*|[^ {cut}{LETTERS}]+"
+        self.units = re.compile((whole if any(after.search(p) for p in self.id) else parts) + (f"|{cut}" if cut else ""))
         self._pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -51,7 +57,7 @@ class Pieces:
         """Whether pieces ``a`` and ``b`` stay apart when the model segments their joined text."""
         found = self._pairs.get((a, b))
         if found is None:
-            if len(self._pairs) > 2_000_000:  # a table of this size is dropped and filled anew
+            if len(self._pairs) > 1_000_000:  # a table of this size is dropped and filled anew
                 self._pairs.clear()
             found = self._pairs[a, b] = self.merged(list(a + b)) == [a, b]
         return found
