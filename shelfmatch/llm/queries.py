@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate, piece_coding, quality, token_counts
+from shelfmatch.llm import decontaminate, piece_coding, quality, records, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
+        "op3_records": records.op3_records,
         "op7_contamination": decontaminate.op7_contamination,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_piece_coding": piece_coding.op9_piece_coding,
