@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate, piece_coding, quality, records, token_counts
+from shelfmatch.llm import decontaminate, piece_coding, quality, records, token_counts, warc
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
         "op3_records": records.op3_records,
+        "op5_warc": warc.op5_warc,
         "op7_contamination": decontaminate.op7_contamination,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_piece_coding": piece_coding.op9_piece_coding,
@@ -16,4 +17,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_contamination": decontaminate.OP7_SQL}
+    return {"op5_warc": warc.OP5_SQL, "op7_contamination": decontaminate.OP7_SQL}
