@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate, piece_coding, quality, records, token_counts, warc
+from shelfmatch.llm import decontaminate, language, piece_coding, quality, records, token_counts, url_filter, warc
 
 
 def queries() -> dict:
@@ -10,9 +10,11 @@ def queries() -> dict:
         "op1_quality": quality.op1_quality,
         "op3_records": records.op3_records,
         "op5_warc": warc.op5_warc,
+        "op6_language": language.op6_language,
         "op7_contamination": decontaminate.op7_contamination,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_piece_coding": piece_coding.op9_piece_coding,
+        "op10_url_filter": url_filter.op10_url_filter,
     }
 
 
