@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate, language, piece_coding, quality, records, token_counts, url_filter, warc
+from shelfmatch.llm import decontaminate, language, main_text, piece_coding, quality, records, token_counts, url_filter, warc
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
         "op3_records": records.op3_records,
+        "op4_main_text": main_text.op4_main_text,
         "op5_warc": warc.op5_warc,
         "op6_language": language.op6_language,
         "op7_contamination": decontaminate.op7_contamination,
