@@ -24,6 +24,9 @@ that repeat a doc_id are records side by side, in the order of their texts; othe
 from __future__ import annotations
 
 import functools
+import json
+import re
+import string
 import struct
 import zlib
 from array import array
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import prepare, table
+from shelfmatch.llm.common import prepare, stored, table
 from shelfmatch.session import scratch_path
 
 #: A text that neither starts nor ends like itself, of bytes that ids cannot give.
@@ -71,36 +74,78 @@ def unframe(raw: bytes) -> tuple[int | None, np.ndarray]:
 class ChunkTokenizer:
     """The library's ids of whole texts, put together from those of the chunks between ASCII white space.
 
-    The tokenizer drops white space before anything else looks at the text's neighbours, so a chunk's ids do not
-    depend on what stands around it; ``__init__`` checks that the file is of this kind.
+    The tokenizer drops white space and ends a word at each change between letters and other characters, so a
+    chunk's ids do not depend on what stands around it, and a chunk of Latin letters and ASCII punctuation is the
+    lower-case word followed by the punctuation; ``__init__`` checks that the file is of this kind.  Words go to
+    the library in runs, whose ids are cut behind each token that ends a word.
     """
 
-    def __init__(self, path: str):
-        import json
+    RUN = 50
+    _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    _MARKS = string.punctuation + string.digits
 
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
-        if split["type"] != "Split" or not split["invert"] or split["behavior"] != "Removed" or spec["post_processor"]:
-            raise ValueError("the tokenizer does not drop white space between words")
+        split, suffix = spec["pre_tokenizer"]["pretokenizers"][0], spec["model"]["end_of_word_suffix"]
+        steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
+        if split["type"] != "Split" or not split["invert"] or split["behavior"] != "Removed" or not suffix or spec["post_processor"] or steps != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError("the tokenizer is not one of lower-case words without white space")
         self.tokenizer = Tokenizer.from_file(path)
-        self.wide = self.tokenizer.get_vocab_size() > 0xC200
-        self.known: dict[bytes, bytes] = {}
+        self.kind = "I" if self.tokenizer.get_vocab_size() > 0xC200 else "H"
+        self.wide = self.kind == "I"
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, texts: list[str]) -> None:
+        """Ids of texts that have no white space into ``words``."""
+        for i in range(0, len(texts), 10_000):
+            part = texts[i:i + 10_000]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.words.update((t, array(self.kind, e.ids).tobytes()) for t, e in zip(part, found))
+
+    def _learn_words(self, words: list[str]) -> None:
+        runs = [words[i:i + self.RUN] for i in range(0, len(words), self.RUN)]
+        for i in range(0, len(runs), 500):
+            part = runs[i:i + 500]
+            for run, e in zip(part, self.tokenizer.encode_batch_fast([" ".join(r) for r in part], add_special_tokens=False)):
+                ids = np.array(e.ids, dtype=np.uint32 if self.wide else np.uint16)
+                cuts = np.nonzero(self.ends[ids])[0] + 1
+                if len(cuts) != len(run):
+                    self._learn(run)
+                    continue
+                raw, size = ids.tobytes(), ids.itemsize
+                self.words.update((w, raw[a * size:b * size]) for w, a, b in zip(run, [0, *cuts.tolist()], cuts.tolist()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, 2 or 4 bytes each."""
         split = [t.encode().split() for t in texts]
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        kind = "I" if self.wide else "H"
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            encodings = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            self.known.update((c, array(kind, e.ids).tobytes()) for c, e in zip(part, encodings))
-        get = self.known.__getitem__
+        if len(self.chunks) > KEPT_CHUNKS:
+            self.chunks.clear()
+        if len(self.words) > KEPT_CHUNKS:
+            self.words.clear()
+        new = list(set().union(*split) - self.chunks.keys())
+        words, rests, plain, other = [], [], set(), {""}
+        for t in map(bytes.decode, new):
+            word = t.rstrip(self._MARKS)
+            if word.isascii() and word.isalpha() or self._LATIN.fullmatch(word):
+                words.append(word := word.lower())
+                rests.append(rest := t[len(word):])
+                plain.add(word)
+                other.add(rest)
+            else:
+                words.append(t)
+                rests.append("")
+                other.add(t)
+        self._learn_words(list(plain - self.words.keys()))
+        self._learn(list(other - self.words.keys()))
+        get = self.words.__getitem__
+        self.chunks.update(zip(new, map(bytes.__add__, map(get, words), map(get, rests))))
+        get = self.chunks.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
 
@@ -139,7 +184,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     framed = ordered.mapInArrow(functools.partial(_frames, path=tokenizer_path, end_id=end_id), "frame binary")
     framed.select(F.col("frame").cast("string")).write.option("lineSep", MARKER).text(f"{path}/records")
-    record_index(read_records(spark, path, ids=False)).write.parquet(f"{path}/index")
+    record_index(stored(read_records(spark, path, ids=False), "records-read")).write.parquet(f"{path}/index")
 
 
 def read_records(spark, path: str, ids: bool = True) -> DataFrame:
