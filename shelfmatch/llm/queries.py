@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate, language, main_text, piece_coding, quality, records, token_counts, url_filter, warc
+from shelfmatch.llm import decontaminate, language, main_text, near, piece_coding, quality, records, token_counts, url_filter, warc
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
+        "op2_near_duplicates": near.op2_near_duplicates,
         "op3_records": records.op3_records,
         "op4_main_text": main_text.op4_main_text,
         "op5_warc": warc.op5_warc,
