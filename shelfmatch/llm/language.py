@@ -31,7 +31,7 @@ SAMPLE = 600
 CENTROIDS = 4
 ROUNDS = 10
 #: The limit of a language: this quantile of its sample's distances, and a margin.
-QUANTILE, MARGIN = 0.995, 0.1
+QUANTILE, MARGIN = 0.995, 0.2
 PIECE = 1_000_000
 UNKNOWN = "und"
 #: Rows whose crc32 of the id is this modulo 4 are never learned from.

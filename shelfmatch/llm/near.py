@@ -75,7 +75,7 @@ def shingles(text: str | None) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     if len(_WORDS) > 500_000:
         _WORDS.clear()
-    for w in set(words) - _WORDS.keys():
+    for w in set(words).difference(_WORDS):
         _WORDS[w] = xxhash.xxh3_64_intdigest(w)
     h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
     n = max(1, len(h) - SHINGLE + 1)

@@ -207,16 +207,13 @@ def encoded(text: Column, path: str | None = None, ids: bool = True, decoded: bo
 
 
 def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The documents with a column ``token_ids`` (array of int) and ``n_tokens``; names that exist get a prefix `_`."""
+    """The documents with ``token_ids`` (little-endian 32-bit ids), ``n_tokens`` and ``round_trip`` (whether they decode
+    to the text); a name that exists gets a prefix `_`."""
     prepare(docs.sparkSession)
     name = fresh(docs, "coded")
-    with_ids = docs.withColumn(name, per_row(functools.partial(_id_lists, path=path or pieces.default_path()),
-                                             "token_ids array<int>, n_tokens long", F.col("text")))
-    return with_ids.withColumns({fresh(docs, "token_ids"): F.col(name)["token_ids"], fresh(docs, "n_tokens"): F.col(name)["n_tokens"]}).drop(name)
-
-
-def _id_lists(texts: list, path: str) -> list[tuple]:
-    return [(array("I", ids).tolist(), len(ids) // 4) for ids in coder(path).encode([t or "" for t in texts])]
+    coded_ = docs.withColumn(name, encoded(F.col("text"), path, decoded=False))
+    added = {fresh(docs, new): F.col(name)[old] for new, old in (("token_ids", "ids"), ("n_tokens", "n_tokens"), ("round_trip", "round_trip"))}
+    return coded_.withColumns(added).drop(name)
 
 
 def op9_piece_coding(spark, sf_dir: str) -> DataFrame:
