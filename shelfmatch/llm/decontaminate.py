@@ -22,7 +22,7 @@ import operator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import normal_words, per_row, prepare
+from shelfmatch.llm.common import fresh, normal_words, per_row, prepare, table
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -143,13 +143,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any occurrence, with all their columns."""
-    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    doc_id, text_hash = fresh(docs, "hit_id"), fresh(docs, "hit_hash")
+    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash)), "left_anti")
 
 
 def op7_contamination(spark, sf_dir: str) -> DataFrame:
-    from shelfmatch.llm.common import table
-
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

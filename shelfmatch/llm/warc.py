@@ -114,7 +114,9 @@ def _records(batches, with_payload: bool, kinds: pa.Schema):
     file, have, need = None, b"", 0  # the record so far and its full length
 
     def opened(piece: bytes) -> tuple[bytes, int]:
-        end = piece.index(RECORD_END.encode()) + len(RECORD_END)
+        end = piece.find(RECORD_END.encode()) + len(RECORD_END)
+        if end < len(RECORD_END):
+            raise ValueError(f"the header of a record in {file} is cut off")
         size = next(line for line in piece[:end].lower().split(b"\r\n") if line.startswith(b"content-length:"))
         return piece, end + int(size.split(b":")[1])
 
