@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions.text import PY_WS, py_strip
 
+#: A bare ``None`` between list marks that an even number of quotes follows, i.e. outside of quotes.
+NONE_ELEMENT = r"""(?<=[\[,]\s{0,8})None(?=\s*[,\]](?:[^'"]*(?:'[^']*'|"[^"]*"))*[^'"]*$)"""
+
 # --- fixed value: the colour prefix the reference strips from every colour ---
 COLOUR_PREFIX = "Màu "
 
@@ -22,7 +25,7 @@ def parse_list_literal(c: Column | str) -> Column:
     Single-quoted Python strings are accepted by Spark's JSON reader
     (``allowSingleQuotes``); a bare ``None`` element becomes JSON ``null``.
     """
-    text = F.regexp_replace(_c(c), r"\bNone\b", "null")
+    text = F.regexp_replace(_c(c), NONE_ELEMENT, "null")
     parsed = F.from_json(text, "array<string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
     return F.coalesce(parsed, F.array().cast("array<string>"))
 

@@ -38,8 +38,8 @@ def reward_points(c: Column | str) -> Column:
 
 
 def pick_price_text(candidates: Column | str) -> Column:
-    """C4: first candidate (in priority order) that looks like a price."""
-    return F.get(F.filter(_c(candidates), lambda x: x.rlike(PRICE_MARKERS)), 0)
+    """C4: first candidate (in priority order) that looks like a price, stripped."""
+    return py_strip(F.get(F.filter(_c(candidates), lambda x: x.rlike(PRICE_MARKERS)), 0))
 
 
 def sku_from_url(c: Column | str) -> Column:

@@ -6,10 +6,10 @@ rule becomes a regular expression over the page with ``<script>``/``<style>``
 blocks removed (a ``</p>`` inside a script string must not end a
 paragraph), evaluated by ``regexp_extract``/``regexp_extract_all`` inside
 whole-stage code generation - no per-row Python, no parser per page.
-Element text = inner HTML with tags removed, the basic named entities
-decoded and whitespace collapsed.  A selector matches the innermost element
-of that tag (no nesting of the same tag), which is what product pages use
-for leaf fields.
+Element text = inner HTML with tags removed, the basic named and all numeric
+entities decoded and whitespace collapsed.  A text rule follows nested elements
+of its tag to the end tag that fits; a list rule is for elements that do not
+nest (links, list items, paragraphs) and ends each at the next end tag.
 """
 
 from __future__ import annotations
@@ -44,13 +44,14 @@ class Rule:
     default: str | None = None
 
     def open_tag(self) -> str:
-        t = re.escape(self.tag)
         cond = ""
-        if self.cls:
-            cond += rf'(?=[^>]*\bclass="[^"]*\b{re.escape(self.cls)}\b)'
+        if self.cls:  # one of the blank-separated names of the class attribute, in either quote or none
+            c = re.escape(self.cls)
+            cond += rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}[\s>]))"""
         if self.id:
-            cond += rf'(?=[^>]*\bid="{re.escape(self.id)}")'
-        return rf"<{t}\b{cond}[^>]*>"
+            i = re.escape(self.id)
+            cond += rf"""(?=[^>]*\sid\s*=\s*(?:"{i}"|'{i}'|{i}[\s>]))"""
+        return rf"<{re.escape(self.tag)}(?=[\s/>]){cond}[^>]*>"
 
     def element(self) -> str:
         return rf"(?is){self.open_tag()}(.*?)</{re.escape(self.tag)}>"
@@ -66,22 +67,57 @@ def strip_blocks(html: Column) -> Column:
 def html_text(fragment: Column) -> Column:
     """Inner HTML -> text: tags to spaces, entities decoded, blanks collapsed, stripped."""
     text = F.regexp_replace(fragment, r"<[^>]*>", " ")
+    text = F.when(text.contains("&#"), _numeric_references(text)).otherwise(text)
     for ent, ch in ENTITIES:
         text = F.replace(text, F.lit(ent), F.lit(ch))
     return py_strip(collapse_ws(text))
 
 
+def _numeric_references(text: Column) -> Column:
+    """`&#233;` and `&#xe9;` as characters; a number that is no character stays as it is."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)&#(x[0-9a-f]{1,6}|[0-9]{1,7});"), 1))
+
+    def replaced(acc: Column, ref: Column) -> Column:
+        digits = F.when(F.lower(F.substring(ref, 1, 1)) == "x", F.substring(ref, 2, 9)).otherwise(F.hex(ref.try_cast("bigint")))
+        code = F.conv(digits, 16, 10).cast("bigint")
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.replace(acc, F.concat(F.lit("&#"), ref, F.lit(";")), char)).otherwise(acc)
+
+    return F.aggregate(found, text, replaced)
+
+
+def _balanced(body: Column, rule: Rule) -> Column:
+    """Inner HTML of the first element of the rule, up to its own end tag where elements of its tag are nested.
+
+    The text behind the open tag is cut before each tag of that name, and pieces are taken until as many end
+    as have begun; an element that never ends gives null.
+    """
+    tag = re.escape(rule.tag)
+    rest = F.regexp_extract(body, rf"(?is){rule.open_tag()}(.*)", 1)
+    pieces = F.split(rest, rf"(?i)(?=</?{tag}[\s/>])")
+    state = F.aggregate(
+        pieces, F.struct(F.lit(1).alias("open"), F.lit("").alias("text")),
+        lambda acc, p: F.when(acc["open"] == 0, acc).otherwise(F.struct(
+            (acc["open"] + F.when(p.rlike(rf"(?i)^</{tag}[\s/>]"), -1).when(p.rlike(rf"(?i)^<{tag}[\s/>]"), 1).otherwise(0)).alias("open"),
+            F.when((acc["open"] == 1) & p.rlike(rf"(?i)^</{tag}[\s/>]"), acc["text"]).otherwise(F.concat(acc["text"], p)).alias("text"))))
+    return F.when(state["open"] == 0, state["text"])
+
+
 def rule_column(body: Column, rule: Rule) -> Column:
     if rule.mode == "text":
-        found = F.regexp_extract(body, rule.element(), 1)
-        val = F.when(body.rlike(rule.element()), html_text(found))
+        found = F.get(F.regexp_extract_all(body, F.lit(rule.element()), 1), 0)
+        nested = found.rlike(rf"(?i)<{re.escape(rule.tag)}[\s/>]")
+        val = html_text(F.when(nested, _balanced(body, rule)).otherwise(found))
     elif rule.mode == "list":
         val = F.transform(F.regexp_extract_all(body, F.lit(rule.element()), 1), lambda x: html_text(x))
     elif rule.mode == "count":
         val = F.size(F.regexp_extract_all(body, F.lit(r"(?is)" + rule.open_tag()), 0))
     elif rule.mode == "attr":
-        pat = rf'(?is)<{re.escape(rule.tag)}\b[^>]*\b{re.escape(rule.attr)}="([^"]*)"'
-        val = F.regexp_extract_all(body, F.lit(pat), 1)
+        tags = F.regexp_extract_all(body, F.lit(rf"(?is){rule.open_tag()}"), 0)
+        value = rf"""(?is)\s{re.escape(rule.attr)}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+        with_value = F.filter(tags, lambda t: t.rlike(value))
+        val = F.transform(with_value, lambda t: F.concat(*[F.regexp_extract(t, value, k) for k in (1, 2, 3)]))
     else:
         raise ValueError(f"unknown rule mode {rule.mode}")
     if rule.default is not None and rule.mode == "text":

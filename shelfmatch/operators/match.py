@@ -114,16 +114,21 @@ def match_catalogues(cat1: DataFrame, cat2: DataFrame, cfg: MatchConfig = MatchC
     else:
         pairs = _scored_candidates(a, b, cfg)
 
-    if cfg.use_rouge and cfg.use_semantic:
-        w = cfg.weights
-        pairs = pairs.withColumn("combined_score", F.col("rouge_score") * float(w.get("rouge", 0)) +
-                                 F.col("semantic_score") * float(w.get("semantic", 0)))
-    projected = _project(pairs, cfg).where(F.coalesce(F.col("main_score"), F.lit(0.0)) >= F.lit(cfg.threshold))
+    projected = _kept(pairs, cfg)
     out = keep_first(projected.withColumn("__tk", normalize_title("title")), ["__tk"], ["_ord1", "_ord2"])
     cols = list(PAIR_COLUMNS) + (["_ord1", "_ord2"] if keep_order else [])
     return out.select(*cols)
 
 
+def _kept(pairs: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """the projected pairs whose main score reaches the threshold; a score that is absent counts as 0."""
+    if cfg.use_rouge and cfg.use_semantic:
+        w = cfg.weights
+        pairs = pairs.withColumn("combined_score", F.coalesce("rouge_score", F.lit(0.0)) * float(w.get("rouge", 0)) +
+                                 F.coalesce("semantic_score", F.lit(0.0)) * float(w.get("semantic", 0)))
+    return _project(pairs, cfg).where(F.coalesce(F.col("main_score"), F.lit(0.0)) >= F.lit(cfg.threshold))
+
+
 def _scored_candidates(a: DataFrame, b: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Candidate pairs for the rouge/semantic/combined main scores, all scores attached."""
     from shelfmatch.operators.vector_search import cosine_join
@@ -142,7 +147,8 @@ def _scored_candidates(a: DataFrame, b: DataFrame, cfg: MatchConfig) -> DataFram
             wr, ws = float(w.get("rouge", 0)), float(w.get("semantic", 0))
             if wr <= 0:
                 raise ValueError("combined score with zero rouge weight needs a cross product; not supported")
-            t_rouge = (cfg.threshold - ws) / wr  # semantic <= 1, so rouge must reach this
+            # |semantic| <= 1, so rouge must reach this; the slack leaves pairs at the bound to the exact test
+            t_rouge = (cfg.threshold - abs(ws)) / wr - 1e-9
             if t_rouge <= 0:
                 raise ValueError("weights make every pair a candidate (cross product); not supported")
         ids = rouge_join(a.select(F.col("_ord").alias("id"), F.col("t").alias("text")),
@@ -192,6 +198,8 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float, short: int =
     A length bound and the exact LCS (bit-parallel, Arrow batches) decide.
     """
     self_join = right is None
+    if t > 1:  # no score reaches it
+        return left.select(F.col("id").alias("id_l"), F.col("id").alias("id_r"), F.lit(0.0).alias("score")).where(F.lit(False))
     cand, toks = rouge_candidates(left, right, t, short)
     other = "l" if self_join else "r"
     tl = toks.where(F.col("side") == "l").select(F.col("id").alias("id_l"), F.col("toks").alias("toks_l"))
@@ -204,8 +212,8 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float, short: int =
 
 def rouge_candidates(left: DataFrame, right: DataFrame | None, t: float, short: int = SHORT_TEXT):
     """Candidate pairs ``(id_l, id_r, m_l, m_r)`` of ``rouge_join`` and the token table."""
-    if not 0 < t <= 1:
-        raise ValueError("rouge_join needs 0 < t <= 1")
+    if t <= 0:
+        raise ValueError("rouge_join needs t > 0 (every pair qualifies at 0)")
     self_join = right is None
     toks = _token_table(left, "l")
     if not self_join:
@@ -254,10 +262,23 @@ def rouge_candidates(left: DataFrame, right: DataFrame | None, t: float, short:
     return cand, toks
 
 
-def match_summary(cat1: DataFrame, cat2: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Sizes after de-duplication and number of results, as one row (one aggregate)."""
-    def tag(df: DataFrame, i: int) -> DataFrame:
-        return df.select(*[F.lit(1 if j == i else 0).alias(f"x{j}") for j in range(3)])
-    both = tag(cat1, 0).unionByName(tag(cat2, 1)).unionByName(tag(pairs, 2))
-    return both.agg(F.sum("x0").cast("long").alias("n1"), F.sum("x1").cast("long").alias("n2"),
-                    F.sum("x2").cast("long").alias("n_results"))
+def matching_pairs(cat1: DataFrame, cat2: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
+    """``(n)``: rows whose sum is the number of pairs at or above the threshold, before one pair per title is chosen.
+
+    Equal titles are counted as a product of counts, so a hot title is never paired out.
+    """
+    a = _cleaned(cat1, cfg.dataset1_type, cfg.clean_titles, "t")
+    b = _cleaned(cat2, cfg.dataset2_type, cfg.clean_titles, "t")
+    if cfg.main_score == "string":
+        def per_title(df: DataFrame, name: str) -> DataFrame:
+            return df.where(F.col("t").isNotNull()).groupBy("t").agg(F.count("*").alias(name))
+        return per_title(a, "n1").join(per_title(b, "n2"), "t").select((F.col("n1") * F.col("n2")).alias("n"))
+    return _kept(_scored_candidates(a, b, cfg), cfg).select(F.lit(1).cast("long").alias("n"))
+
+
+def match_summary(cat1: DataFrame, cat2: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
+    """Sizes after de-duplication and number of matching pairs (before one per title), as one row."""
+    pairs = matching_pairs(cat1, cat2, cfg)
+    sizes = [df.agg(F.count("*").alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate((cat1, cat2))]
+    n = [F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).cast("long").alias(name) for i, name in enumerate(("n1", "n2", "n_results"))]
+    return sizes[0].unionByName(sizes[1]).unionByName(pairs.select(F.lit(2).alias("i"), "n")).agg(*n)

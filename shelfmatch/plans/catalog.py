@@ -14,11 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.functions.prices import crawl_time, format_price, parse_price, pick_price_text, reward_points, strip_label
+from shelfmatch.functions.lists import parse_list_literal
+from shelfmatch.functions.prices import (crawl_time, format_price, parse_price, pick_price_text, reward_points,
+                                         sku_from_url, strip_label)
 from shelfmatch.functions.text import (DASHED_TITLE_DATASET, clean_name, clean_title, join_clean_lines, map_distinct,
                                        normalize_title)
 from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
-from shelfmatch.operators.extract import Rule, extract_fields, record_status
+from shelfmatch.operators.extract import Rule, extract_fields, merge_sections, record_status, require_container
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
 from shelfmatch.operators.match import MatchConfig, match_catalogues, match_summary, rouge_join
 from shelfmatch.operators.specs import drop_keys, group_specs_long, parse_noisy_json, resolve_refs
@@ -28,7 +30,7 @@ from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_to
                                                 search_topk)
 from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
 from shelfmatch.session import ensure_session_defaults, scratch_path
-from shelfmatch.sources.files import read_catalogue, write_csv, write_json
+from shelfmatch.sources.files import read_catalogue, read_pages, read_store_keys, write_csv, write_json
 from shelfmatch.sources.sitemap import read_sitemap, write_sitemap
 from shelfmatch.streaming.ingest import stage_batches, stream_insert_if_absent
 
@@ -406,7 +408,7 @@ def match_semantic_vectors(spark: SparkSession, sf: str) -> DataFrame:
 @query("match_combined_parts", f"""
 WITH c AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, trim(p_name) AS title, p_name AS title_cleaned, p_partkey AS _ord,
                   CAST(split_part(p_brand, '#', 2) AS INT) AS bno, CAST(embedding AS DOUBLE[]) AS v
-           FROM part JOIN embeddings ON p_partkey = vec_id),
+           FROM part LEFT JOIN embeddings ON p_partkey = vec_id),
      a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY _ord) rn FROM c WHERE bno <= 12) WHERE rn = 1),
      b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY _ord) rn FROM c WHERE bno > 12) WHERE rn = 1),
      ta AS (SELECT *, {_TOK.format(x='title_cleaned')} AS toks FROM a),
@@ -416,18 +418,18 @@ WITH c AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, trim(p_name) AS title, p_na
                        ELSE 2.0 * {_LCS.format(a='tb.toks', b='ta.toks')} / (len(ta.toks) + len(tb.toks)) END AS rouge,
                   list_dot_product(ta.v, tb.v) / (sqrt(list_dot_product(ta.v, ta.v)) * sqrt(list_dot_product(tb.v, tb.v))) AS sem
            FROM ta, tb),
-     k AS (SELECT *, rouge * 0.7 + sem * 0.3 AS comb FROM s)
+     k AS (SELECT *, rouge * 0.7 + coalesce(sem, 0.0) * 0.3 AS comb FROM s)
 SELECT _id1, _id2, title, "references", round(comb, 6) AS main_score, round(rouge, 6) AS rouge_score,
        round(sem, 6) AS semantic_score FROM (
   SELECT *, row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY o1, o2) AS rk FROM k WHERE comb >= 0.5)
 WHERE rk = 1
 """)
 def match_combined_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Weighted ROUGE (0.7) + cosine (0.3) matching at 0.5 (J4) of the shop
-    catalogues restricted to parts that have an embedding; one pair per title."""
+    """Weighted ROUGE (0.7) + cosine (0.3) matching at 0.5 (J4) of the whole shop
+    catalogues (a part without an embedding scores 0 there); one pair per title."""
     emb = table(spark, sf, "embeddings").select(F.col("vec_id").alias("_ord"), "embedding")
-    a = dedupe_by_title(shop_catalogue(spark, sf, "A").join(emb, "_ord"))
-    b = dedupe_by_title(shop_catalogue(spark, sf, "B").join(emb, "_ord"))
+    a = dedupe_by_title(shop_catalogue(spark, sf, "A").join(emb, "_ord", "left"))
+    b = dedupe_by_title(shop_catalogue(spark, sf, "B").join(emb, "_ord", "left"))
     cfg = MatchConfig(main_score="combined", threshold=0.5, use_rouge=True, use_semantic=True)
     pairs = match_catalogues(a, b, cfg)
     return pairs.select("_id1", "_id2", "title", "references", F.round("main_score", 6).alias("main_score"),
@@ -707,7 +709,7 @@ def csv_roundtrip_pairs(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "pairs-csv")
     write_csv(pairs, path)
     schema = ", ".join(f"`{c}` string" for c in pairs.columns)
-    back = read_catalogue(spark, path, schema)
+    back = read_catalogue(spark, path, schema, multi_line=False)
     return back.select("_id1", "_id2", "title", "references", F.col("main_score").cast("double").alias("main_score"),
                        "main_score_type", "capacities_1", "capacities_2")
 
@@ -746,8 +748,130 @@ def match_summary_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Catalogue sizes after de-duplication and number of matched pairs."""
     a = dedupe_by_title(shop_catalogue(spark, sf, "A"))
     b = dedupe_by_title(shop_catalogue(spark, sf, "B"))
-    pairs = match_catalogues(a, b, MatchConfig(main_score="string", use_rouge=False))
-    return match_summary(a, b, pairs)
+    return match_summary(a, b, MatchConfig(main_score="string", use_rouge=False))
+
+
+@query("match_summary_cleaned", f"""
+WITH a2 AS (SELECT DISTINCT 'Điện thoại ' || {_INITCAP.format(x='p_name')} || ' ' || p_size || 'GB - Chính hãng' AS title, lower(trim(p_name)) AS t
+            FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INT) <= 12),
+     b2 AS (SELECT DISTINCT {_INITCAP.format(x='p_name')} || ' ' || p_size || 'GB - Chỉ có tại Shop' AS title,
+                   trim(regexp_replace(regexp_replace(lower(trim(p_name)), '\\b({_ASCII_COLOURS})\\b', '', 'g'), '\\s+', ' ', 'g')) AS t
+            FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INT) > 12)
+SELECT CAST((SELECT count(*) FROM a2) AS BIGINT) AS n1, CAST((SELECT count(*) FROM b2) AS BIGINT) AS n2,
+       CAST((SELECT count(*) FROM a2 JOIN b2 ON a2.t = b2.t) AS BIGINT) AS n_results
+""")
+def match_summary_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 on cleaned titles, where many pairs share a title: all of them count."""
+    a = dedupe_by_title(_decorated_catalogue(spark, sf, "A"))
+    b = dedupe_by_title(_decorated_catalogue(spark, sf, "B"))
+    return match_summary(a, b, MatchConfig(main_score="string", use_rouge=False, clean_titles=True,
+                                           dataset1_type=DASHED_TITLE_DATASET, dataset2_type="other"))
+
+
+# ------------------------------------------------ S1 / S3 / S4 / S2 on awkward files --
+@query("csv_columns_by_name", """
+SELECT CAST(p_partkey AS VARCHAR) AS _id, p_name AS title, CASE WHEN p_size % 2 = 0 THEN NULL ELSE p_size || 'GB' END AS capacities FROM part
+""")
+def csv_columns_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV with columns in another order, more columns and null tokens is read by name."""
+    part = table(spark, sf, "part")
+    path = scratch_path(spark, "shuffled-csv")
+    write_csv(part.select(F.col("p_name").alias("title"), F.col("p_brand").alias("extra"), F.when(F.col("p_size") % 2 == 0, "NaN")
+                          .otherwise(F.concat(F.col("p_size").cast("string"), F.lit("GB"))).alias("capacities"),
+                          F.col("p_partkey").alias("_id")), path)
+    return read_catalogue(spark, path, "_id string, title string, capacities string", multi_line=False).drop("_ord")
+
+
+@query("stored_pages", """
+SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS html_bytes FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE contains(url, '/en/'))
+""")
+def stored_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Fetched pages whose URL is not among the keys of a store written as Parquet."""
+    path = scratch_path(spark, "seen-store")
+    _seen_store(spark, sf).withColumn("extra", F.lit(1)).write.parquet(path)
+    pages = read_pages(spark, f"{sf.rstrip('/')}/pages.parquet")
+    left = pages.join(read_store_keys(spark, path), "url", "left_anti")
+    return left.select("page_id", "url", F.octet_length("html").cast("long").alias("html_bytes"))
+
+
+@query("sitemap_text_entries", """
+SELECT url AS loc, page_id % 5 = 0 AS is_index FROM pages
+""")
+def sitemap_text_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries that are plain text (every third), entries with a ``loc``, and an index (every fifth page)
+    among the files, told apart by their elements."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    path = scratch_path(spark, "sitemap-mixed")
+    for index in (False, True):
+        for name, column in (("text", "_VALUE"), ("loc", "loc")):
+            some = pages.where(((F.col("page_id") % 5 == 0) == F.lit(index)) & ((F.col("page_id") % 3 == 0) == F.lit(name == "text")))
+            (some.select(F.col("url").alias(column)).write.format("xml").option("rootTag", "sitemapindex" if index else "urlset")
+             .option("rowTag", "sitemap" if index else "url").save(f"{path}/{index}-{name}"))
+    return read_sitemap(spark, [f"{path}/{index}-{name}" for index in (False, True) for name in ("text", "loc")]).select("loc", "is_index")
+
+
+# ------------------------------------------------ F2 / F5 / F6 / F7 / F10 / C4 / C5 / L1 where some rows fail --
+@query("brand_filter_derived", """
+SELECT page_id, url FROM (SELECT page_id, url || '/' || CASE page_id % 4 WHEN 0 THEN 'Galaxy-SAMSUNG' WHEN 1 THEN 'pixel' WHEN 2 THEN 'iPhone-15' ELSE 'thong' END AS url FROM pages)
+WHERE regexp_matches(lower(url), 'samsung|iphone|nothing|vivo|sony|asus|nokia|tcl|oppo')
+""")
+def brand_filter_derived(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 on URLs of which half name a brand."""
+    word = F.when(F.col("page_id") % 4 == 0, "Galaxy-SAMSUNG").when(F.col("page_id") % 4 == 1, "pixel").when(F.col("page_id") % 4 == 2, "iPhone-15").otherwise("thong")
+    pages = table(spark, sf, "pages").select("page_id", F.concat("url", F.lit("/"), word).alias("url"))
+    return pages.where(contains_brand("url"))
+
+
+@query("page_status_derived", """
+SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'error: HTTP 500' WHEN page_id % 3 = 0 THEN 'no_name_found' ELSE 'success' END AS status,
+       CASE WHEN page_id % 3 = 0 THEN NULL ELSE 'inner ' || page_id || ' tail é' END AS box, page_id || '-b' AS sku
+FROM pages WHERE page_id % 5 <> 0
+""")
+def page_status_derived(spark: SparkSession, sf: str) -> DataFrame:
+    """X1, F5, F6, F10, C5 on derived pages: a fifth lacks the container, a third the name, a seventh failed; the box
+    is nested, single-quoted, holds a numeric reference and stands after one whose class only starts alike."""
+    page_id = F.col("page_id").cast("string")
+    name = F.when(F.col("page_id") % 3 == 0, "").otherwise(F.concat(
+        F.lit("<h1 class='x name'>N</h1><div class=\"box-old\">old</div><div id=q class='a box'><div>inner "), page_id, F.lit("</div> tail &#233;</div>")))
+    body = F.concat(F.lit("<html><body><"), F.when(F.col("page_id") % 5 == 0, "section").otherwise("article"), F.lit(">"), name, F.lit("</article></body></html>"))
+    pages = table(spark, sf, "pages").select("page_id", F.concat(F.lit("http://s/p?SKU="), page_id, F.lit("-b")).alias("url"), body.alias("html"))
+    rec = extract_fields(require_container(pages, Rule("main", "article")), [Rule("name", "h1", cls="name"), Rule("box", "div", cls="box")])
+    error = F.when(F.col("page_id") % 7 == 0, "HTTP 500")
+    rec = rec.select("page_id", F.struct("name", F.lit(None).cast("string").alias("box")).alias("a"),
+                     F.struct("box", F.concat(sku_from_url("url"), F.lit("-b")).alias("sku")).alias("b"), record_status(F.col("name"), error).alias("status"))
+    return merge_sections(rec, ["a", "b"]).select("page_id", "status", "product_data.box", "product_data.sku")
+
+
+@query("variant_prices_parts", """
+SELECT p_partkey, CAST(i AS INT) AS variant, 'SKU' || p_partkey || '_' || i AS sku,
+       CASE WHEN p_size % 3 = 0 OR round(p_retailprice) * i < 1000 THEN NULL ELSE replace(format('{:,}', CAST(round(p_retailprice) * i AS BIGINT)), ',', '.') || '₫' END AS price_text,
+       CASE WHEN p_size % 3 = 0 OR round(p_retailprice) * i < 1000 THEN NULL ELSE CAST(round(p_retailprice) * i AS BIGINT) END AS price,
+       CASE WHEN p_size % 2 = 0 THEN '["null Black"]' WHEN p_size % 3 = 0 THEN '["x, None, y"]' ELSE '[null,"None Blue"]' END AS colours
+FROM part, (SELECT unnest(range(1, 4)) AS i)
+""")
+def variant_prices_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """X20 with C4, C5 and L1: price text (padded among other texts) and SKU per variant, and the colour list literal."""
+    part = table(spark, sf, "part").select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("variant"))
+    text = F.when(F.col("p_size") % 3 != 0, format_price(F.round("p_retailprice") * F.col("variant")))
+    url = F.concat(F.lit("https://s/p/sku/SKU"), F.col("p_partkey").cast("string"), F.lit("_"), F.col("variant").cast("string"), F.lit("?c=1"))
+    picked = pick_price_text(F.array(F.lit("Trả góp"), F.concat(F.lit("  "), text, F.lit(" \n"))))
+    literal = F.when(F.col("p_size") % 2 == 0, "['null Black']").when(F.col("p_size") % 3 == 0, "['x, None, y']").otherwise("[None, 'None Blue']")
+    return part.select("p_partkey", "variant", sku_from_url(url).alias("sku"), picked.alias("price_text"), parse_price(picked).alias("price"),
+                       F.to_json(parse_list_literal(literal)).alias("colours"))
+
+
+@query("drop_keys_nullable", """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"event_id":' || event_id || '}' WHEN event_id % 3 = 1
+  THEN '{"event_id":' || event_id || ',"meta":{}}' ELSE '{"event_id":' || event_id || ',"meta":{"kind":"' || event_type || '"}}' END AS record
+FROM events
+""")
+def drop_keys_nullable(spark: SparkSession, sf: str) -> DataFrame:
+    """F7 with a nested struct that is null in a third of the rows and empty in another: null stays null."""
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    meta = F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.struct(
+        F.lit("u").alias("url"), F.when(F.col("event_id") % 3 == 2, F.col("event_type")).alias("kind")))
+    cleaned = drop_keys(ev.select("event_id", F.struct("event_id", meta.alias("meta"), F.lit("x").alias("icon")).alias("record")))
+    return cleaned.select("event_id", F.to_json("record").alias("record"))
 
 
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

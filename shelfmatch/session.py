@@ -4,13 +4,15 @@ Cluster jobs get their session from the platform; ``local_session`` is for
 tests, the bench and the driver smoke check.  Anything that must outlive a
 task (streaming checkpoints, staged tables, lineage cuts) goes under
 ``work_dir(spark)``, which is the folder the cluster names in
-``spark.checkpoint.dir``.  A folder of our own is created only when that
-setting is absent, i.e. in local runs.
+``spark.checkpoint.dir``.  A folder of our own is created only for a local
+master; on a cluster without that setting the library stops with an error,
+because a local folder would be a different disk on every node.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -62,7 +64,7 @@ def ship_package(spark: SparkSession) -> None:
     import shelfmatch
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(shelfmatch.__file__)))
@@ -83,6 +85,8 @@ def work_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="shelfmatch-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():

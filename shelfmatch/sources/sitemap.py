@@ -13,11 +13,18 @@ from pyspark.sql import functions as F
 SITEMAP_SCHEMA = "loc string, lastmod string"
 
 
-def read_sitemap(spark: SparkSession, path: str | list[str], index: bool = False) -> DataFrame:
-    """One row per ``loc``: ``url`` entries of a urlset, or ``sitemap`` entries of an index."""
-    df = (spark.read.format("xml").option("rowTag", "sitemap" if index else "url")
-          .option("ignoreNamespace", "true").schema(SITEMAP_SCHEMA).load(path))
-    return df.where(F.col("loc").isNotNull() & (F.trim("loc") != "")).select(F.trim("loc").alias("loc"), "lastmod")
+def read_sitemap(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``loc, lastmod, is_index``: one row per ``url`` entry of a urlset and per ``sitemap`` entry of an index.
+
+    Which of the two a file is follows from its elements.  An entry that is plain text is its own ``loc``.
+    """
+    def entries(tag: str) -> DataFrame:
+        df = (spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true")
+              .schema(f"{SITEMAP_SCHEMA}, _VALUE string").load(path))
+        loc = F.trim(F.coalesce("loc", "_VALUE"))
+        return df.where(loc != "").select(loc.alias("loc"), "lastmod", F.lit(tag == "sitemap").alias("is_index"))
+
+    return entries("url").unionByName(entries("sitemap"))
 
 
 def write_sitemap(urls: DataFrame, path: str, url_col: str = "url", lastmod_col: str | None = None) -> None:

@@ -49,7 +49,7 @@ def test_price_functions(spark):
                   crawl_time("t").alias("t"),
                   pick_price_text(F.array(F.lit("Trả góp"), F.col("p"))).alias("pick")).first()
     assert (r["p"], r["r"], r["s"], r["t"]) == (29990000, 7497, "AB12", "2024-01-01 00:00:00")
-    assert r["pick"] == " 29.990.000₫ "
+    assert r["pick"] == "29.990.000₫"
     bad = spark.createDataFrame([("Liên hệ",)], "p string").select(parse_price("p")).first()[0]
     assert bad is None
 
@@ -65,7 +65,7 @@ def test_sitemap_single_and_many(spark, tmp_path):
     idx.write_text('<sitemapindex><sitemap><loc>https://a/s1.xml</loc></sitemap></sitemapindex>')
     locs = sorted(r["loc"] for r in read_sitemap(spark, [str(one), str(many)]).collect())
     assert locs == ["https://a/1", "https://a/2", "https://a/3"]
-    assert [r["loc"] for r in read_sitemap(spark, str(idx), index=True).collect()] == ["https://a/s1.xml"]
+    assert [(r["loc"], r["is_index"]) for r in read_sitemap(spark, str(idx)).collect()] == [("https://a/s1.xml", True)]
 
 
 def test_new_urls_plan_is_anti_join(spark):

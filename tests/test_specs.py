@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators.extract import (Rule, drop_forbidden, extract_fields, merge_sections, record_status,
                                           require_container)
-from shelfmatch.operators.specs import drop_keys, find_attribute_items, group_specs, parse_noisy_json, resolve_refs
+from shelfmatch.operators.specs import drop_keys, group_specs, parse_noisy_json, resolve_refs
 
 
 def test_group_specs_last_wins(spark):
@@ -39,13 +39,10 @@ def test_drop_keys_nested(spark):
     assert r["items"][0].asDict() == {"n": 1, "m": {"k": "y"}}
 
 
-def test_noisy_json_and_attribute_items(spark):
+def test_noisy_json(spark):
     df = spark.createDataFrame([("noise [1, 2] more",), ('log {"a": 1} end',), ("nothing",)], "t string")
     r = df.select(parse_noisy_json("t", "array<int>").alias("a")).collect()
     assert r[0]["a"] == [1, 2] and r[1]["a"] is None and r[2]["a"] is None
-    tree = '{"x": [{"attributeItem": []}, {"y": {"attributeItem": [{"groupName": "G"}]}}]}'
-    got = spark.createDataFrame([(tree,)], "t string").select(find_attribute_items("t")).first()[0]
-    assert got == '[{"groupName": "G"}]'
 
 
 HTML_FULL = ('<html><head><title>Phone &amp; co</title><script>var s="</p>";</script></head><body>'
