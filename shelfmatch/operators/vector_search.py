@@ -4,22 +4,25 @@ The store is a DataFrame ``(id BIGINT, text STRING, metadata STRUCT,
 embedding ARRAY<DOUBLE>)`` with unit-length embeddings, so cosine equals the
 inner product (what the reference's flat inner-product index returns).
 
-* ``search_topk`` (exact, T1): the query matrix is bounded (checked) and
-  shipped to every task; each store partition computes its scores with one
-  matrix product and emits only its local top-k per query; a salted
-  two-level rank merges them.  The store is scanned once and never shuffled.
-* ``cosine_join`` (exact threshold join, J3): store vectors are clustered;
-  a pair can reach cosine >= t only if ||a - c_j|| <= R_j + sqrt(2 - 2t)
-  (triangle inequality, R_j the cluster radius), so each left vector is
-  routed to the clusters it may match and compared there: an equi-join on
-  cluster id, never a cross product.
-* ``ivf_topk`` (approximate, T2): the same clusters, probing the ``nprobe``
-  nearest only.
+* ``search_topk`` (exact, T1) and ``cosine_join`` (exact threshold join, J3)
+  are blocked products (``blocks``): every pair of a query (left) block and a
+  store (right) block is one matrix product; the search keeps the k best per
+  query and pair of blocks and merges them, the join keeps what reaches the
+  threshold.  Neither side is collected or broadcast at any size.
+* ``cosine_join`` forms its blocks inside clusters: a pair can reach cosine
+  >= t only if ||c_i - c_j|| <= R_i + R_j + sqrt(2 - 2t) (triangle
+  inequality, R the cluster radius), so pairs of blocks of clusters that lie
+  further apart are never sent to each other.
+* ``ivf_topk`` (approximate, T2): the same product over the blocks of the
+  ``nprobe`` nearest clusters of each query only.
 * ``lsh_topk`` (approximate, T3): random-projection LSH buckets as join keys.
 """
 
 from __future__ import annotations
 
+import functools
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
@@ -29,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmatch.functions.vectors import dot, l2_normalize
+from shelfmatch.functions.vectors import l2_normalize
+from shelfmatch.operators.blocks import BLOCK_BYTES, block_pairs, blocks_for, hash_block
 
-# Largest query matrix shipped to tasks: rows x dims x 8 bytes stays below this.
-MAX_QUERY_BYTES = 64 * 1024 * 1024
-MAX_CENTROID_BYTES = 64 * 1024 * 1024
+# Store vectors that k-means is fitted on, about (a documented bound; exactness never depends on it).
+FIT_ROWS = 100_000
 
 
 def metadata_projection(df: DataFrame, text: str) -> DataFrame:
@@ -84,22 +87,6 @@ def add_vectors(store: DataFrame | None, new: DataFrame, text: str = "text", emb
     return added if store is None else store.unionByName(added)
 
 
-MAX_QUERIES = 1 << 16
-
-
-def _query_matrix(queries: DataFrame, qid: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
-    """Collect a bounded query set: at most MAX_QUERIES rows are ever fetched, then the bytes are checked."""
-    rows = queries.select(qid, vec).limit(MAX_QUERIES + 1).collect()
-    dims = max((len(r[1]) for r in rows if r[1] is not None), default=0)
-    if len(rows) > MAX_QUERIES or len(rows) * max(dims, 1) * 8 > MAX_QUERY_BYTES:
-        raise ValueError(f"more than {MAX_QUERIES} queries or {MAX_QUERY_BYTES} bytes of query vectors; "
-                         "use cosine_join/ivf_topk for large query sets")
-    ids = np.array([r[0] for r in rows], dtype=np.int64)
-    mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), dims)
-    norms = np.linalg.norm(mat, axis=1, keepdims=True)
-    return ids, np.divide(mat, norms, out=np.zeros_like(mat), where=norms > 0)
-
-
 def _merge_topk(cands: DataFrame, k: int, qid: str = "qid", salts: int = 16) -> DataFrame:
     """Top-k per query from candidate rows ``(qid, id, score)``; ties by id.
 
@@ -113,51 +100,49 @@ def _merge_topk(cands: DataFrame, k: int, qid: str = "qid", salts: int = 16) ->
     return first.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
 
 
+def _unit(df: DataFrame, id_col: str, vec: str) -> DataFrame:
+    """``(id, raw, embedding)`` with unit vectors (zero vectors stay zero); rows without a vector are left out.
+
+    Arrow functions take ``raw``: they cannot be planned over the lambda that scales a vector.
+    """
+    return df.where(F.col(vec).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("raw"), l2_normalize(vec).alias("embedding"))
+
+
+def _best(k: int, qids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray):
+    """The k best rows of ``m`` for each query, by similarity, then by id (ids ascend)."""
+    sims = q @ m.T
+    kk = min(k, len(ids))
+    kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1, None]
+    above, equal = sims > kth, sims == kth
+    keep = above | (equal & (np.cumsum(equal, axis=1) <= kk - above.sum(axis=1, keepdims=True)))
+    rows, cols = np.nonzero(keep)
+    yield qids[rows], ids[cols], sims[rows, cols]
+
+
 def search_topk(store: DataFrame, queries: DataFrame, k: int = 5, qid: str = "qid", vec: str = "embedding",
                 metric: str = "cosine") -> DataFrame:
     """Exact top-k per query -> ``(qid, id, score, rank)``; fewer when the store is smaller."""
     if k <= 0:
         return store.sparkSession.createDataFrame([], "qid long, id long, score double, rank int")
-    qids, qmat = _query_matrix(queries, qid, vec)
-    if len(qids) == 0:
-        return store.sparkSession.createDataFrame([], "qid long, id long, score double, rank int")
-    bc = store.sparkSession.sparkContext.broadcast((qids, qmat))
-    l2 = metric == "l2sq"
-
-    def local_topk(batches):
-        q_ids, q = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ids = pdf["id"].to_numpy()
-            mat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            if mat.shape[1] != q.shape[1]:
-                raise ValueError(f"dimension mismatch: store {mat.shape[1]} vs query {q.shape[1]}")
-            sims = q @ mat.T  # (queries, rows)
-            scores = (2.0 - 2.0 * sims) if l2 else sims
-            kk = min(k, len(ids))
-            # k-th best similarity per query; keep everything at or above it so ties
-            # at the boundary survive to the global (score desc, id asc) ranking.
-            kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-            rows_q, cols = np.nonzero(sims >= kth[:, None])
-            yield pd.DataFrame({"qid": q_ids[rows_q], "id": ids[cols],
-                                "score": scores[rows_q, cols], "sim": sims[rows_q, cols]})
-
-    cand = store.select("id", "embedding").mapInPandas(local_topk, "qid long, id long, score double, sim double")
-    ranked = _merge_topk(cand.withColumnRenamed("score", "__metric").withColumnRenamed("sim", "score"), k)
-    return ranked.select("qid", "id", F.col("__metric").alias("score"), "rank")
-
-
-def fit_clusters(store: DataFrame, k: int, seed: int = 7, max_iter: int = 20, sample: float | None = None):
-    """k-means centroids of the store vectors (fit on an optional sample; exactness never depends on it)."""
-    data = store.select(array_to_vector("embedding").alias("features"))
-    if sample:
-        data = data.sample(fraction=sample, seed=seed)
+    q, s = _unit(queries, qid, vec), _unit(store, "id", "embedding")
+    nq, ns = blocks_for(q), blocks_for(s)
+    everyone = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    q = q.withColumn("block", hash_block("id", nq)).withColumn("partners", everyone(ns))
+    s = s.withColumn("block", hash_block("id", ns)).withColumn("partners", everyone(nq))
+    cand = block_pairs(q, s, functools.partial(_best, k), "qid long, id long, score double")
+    ranked = _merge_topk(cand, k)
+    score = 2.0 - 2.0 * F.col("score") if metric == "l2sq" else F.col("score")
+    return ranked.select("qid", "id", score.alias("score"), "rank")
+
+
+def fit_clusters(store: DataFrame, k: int, seed: int = 7, max_iter: int = 20, rows: int = FIT_ROWS):
+    """k-means centroids of the store vectors, fitted on about ``rows`` of them drawn by a hash of the id."""
+    n = store.count()
+    share = int(min(1.0, rows / max(n, 1)) * (1 << 30))
+    drawn = store.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < share)
+    data = drawn.select(array_to_vector("embedding").alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
-    cents = np.array([c for c in model.clusterCenters()], dtype=np.float64)
-    if cents.size * 8 > MAX_CENTROID_BYTES:
-        raise ValueError("centroid matrix exceeds the shipped-size bound; lower k")
-    return cents
+    return np.array([c for c in model.clusterCenters()], dtype=np.float64)
 
 
 def _unit_rows(v: pd.Series) -> np.ndarray:
@@ -180,85 +165,91 @@ def _assign(df: DataFrame, cents_bc, vec: str = "embedding") -> DataFrame:
              .withColumn("cdist", F.col("__a.dist")).drop("__a")
 
 
-def _broadcast_cosine_join(ln: DataFrame, rn: DataFrame, t: float, once: bool = False) -> DataFrame:
-    """Right side shipped to every task (its size was checked): one matrix product per batch."""
-    rows = rn.select("id", "embedding").collect()
-    r_ids = np.array([r[0] for r in rows], dtype=np.int64)
-    r_mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    bc = ln.sparkSession.sparkContext.broadcast((r_ids, r_mat))
-
-    def scan(batches):
-        ids_r, mat_r = bc.value
-        for pdf in batches:
-            if len(pdf) == 0 or len(ids_r) == 0:
-                continue
-            m = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            if m.shape[1] != mat_r.shape[1]:
-                raise ValueError(f"dimension mismatch: {m.shape[1]} vs {mat_r.shape[1]}")
-            sims = m @ mat_r.T
-            ids_l = pdf["id"].to_numpy()
-            keep = sims >= t
-            if once:
-                keep &= ids_l[:, None] < ids_r[None, :]
-            li, ri = np.nonzero(keep)
-            yield pd.DataFrame({"id_l": ids_l[li], "id_r": ids_r[ri], "score": sims[li, ri]})
-
-    return ln.select("id", "embedding").mapInPandas(scan, "id_l long, id_r long, score double")
-
-
-def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: int = 64, seed: int = 7,
-                broadcast_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
-    """Every (id_l, id_r, score) with cosine(v_l, v_r) >= t, exactly; inputs ``(id, v)``.
+def _clustered(df: DataFrame, cents_bc) -> tuple[DataFrame, dict]:
+    """Rows with their cluster, and (rows, dims, radius) of each cluster (one row per cluster)."""
+    rows = _assign(df, cents_bc, "raw")
+    stats = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"), F.max("cdist").alias("r")).collect()
+    return rows, {r["cluster"]: (r["n"], r["d"], r["r"]) for r in stats}
+
+
+def _block_numbers(stats: dict, k: int) -> list[tuple[int, int]]:
+    """(first block, number of blocks) of each cluster."""
+    out, at = [], 0
+    for c in range(k):
+        n, d, _ = stats.get(c, (0, 1, 0.0))
+        blocks = -(-n * d * 8 // BLOCK_BYTES)
+        out.append((at, blocks))
+        at += blocks
+    return out
 
-    ``right=None`` joins ``left`` with itself and returns each pair once (``id_l < id_r``).
 
-    Strategy by measured size: when the right side's vectors fit the
-    shipped-size bound (rows x dims x 8 bytes, counted before collecting),
-    each left partition multiplies its batch with the right matrix.  Beyond
-    the bound, the cluster-pruned equi-join is used; both are exact.
+def _by_cluster(values: list, kind: str):
+    """A column: the entry of ``values`` at the row's cluster."""
+    return F.get(F.from_json(F.lit(json.dumps(values)), f"array<{kind}>"), F.col("cluster"))
+
+
+def _in_blocks(rows: DataFrame, numbers: list[tuple[int, int]]) -> DataFrame:
+    first, n = (_by_cluster([x[i] for x in numbers], "int") for i in (0, 1))
+    return rows.withColumn("block", (first + F.pmod(F.xxhash64("id", F.lit(17)), n)).cast("int"))
+
+
+def _reaching(t: float, once: bool, ids_l: np.ndarray, m: np.ndarray, ids_r: np.ndarray, r: np.ndarray):
+    """Pairs of cosine ``t`` or more; with ``once`` each unordered pair of different ids, smaller id first."""
+    sims = m @ r.T
+    rows, cols = np.nonzero(sims >= t)
+    a, b, score = ids_l[rows], ids_r[cols], sims[rows, cols]
+    if once:
+        keep = a != b
+        a, b, score = np.minimum(a, b)[keep], np.maximum(a, b)[keep], score[keep]
+    yield a, b, score
+
+
+def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: int = 64, seed: int = 7) -> DataFrame:
+    """Every (id_l, id_r, score) with cosine(v_l, v_r) >= t, exactly; inputs ``(id, v)``, the cosine with a zero vector is 0.
+
+    ``right=None`` joins ``left`` with itself and returns each pair once (``id_l < id_r``).
     """
     if not -1.0 < t <= 1.0:
         raise ValueError("cosine_join needs -1 < t <= 1")
-    spark = left.sparkSession
-    nonzero = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x) > 0
-    once = right is None
-    ln = left.select("id", "v", l2_normalize("v").alias("embedding")).where(nonzero(F.col("v")))
-    rn = ln if once else right.select("id", "v", l2_normalize("v").alias("embedding")).where(nonzero(F.col("v")))
-    size = rn.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    if size[0] * max(size[1] or 0, 1) * 8 <= broadcast_bytes:
-        return _broadcast_cosine_join(ln, rn, t, once)
+    spark, once = left.sparkSession, right is None
+    ln = _unit(left, "id", "v")
+    rn = ln if once else _unit(right, "id", "v")
+    empty = spark.createDataFrame([], "id_l long, id_r long, score double")
+    if rn.isEmpty():
+        return empty
     cents = fit_clusters(rn, clusters, seed, max_iter=10)
     cbc = spark.sparkContext.broadcast(cents)
-    rc = _assign(rn, cbc, vec="v")
-    radius = {r[0]: r[1] for r in rc.groupBy("cluster").agg(F.max("cdist")).collect()}  # <= k rows
-    rad = np.array([radius.get(j, -1.0) for j in range(len(cents))], dtype=np.float64)
-    reach = float(np.sqrt(max(0.0, 2.0 - 2.0 * t))) + 1e-9
-    rbc = spark.sparkContext.broadcast(rad)
-
-    @F.pandas_udf("array<int>")
-    def candidate_clusters(v: pd.Series) -> pd.Series:
-        c, r = cbc.value, rbc.value
-        m = _unit_rows(v)
-        d = np.sqrt(np.maximum((m * m).sum(1)[:, None] - 2 * m @ c.T + (c * c).sum(1)[None, :], 0))
-        ok = (d <= r[None, :] + reach) & (r[None, :] >= 0)
-        return pd.Series([np.nonzero(row)[0].astype(np.int32).tolist() for row in ok])
-
-    routed = ln.select(F.col("id").alias("id_l"), F.col("embedding").alias("v_l"),
-                       F.explode(candidate_clusters("v")).alias("cluster"))
-    pairs = routed.join(rc.select(F.col("id").alias("id_r"), F.col("embedding").alias("v_r"), "cluster"), "cluster")
-    if once:
-        pairs = pairs.where(F.col("id_l") < F.col("id_r"))
-    scored = pairs.select("id_l", "id_r", dot("v_l", "v_r").alias("score"))
-    return scored.where(F.col("score") >= F.lit(t))
+    (lc, ls), (rc, rs) = _clustered(ln, cbc), _clustered(rn, cbc)
+    k = len(cents)
+    numbers_l, numbers_r = _block_numbers(ls, k), _block_numbers(rs, k)
+    reach = float(np.sqrt(2.0 - 2.0 * t)) + 1e-9
+    apart = np.linalg.norm(cents[:, None, :] - cents[None, :, :], axis=2)
+
+    def partners(own: dict, other: dict, numbers: list) -> list:
+        """For each own cluster the blocks of the other side's clusters that may hold a partner."""
+        return [[b for j in range(k) if i in own and j in other and apart[i, j] <= own[i][2] + other[j][2] + reach
+                 for b in range(numbers[j][0], sum(numbers[j]))] for i in range(k)]
+
+    lb = _in_blocks(lc, numbers_l).withColumn("partners", _by_cluster(partners(ls, rs, numbers_r), "array<int>"))
+    rb = _in_blocks(rc, numbers_r).withColumn("partners", _by_cluster(partners(rs, ls, numbers_l), "array<int>"))
+    if once:  # each pair of blocks once; inside a block both orders are found and one is kept
+        lb = lb.withColumn("partners", F.filter("partners", lambda b: b >= F.col("block")))
+        rb = rb.withColumn("partners", F.filter("partners", lambda b: b <= F.col("block")))
+    pairs = block_pairs(lb, rb, functools.partial(_reaching, t, once), "id_l long, id_r long, score double")
+    return pairs.groupBy("id_l", "id_r").agg(F.max("score").alias("score")) if once else pairs
 
 
 def ivf_topk(store: DataFrame, queries: DataFrame, k: int = 5, nlist: int = 100, nprobe: int = 1,
              qid: str = "qid", vec: str = "embedding", seed: int = 7) -> DataFrame:
-    """Approximate top-k by probing the ``nprobe`` nearest clusters of each query."""
+    """Approximate top-k by probing the ``nprobe`` nearest clusters of each query; exact for ``nprobe >= nlist``."""
     spark = store.sparkSession
-    cents = fit_clusters(store, nlist, seed)
+    s, q = _unit(store, "id", "embedding"), _unit(queries, qid, vec)
+    if s.isEmpty():
+        return spark.createDataFrame([], "qid long, id long, score double, rank int")
+    cents = fit_clusters(s, nlist, seed)
     cbc = spark.sparkContext.broadcast(cents)
-    sc = _assign(store.select("id", "embedding"), cbc)
+    rows, stats = _clustered(s, cbc)
+    numbers = _block_numbers(stats, len(cents))
 
     @F.pandas_udf("array<int>")
     def probes(v: pd.Series) -> pd.Series:
@@ -268,21 +259,24 @@ def ivf_topk(store: DataFrame, queries: DataFrame, k: int = 5, nlist: int = 100,
         p = min(nprobe, c.shape[0])
         return pd.Series([row.tolist() for row in np.argsort(d2, axis=1)[:, :p].astype(np.int32)])
 
-    q = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("raw"), l2_normalize(vec).alias("q"))
-    routed = q.select("qid", "q", F.explode(probes("raw")).alias("cluster"))
-    cand = routed.join(sc.select("id", "embedding", "cluster"), "cluster") \
-                 .select("qid", "id", dot("q", "embedding").alias("score"))
+    nq = blocks_for(q)
+    blocks = F.from_json(F.lit(json.dumps([list(range(a, a + n)) for a, n in numbers])), "array<array<int>>")
+    q = q.withColumn("block", hash_block("id", nq)).withColumn("probed", probes("raw"))
+    q = q.withColumn("partners", F.flatten(F.transform("probed", lambda c: F.get(blocks, c))))
+    probed = q.select(F.explode("probed").alias("cluster")).distinct()  # nlist rows at most
+    s = _in_blocks(rows.join(F.broadcast(probed), "cluster", "left_semi"), numbers).withColumn("partners", F.sequence(F.lit(0), F.lit(nq - 1)))
+    cand = block_pairs(q, s, functools.partial(_best, k), "qid long, id long, score double")
     return _merge_topk(cand, k).select("qid", "id", "score", "rank")
 
 
 def lsh_topk(store: DataFrame, queries: DataFrame, k: int = 5, bucket_length: float = 0.5, tables: int = 4,
-             qid: str = "qid", vec: str = "embedding", seed: int = 7) -> DataFrame:
-    """Approximate top-k; candidates share a random-projection bucket in some table."""
+             qid: str = "qid", vec: str = "embedding", seed: int = 7, max_distance: float = 1.2) -> DataFrame:
+    """Approximate top-k; candidates share a random-projection bucket in some table and lie within ``max_distance``."""
     s = store.select("id", array_to_vector("embedding").alias("features"))
     q = queries.select(F.col(qid).alias("qid"), array_to_vector(l2_normalize(vec)).alias("features"))
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
                                       numHashTables=tables, seed=seed).fit(s)
-    joined = lsh.approxSimilarityJoin(q, s, threshold=2.0, distCol="dist")
+    joined = lsh.approxSimilarityJoin(q, s, threshold=max_distance, distCol="dist")
     cand = joined.select(F.col("datasetA.qid").alias("qid"), F.col("datasetB.id").alias("id"),
                          (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("score"))
     return _merge_topk(cand, k).select("qid", "id", "score", "rank")

@@ -105,9 +105,10 @@ def test_rouge_join_random_texts_no_miss(spark):
     assert {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, 0.25).collect()} == low
 
 
-def test_cosine_join_paths_agree_with_brute_force(spark):
+def test_cosine_join_equals_brute_force_at_any_block_size(spark, monkeypatch):
     import numpy as np
 
+    from shelfmatch.operators import blocks, vector_search
     from shelfmatch.operators.vector_search import cosine_join
     rng = np.random.default_rng(5)
     base = rng.normal(size=(6, 8))
@@ -116,14 +117,15 @@ def test_cosine_join_paths_agree_with_brute_force(spark):
     df = spark.createDataFrame(rows, "id long, v array<double>")
     unit = vecs / np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-300)
     sims = unit @ unit.T
-    want = {(i, j) for i in range(60) for j in range(60) if sims[i, j] >= 0.8}
-    small = {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, 0.8).collect()}
-    big = {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, 0.8, clusters=6, broadcast_bytes=0).collect()}
-    assert small == want
-    assert big == want
-    once = {(r["id_l"], r["id_r"]) for r in cosine_join(df, None, 0.8).collect()}
-    once_big = {(r["id_l"], r["id_r"]) for r in cosine_join(df, None, 0.8, clusters=6, broadcast_bytes=0).collect()}
-    assert once == once_big == {(i, j) for (i, j) in want if i < j}
+    for t in (0.8, 0.0, -0.3):  # the cosine with the zero vector is 0
+        want = {(i, j) for i in range(61) for j in range(61) if sims[i, j] >= t}
+        for block_bytes in (4 << 20, 400):  # one block, and many
+            monkeypatch.setattr(blocks, "BLOCK_BYTES", block_bytes)
+            monkeypatch.setattr(vector_search, "BLOCK_BYTES", block_bytes)
+            assert {(r["id_l"], r["id_r"]) for r in cosine_join(df, df, t, clusters=6).collect()} == want
+            once = [(r["id_l"], r["id_r"]) for r in cosine_join(df, None, t, clusters=6).collect()]
+            assert sorted(once) == sorted((i, j) for (i, j) in want if i < j)
+    assert cosine_join(df, df.where("id < 0"), 0.5).count() == 0 and cosine_join(df.where("id < 0"), df, 0.5).count() == 0
 
 
 def test_semantic_main_score_and_threshold_guard(spark):
@@ -144,3 +146,20 @@ def test_keep_first_is_a_partial_aggregate_not_a_window(spark):
     plan = keep_first(df, ["t"], ["o"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert plan.count("Aggregate") >= 2  # partial (map side) and final
+
+
+def test_combined_keeps_pairs_without_vectors_and_on_the_bound(spark):
+    a = _cat(spark, [("a1", "x", "one two three", None, None, 1)])
+    b = _cat(spark, [("b1", "x", "one two three", None, None, 1)])
+    none = spark.createDataFrame([(1, None)], "_ord long, embedding array<double>")
+    cfg = MatchConfig(main_score="combined", threshold=0.6, use_rouge=True, use_semantic=True)
+    out = match_catalogues(a.join(none, "_ord"), b.join(none, "_ord"), cfg).collect()
+    assert [round(r["main_score"], 9) for r in out] == [0.7]
+    # ROUGE 2 / 7 = 0.2857..., cosine 1: exactly 0.5
+    same = spark.createDataFrame([(1, [1.0, 0.0])], "_ord long, embedding array<double>")
+    c = _cat(spark, [("a1", "x", "one two three", None, None, 1)])
+    d = _cat(spark, [("b1", "x", "one six seven eight", None, None, 1)])
+    cfg = MatchConfig(main_score="combined", threshold=0.5, use_rouge=True, use_semantic=True)
+    assert len(match_catalogues(c.join(same, "_ord"), d.join(same, "_ord"), cfg).collect()) == 1
+    cfg = MatchConfig(main_score="combined", threshold=0.9, weights={"rouge": 0.3, "semantic": 0.3}, use_rouge=True, use_semantic=True)
+    assert match_catalogues(a.join(same, "_ord"), b.join(same, "_ord"), cfg).count() == 0

@@ -41,6 +41,13 @@ def test_search_topk_exact_with_ties_and_small_store(spark):
     assert many == len(vecs)  # k larger than the store: every vector, no more
 
 
+def test_search_topk_over_many_blocks(spark, monkeypatch):
+    from shelfmatch.operators import blocks
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1000)
+    test_search_topk_random_matches_brute_force(spark)
+    test_search_topk_exact_with_ties_and_small_store(spark)
+
+
 def test_search_topk_random_matches_brute_force(spark):
     rng = np.random.default_rng(1)
     vecs = rng.normal(size=(200, 16)).tolist()
