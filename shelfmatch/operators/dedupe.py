@@ -1,17 +1,16 @@
 """Keep-first de-duplication (A1, A2).
 
-"Keep the first row per key" is a grouped ``min`` over a struct whose
-leading fields are the order columns.  That is an ordinary hash aggregate
-with a map-side partial step, so a key that holds a third of all rows is
-folded inside each map task before the shuffle; no window sorts a hot key
-into one task, and no group is ever collected.
+"Keep the first row per key" is ``row_number() = 1``, which Spark limits to
+one row per key and task before the shuffle (``WindowGroupLimit``), so a key
+that holds a third of all rows sends one row per map task, and no aggregate
+has to carry whole rows in its buffers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.text import normalize_title, py_strip
@@ -20,21 +19,13 @@ from shelfmatch.functions.text import normalize_title, py_strip
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """One row per ``keys`` (nulls form one group): the row smallest by ``order``.
 
-    Remaining columns break ties, so the result is deterministic.  Output
-    columns are the key columns followed by the others, in input order.
+    Remaining columns break ties, so the result is deterministic.
     """
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    key_names = [k if isinstance(k, str) else f"__k{i}" for i, k in enumerate(keys)]
-    rest = [c for c in df.columns if c not in key_names and c not in order]
-    packed = F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
-    grouped = df.groupBy(*[c.alias(n) for c, n in zip(key_cols, key_names)]).agg(F.min(packed).alias("__first"))
-    out_cols = [F.col(n) for n in key_names if not n.startswith("__k")]
-    for i, o in enumerate(order):
-        if o not in key_names:
-            out_cols.append(F.col(f"__first.__o{i}").alias(o))
-    out_cols += [F.col(f"__first.{c}").alias(c) for c in rest]
-    ordered = [c for c in df.columns if c in set(key_names) | set(order) | set(rest)]
-    return grouped.select(*out_cols).select(*ordered)
+    names = {k for k in keys if isinstance(k, str)}
+    rest = [c for c in df.columns if c not in names and c not in order]
+    first = Window.partitionBy(*key_cols).orderBy(*order, *rest)
+    return df.withColumn("__rank", F.row_number().over(first)).where(F.col("__rank") == 1).drop("__rank")
 
 
 def dedupe_by_title(df: DataFrame, title: str = "title", order: Sequence[str] = ("_ord",)) -> DataFrame:

@@ -1,15 +1,11 @@
 """Insert-if-absent into a keyed store (K2), load statistics (A3), quarantine (ST5).
 
-The store is a Parquet directory partitioned by ``key_bucket`` (a hash of
-the key, like a unique index's pages) and ``batch_id``.  Writing a batch =
-keep the first row per key inside the batch (partial aggregate), drop keys
-already stored by *earlier* batches, and overwrite the batch's own
-partitions.  The anti join reads only the key column (column pruning) of
-only the buckets the batch touches (partition pruning on the bucket list,
-at most ``buckets`` values), so a micro-batch does not scan the whole store.
-Because a batch's result depends only on earlier partitions, replaying a
-batch rewrites the same rows: idempotent, which is what makes the streaming
-form safe after an executor or driver loss.
+The store is a Parquet directory with one folder per batch.  Writing a batch
+= keep the first row per key inside the batch, drop keys that *earlier*
+batches stored (an anti join that reads the key column only), and overwrite
+the batch's own folder.  A batch's result depends only on earlier folders and
+on the rows' values, so replaying it rewrites the same rows: idempotent,
+which is what makes the streaming form safe after an executor or driver loss.
 """
 
 from __future__ import annotations
@@ -19,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmatch.operators.dedupe import keep_first
 
@@ -33,39 +30,31 @@ def _store_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def key_bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
 def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id: int, key: str = "url",
                      order: Sequence[str] = (), valid: Column | None = None,
-                     quarantine: str | None = None, buckets: int = 64) -> dict:
-    """K2 + A3 (+ ST5): write one batch; returns its stats row as a dict."""
+                     quarantine: str | None = None) -> dict:
+    """K2 + A3 (+ ST5): write one batch; returns its stats row as a dict.
+
+    Rows with a null key, or for which ``valid`` is not true, are errors; ``quarantine`` takes them.  Rows of a key
+    that are equal in ``order`` are told apart by their other columns.
+    """
     t0 = time.time()
     batch = batch.persist()
     try:
-        ok_cond = F.col(key).isNotNull() if valid is None else (F.col(key).isNotNull() & valid)
+        good = F.col(key).isNotNull() & F.coalesce(valid if valid is not None else F.lit(True), F.lit(False))
         ordered = list(order) or [key]
-        counts = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(ok_cond, 0).otherwise(1)).alias("bad"),
+        counts = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(good, 0).otherwise(1)).alias("bad"),
                            F.min(ordered[0]).alias("first_item")).first()
         errors = int(counts["bad"] or 0)
         if quarantine is not None and errors:
-            bad = batch.where(~ok_cond | ok_cond.isNull()).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-               .partitionBy("batch_id").parquet(quarantine)
-        first = keep_first(batch.where(ok_cond).withColumn("__src", F.monotonically_increasing_id()), [key],
-                           [*ordered, "__src"]).drop("__src").withColumn("key_bucket", key_bucket(key, buckets))
-        if _store_exists(spark, store):
-            touched = [r[0] for r in first.select("key_bucket").distinct().collect()]  # <= buckets values
-            earlier = (spark.read.parquet(store)
-                       .where((F.col("batch_id") < batch_id) & F.col("key_bucket").isin(touched))
-                       .select(key, "key_bucket"))
-            first = first.join(earlier, [key, "key_bucket"], "left_anti")
+            _write_batch(batch.where(~good), quarantine, batch_id)
+        first = keep_first(batch.where(good), [key], ordered)
+        if _store_exists(spark, store):  # the schema is given: folders of empty batches hold no file to infer it from
+            stored = spark.read.schema(T.StructType([batch.schema[key], T.StructField("batch_id", T.LongType())])).parquet(store)
+            first = first.join(stored.where(F.col("batch_id") < batch_id).select(key), key, "left_anti")
         written = Observation(f"insert-{batch_id}")
-        out = first.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(written, F.count(F.lit(1)).alias("n"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-           .partitionBy("key_bucket", "batch_id").parquet(store)
-        inserted = int(written.get["n"])  # rows of this batch's partitions, counted during the write
+        _write_batch(first.observe(written, F.count(F.lit(1)).alias("n")), store, batch_id)
+        inserted = int(written.get["n"])  # rows of this batch's folder, counted during the write
     finally:
         batch.unpersist()
     processed = int(counts["n"])
@@ -76,6 +65,11 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id
             "first_item": counts["first_item"]}
 
 
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """The batch's own folder, as many files as Spark makes of its size (one, for a small batch)."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def insert_all_batches(items: DataFrame, key: str, batch_col: str, order: Sequence[str]) -> DataFrame:
     """K2 over a whole sequence of batches at once: first write wins, so the store
     is the first row per key by (batch, order).  One partial aggregate."""

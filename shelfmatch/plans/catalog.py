@@ -34,7 +34,7 @@ from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
 from shelfmatch.session import ensure_session_defaults, scratch_path
 from shelfmatch.sources.files import read_catalogue, read_pages, read_store_keys, write_csv, write_json
 from shelfmatch.sources.sitemap import read_sitemap, write_sitemap
-from shelfmatch.streaming.ingest import stage_batches, stream_insert_if_absent
+from shelfmatch.streaming.ingest import PROFILES, stage_batches, staged_stream, stream_insert_if_absent
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -586,49 +586,58 @@ def load_stats(spark: SparkSession, sf: str) -> DataFrame:
                      F.col("errors").cast("long").alias("errors"))
 
 
-_STREAM_RUNS: dict = {}
-
-
-def _run_event_stream(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Run the streaming load once per session and input; both stream queries read its output."""
-    run_key = (id(spark.sparkContext._jsc), sf)
-    if run_key in _STREAM_RUNS:
-        return _STREAM_RUNS[run_key]
+def _run_event_stream(spark: SparkSession, sf: str, valid=None) -> str:
+    """Run the streaming load of the daily batches; the folder that holds its store, stats and quarantine."""
     base = scratch_path(spark, "event-stream")
     items = _events_by_day(spark, sf)
-    stage_batches(spark, items, "batch_day", f"{base}/in")
-    stream = (spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1)
-              .parquet(f"{base}/in/b*/part-*.parquet"))
-    q = stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/checkpoint", key="user_id",
-                                order=["batch_day", "ts", "event_id"], quarantine=f"{base}/quarantine")
-    q.awaitTermination()
-    _STREAM_RUNS[run_key] = (f"{base}/store", f"{base}/stats")
-    return _STREAM_RUNS[run_key]
+    stage_batches(items, "batch_day", f"{base}/in", ["ts", "event_id"])
+    stream = staged_stream(spark, f"{base}/in", items.schema, PROFILES["default"])
+    stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/checkpoint", key="user_id",
+                            order=["batch_day", "ts", "event_id"], valid=valid, quarantine=f"{base}/quarantine").awaitTermination()
+    return base
 
 
 @query("stream_insert_if_absent", _FIRST_EVENT_SQL)
 def stream_insert_if_absent_events(spark: SparkSession, sf: str) -> DataFrame:
     """ST2/ST3: ``events`` replayed as one file per day through a file stream;
     each micro-batch is inserted-if-absent; the result is the store."""
-    store, _ = _run_event_stream(spark, sf)
+    store = _run_event_stream(spark, sf) + "/store"
     return spark.read.parquet(store).select("user_id", "event_id", "event_type",
                                             F.col("batch_day").cast("string").alias("batch_day"))
 
 
-@query("stream_stats", """
-WITH f AS (""" + _FIRST_EVENT_SQL + """),
-     b AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_day, count(*) AS processed FROM events GROUP BY 1),
+# ``error`` events, and on the first day all events, are invalid items of these two queries.
+_INVALID_SQL = "(event_type = 'error' OR CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events))"
+
+
+def _valid_event(spark: SparkSession, sf: str):
+    first = _events_by_day(spark, sf).agg(F.min("batch_day")).first()[0]
+    return (F.col("event_type") != "error") & (F.col("batch_day") != F.lit(first))
+
+
+@query("stream_stats", f"""
+WITH f AS (SELECT user_id, CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS batch_day FROM events WHERE NOT {_INVALID_SQL} GROUP BY user_id),
+     b AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_day, count(*) AS processed, count(*) FILTER (WHERE {_INVALID_SQL}) AS errors FROM events GROUP BY 1),
      i AS (SELECT batch_day, count(*) AS inserted FROM f GROUP BY 1)
 SELECT b.batch_day AS first_item, CAST(processed AS BIGINT) AS processed, CAST(coalesce(inserted, 0) AS BIGINT) AS inserted,
-       CAST(processed - coalesce(inserted, 0) AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS errors
+       CAST(processed - errors - coalesce(inserted, 0) AS BIGINT) AS duplicates, CAST(errors AS BIGINT) AS errors
 FROM b LEFT JOIN i ON b.batch_day = i.batch_day
 """)
 def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """ST4: the per-micro-batch stats rows the streaming load writes."""
-    _, stats = _run_event_stream(spark, sf)
+    """ST4: the per-micro-batch stats rows of a streaming load with invalid items; its first batch holds nothing else."""
+    stats = _run_event_stream(spark, sf, _valid_event(spark, sf)) + "/stats"
     return spark.read.parquet(stats).select("first_item", "processed", "inserted", "duplicates", "errors")
 
 
+@query("stream_quarantine", f"""
+SELECT event_id, user_id, event_type FROM events WHERE {_INVALID_SQL}
+""")
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """ST5: the invalid items that the streaming load set aside."""
+    quarantine = _run_event_stream(spark, sf, _valid_event(spark, sf)) + "/quarantine"
+    return spark.read.parquet(quarantine).select("event_id", "user_id", "event_type")
+
+
 # ------------------------------------------------ A6 / J8 / F7 / S5 ---------
 @query("group_specs_events", """
 SELECT user_id AS doc_id, event_type AS "group", name, value FROM (

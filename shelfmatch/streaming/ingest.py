@@ -3,9 +3,9 @@
 ``stream_insert_if_absent`` runs ``insert_if_absent`` in ``foreachBatch``
 with the micro-batch id as the store partition; Structured Streaming's
 checkpoint (in the shared folder) records progress, and the idempotent
-batch write makes a replayed batch harmless.  Batch size and timeout map to
-the source's per-trigger limit and the processing-time trigger; draining
-at shutdown is ``availableNow``.
+batch write makes a replayed batch harmless.  A micro-batch of n items is one
+staged file of at most n items (or n offsets of a log); the timeout is the
+processing-time trigger; draining at shutdown is ``availableNow``.
 """
 
 from __future__ import annotations
@@ -29,7 +29,10 @@ class BatchProfile:
     def source_options(self, source: str = "files") -> dict:
         if source == "kafka":
             return {"maxOffsetsPerTrigger": str(self.size)}
-        return {"maxFilesPerTrigger": str(self.size)}
+        return {"maxFilesPerTrigger": "1"}  # files staged with ``staging_options`` hold at most ``size`` items
+
+    def staging_options(self) -> dict:
+        return {"maxRecordsPerFile": str(self.size)}
 
     def trigger(self) -> dict:
         return {"processingTime": f"{self.timeout_s} seconds"}
@@ -47,30 +50,47 @@ PROFILES = {
 def stream_insert_if_absent(stream: DataFrame, store: str, stats: str, checkpoint: str, key: str = "url",
                             order: Sequence[str] = (), valid: Column | None = None,
                             quarantine: str | None = None, drain: bool = True,
-                            profile: BatchProfile = PROFILES["default"], buckets: int = 64) -> StreamingQuery:
+                            profile: BatchProfile = PROFILES["default"]) -> StreamingQuery:
     """ST2 + ST4 + ST5 (+ ST3 when ``drain``): start the load; returns the query."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid,
-                               quarantine=quarantine, buckets=buckets)
+        row = insert_if_absent(spark, batch, store, batch_id, key=key, order=order, valid=valid, quarantine=quarantine)
         day = row.pop("first_item")
         stats_df = spark.createDataFrame([row], STATS_SCHEMA).withColumn(
             "first_item", F.lit(str(day) if day is not None else None))
-        stats_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                .partitionBy("batch_id").parquet(stats)
+        stats_df.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(f"{stats}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(**profile.trigger())
     return writer.start()
 
 
-def stage_batches(spark: SparkSession, items: DataFrame, batch_col: str, path: str) -> list:
-    """Stage a table as one file per batch value, written in batch order, so a
-    file stream with ``maxFilesPerTrigger=1`` replays it batch by batch."""
-    values = [r[0] for r in items.select(batch_col).distinct().orderBy(batch_col).collect()]
-    for i, v in enumerate(values):
-        items.where(F.col(batch_col) == v).coalesce(1).write.mode("overwrite").parquet(f"{path}/b{i:06d}")
-    return values
+def stage_batches(items: DataFrame, batch_col: str, path: str, order: Sequence[str] = (), profile: BatchProfile | None = None) -> None:
+    """Stage a table as a file stream in one job: a folder per batch value (then a column of the stream), with one file
+    per value, or files of at most ``profile.size`` items in ``order``.
+
+    A file stream takes files by age, and the job writes them in any order, so their times are set by name at the end
+    (a metadata call per file, as many as the stream lists).
+    """
+    options = profile.staging_options() if profile else {}
+    dealt = items.repartition(batch_col).sortWithinPartitions(batch_col, *order)
+    dealt.write.mode("overwrite").options(**options).partitionBy(batch_col).parquet(path)
+    sc = items.sparkSession.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    files, found = [], fs.listFiles(root, True)
+    while found.hasNext():
+        file = found.next()
+        if file.getPath().getName().startswith("part-"):
+            files.append((file.getPath().toString(), file))
+    newest = max((f.getModificationTime() for _, f in files), default=0)
+    for k, (_, file) in enumerate(sorted(files, key=lambda f: f[0])):
+        fs.setTimes(file.getPath(), newest - 1000 * (len(files) - k), -1)
+
+
+def staged_stream(spark: SparkSession, path: str, schema, profile: BatchProfile) -> DataFrame:
+    """The staged files as a stream, one file per micro-batch."""
+    return spark.readStream.schema(schema).options(**profile.source_options()).parquet(path)
 
 
 class LoadProgress(StreamingQueryListener):

@@ -31,6 +31,17 @@ def test_insert_if_absent_first_write_wins_and_replay(spark):
     assert spark.read.parquet(quarantine).count() == 1
 
 
+def test_insert_if_absent_after_a_batch_without_valid_rows_and_with_ties(spark):
+    store = scratch_path(spark, "store")
+    none = insert_if_absent(spark, _batch(spark, [(None, "x", T0, "error"), (None, "y", T0, "error")]), store, 0, key="url", order=["crawled_at"])
+    assert (none["inserted"], none["errors"]) == (0, 2)
+    for _ in range(2):  # equal in the order column: the other columns decide, so a replay writes the same row
+        s1 = insert_if_absent(spark, _batch(spark, [("u1", "b", T0, "s"), ("u1", "a", T0, "s")]), store, 1, key="url", order=["crawled_at"])
+        assert (s1["inserted"], s1["duplicates"]) == (1, 1)
+    assert [r["product_data"] for r in spark.read.parquet(store).collect()] == ["a"]
+    assert insert_if_absent(spark, _batch(spark, [("u1", "c", T0, "s")]), store, 2, key="url", order=["crawled_at"])["inserted"] == 0
+
+
 def test_url_operators(spark):
     cands = spark.createDataFrame([("https://x.vn/dtdd/a",), ("https://x.vn/dtdd/sac-b",), ("https://x.vn/dtdd/a",),
                                    ("https://x.vn/phu-kien/dtdd",), ("ftp://samsung",)], "url string")

@@ -141,11 +141,11 @@ def test_semantic_main_score_and_threshold_guard(spark):
         match_catalogues(a, b, MatchConfig(threshold=0.0))
 
 
-def test_keep_first_is_a_partial_aggregate_not_a_window(spark):
+def test_keep_first_is_limited_before_the_shuffle(spark):
     df = spark.createDataFrame([(i, f"t{i % 3}") for i in range(30)], "o long, t string")
     plan = keep_first(df, ["t"], ["o"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert plan.count("Aggregate") >= 2  # partial (map side) and final
+    assert "SortAggregate" not in plan
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
 def test_combined_keeps_pairs_without_vectors_and_on_the_bound(spark):
