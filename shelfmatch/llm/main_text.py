@@ -34,6 +34,8 @@ from shelfmatch.llm.url_filter import host_and_path
 MIN_SUPPORT = 0.3
 #: Tokens of a valid class.
 MIN_SIZE = 2
+#: A host with a larger share of all pages is dealt out over so many tasks.
+HOT_SHARE, SALTS = 0.005, 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>?", re.S)
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -208,8 +210,14 @@ def templates(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text of each page."""
     prepare(pages.sparkSession)
-    pages = pages.select("page_id", "url", "html")
-    keyed = pages.withColumn("host", host_and_path(F.col("url"))["host"]).join(templates(pages), "host", "left")
+    pages = pages.select("page_id", "url", "html").withColumn("host", host_and_path(F.col("url"))["host"])
+    # hosts with more than HOT_SHARE of all pages (so 1 / HOT_SHARE at most) are dealt out over SALTS tasks
+    counts = pages.groupBy("host").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("host").isin([r["host"] for r in counts.where(F.col("n") > HOT_SHARE * total).collect()])
+    spread = templates(pages).withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    salt = F.when(hot, F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    keyed = pages.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
     text = per_row(_extract, "text string", F.col("html"), F.col("containers"))
     return keyed.select("page_id", "url", text["text"].alias("text"))
 
