@@ -128,7 +128,7 @@ class ChunkTokenizer:
             self.chunks.clear()
         if len(self.words) > KEPT_CHUNKS:
             self.words.clear()
-        new = list(set().union(*split) - self.chunks.keys())
+        new = list(set().union(*split).difference(self.chunks))
         words, rests, plain, other = [], [], set(), {""}
         for t in map(bytes.decode, new):
             word = t.rstrip(self._MARKS)
@@ -141,8 +141,8 @@ class ChunkTokenizer:
                 words.append(t)
                 rests.append("")
                 other.add(t)
-        self._learn_words(list(plain - self.words.keys()))
-        self._learn(list(other - self.words.keys()))
+        self._learn_words(list(plain.difference(self.words)))
+        self._learn(list(other.difference(self.words)))
         get = self.words.__getitem__
         self.chunks.update(zip(new, map(bytes.__add__, map(get, words), map(get, rests))))
         get = self.chunks.__getitem__
