@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.rouge import lcs_length, min_overlap, rouge_l_f1, rouge_tokens, string_score
@@ -164,104 +164,56 @@ def _scored_candidates(a: DataFrame, b: DataFrame, cfg: MatchConfig) -> DataFram
     return pairs
 
 
-def _token_table(texts: DataFrame, side: str) -> DataFrame:
-    toks = rouge_tokens(py_strip("text"))
-    empty = F.col("text").isNull() | (F.col("text") == "")
-    return texts.select(F.lit(side).alias("side"), "id",
-                        F.when(empty, F.array().cast("array<string>")).otherwise(toks).alias("toks"))
-
+def _signed(texts: DataFrame, t: float, suffix: str) -> DataFrame:
+    """One row per prefix element of each text: key, its place, and what the verification needs.
 
-SHORT_TEXT = 32  # texts up to this many tokens use two-element signatures
+    Elements are (token, occurrence), in one global order: longer tokens first (they are the rarer ones), then by
+    token.  The order needs no statistics of the corpus, so the elements are made where the text is read.
+    """
+    empty = F.col("text").isNull() | (F.col("text") == "")
+    toks = F.when(empty, F.array().cast("array<string>")).otherwise(rouge_tokens(py_strip("text")))
+    rows = texts.select("id", toks.alias("toks")).withColumn("m", F.size("toks"))
+    by_length = F.array_sort(F.transform("toks", lambda x: F.struct((-F.length(x)).alias("l"), x.alias("x"))))
+    rows = rows.withColumn("sorted", F.transform(by_length, lambda e: e["x"]))
+    kept = F.slice("sorted", 1, F.greatest(F.col("m") - min_overlap(F.col("m"), t) + 1, F.lit(0)))
+    keys = F.transform(kept, lambda x, i: F.xxhash64(x, i - F.array_position("sorted", x)))
+    rows = rows.withColumn("prefix", keys).select("id", "m", "toks", "prefix", F.posexplode("prefix").alias("pos", "key"))
+    return rows.select("key", *[F.col(c).alias(f"{c}_{suffix}") for c in ("id", "m", "toks", "prefix", "pos")])
 
 
-def rouge_join(left: DataFrame, right: DataFrame | None, t: float, short: int = SHORT_TEXT) -> DataFrame:
-    """All (id_l, id_r, score) with ROUGE-L F1(text_r, text_l) >= t, t in (0, 1].
+def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
+    """All (id_l, id_r, score) with ROUGE-L F1(text_r, text_l) >= t, t > 0.
 
     Inputs ``(id, text)`` with unique ids; ``right=None`` joins ``left`` with
     itself and, the score being symmetric, returns each pair once
     (``id_l < id_r``).
 
-    F1 >= t forces a multiset overlap O >= A = max(alpha(m), alpha(n)) with
-    alpha(m) = ceil(t*m/(2-t)).  Elements are (token, occurrence) in one
-    global rarest-first order.  If O >= 1, the first m - alpha + 1 elements
-    of the two texts intersect; if O >= 2, the first m - alpha + 2 share at
-    least two elements (the second common element sits at most that deep).
-    Candidates therefore come from equi-joins that never pair texts merely
-    because both contain a frequent token, unless that can qualify:
-
-    * short texts (<= ``short`` tokens) join on *pairs* of prefix elements -
-      complete for every pair needing overlap >= 2;
-    * short texts with alpha = 1 also join on single elements among
-      themselves (a single shared token can suffice only there);
-    * long texts join on single prefix elements with everything.
-
-    A length bound and the exact LCS (bit-parallel, Arrow batches) decide.
+    F1 >= t forces a multiset overlap of at least alpha(m) = ceil(t*m/(2-t))
+    elements, so the first m - alpha + 1 elements of the two texts intersect:
+    one equi-join on prefix elements.  Its condition also holds the length
+    bound, the bound that follows from the places of the common element (no
+    more than the elements behind it can be shared), and that it is the first
+    common one, so each pair comes out once.  The exact LCS (bit-parallel,
+    Arrow batches) decides.  A frequent token's key is a skewed join key,
+    which Spark splits.
     """
+    if t <= 0:
+        raise ValueError("rouge_join needs t > 0 (every pair qualifies at 0)")
     self_join = right is None
     if t > 1:  # no score reaches it
         return left.select(F.col("id").alias("id_l"), F.col("id").alias("id_r"), F.lit(0.0).alias("score")).where(F.lit(False))
-    cand, toks = rouge_candidates(left, right, t, short)
-    other = "l" if self_join else "r"
-    tl = toks.where(F.col("side") == "l").select(F.col("id").alias("id_l"), F.col("toks").alias("toks_l"))
-    tr = toks.where(F.col("side") == other).select(F.col("id").alias("id_r"), F.col("toks").alias("toks_r"))
-    scored = (cand.join(tl, "id_l").join(tr, "id_r")
-                  .withColumn("lcs", lcs_length(F.col("toks_r"), F.col("toks_l")))
+    least = F.lit(t) * (F.col("m_l") + F.col("m_r")) / 2.0 - 1e-9
+    shared = F.least(F.col("m_l") - F.col("pos_l"), F.col("m_r") - F.col("pos_r"))  # places count from 0
+    cand = _signed(left, t, "l").join(_signed(left if self_join else right, t, "r"), "key").where(
+        (F.least("m_l", "m_r") >= least) & (shared >= least)
+        & (F.get(F.array_intersect("prefix_l", "prefix_r"), 0) == F.col("key")))
+    if self_join:
+        cand = cand.where(F.col("id_l") < F.col("id_r"))
+    scored = (cand.withColumn("lcs", lcs_length(F.col("toks_r"), F.col("toks_l")))
                   .withColumn("score", 2.0 * F.col("lcs") / (F.col("m_l") + F.col("m_r"))))
     return scored.where(F.col("score") >= F.lit(t)).select("id_l", "id_r", "score")
 
 
-def rouge_candidates(left: DataFrame, right: DataFrame | None, t: float, short: int = SHORT_TEXT):
-    """Candidate pairs ``(id_l, id_r, m_l, m_r)`` of ``rouge_join`` and the token table."""
-    if t <= 0:
-        raise ValueError("rouge_join needs t > 0 (every pair qualifies at 0)")
-    self_join = right is None
-    toks = _token_table(left, "l")
-    if not self_join:
-        toks = toks.unionByName(_token_table(right, "r"))
-    toks = toks.withColumn("m", F.size("toks"))
-    counts = (toks.select("side", "id", "m", F.explode("toks").alias("tok"))
-                  .groupBy("side", "id", "m", "tok").agg(F.count(F.lit(1)).alias("c")))
-    elems = counts.select("side", "id", "m", "tok", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("k"))
-    freq = elems.groupBy("tok", "k").agg(F.count(F.lit(1)).alias("f"))
-    alpha = min_overlap(F.col("m"), t)
-    w = Window.partitionBy("side", "id").orderBy("f", "tok", "k")
-    ranked = (elems.join(freq, ["tok", "k"]).withColumn("rn", F.row_number().over(w))
-                   .withColumn("cls", F.when(F.col("m") > short, "L").when(alpha == 1, "A").otherwise("B")))
-    single = (ranked.where(F.col("rn") <= F.col("m") - alpha + 1)
-                    .select("side", "id", "m", "cls", F.concat_ws("\u0001", "tok", F.col("k").cast("string")).alias("key")))
-    # Two-element signatures of short texts: the prefix elements are gathered over the same
-    # window (no further shuffle; at most ``short`` elements per text) and paired on the first row.
-    p2 = F.least(F.col("m"), F.col("m") - alpha + 2)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    in_p2 = (F.col("cls") != "L") & (F.col("rn") <= p2)
-    pair_src = (ranked.withColumn("e", F.array_sort(F.collect_list(F.when(in_p2, F.struct("rn", "tok", "k"))).over(whole)))
-                      .where((F.col("cls") != "L") & (F.col("rn") == 1)))
-    pairs = pair_src.select("side", "id", "m", "cls", F.explode(F.flatten(F.transform(
-        "e", lambda x, i: F.transform(F.slice("e", i + 2, F.greatest(F.size("e") - i - 1, F.lit(1))),
-                                      lambda y: F.concat_ws("\u0001", x["tok"], x["k"].cast("string"),
-                                                            y["tok"], y["k"].cast("string")))))).alias("key"))
-    pairs = pairs.where(F.size(F.split("key", "\u0001")) == 4)
-
-    other = "l" if self_join else "r"
-
-    def sides(df: DataFrame, cls_l, cls_r) -> DataFrame:
-        a = df.where((F.col("side") == "l") & F.col("cls").isin(*cls_l)) \
-              .select(F.col("id").alias("id_l"), F.col("m").alias("m_l"), "key")
-        b = df.where((F.col("side") == other) & F.col("cls").isin(*cls_r)) \
-              .select(F.col("id").alias("id_r"), F.col("m").alias("m_r"), "key")
-        j = a.join(b, "key")
-        return j.where(F.col("id_l") < F.col("id_r")) if self_join else j
-
-    parts = [sides(pairs, ["A", "B"], ["A", "B"]), sides(single, ["A"], ["A"]),
-             sides(single, ["L"], ["L", "A", "B"]), sides(single, ["A", "B"], ["L"])]
-    cand = parts[0]
-    for part in parts[1:]:
-        cand = cand.unionByName(part)
-    cand = cand.select("id_l", "id_r", "m_l", "m_r").distinct()
-    cand = cand.where(2.0 * F.least("m_l", "m_r") >= F.lit(t) * (F.col("m_l") + F.col("m_r")) - 1e-9)
-    return cand, toks
-
-
 def matching_pairs(cat1: DataFrame, cat2: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """``(n)``: rows whose sum is the number of pairs at or above the threshold, before one pair per title is chosen.
 

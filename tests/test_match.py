@@ -74,8 +74,6 @@ def test_rouge_join_equals_brute_force(spark, texts, t):
         assert abs(got[k] - want[k]) < 1e-12
     once = {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, t).collect()}
     assert once == {(i, j) for (i, j) in want if i < j}
-    mixed = {(r["id_l"], r["id_r"]) for r in rouge_join(df, df, t, short=3).collect()}  # long-text path too
-    assert mixed == set(want)
 
 
 def test_rouge_and_combined_main_scores(spark):
@@ -97,9 +95,10 @@ def test_rouge_join_random_texts_no_miss(spark):
     df = spark.createDataFrame(rows, "id long, text string")
     want = {(i, j) for (i, a), (j, b) in itertools.product(rows, rows)
             if 2 * _lcs(b.split(), a.split()) / (len(a.split()) + len(b.split())) >= 0.6}
-    for short in (32, 4, 0):
-        got = {(r["id_l"], r["id_r"]) for r in rouge_join(df, df, 0.6, short=short).collect()}
-        assert got == want, short
+    assert {(r["id_l"], r["id_r"]) for r in rouge_join(df, df, 0.6).collect()} == want
+    assert rouge_join(df, df, 1.01).count() == 0
+    plan = rouge_join(df, df, 0.6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 2 and "Window" not in plan and "Aggregate" not in plan
     low = {(i, j) for (i, a), (j, b) in itertools.product(rows, rows)
            if i < j and 2 * _lcs(b.split(), a.split()) / (len(a.split()) + len(b.split())) >= 0.25}
     assert {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, 0.25).collect()} == low
