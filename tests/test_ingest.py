@@ -84,3 +84,17 @@ def test_new_urls_plan_is_anti_join(spark):
     seen = spark.createDataFrame([("a",)], "url string")
     plan = new_urls(cands, seen)._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "Cartesian" not in plan
+
+
+def test_catalogue_columns_are_bound_by_name_in_file_order(spark, tmp_path):
+    import pytest
+
+    from shelfmatch.sources.files import read_catalogue
+    (tmp_path / "a.csv").write_text('title,_id,extra,title_cleaned,color_options,capacities\n"Phone\nX",42,e,phone x,NaN,N/A\nB,43,e,b,,128GB\n')
+    (tmp_path / "b.csv").write_text('title,_id,extra,title_cleaned,color_options,capacities\nC,44,e,c,red,\n' + "D,45,e,d,red,\n" * 300)
+    rows = read_catalogue(spark, str(tmp_path)).orderBy("_ord").collect()
+    assert [r["_id"] for r in rows[:3]] == ["42", "43", "44"] and len(rows) == 303
+    assert (rows[0]["title"], rows[0]["capacities"], rows[0]["color_options"], rows[1]["capacities"]) == ("Phone\nX", None, None, "128GB")
+    (tmp_path / "c.csv").write_text("_id,title\n1,x\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_catalogue(spark, str(tmp_path / "c.csv"))

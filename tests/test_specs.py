@@ -77,3 +77,23 @@ def test_merge_sections_later_wins(spark):
 def test_drop_forbidden(spark):
     df = spark.createDataFrame([("a", 200), ("b", 403), ("c", None)], "url string, http_status int")
     assert sorted(r["url"] for r in drop_forbidden(df).collect()) == ["a", "c"]
+
+
+def test_rules_match_class_tokens_nesting_and_attributes(spark):
+    html = ("<div class='price-old'>1</div><DIV CLASS='x price'>a<div>b</div>c &#x41;&#66; &#9999999;</DIV><div class=price>d</div>"
+            "<a class=y href='/no'>n</a><a class='x z' data-href='/d' href='/yes'>t</a><a class='x' href=/bare>u</a><abbr class=x href=/q>v</abbr>")
+    page = spark.createDataFrame([(1, "u", html), (2, "u", "<div class=price>never ends<div>"), (3, "u", None)], "page_id long, url string, html string")
+    rules = [Rule("price", "div", cls="price"), Rule("links", "a", cls="x", mode="attr", attr="href"), Rule("names", "a", cls="x", mode="list"), Rule("n", "div", mode="count")]
+    rows = {r["page_id"]: r for r in extract_fields(page, rules).collect()}
+    assert rows[1]["price"] == "a b c AB &#9999999;"
+    assert rows[1]["links"] == ["/yes", "/bare"] and rows[1]["names"] == ["t", "u"] and rows[1]["n"] == 4
+    assert rows[2]["price"] is None and rows[3]["price"] is None
+
+
+def test_resolve_refs_long_chains_and_long_cycles(spark):
+    chain = [(1, f"c{i}", f"$c{i + 1}") for i in range(100)] + [(1, "c100", "end")]
+    cycle = [(2, f"k{i}", f"$k{(i + 1) % 37}") for i in range(37)] + [(2, "in", "$k5"), (2, "n", None), (2, "to_null", "$n")]
+    got = {(r["doc_id"], r["key"]): r["resolved"] for r in resolve_refs(spark.createDataFrame(chain + cycle, "doc_id long, key string, value string")).collect()}
+    assert len(got) == len(chain) + len(cycle)
+    assert all(got[1, f"c{i}"] == "end" for i in range(101))
+    assert all(v is None for (d, _), v in got.items() if d == 2)
