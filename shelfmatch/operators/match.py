@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.rouge import lcs_length, min_overlap, rouge_l_f1, rouge_tokens, string_score
@@ -172,15 +172,28 @@ def _signed(texts: DataFrame, t: float, suffix: str) -> DataFrame:
     """
     empty = F.col("text").isNull() | (F.col("text") == "")
     toks = F.when(empty, F.array().cast("array<string>")).otherwise(rouge_tokens(py_strip("text")))
-    rows = texts.select("id", toks.alias("toks")).withColumn("m", F.size("toks"))
-    by_length = F.array_sort(F.transform("toks", lambda x: F.struct((-F.length(x)).alias("l"), x.alias("x"))))
-    rows = rows.withColumn("sorted", F.transform(by_length, lambda e: e["x"]))
-    kept = F.slice("sorted", 1, F.greatest(F.col("m") - min_overlap(F.col("m"), t) + 1, F.lit(0)))
-    keys = F.transform(kept, lambda x, i: F.xxhash64(x, i - F.array_position("sorted", x)))
-    rows = rows.withColumn("prefix", keys).select("id", "m", "toks", "prefix", F.posexplode("prefix").alias("pos", "key"))
+
+    def in_order(tokens: Column) -> Column:
+        by_length = F.array_sort(F.transform(tokens, lambda x: F.struct((-F.length(x)).alias("l"), x.alias("x"))))
+        return F.transform(by_length, lambda e: e["x"])
+
+    def prefix(ordered: Column) -> Column:
+        m = F.size(ordered)
+        kept = F.slice(ordered, 1, F.greatest(m - min_overlap(m, t) + 1, F.lit(0)))
+        return F.transform(kept, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x)))
+
+    # bound to lambda variables, so that each step is computed once per text
+    made = _bound(toks, lambda ts: _bound(in_order(ts), lambda ordered: F.struct(
+        ts.alias("toks"), F.size(ordered).alias("m"), prefix(ordered).alias("prefix"))))
+    rows = texts.select("id", made.alias("e")).select("id", "e.m", "e.toks", "e.prefix", F.posexplode("e.prefix").alias("pos", "key"))
     return rows.select("key", *[F.col(c).alias(f"{c}_{suffix}") for c in ("id", "m", "toks", "prefix", "pos")])
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     """All (id_l, id_r, score) with ROUGE-L F1(text_r, text_l) >= t, t > 0.
 
