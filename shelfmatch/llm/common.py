@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -82,6 +85,26 @@ def _arity(run: Callable, n: int) -> Callable:
     return two
 
 
+#: The tables that this Python worker holds: those of one operator at a time, as workers are reused.
+_RESIDENT: dict = {}
+
+
+def resident(key: tuple, make: Callable):
+    """``make()``, kept in this Python worker until other tables are asked for; the memory of those before is given back."""
+    if key not in _RESIDENT:
+        if _RESIDENT:
+            _RESIDENT.clear()
+            _give_back()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def _give_back() -> None:
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has this call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def normal_words(text: str | None) -> list[bytes]:
     """Words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z in lower case, as UTF-8."""
     return text.encode().translate(_WORD_BYTES).split() if text else []

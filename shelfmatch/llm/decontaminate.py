@@ -22,7 +22,7 @@ import operator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import fresh, normal_words, per_row, prepare, table
+from shelfmatch.llm.common import fresh, normal_words, per_row, prepare, resident, table
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -86,19 +86,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-#: The tables of the block that this Python worker searched last, by the block's broadcast id.
-_TABLES: dict[int, WuManber] = {}
-
-
 def search(texts: list, block_id: int, block) -> list[tuple]:
-    if block_id not in _TABLES:
-        _TABLES.clear()
-        _TABLES[block_id] = WuManber(windows(block.value))
-    out = []
+    tables, out = resident(("decontaminate", block_id), lambda: WuManber(windows(block.value))), []
     for text in texts:
         words = normal_words(text)
         spans, items = [], set()
-        for start, end, ids in _TABLES[block_id].find(words):
+        for start, end, ids in tables.find(words):
             spans.append((start, end))
             items |= ids
         out.append((len(words), [{"start": a, "end": b} for a, b in merged(spans)], sorted(items - {None})))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import fresh, normal_words, per_row, prepare, quoted, stored, table
+from shelfmatch.llm.common import fresh, normal_words, per_row, prepare, quoted, resident, stored, table
 from shelfmatch.llm.graph import components
 
 SHINGLE = 5
@@ -58,7 +58,8 @@ SEED = 20_11
 _RANDOM = np.random.default_rng(SEED)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _RANDOM.integers(0, 1 << 32, HASHES, dtype=np.uint32)
-_WORDS: dict[bytes, int] = {}
+#: Words whose hashes are kept; the table is dropped and filled anew beyond it.
+KEPT_WORDS = 200_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,11 +74,12 @@ def shingles(text: str | None) -> np.ndarray:
     words = normal_words(text)
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    if len(_WORDS) > 500_000:
-        _WORDS.clear()
-    for w in set(words).difference(_WORDS):
-        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = resident(("near",), dict)
+    if len(hashes) > KEPT_WORDS:
+        hashes.clear()
+    for w in set(words).difference(hashes):
+        hashes[w] = xxhash.xxh3_64_intdigest(w)
+    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     n = max(1, len(h) - SHINGLE + 1)
     out = np.zeros(n, dtype=np.uint64)
     for k in range(min(SHINGLE, len(h))):

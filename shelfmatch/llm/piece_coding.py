@@ -26,15 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.llm import pieces
-from shelfmatch.llm.common import fresh, per_row, prepare, table
+from shelfmatch.llm.common import fresh, per_row, prepare, resident, table
 from shelfmatch.llm.pieces import SPACE, Pieces
 
 #: Units whose ids are kept between batches; the table is dropped and filled anew beyond it.
-KEPT_UNITS = 400_000
+KEPT_UNITS = 300_000
 #: Pairs of pieces kept likewise.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 400_000
 #: Characters of unit text per suffix array.
-INDEX_CHARS = 400_000
+INDEX_CHARS = 100_000
 SEPARATOR = "\U0010ffff"
 
 
@@ -167,7 +167,7 @@ class Coder:
         if len(self.known) > KEPT_UNITS:
             self.known.clear()
         some, size = [], 0
-        for u in set().union(*split) - self.known.keys():
+        for u in set().union(*split).difference(self.known):
             some.append(u)
             size += len(u) + 1
             if size > INDEX_CHARS:
@@ -183,9 +183,9 @@ class Coder:
         return data.decode(errors="replace")[1:]
 
 
-@functools.lru_cache(maxsize=2)
 def coder(path: str) -> Coder:
-    return Coder(pieces.load(path))
+    """One coder per Python worker and path."""
+    return resident(("piece coding", path), lambda: Coder(Pieces(path)))
 
 
 CODED = "ids binary, n_tokens long, ids_crc32 long, decoded string"

@@ -10,7 +10,6 @@ holds the space mark after another character, and characters without a piece fal
 
 from __future__ import annotations
 
-import functools
 import re
 
 SPACE = "▁"
@@ -57,7 +56,7 @@ class Pieces:
         """Whether pieces ``a`` and ``b`` stay apart when the model segments their joined text."""
         found = self._pairs.get((a, b))
         if found is None:
-            if len(self._pairs) > 1_000_000:  # a table of this size is dropped and filled anew
+            if len(self._pairs) > 400_000:  # a table of this size is dropped and filled anew
                 self._pairs.clear()
             found = self._pairs[a, b] = self.merged(list(a + b)) == [a, b]
         return found
@@ -66,12 +65,6 @@ class Pieces:
         return [self.byte_id[b] for b in char.encode()]
 
 
-@functools.lru_cache(maxsize=2)
-def load(path: str) -> Pieces:
-    """One table per Python worker and path."""
-    return Pieces(path)
-
-
 def default_path() -> str:
     import public_tokenizers
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import string
 import struct
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import prepare, stored, table
+from shelfmatch.llm.common import prepare, resident, stored, table
 from shelfmatch.session import scratch_path
 
 #: A text that neither starts nor ends like itself, of bytes that ids cannot give.
@@ -149,12 +150,10 @@ class ChunkTokenizer:
         return [b"".join(map(get, chunks)) for chunks in split]
 
 
-@functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> ChunkTokenizer:
-    import os
-
+    """One tokenizer per Python worker and path."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return ChunkTokenizer(path)
+    return resident(("records", path), lambda: ChunkTokenizer(path))
 
 
 def _frames(batches, path: str, end_id: int):

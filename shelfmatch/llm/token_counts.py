@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.llm import pieces
-from shelfmatch.llm.common import per_row, prepare, table
+from shelfmatch.llm.common import per_row, resident, table
 from shelfmatch.llm.pieces import SPACE, Pieces
 
 CHUNK_CHARS = 65536
@@ -141,9 +141,9 @@ class Transducer:
         return self.read(0, whole[0])[1] + whole[2]
 
 
-@functools.lru_cache(maxsize=2)
 def transducer(path: str) -> Transducer:
-    return Transducer(pieces.load(path))
+    """One transducer per Python worker and path."""
+    return resident(("token counts", path), lambda: Transducer(Pieces(path)))
 
 
 def counts(texts: list, path: str, chunk_chars: int = CHUNK_CHARS) -> list[tuple]:

@@ -43,13 +43,13 @@ def test_scan_is_the_composition_of_all_before():
 def test_transducer_starts_anew_when_full(library, monkeypatch):
     monkeypatch.setattr(token_counts, "KEPT_STATES", 50)
     monkeypatch.setattr(token_counts, "KEPT_UNITS", 5)
-    machine = token_counts.Transducer(pieces.load(pieces.default_path()))
+    machine = token_counts.Transducer(pieces.Pieces(pieces.default_path()))
     for t in texts(200):
         assert machine.count(t or "") == len(library.encode(t or ""))
 
 
 def test_piece_coding_equals_the_library(library):
-    coder = piece_coding.Coder(pieces.load(pieces.default_path()))
+    coder = piece_coding.Coder(pieces.Pieces(pieces.default_path()))
     some = [t or "" for t in texts()]
     for t, ids in zip(some, coder.encode(some)):
         want = library.encode(t)
@@ -61,7 +61,7 @@ def test_piece_coding_equals_the_library(library):
 def test_small_tables_of_units_and_pairs(library, monkeypatch):
     for name, n in (("KEPT_UNITS", 3), ("KEPT_PAIRS", 20), ("INDEX_CHARS", 40)):
         monkeypatch.setattr(piece_coding, name, n)
-    coder = piece_coding.Coder(pieces.load(pieces.default_path()))
+    coder = piece_coding.Coder(pieces.Pieces(pieces.default_path()))
     some = [t or "" for t in texts(200) if len(t or "") < 1000]
     assert [np.frombuffer(i, dtype="<u4").tolist() for i in coder.encode(some)] == library.encode(some)
 
