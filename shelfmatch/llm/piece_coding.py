@@ -33,6 +33,8 @@ from shelfmatch.llm.pieces import SPACE, Pieces
 KEPT_UNITS = 300_000
 #: Pairs of pieces kept likewise.
 KEPT_PAIRS = 400_000
+#: Texts whose units are held at once.
+TEXTS = 400
 #: Characters of unit text per suffix array.
 INDEX_CHARS = 100_000
 SEPARATOR = "\U0010ffff"
@@ -105,7 +107,7 @@ class Coder:
         if len(new):
             text = self.model.text
             first, second = np.divmod(new, len(text))
-            fits = [self.model.pair(text[a], text[b]) for a, b in zip(first.tolist(), second.tolist())]
+            fits = [self.model.merged(list(text[a] + text[b])) == [text[a], text[b]] for a, b in zip(first.tolist(), second.tolist())]
             if len(self.pair_keys) > KEPT_PAIRS:
                 self.pair_keys, self.pair_fits = self.pair_keys[-1:], self.pair_fits[-1:]
                 return self.may_follow(before, piece)
@@ -162,6 +164,9 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""
+        return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode(texts[i:i + TEXTS])]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         find = self.model.units.findall
         split = [find(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
         if len(self.known) > KEPT_UNITS:
