@@ -11,7 +11,9 @@ The template's main slots lie below a container: of each class the token that oc
 ranks first by its name (`article`, `main`, known ids and classes, `body`), then by the text that its slots hold on
 all pages of the host.  A page's text is what its best container holds, without the elements that menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments stand in.  Text itself is never a
-template token, so a passage that repeats on all pages of a host is kept.
+template token, so a passage that repeats on all pages of a host is kept.  An element that these names exclude is kept
+all the same if it holds ``DOMINANT`` of its page's text, mostly not links, and no main container outside it holds
+``ASIDE`` of it: a page-wide form, or an article filed under `legal`.
 
 Defined results: null and empty html give the empty text; a page that has none of its
 host's containers is judged by its own tokens; null and odd URLs share the empty host; white space inside a block is
@@ -34,6 +36,8 @@ from shelfmatch.llm.url_filter import host_and_path
 MIN_SUPPORT = 0.3
 #: Tokens of a valid class.
 MIN_SIZE = 2
+#: Shares of a page's text: an element that holds the first is not excluded, a main container with the second counts.
+DOMINANT, ASIDE = 0.5, 0.2
 #: A host with a larger share of all pages is dealt out over so many tasks.
 HOT_SHARE, SALTS = 0.005, 64
 
@@ -57,12 +61,28 @@ _OUT_NAMES = re.compile(
     r"cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe|signup|login|search|comments?|commentlist|disqus|replies|reply|respond|discussion|"
     r"related|recommend\w*|share|sharing|social|widget|toolbar|pagination|pager|copyright|legal|complementary|contentinfo|alert|hidden|skip\w*)(?:$|[\s_-])|"
     r"(?:^|\s)header(?:$|\s)", re.I)
+#: Elements that are never the text, whatever they hold.
+_NEVER = _OUT_TAGS - {"header", "aside", "form"}
+#: Class names that wrap the text whatever else the element is called.
+_SURE_NAMES = re.compile(r"(?:^|\s)(?!\S*(?:comment|repl|sidebar|footer|related))(?:\S*[_-])?(?:hentry|(?:post|entry|article|story|main|page)[_-](?:content|body|text))(?:$|\s)", re.I)
+#: Class names that tell a state of the element, not what it is; the filing ones only beside a main name.
+_STATES = re.compile(r"(?:no|has|with|without)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled)", re.I)
+_FILED = re.compile(r"(?:category|cat|tag|format|type|status|term)[_-].*", re.I)
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 
 
 def _role(tag: str, raw: str) -> str:
     names = " ".join("".join(m) for m in _NAMES.findall(raw)) if "=" in raw else ""
-    return f"{tag}.{'.'.join(sorted(set(names.split())))}" if names.strip() else tag
+    return _named(tag, names) if names.strip() else tag
+
+
+@functools.lru_cache(maxsize=100_000)
+def _named(tag: str, names: str) -> str:
+    kept = [n for n in set(names.split()) if not _STATES.fullmatch(n)]
+    if any(_FILED.fullmatch(n) for n in kept):
+        other = [n for n in kept if not _FILED.fullmatch(n)]
+        kept = other if tag in ("article", "main") or _MAIN_NAMES.search(" ".join(other)) else kept
+    return f"{tag}.{'.'.join(sorted(kept))}" if kept else tag
 
 
 def walk(text: str):
@@ -119,7 +139,10 @@ def walk(text: str):
 
 def _out(role: str) -> bool:
     tag, _, names = role.partition(".")
-    return tag in _OUT_TAGS or bool(names) and tag not in ("html", "body") and bool(_OUT_NAMES.search(names.replace(".", " ")))
+    if tag in _OUT_TAGS or not names or tag in ("html", "body"):
+        return tag in _OUT_TAGS
+    names = names.replace(".", " ")
+    return bool(_OUT_NAMES.search(names)) and not _SURE_NAMES.search(names)
 
 
 _out = functools.lru_cache(maxsize=100_000)(_out)
@@ -137,43 +160,71 @@ def _rank(role: str) -> int:
     return int(tag == "body")
 
 
-def tokens(text: str | None) -> list[tuple[str, int, int, int]]:
-    """(role path, occurrences, text characters below it that no excluded element holds, rank) of a page's opening tags."""
-    count: dict[tuple, int] = {}
-    chars: dict[tuple, int] = {}
-    for kind, path, what in walk(text or ""):
-        if kind == "open":
-            p = path + (what,)
-            count[p] = count.get(p, 0) + 1
-        elif kind == "text" and path and not any(map(_out, path)):
-            n = len(what.strip())
-            for k in range(1, len(path) + 1):
-                chars[path[:k]] = chars.get(path[:k], 0) + n
-    return [(">".join(p), n, chars.get(p, 0), 0 if any(map(_out, p)) else _rank(p[-1])) for p, n in count.items()]
-
-
-def own_container(text: str) -> str | None:
-    """The page's best container by its own tokens: by name, then by text, then the outermost."""
-    able = [(rank, n == 1, chars, -role.count(">"), role) for role, n, chars, rank in tokens(text) if rank]
-    return max(able)[-1] if able else None
-
-
-def _kept(below: tuple) -> bool:
-    """Whether text at this path below the container is main text; the container's own header is its headline."""
-    return not any(_out(role) for i, role in enumerate(below) if i or role.partition(".")[0] != "header")
+class Page:
+    """A page's events with what each role path holds."""
+
+    def __init__(self, text: str | None):
+        self.events = list(walk(text or ""))
+        self.count: dict[tuple, int] = {}
+        self.held: dict[tuple, int] = {}  # text characters below a path
+        links: dict[tuple, int] = {}
+        for kind, path, what in self.events:
+            if kind == "open":
+                p = path + (what,)
+                self.count[p] = self.count.get(p, 0) + 1
+            elif kind == "text" and (n := len(what.strip())):
+                link = any(role == "a" or role.startswith("a.") for role in path)
+                for k in range(len(path) + 1):
+                    self.held[path[:k]] = self.held.get(path[:k], 0) + n
+                    if link:
+                        links[path[:k]] = links.get(path[:k], 0) + n
+        total = self.held.get((), 0) - sum(n for p, n in self.held.items() if p and p[-1].partition(".")[0] in _NEVER and not any(r.partition(".")[0] in _NEVER for r in p[:-1]))
+        able = [p for p, n in self.held.items() if p and n >= DOMINANT * total and 2 * links.get(p, 0) < n and _out(p[-1]) and p[-1].partition(".")[0] not in _NEVER]
+        main = [p for p, n in self.held.items() if p and n >= ASIDE * total and _rank(p[-1]) > 1 and not any(map(_out, p))] if able else []
+        #: Excluded by name, yet the page's text
+        self.clear = {p for p in able if not any(
+            c[:len(p)] != p and self.held[c] - (self.held[p] if p[:len(c)] == c else 0) >= ASIDE * total for c in main)}
+        self._out: dict[tuple, bool] = {(): False}
+
+    def out(self, path: tuple) -> bool:
+        """Whether an element of the path is excluded."""
+        if path not in self._out:
+            self._out[path] = self.out(path[:-1]) or _out(path[-1]) and path not in self.clear
+        return self._out[path]
+
+    def tokens(self) -> list[tuple[str, int, int, int]]:
+        """(role path, occurrences, text characters below it that no excluded element holds, rank) of the opening tags."""
+        chars: dict[tuple, int] = {}
+        for kind, path, what in self.events:
+            if kind == "text" and path and not self.out(path):
+                n = len(what.strip())
+                for k in range(1, len(path) + 1):
+                    chars[path[:k]] = chars.get(path[:k], 0) + n
+        return [(">".join(p), n, chars.get(p, 0), 0 if self.out(p) else _rank(p[-1])) for p, n in self.count.items()]
+
+    def own_container(self) -> str | None:
+        """The page's best container by its own tokens: by name, then by text, then the outermost."""
+        able = [(rank, n == 1, chars, -role.count(">"), role) for role, n, chars, rank in self.tokens() if rank]
+        return max(able)[-1] if able else None
+
+    def kept(self, path: tuple, depth: int) -> bool:
+        """Whether text at this path, below a container of this depth, is main text; the container's own header is its headline."""
+        return not any(_out(path[i]) and path[:i + 1] not in self.clear for i in range(depth, len(path)) if i > depth or path[i].partition(".")[0] != "header")
 
 
 def extract(text: str | None, containers: list[str] | None) -> str:
     """What the first of ``containers`` that the page has (else the page's own best one) holds."""
     if not text:
         return ""
-    events = list(walk(text))
-    have = {">".join(p + (what,)) for kind, p, what in events if kind == "open"}
-    container = next((c for c in containers or [] if c in have), None) or own_container(text)
+    page = Page(text)
+    have = {">".join(p) for p in page.count}
+    container = next((c for c in containers or [] if c in have), None) or page.own_container()
     inside = tuple(container.split(">")) if container else ()
-    depth, out = len(inside), []
-    for kind, path, what in events:
-        if path[:depth] == inside and _kept(path[depth:]):
+    depth, out, kept = len(inside), [], {}
+    for kind, path, what in page.events:
+        if path not in kept:
+            kept[path] = path[:depth] == inside and page.kept(path, depth)
+        if kept[path]:
             if kind == "text":
                 out.append(entities.unescape(what))
             elif what.partition(".")[0] not in _INLINE:
@@ -184,7 +235,7 @@ def extract(text: str | None, containers: list[str] | None) -> str:
 def _page_tokens(batches):
     kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32())
     for batch in batches:
-        rows = [(host, page, *t) for host, page, text in zip(*(c.to_pylist() for c in batch.columns)) for t in tokens(text)]
+        rows = [(host, page, *t) for host, page, text in zip(*(c.to_pylist() for c in batch.columns)) for t in Page(text).tokens()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
                                          ["host", "page", "role", "n", "chars", "rank"])
 

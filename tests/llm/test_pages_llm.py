@@ -104,6 +104,22 @@ def test_a_passage_on_all_pages_of_a_host_is_kept(spark, frame):
     assert {r.text for r in M.main_text(frame(rows, PAGES)).collect()} == {f"The same on all. {i}" for i in range(20)}
 
 
+WRAPPERS = ["<article class='post category-legal hentry'>{}</article>", "<article class='post category-legal'>{}</article>", "<div class='post comments-open'>{}</div>",
+            "<div class='tag-search post'>{}</div>", "<div class='entry-content no-sidebar'>{}</div>", "<div class='content-area has-sidebar'>{}</div>", "<div class='content with-sidebar'>{}</div>",
+            "<div class='elementor-widget-theme-post-content elementor-widget'>{}</div>", "<form id=f>{}</form>", "<form><div class=content>{}</div></form>", "<div class=legal><article>{}</article></div>",
+            "<div class=x><div class='elementor-widget'>{}</div></div>"]
+
+
+def test_articles_in_wrappers_with_excluded_names(spark, frame):
+    text = "<h1>Title {0}</h1><p>A long enough text of page {0}, with <a href=x>a link</a> in it.</p><section class=comments><p>Nice</p></section>"
+    rows = [(100 * k + i, f"http://w{k}.host/{i}", f"<html><body><nav>menu</nav>{w.format(text.format(i))}<footer>f</footer></body></html>") for k, w in enumerate(WRAPPERS) for i in range(5)]
+    rows.append((9000, "http://alone/", f"<body>{WRAPPERS[1].format('<p>only one')}</body>"))
+    got = {r.page_id: r.text for r in M.main_text(frame(rows, PAGES)).collect()}
+    assert got == {9000: "only one"} | {100 * k + i: f"Title {i} A long enough text of page {i}, with a link in it." for k in range(len(WRAPPERS)) for i in range(5)}
+    comments = "<body><article><p>Short text of the page.</p><section class=comments><p>" + "a remark " * 8 + "</p></section></article></body>"
+    assert M.extract(comments, None) == "Short text of the page." and M.extract("<body><div class=menu><a>one</a><a>two</a></div><p>t</p></body>", None) == "t"
+
+
 def brute_rule(url):
     if url is None or "://" not in url:
         host, path = "", ""
