@@ -1,19 +1,25 @@
 """Main text of HTML pages by equivalence-class template deduction.
 
 A page is a run of tokens: its opening tags, told apart by their role (the path of enclosing elements with their ids,
-classes and ARIA roles).  For the pages of one host, tokens with the same occurrence vector (how often they occur on each
-page) form an equivalence class; the vector is kept as two 64-bit fingerprints, a commutative sum over pages, so no
-list of pages is ever gathered.  A class is valid if it has ``MIN_SIZE`` tokens and occurs on ``MIN_SUPPORT`` of the
-host's pages; the valid classes, nested by their tokens' paths, are the host's template, and the slots are what
-stands below their tokens.
-
-The template's main slots lie below a container: of each class the token that occurs once on each of its pages and
-ranks first by its name (`article`, `main`, known ids and classes, `body`), then by the text that its slots hold on
-all pages of the host.  A page's text is what its best container holds, without the elements that menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and reader comments stand in.  Text itself is never a
-template token, so a passage that repeats on all pages of a host is kept.  An element that these names exclude is kept
-all the same if it holds ``DOMINANT`` of its page's text, mostly not links, and no main container outside it holds
-``ASIDE`` of it: a page-wide form, or an article filed under `legal`.
+classes and ARIA roles; numbers that tell pages apart and state classes are left out).  For the pages of one host, tokens
+with the same occurrence vector (how often they occur on each page) form an equivalence class; the vector is kept as two
+64-bit fingerprints, a commutative sum over pages, so no list of pages is ever gathered.  A class is valid if it has
+``MIN_SIZE`` tokens and occurs on ``MIN_SUPPORT`` of the host's pages.  Classes nest by their tokens' paths; a token's slot
+is what stands below it.
+
+The host's own evidence decides about the slots of valid classes: a slot of a named block element whose text is one of
+at most ``SAME`` times as many texts as the host has different pages with it (one at least; ``MIN_PAGES`` such pages at
+least) is template, with all slots nested in it, whatever its name; unless it holds ``DOMINANT`` of the text and is not
+mostly links.  The distinct texts are counted by a sketch, a partial aggregate.  Paragraphs, headings, articles and
+elements without a name are no slots of their own, so a passage in them that repeats on all pages of a host is kept.
+
+A container is a content slot with ``ASIDE`` of its pages' text, once a page; of several of one class the name decides
+(`article`, `main`, known ids and classes, `body`), then the text.  A page's text is what its best container holds, without
+the template slots.  Where text differs from page to page the evidence cannot tell an article from a reader's comment or
+a list of related pages: there names decide, and elements named as menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles or comments are left out.  One that is excluded by such a name is kept all the same if it holds
+``DOMINANT`` of its page's text, mostly not links, and no main container outside it holds ``ASIDE`` of it: a page-wide
+form, or an article filed under `legal`.
 
 Defined results: null and empty html give the empty text; a page that has none of its
 host's containers is judged by its own tokens; null and odd URLs share the empty host; white space inside a block is
@@ -25,6 +31,7 @@ from __future__ import annotations
 import functools
 import html as entities
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +45,8 @@ MIN_SUPPORT = 0.3
 MIN_SIZE = 2
 #: Shares of a page's text: an element that holds the first is not excluded, a main container with the second counts.
 DOMINANT, ASIDE = 0.5, 0.2
+#: Texts of a template slot per different page of the host, and the least number of such pages.
+SAME, MIN_PAGES = 0.05, 4
 #: A host with a larger share of all pages is dealt out over so many tasks.
 HOT_SHARE, SALTS = 0.005, 64
 
@@ -68,6 +77,10 @@ _SURE_NAMES = re.compile(r"(?:^|\s)(?!\S*(?:comment|repl|sidebar|footer|related)
 #: Class names that tell a state of the element, not what it is; the filing ones only beside a main name.
 _STATES = re.compile(r"(?:no|has|with|without)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled)", re.I)
 _FILED = re.compile(r"(?:category|cat|tag|format|type|status|term)[_-].*", re.I)
+#: Numbers in ids and classes that tell pages apart.
+_NUMBERS = re.compile(r"\d{3,}|(?<![0-9a-f])(?=[a-f]*\d)[0-9a-f]{8,}|(?<=^post-)\d+|(?<=^postid-)\d+|(?<=^page-id-)\d+|(?<=^node-)\d+|(?<=^entry-)\d+|(?<=^article-)\d+|(?<=^comment-)\d+")
+#: Named elements of other tags are slots of the template.
+_FLOW = {"html", "body", "article", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figure"} | _INLINE | _VOID | _RAW
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 
 
@@ -78,7 +91,7 @@ def _role(tag: str, raw: str) -> str:
 
 @functools.lru_cache(maxsize=100_000)
 def _named(tag: str, names: str) -> str:
-    kept = [n for n in set(names.split()) if not _STATES.fullmatch(n)]
+    kept = [n for n in {_NUMBERS.sub("#", n) for n in names.split()} if not _STATES.fullmatch(n)]
     if any(_FILED.fullmatch(n) for n in kept):
         other = [n for n in kept if not _FILED.fullmatch(n)]
         kept = other if tag in ("article", "main") or _MAIN_NAMES.search(" ".join(other)) else kept
@@ -167,7 +180,7 @@ class Page:
         self.events = list(walk(text or ""))
         self.count: dict[tuple, int] = {}
         self.held: dict[tuple, int] = {}  # text characters below a path
-        links: dict[tuple, int] = {}
+        self.links: dict[tuple, int] = {}  # of these, those in links
         for kind, path, what in self.events:
             if kind == "open":
                 p = path + (what,)
@@ -177,9 +190,9 @@ class Page:
                 for k in range(len(path) + 1):
                     self.held[path[:k]] = self.held.get(path[:k], 0) + n
                     if link:
-                        links[path[:k]] = links.get(path[:k], 0) + n
+                        self.links[path[:k]] = self.links.get(path[:k], 0) + n
         total = self.held.get((), 0) - sum(n for p, n in self.held.items() if p and p[-1].partition(".")[0] in _NEVER and not any(r.partition(".")[0] in _NEVER for r in p[:-1]))
-        able = [p for p, n in self.held.items() if p and n >= DOMINANT * total and 2 * links.get(p, 0) < n and _out(p[-1]) and p[-1].partition(".")[0] not in _NEVER]
+        able = [p for p, n in self.held.items() if p and n >= DOMINANT * total and 2 * self.links.get(p, 0) < n and _out(p[-1]) and p[-1].partition(".")[0] not in _NEVER]
         main = [p for p, n in self.held.items() if p and n >= ASIDE * total and _rank(p[-1]) > 1 and not any(map(_out, p))] if able else []
         #: Excluded by name, yet the page's text
         self.clear = {p for p in able if not any(
@@ -192,19 +205,31 @@ class Page:
             self._out[path] = self.out(path[:-1]) or _out(path[-1]) and path not in self.clear
         return self._out[path]
 
-    def tokens(self) -> list[tuple[str, int, int, int]]:
-        """(role path, occurrences, text characters below it that no excluded element holds, rank) of the opening tags."""
+    def tokens(self) -> list[tuple]:
+        """(role path, occurrences, text characters below it that no excluded element holds, rank, link characters, the
+        page's characters, and for slots checksums of the text and of the page's) of the opening tags."""
         chars: dict[tuple, int] = {}
+        slots = {p: 0 for p in self.count if "." in p[-1] and p[-1].partition(".")[0] not in _FLOW and not self.out(p)}
+        inside: dict[tuple, list] = {}
+        whole = 0
         for kind, path, what in self.events:
-            if kind == "text" and path and not self.out(path):
-                n = len(what.strip())
-                for k in range(1, len(path) + 1):
-                    chars[path[:k]] = chars.get(path[:k], 0) + n
-        return [(">".join(p), n, chars.get(p, 0), 0 if self.out(p) else _rank(p[-1])) for p, n in self.count.items()]
+            if kind == "text" and (data := what.strip().encode()):
+                whole = zlib.crc32(data, whole)
+                if path and not self.out(path):
+                    n = len(what.strip())
+                    for k in range(len(path) + 1):
+                        chars[path[:k]] = chars.get(path[:k], 0) + n
+                if path not in inside:
+                    inside[path] = [path[:k] for k in range(1, len(path) + 1) if path[:k] in slots]
+                for p in inside[path]:
+                    slots[p] = zlib.crc32(data, slots[p])
+        total = chars.get((), 0)
+        return [(">".join(p), n, chars.get(p, 0), 0 if self.out(p) else _rank(p[-1]), self.links.get(p, 0), total, slots.get(p), whole if p in slots else None)
+                for p, n in self.count.items()]
 
     def own_container(self) -> str | None:
         """The page's best container by its own tokens: by name, then by text, then the outermost."""
-        able = [(rank, n == 1, chars, -role.count(">"), role) for role, n, chars, rank in self.tokens() if rank]
+        able = [(rank, n == 1, chars, -role.count(">"), role) for role, n, chars, rank, _, total, *_ in self.tokens() if rank and chars >= ASIDE * total]
         return max(able)[-1] if able else None
 
     def kept(self, path: tuple, depth: int) -> bool:
@@ -212,8 +237,8 @@ class Page:
         return not any(_out(path[i]) and path[:i + 1] not in self.clear for i in range(depth, len(path)) if i > depth or path[i].partition(".")[0] != "header")
 
 
-def extract(text: str | None, containers: list[str] | None) -> str:
-    """What the first of ``containers`` that the page has (else the page's own best one) holds."""
+def extract(text: str | None, containers: list[str] | None, repeated: list[str] | None = None) -> str:
+    """What the first of ``containers`` that the page has (else the page's own best one) holds outside of the ``repeated`` slots."""
     if not text:
         return ""
     page = Page(text)
@@ -221,9 +246,10 @@ def extract(text: str | None, containers: list[str] | None) -> str:
     container = next((c for c in containers or [] if c in have), None) or page.own_container()
     inside = tuple(container.split(">")) if container else ()
     depth, out, kept = len(inside), [], {}
+    repeated = {tuple(r.split(">")) for r in repeated or []}
     for kind, path, what in page.events:
         if path not in kept:
-            kept[path] = path[:depth] == inside and page.kept(path, depth)
+            kept[path] = path[:depth] == inside and page.kept(path, depth) and not any(path[:k] in repeated for k in range(depth + 1, len(path) + 1))
         if kept[path]:
             if kind == "text":
                 out.append(entities.unescape(what))
@@ -233,29 +259,37 @@ def extract(text: str | None, containers: list[str] | None) -> str:
 
 
 def _page_tokens(batches):
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4)
     for batch in batches:
         rows = [(host, page, *t) for host, page, text in zip(*(c.to_pylist() for c in batch.columns)) for t in Page(text).tokens()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-                                         ["host", "page", "role", "n", "chars", "rank"])
+                                         ["host", "page", "role", "n", "chars", "rank", "links", "total", "slot", "whole"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, containers: the role paths of the template's main slots, best first."""
+    """host, containers (role paths of the template's main slots, best first), repeated (those of its template slots)."""
     keyed = pages.select(host_and_path(F.col("url"))["host"].alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    found = keyed.mapInArrow(_page_tokens, "host string, page long, role string, n long, chars long, rank int")
+    found = keyed.mapInArrow(_page_tokens, "host string, page long, role string, n long, chars long, rank int, links long, total long, slot long, whole long")
     # the occurrence vector as two fingerprints: exclusive or over hashes of page and count
     per_token = found.groupBy("host", "role").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("v1"), F.bit_xor(F.xxhash64("n", "page", F.lit(1))).alias("v2"),
-        F.count("*").alias("support"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.max("rank").alias("rank"))
+        F.count("*").alias("support"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.max("rank").alias("rank"),
+        F.sum("links").alias("links"), F.sum("total").alias("total"),
+        F.approx_count_distinct("slot", 0.1).alias("texts"), F.approx_count_distinct("whole", 0.1).alias("different"))
+    repeated = ((F.col("different") >= MIN_PAGES) & (F.col("texts") <= F.greatest(F.lit(1.0), SAME * F.col("different")))
+                & ((F.col("chars") < DOMINANT * F.col("total")) | (2 * F.col("links") >= F.col("chars"))))
+    per_token = per_token.withColumn("repeated", repeated)
+    holds = (F.col("rank") > 0) & (F.col("most") == 1) & ~F.col("repeated") & (F.col("chars") >= ASIDE * F.col("total"))
     container = F.struct("rank", "chars", (-F.length("role")).alias("outer"), "role")
     classes = per_token.groupBy("host", "v1", "v2").agg(
-        F.max("support").alias("support"), F.count("*").alias("size"),
-        F.max(F.when((F.col("rank") > 0) & (F.col("most") == 1), container)).alias("container"))
+        F.max("support").alias("support"), F.count("*").alias("size"), F.max(F.when(holds, container)).alias("container"),
+        F.collect_list(F.when(F.col("repeated"), F.col("role"))).alias("repeated"))
     n_pages = keyed.groupBy("host").agg(F.count("*").alias("n_pages"))
-    valid = classes.join(n_pages, "host").where((F.col("support") >= MIN_SUPPORT * F.col("n_pages")) & (F.col("size") >= MIN_SIZE) & F.col("container").isNotNull())
+    valid = classes.join(n_pages, "host").where((F.col("support") >= MIN_SUPPORT * F.col("n_pages")) & (F.col("size") >= MIN_SIZE))
     order = F.struct(-F.col("container.rank"), -F.col("support"), -F.col("container.chars"), F.col("container.role").alias("role"))
-    return valid.groupBy("host").agg(F.array_sort(F.collect_list(order)).alias("c")).select("host", F.col("c.role").alias("containers"))
+    return valid.groupBy("host").agg(
+        F.array_sort(F.collect_list(F.when(F.col("container").isNotNull(), order))).alias("c"), F.flatten(F.collect_list("repeated")).alias("repeated"),
+    ).select("host", F.col("c.role").alias("containers"), "repeated")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -269,12 +303,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     spread = templates(pages).withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     salt = F.when(hot, F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     keyed = pages.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
-    text = per_row(_extract, "text string", F.col("html"), F.col("containers"))
+    text = per_row(_extract, "text string", F.col("html"), F.struct("containers", "repeated"))
     return keyed.select("page_id", "url", text["text"].alias("text"))
 
 
-def _extract(pages: list, containers: list) -> list[tuple]:
-    return [(extract(p, c),) for p, c in zip(pages, containers)]
+def _extract(pages: list, templates: list) -> list[tuple]:
+    return [(extract(p, t["containers"], t["repeated"]),) for p, t in zip(pages, templates)]
 
 
 def op4_main_text(spark, sf_dir: str) -> DataFrame:

@@ -120,6 +120,17 @@ def test_articles_in_wrappers_with_excluded_names(spark, frame):
     assert M.extract(comments, None) == "Short text of the page." and M.extract("<body><div class=menu><a>one</a><a>two</a></div><p>t</p></body>", None) == "t"
 
 
+def test_slots_that_repeat_on_a_host_are_template_whatever_their_name(spark, frame):
+    page = ("<html><body><div class=x7><ul><li><a>Home</a><li><a>All about us and our other pages</a></ul></div><div class=k2><article><p>Card {0}</p></article></div>"
+            "<div class='q9' id='post-{0}'><h1>Title {0}</h1><p>The text of page {0}, long enough to be the most of it.</p><p>The same on all.</p>"
+            "<div class='zz w{1}'>Read all of it for a small fee.</div></div><div class=n4>We keep crumbs.</div></body></html>")
+    one = page.format(77, 1077)
+    rows = [(i, "http://neutral/", page.format(i, 1000 + i)) for i in range(30)] + [(1000 + i, "http://copies/", one) for i in range(30)] + [(2000 + i, "http://few/", page.format(i, i)) for i in range(2)]
+    got = {r.page_id: r.text for r in M.main_text(frame(rows, PAGES)).collect()}
+    assert {got[i] for i in range(30)} == {f"Title {i} The text of page {i}, long enough to be the most of it. The same on all." for i in range(30)}
+    assert all("The text of page" in text and "Title" in text for text in got.values())  # copies and few pages are no evidence: nothing is lost
+
+
 def brute_rule(url):
     if url is None or "://" not in url:
         host, path = "", ""
