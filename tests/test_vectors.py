@@ -83,6 +83,20 @@ def test_approximate_indexes_have_recall(spark):
     assert len(exact & lsh) / len(exact) >= 0.6
 
 
+@pytest.mark.parametrize("name", ["ivf", "lsh"])
+def test_result_queries_reach_the_recall_they_state(spark, name):
+    from shelfmatch.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    queries = catalog.QUERIES
+    store = catalog.vector_table(spark, sf)
+    exact = {(r["qid"], r["id"]) for r in search_topk(store, catalog.label_centroids(spark, sf), k=5).collect()}
+    got = {(r["label"], r["id"]) for r in queries[f"{name}_topk_vectors"](spark, sf).collect()}
+    assert len(exact & got) >= 0.9 * len(exact)
+    for which in ("vectors", "rows"):
+        rows = queries[f"{name}_recall_{which}"](spark, sf).collect()
+        assert len(rows) == 10 and all(r["recall_reached"] for r in rows)
+
+
 def test_store_save_load_checks_dimension(spark):
     store = _store(spark, [[1.0, 0.0], [0.0, 1.0]])
     path = scratch_path(spark, "test-store")
