@@ -10,7 +10,7 @@ The benchmark is searched in blocks of about ``BLOCK_WORDS`` words, so the table
 its size: each block is one narrow pass over the documents, and the passes are merged by document.
 
 Defined results: null or wordless texts have no words and no hits; a wordless item has no windows; windows of an
-item without id hit words, but the item is not named; rows that repeat both doc_id and text are one document;
+item without id hit words, but the item is not named; every document row gives one row;
 an empty benchmark hits nothing.  Other columns of the tables are not read.
 """
 
@@ -108,19 +108,19 @@ def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
         yield [tuple(r) for r in keyed.where(block == k).collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_words, spans (hit word ranges, disjoint), n_hit, items (sorted)."""
+def _hits(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per doc_id and text with ``rows``, the number of documents that have both."""
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select("doc_id", "text")
     passes = []
-    for items in benchmark_blocks(benchmark, block_words):
+    for k, items in enumerate(benchmark_blocks(benchmark, block_words)):
         block = spark.sparkContext.broadcast(items)
         hits = per_row(functools.partial(search, block_id=block._jbroadcast.id(), block=block), HITS, F.col("text"))
         passes.append(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), hits.alias("h"))
-                      .select("doc_id", "text_hash", "h.*"))
+                      .select("doc_id", "text_hash", F.lit(int(k == 0)).alias("first"), "h.*"))
     found = functools.reduce(DataFrame.unionAll, passes).groupBy("doc_id", "text_hash").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_set("spans")).alias("spans"),
+        F.sum("first").alias("rows"), F.max("n_words").alias("n_words"), F.flatten(F.collect_set("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     start, end = "start", "end"
     joined = F.aggregate(
@@ -129,15 +129,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
             F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
             F.array(F.struct(F.element_at(acc, -1)[start].alias(start), F.greatest(s[end], F.element_at(acc, -1)[end]).alias(end)))))
         .otherwise(F.concat(acc, F.array(s))))
-    return found.withColumn("spans", joined).select(
-        "doc_id", "text_hash", "n_words", "spans",
+    found = found.withColumn("spans", joined)
+    return found.select(
+        "doc_id", "text_hash", "rows", "n_words", "spans",
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[end] - s[start]).alias("n_hit"), "items")
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per document: doc_id, text_hash, n_words, spans (hit word ranges, disjoint), n_hit, items (sorted)."""
+    found = _hits(docs, benchmark, block_words)
+    return found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("row", "rows")
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any occurrence, with all their columns."""
     doc_id, text_hash = fresh(docs, "hit_id"), fresh(docs, "hit_hash")
-    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
+    bad = _hits(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash)), "left_anti")
 
 

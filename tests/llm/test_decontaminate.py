@@ -45,6 +45,13 @@ def test_equals_brute_force_in_one_and_in_many_blocks(spark, frame):
             assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
 
 
+def test_repeated_rows_come_back_once_each(spark, frame):
+    rows = [(1, "one two three"), (1, "one two three"), (1, "other"), (None, "one two three"), (None, "one two three"), (None, "one two three"), (None, None), (None, None)]
+    for block_words in (D.BLOCK_WORDS, 1):
+        got = D.contamination(frame(rows, "doc_id long, text string"), frame([(7, "two three"), (8, "nine")], ITEMS), block_words).collect()
+        assert sorted((r.doc_id or 0, r.n_words, r.n_hit, r["items"]) for r in got) == sorted((i or 0, 3, 2, [7]) if t == "one two three" else (i or 0, len((t or "").split()), 0, []) for i, t in rows)
+
+
 def test_search_skips_but_finds_all():
     random.seed(6)
     patterns = {tuple(random.choice("abc") for _ in range(n)): n for n in (1, 2, 3, 5, 5, 8)}
