@@ -2,7 +2,7 @@
 
 Features: length, path depth, digit ratio, character entropy, number of parameters, hyphens, host labels, and suffix
 statistics (the smoothed share of blocked URLs under the host's last label and last two labels).  The trees are
-trained on the URLs that a rule judges: a sample of about ``SAMPLE`` of them, drawn by a hash of the URL at a rate
+trained on the URLs that a rule judges: a sample of about ``SAMPLE`` of them, drawn by a hash of URL and page_id at a rate
 that follows from their count, is the documented bound of the training; suffix statistics count all labelled URLs.
 Everything is DataFrame functions and Spark ML.
 
@@ -96,7 +96,7 @@ def judged(pages: DataFrame, rules: dict[str, str] = RULES, sample: int = SAMPLE
 
     # a rate that keeps about `sample` labelled rows, drawn by hash, so by value and not by place
     keep = min(1.0, sample / total["n"])
-    drawn = vectors.where(F.col("rule").isNotNull() & (F.pmod(F.xxhash64("url", F.lit(SEED)), F.lit(1 << 30)) < int(keep * (1 << 30))))
+    drawn = vectors.where(F.col("rule").isNotNull() & (F.pmod(F.xxhash64("url", "page_id", F.lit(SEED)), F.lit(1 << 30)) < int(keep * (1 << 30))))
     training = stored(drawn.select("page_id", "features", (F.col("verdict") == "block").cast("double").alias("label"))
                       .repartition(1).sortWithinPartitions("page_id"), "url-training")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=SEED, cacheNodeIds=False).fit(training)

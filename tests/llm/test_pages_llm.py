@@ -162,6 +162,15 @@ def test_trees_learn_lexical_features(spark, frame):
     assert (got[1000].verdict, got[1001].verdict) == ("block", "allow")
 
 
+def test_rows_of_one_url_are_drawn_at_the_rate_of_all(spark, frame, monkeypatch):
+    sizes, stored = [], U.stored
+    monkeypatch.setattr(U, "stored", lambda df, name: sizes.append(df.count()) or stored(df, name))
+    for hot in ("http://a.com/hot", "http://a.net/es/hot"):
+        rows = [(i, hot if i < 3000 else f"http://b{i}.{'com/' if i % 2 else 'net/es/'}{i}", None) for i in range(3600)]
+        U.judged(frame(rows, PAGES), sample=360)
+    assert all(250 < n < 470 for n in sizes) and len(sizes) == 2, sizes
+
+
 def test_one_label_and_empty_tables(spark, frame):
     only = U.judged(frame([(1, "http://a.net/es/", None), (2, "http://b.org/", None)], PAGES)).collect()
     assert {r.verdict for r in only} == {"block"}
