@@ -82,7 +82,10 @@ def _arity(run: Callable, n: int) -> Callable:
 
     def two(a: pa.Array, b: pa.Array) -> pa.Array:
         return run(a, b)
-    return two
+
+    def three(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        return run(a, b, c)
+    return two if n == 2 else three
 
 
 #: The tables that this Python worker holds: those of one operator at a time, as workers are reused.

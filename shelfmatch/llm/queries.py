@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmatch.llm import decontaminate, language, main_text, near, piece_coding, quality, records, token_counts, url_filter, warc
+from shelfmatch.llm import decontaminate, language, main_text, near, piece_coding, quality, ranking, records, substrings, token_counts, url_filter, warc, whitening
 
 
 def queries() -> dict:
@@ -17,8 +17,12 @@ def queries() -> dict:
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_piece_coding": piece_coding.op9_piece_coding,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op11_substring_dedup": substrings.op11_substring_dedup,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_ranked_search": ranking.op13_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": warc.OP5_SQL, "op7_contamination": decontaminate.OP7_SQL}
+    return {"op5_warc": warc.OP5_SQL, "op7_contamination": decontaminate.OP7_SQL,
+            "op11_substring_dedup": substrings.OP11_SQL, "op13_ranked_search": ranking.OP13_SQL}
