@@ -22,7 +22,8 @@ forms, scripts, styles or comments are left out.  One that is excluded by such a
 form, or an article filed under `legal`.
 
 Defined results: null and empty html give the empty text; a page that has none of its
-host's containers is judged by its own tokens; null and odd URLs share the empty host; white space inside a block is
+host's containers is judged by its own tokens; repeated rows count once for each; null and odd URLs share the empty host;
+unclosed and deeply nested tags cost no more than others; white space inside a block is
 one space, blocks are joined by one space; every row gives one row; other columns are not read.
 """
 
@@ -31,13 +32,13 @@ from __future__ import annotations
 import functools
 import html as entities
 import re
-import zlib
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import per_row, prepare, table
+from shelfmatch.llm.common import per_row, prepare, stored, table
 from shelfmatch.llm.url_filter import host_and_path
 
 MIN_SUPPORT = 0.3
@@ -47,8 +48,10 @@ MIN_SIZE = 2
 DOMINANT, ASIDE = 0.5, 0.2
 #: Texts of a template slot per different page of the host, and the least number of such pages.
 SAME, MIN_PAGES = 0.05, 4
-#: A host with a larger share of all pages is dealt out over so many tasks.
-HOT_SHARE, SALTS = 0.005, 64
+#: A host with more pages is dealt out in parts of so many; where that made more than ``LARGE_HOSTS`` hosts large, in larger parts.
+TASK_PAGES, LARGE_HOSTS = 5_000, 100_000
+#: Base and modulus of the hash of a run of texts.
+_BASE, _PRIME = 0x2545F4914F6CDD1D % ((1 << 61) - 1), (1 << 61) - 1
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>?", re.S)
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -79,6 +82,8 @@ _STATES = re.compile(r"(?:no|has|with|without)[_-].*|.*[_-](?:open|opened|closed
 _FILED = re.compile(r"(?:category|cat|tag|format|type|status|term)[_-].*", re.I)
 #: Numbers in ids and classes that tell pages apart.
 _NUMBERS = re.compile(r"\d{3,}|(?<![0-9a-f])(?=[a-f]*\d)[0-9a-f]{8,}|(?<=^post-)\d+|(?<=^postid-)\d+|(?<=^page-id-)\d+|(?<=^node-)\d+|(?<=^entry-)\d+|(?<=^article-)\d+|(?<=^comment-)\d+")
+#: Elements that the opening tags above may end, or that bound what they end.
+_MARKS = _BOUNDS | {"p"} | set().union(*_CLOSES.values())
 #: Named elements of other tags are slots of the template.
 _FLOW = {"html", "body", "article", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figure"} | _INLINE | _VOID | _RAW
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
@@ -98,58 +103,6 @@ def _named(tag: str, names: str) -> str:
     return f"{tag}.{'.'.join(sorted(kept))}" if kept else tag
 
 
-def walk(text: str):
-    """The page as ("open", path, role), ("close", path, ""), ("break", ...) and ("text", path, text) events.
-
-    ``path`` is the tuple of the open elements' roles.  End tags that HTML lets pages leave out are put in.
-    """
-    stack: list[tuple[str, str]] = []
-    roles: tuple = ()
-    at, size = 0, len(text)
-    while at < size:
-        m = _TOKEN.search(text, at)
-        if not m:
-            break
-        if m.start() > at:
-            yield "text", roles, text[at:m.start()]
-        raw, at = m.group(), m.end()
-        tag = _TAG.match(raw)
-        if not tag:
-            continue
-        name = tag.group(1).lower()
-        if raw[1] == "/":
-            if any(t == name for t, _ in stack):
-                while stack:
-                    t, _ = stack.pop()
-                    yield "close", roles, t
-                    roles = roles[:-1]
-                    if t == name:
-                        break
-            elif name in ("p", "br"):
-                yield "break", roles, name
-            continue
-        ends = _CLOSES.get(name, ())
-        if name in _ENDS_P or ends:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ends or (name in _ENDS_P and stack[i][0] == "p")
-                          or (stack[i][0] in _BOUNDS and stack[i][0] not in ends)), -1)
-            if depth >= 0 and (stack[depth][0] in ends or stack[depth][0] == "p"):
-                while len(stack) > depth:
-                    yield "close", roles, stack.pop()[0]
-                    roles = roles[:-1]
-        role = _role(name, raw)
-        yield "open", roles, role
-        if name in _VOID or raw.endswith("/>") and name not in _RAW and name not in _ENDS_P:
-            yield "break", roles, name
-        elif name in _RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(text, at)
-            at = end.end() if end else size
-        else:
-            stack.append((name, role))
-            roles += (role,)
-    if at < size:
-        yield "text", roles, text[at:]
-
-
 def _out(role: str) -> bool:
     tag, _, names = role.partition(".")
     if tag in _OUT_TAGS or not names or tag in ("html", "body"):
@@ -174,113 +127,219 @@ def _rank(role: str) -> int:
 
 
 class Page:
-    """A page's events with what each role path holds."""
+    """A page's events and the role paths of its elements, as numbered nodes.
+
+    A node is a role path: elements whose open elements have the same roles share it.  A parent has a smaller number than its
+    children, so sums over what a node holds go once through the nodes from the last to the first, and what a node passes down
+    once from the first to the last; a page costs time and memory in proportion to its length, however deep it nests.
+
+    ``events`` are (kind, node, what): "text" with the text, "break" where a block element begins or ends.
+    """
 
     def __init__(self, text: str | None):
-        self.events = list(walk(text or ""))
-        self.count: dict[tuple, int] = {}
-        self.held: dict[tuple, int] = {}  # text characters below a path
-        self.links: dict[tuple, int] = {}  # of these, those in links
-        for kind, path, what in self.events:
-            if kind == "open":
-                p = path + (what,)
-                self.count[p] = self.count.get(p, 0) + 1
-            elif kind == "text" and (n := len(what.strip())):
-                link = any(role == "a" or role.startswith("a.") for role in path)
-                for k in range(len(path) + 1):
-                    self.held[path[:k]] = self.held.get(path[:k], 0) + n
-                    if link:
-                        self.links[path[:k]] = self.links.get(path[:k], 0) + n
-        total = self.held.get((), 0) - sum(n for p, n in self.held.items() if p and p[-1].partition(".")[0] in _NEVER and not any(r.partition(".")[0] in _NEVER for r in p[:-1]))
-        able = [p for p, n in self.held.items() if p and n >= DOMINANT * total and 2 * self.links.get(p, 0) < n and _out(p[-1]) and p[-1].partition(".")[0] not in _NEVER]
-        main = [p for p, n in self.held.items() if p and n >= ASIDE * total and _rank(p[-1]) > 1 and not any(map(_out, p))] if able else []
-        #: Excluded by name, yet the page's text
-        self.clear = {p for p in able if not any(
-            c[:len(p)] != p and self.held[c] - (self.held[p] if p[:len(c)] == c else 0) >= ASIDE * total for c in main)}
-        self._out: dict[tuple, bool] = {(): False}
-
-    def out(self, path: tuple) -> bool:
-        """Whether an element of the path is excluded."""
-        if path not in self._out:
-            self._out[path] = self.out(path[:-1]) or _out(path[-1]) and path not in self.clear
-        return self._out[path]
+        self.parent, self.role, self.depth, self.print = [0], [""], [0], [0]
+        self.count, self.own = [0], [0]  # elements, and text characters right inside
+        self.checksum = [0]  # of the text inside, in order
+        self._child: dict[tuple[int, str], int] = {}
+        self.events: list[tuple[str, int, str]] = []
+        self._walk(text or "")
+        self._judge()
+
+    def _node(self, parent: int, role: str) -> int:
+        node = self._child.get((parent, role))
+        if node is None:
+            node = self._child[parent, role] = len(self.parent)
+            self.parent.append(parent)
+            self.role.append(role)
+            self.depth.append(self.depth[parent] + 1)
+            self.print.append(xxhash.xxh3_64_intdigest(role, seed=self.print[parent]))
+            self.count.append(0)
+            self.own.append(0)
+            self.checksum.append(0)
+        return node
+
+    def _walk(self, text: str) -> None:
+        """Events of the page.  End tags that HTML lets pages leave out are put in."""
+        stack: list[tuple[str, int, int, int]] = []  # tag, node, and the texts and their hash before it
+        open_tags: dict[str, int] = {}
+        marks: list[int] = []  # places in the stack that may end where a tag opens, or that bound that
+        hashes, powers = 0, [1]  # hash of the texts so far; powers of the base
+        texts = [0]
+
+        def note(node: int, what: str) -> None:
+            nonlocal hashes
+            if data := what.strip():
+                self.own[node] += len(data)
+                hashes = (hashes * _BASE + xxhash.xxh3_64_intdigest(data)) % _PRIME
+                texts[0] += 1
+                powers.append(powers[-1] * _BASE % _PRIME)
+            self.events.append(("text", node, what))
+
+        def close() -> str:
+            tag, node, before, was = stack.pop()
+            open_tags[tag] -= 1
+            if marks and marks[-1] == len(stack):
+                marks.pop()
+            inside = (hashes - was * powers[texts[0] - before]) % _PRIME
+            self.checksum[node] = (self.checksum[node] * _BASE + inside + 1) % _PRIME
+            if tag not in _INLINE:
+                self.events.append(("break", node, tag))
+            return tag
+
+        at, size = 0, len(text)
+        while at < size:
+            m = _TOKEN.search(text, at)
+            if not m:
+                break
+            here = stack[-1][1] if stack else 0
+            if m.start() > at:
+                note(here, text[at:m.start()])
+            raw, at = m.group(), m.end()
+            tag = _TAG.match(raw)
+            if not tag:
+                continue
+            name = tag.group(1).lower()
+            if raw[1] == "/":
+                if open_tags.get(name):
+                    while close() != name:
+                        pass
+                elif name in ("p", "br"):
+                    self.events.append(("break", here, name))
+                continue
+            ends = _CLOSES.get(name, ())
+            if name in _ENDS_P or ends:
+                for i in reversed(marks):
+                    t = stack[i][0]
+                    if t in ends or name in _ENDS_P and t == "p":
+                        while len(stack) > i:
+                            close()
+                        here = stack[-1][1] if stack else 0
+                        break
+                    if t in _BOUNDS:
+                        break
+            node = self._node(here, _role(name, raw))
+            self.count[node] += 1
+            if name not in _INLINE:
+                self.events.append(("break", here, name))
+            if name in _VOID or raw.endswith("/>") and name not in _RAW and name not in _ENDS_P:
+                if name not in _INLINE or name == "br":
+                    self.events.append(("break", here, name))
+            elif name in _RAW:
+                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(text, at)
+                at = end.end() if end else size
+            else:
+                if name in _MARKS:
+                    marks.append(len(stack))
+                stack.append((name, node, texts[0], hashes))
+                open_tags[name] = open_tags.get(name, 0) + 1
+        if at < size:
+            note(stack[-1][1] if stack else 0, text[at:])
+        while stack:
+            close()
+        self.whole = hashes
+
+    def _up(self, own: list[int]) -> list[int]:
+        """For each node the sum over it and all below it."""
+        held = list(own)
+        for k in range(len(held) - 1, 0, -1):
+            held[self.parent[k]] += held[k]
+        return held
+
+    def _judge(self) -> None:
+        nodes, parent, role = range(1, len(self.parent)), self.parent, self.role
+        tag = [r.partition(".")[0] for r in role]
+        link, never, top_never, excluded = [False], [False], [], [False]
+        for k in nodes:
+            link.append(link[parent[k]] or tag[k] == "a")
+            never.append(never[parent[k]] or tag[k] in _NEVER)
+            if never[k] and not never[parent[k]]:
+                top_never.append(k)
+            excluded.append(excluded[parent[k]] or _out(role[k]))
+        self.tag = tag
+        self.held = held = self._up(self.own)
+        self.links = self._up([n if link[k] else 0 for k, n in enumerate(self.own)])
+        total = held[0] - sum(held[k] for k in top_never)
+        able = [k for k in nodes if held[k] and held[k] >= DOMINANT * total and 2 * self.links[k] < held[k] and _out(role[k]) and tag[k] not in _NEVER]
+        #: Excluded by name, yet the page's text: all main containers stand around it and hold little else.
+        self.clear = set()
+        if able:
+            main = {k for k in nodes if held[k] and held[k] >= ASIDE * total and not excluded[k] and _rank(role[k]) > 1}
+            most = max((held[k] for k in main), default=0)
+            around = [0]
+            for k in nodes:
+                around.append(around[parent[k]] + (k in main))
+            self.clear = {k for k in able if around[k] == len(main) and (not main or most - held[k] < ASIDE * total)}
+        self.out = [False]
+        for k in nodes:
+            self.out.append(self.out[parent[k]] or _out(role[k]) and k not in self.clear)
 
     def tokens(self) -> list[tuple]:
-        """(role path, occurrences, text characters below it that no excluded element holds, rank, link characters, the
-        page's characters, and for slots checksums of the text and of the page's) of the opening tags."""
-        chars: dict[tuple, int] = {}
-        slots = {p: 0 for p in self.count if "." in p[-1] and p[-1].partition(".")[0] not in _FLOW and not self.out(p)}
-        inside: dict[tuple, list] = {}
-        whole = 0
-        for kind, path, what in self.events:
-            if kind == "text" and (data := what.strip().encode()):
-                whole = zlib.crc32(data, whole)
-                if path and not self.out(path):
-                    n = len(what.strip())
-                    for k in range(len(path) + 1):
-                        chars[path[:k]] = chars.get(path[:k], 0) + n
-                if path not in inside:
-                    inside[path] = [path[:k] for k in range(1, len(path) + 1) if path[:k] in slots]
-                for p in inside[path]:
-                    slots[p] = zlib.crc32(data, slots[p])
-        total = chars.get((), 0)
-        return [(">".join(p), n, chars.get(p, 0), 0 if self.out(p) else _rank(p[-1]), self.links.get(p, 0), total, slots.get(p), whole if p in slots else None)
-                for p, n in self.count.items()]
-
-    def own_container(self) -> str | None:
+        """(print of the role path, its depth, occurrences, text characters below it that no excluded element holds, rank, link
+        characters, the page's characters, and for slots checksums of the text and of the page's) of the opening tags."""
+        chars = self._up([0 if k == 0 or self.out[k] else n for k, n in enumerate(self.own)])
+        rows = []
+        for k in range(1, len(self.parent)):
+            slot = "." in self.role[k] and self.tag[k] not in _FLOW and not self.out[k]
+            rows.append((self.print[k] - (1 << 63), self.depth[k], self.count[k], chars[k], 0 if self.out[k] else _rank(self.role[k]), self.links[k], chars[0],
+                         self.checksum[k] if slot else None, self.whole if slot else None))
+        return rows
+
+    def own_container(self) -> int | None:
         """The page's best container by its own tokens: by name, then by text, then the outermost."""
-        able = [(rank, n == 1, chars, -role.count(">"), role) for role, n, chars, rank, _, total, *_ in self.tokens() if rank and chars >= ASIDE * total]
+        able = [(rank, n == 1, chars, -depth, path) for path, depth, n, chars, rank, _, total, *_ in self.tokens() if rank and chars >= ASIDE * total]
         return max(able)[-1] if able else None
 
-    def kept(self, path: tuple, depth: int) -> bool:
-        """Whether text at this path, below a container of this depth, is main text; the container's own header is its headline."""
-        return not any(_out(path[i]) and path[:i + 1] not in self.clear for i in range(depth, len(path)) if i > depth or path[i].partition(".")[0] != "header")
+    def kept(self, container: int | None, repeated: set[int]) -> list[bool]:
+        """For each node whether text right inside it is main text: below the container, in no excluded or repeated element; the
+        container's own header is its headline."""
+        inside = [container is None]
+        for k in range(1, len(self.parent)):
+            path, up = self.print[k] - (1 << 63), self.parent[k]
+            own = self.tag[k] == "header" and (self.print[up] - (1 << 63) == container if up else container is None)
+            below = inside[up] and path not in repeated and (own or not _out(self.role[k]) or k in self.clear)
+            inside.append(path == container or below)
+        return inside
 
 
-def extract(text: str | None, containers: list[str] | None, repeated: list[str] | None = None) -> str:
+def extract(text: str | None, containers: list[int] | None, repeated: list[int] | None = None) -> str:
     """What the first of ``containers`` that the page has (else the page's own best one) holds outside of the ``repeated`` slots."""
     if not text:
         return ""
     page = Page(text)
-    have = {">".join(p) for p in page.count}
-    container = next((c for c in containers or [] if c in have), None) or page.own_container()
-    inside = tuple(container.split(">")) if container else ()
-    depth, out, kept = len(inside), [], {}
-    repeated = {tuple(r.split(">")) for r in repeated or []}
-    for kind, path, what in page.events:
-        if path not in kept:
-            kept[path] = path[:depth] == inside and page.kept(path, depth) and not any(path[:k] in repeated for k in range(depth + 1, len(path) + 1))
-        if kept[path]:
-            if kind == "text":
-                out.append(entities.unescape(what))
-            elif what.partition(".")[0] not in _INLINE:
-                out.append(" ")
+    have = {p - (1 << 63) for p in page.print[1:]}
+    container = next((c for c in containers or [] if c in have), None)
+    kept, out = page.kept(page.own_container() if container is None else container, set(repeated or ())), []
+    for kind, node, what in page.events:
+        if kept[node]:
+            out.append(entities.unescape(what) if kind == "text" else " ")
     return " ".join("".join(out).split())
 
 
 def _page_tokens(batches):
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4)
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4)
     for batch in batches:
         rows = [(host, page, *t) for host, page, text in zip(*(c.to_pylist() for c in batch.columns)) for t in Page(text).tokens()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-                                         ["host", "page", "role", "n", "chars", "rank", "links", "total", "slot", "whole"])
+                                         ["host", "page", "role", "depth", "n", "chars", "rank", "links", "total", "slot", "whole"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """host, containers (role paths of the template's main slots, best first), repeated (those of its template slots)."""
     keyed = pages.select(host_and_path(F.col("url"))["host"].alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    found = keyed.mapInArrow(_page_tokens, "host string, page long, role string, n long, chars long, rank int, links long, total long, slot long, whole long")
-    # the occurrence vector as two fingerprints: exclusive or over hashes of page and count
+    found = keyed.mapInArrow(_page_tokens, "host string, page long, role long, depth int, n long, chars long, rank int, links long, total long, slot long, whole long")
+    # the occurrence vector as two fingerprints: sums over hashes of page and count
     per_token = found.groupBy("host", "role").agg(
-        F.bit_xor(F.xxhash64("page", "n")).alias("v1"), F.bit_xor(F.xxhash64("n", "page", F.lit(1))).alias("v2"),
+        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("v1"), F.sum(F.xxhash64("n", "page", F.lit(1)).cast("decimal(20,0)")).alias("v2"),
+        F.max("depth").alias("depth"), (F.min("slot") == F.max("slot")).alias("one_text"),
         F.count("*").alias("support"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.max("rank").alias("rank"),
         F.sum("links").alias("links"), F.sum("total").alias("total"),
         F.approx_count_distinct("slot", 0.1).alias("texts"), F.approx_count_distinct("whole", 0.1).alias("different"))
-    repeated = ((F.col("different") >= MIN_PAGES) & (F.col("texts") <= F.greatest(F.lit(1.0), SAME * F.col("different")))
+    few = F.col("one_text") | (F.greatest(F.col("texts"), F.lit(2)) <= SAME * F.col("different"))  # the sketch alone may take two texts for one
+    repeated = ((F.col("different") >= MIN_PAGES) & few
                 & ((F.col("chars") < DOMINANT * F.col("total")) | (2 * F.col("links") >= F.col("chars"))))
     per_token = per_token.withColumn("repeated", repeated)
     holds = (F.col("rank") > 0) & (F.col("most") == 1) & ~F.col("repeated") & (F.col("chars") >= ASIDE * F.col("total"))
-    container = F.struct("rank", "chars", (-F.length("role")).alias("outer"), "role")
+    container = F.struct("rank", "chars", (-F.col("depth")).alias("outer"), "role")
     classes = per_token.groupBy("host", "v1", "v2").agg(
         F.max("support").alias("support"), F.count("*").alias("size"), F.max(F.when(holds, container)).alias("container"),
         F.collect_list(F.when(F.col("repeated"), F.col("role"))).alias("repeated"))
@@ -296,13 +355,15 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text of each page."""
     prepare(pages.sparkSession)
     pages = pages.select("page_id", "url", "html").withColumn("host", host_and_path(F.col("url"))["host"])
-    # hosts with more than HOT_SHARE of all pages (so 1 / HOT_SHARE at most) are dealt out over SALTS tasks
+    # the pages of a large host are dealt out over as many tasks as it needs; there are at most LARGE_HOSTS large hosts
     counts = pages.groupBy("host").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = F.col("host").isin([r["host"] for r in counts.where(F.col("n") > HOT_SHARE * total).collect()])
-    spread = templates(pages).withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    salt = F.when(hot, F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    keyed = pages.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
+    most = max(TASK_PAGES, total // LARGE_HOSTS)
+    large = stored(counts.where(F.col("n") > most).select("host", F.ceil(F.col("n") / most).alias("salts")), "large-hosts")
+    salts = F.coalesce("salts", F.lit(1).cast("long"))
+    spread = templates(pages).join(F.broadcast(large), "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+    pages = pages.join(F.broadcast(large), "host", "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), salts)).drop("salts")
+    keyed = pages.join(spread, ["host", "salt"], "left")
     text = per_row(_extract, "text string", F.col("html"), F.struct("containers", "repeated"))
     return keyed.select("page_id", "url", text["text"].alias("text"))
 

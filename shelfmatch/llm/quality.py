@@ -1,6 +1,9 @@
 """Quality rules: compression bands.
 
-zstandard packs the whole document and each fixed chunk of it.  A ratio (bytes over packed bytes) below the band
+zstandard packs the whole document and each fixed chunk of it, in a form that is the same for all scripts: a document's characters are
+re-coded to a byte each (Latin-1 where it fits, else by the document's own alphabet), so that two- and three-byte scripts do not
+look repetitive.  Texts of more than 256 different characters (logographic scripts) are packed as UTF-8, with lower least ratios.
+A ratio (bytes over packed bytes) below the band
 of its length means text that does not pack like language (noise, keys, encoded data), one above it means
 repetition.  Bands depend on the length because a longer text packs better: between the listed lengths the limits
 are interpolated over the logarithm of the length.  A document fails if its whole ratio is out of band, or if more than
@@ -31,12 +34,14 @@ CHUNK_BYTES = 1024
 LAST_CHUNK_BYTES = 512
 CHUNK_BAND = (1.25, 1.98)
 CHUNK_SHARE = 0.5
-#: Bytes of the document, lowest and highest ratio of the whole.
+#: Bytes of the packed form, lowest and highest ratio of the whole.
 WHOLE_BANDS = (
     (100, 0.95, 1.45), (168, 1.00, 1.54), (238, 1.10, 1.64), (336, 1.20, 1.77), (475, 1.28, 1.90), (672, 1.38, 1.96),
-    (950, 1.50, 2.04), (1345, 1.60, 2.10), (1900, 1.70, 2.18), (2700, 1.78, 2.22), (3800, 1.86, 2.29), (5400, 1.92, 2.33),
-    (9000, 1.98, 2.41), (18000, 2.08, 2.49), (36000, 2.15, 2.56), (100000, 2.20, 2.70),
+    (950, 1.50, 2.04), (1345, 1.60, 2.10), (1900, 1.70, 2.18), (2700, 1.78, 2.22), (3800, 1.86, 2.29), (5400, 1.92, 2.40),
+    (9000, 1.98, 2.52), (18000, 2.05, 2.78), (36000, 2.10, 2.95), (100000, 2.15, 3.10),
 )
+#: The least ratios of texts in UTF-8 are this share of the others'.
+WIDE_LOW = 0.7
 
 _LOG = np.log([b for b, _, _ in WHOLE_BANDS])
 _LOW = [x for _, x, _ in WHOLE_BANDS]
@@ -77,6 +82,19 @@ def duplicate_lines(data: bytes) -> int:
     return n
 
 
+def script_neutral(text: str) -> tuple[bytes, bool]:
+    """A byte for each character, or UTF-8 (and true) if there are too many different characters."""
+    try:
+        return text.encode("latin-1"), False
+    except UnicodeEncodeError:
+        alphabet = sorted(set(text))
+        if len(alphabet) > 256:
+            return text.encode(), True
+    low = [c for c in alphabet if c < "\x80"]
+    free = iter(sorted(set(range(256)) - set(map(ord, low))))
+    return text.translate({ord(c): chr(next(free)) for c in alphabet if c >= "\x80"}).encode("latin-1"), False
+
+
 def chunks(data: bytes) -> list[bytes]:
     ends = list(range(CHUNK_BYTES, len(data), CHUNK_BYTES)) + [len(data)]
     if len(ends) > 1 and ends[-1] - ends[-2] < LAST_CHUNK_BYTES:
@@ -84,18 +102,20 @@ def chunks(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def compression(data: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
+def compression(text: str, packer: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
     """Whole ratio, share of chunks out of band, and whether the bands accept the document."""
-    if not data:
+    if not text:
         return 0.0, 0.0, False
+    data, wide = script_neutral(text)
+    least = WIDE_LOW if wide else 1.0
     whole = len(data) / len(packer.compress(data))
     at = np.log(len(data))
-    low, high = np.interp(at, _LOG, _LOW), np.interp(at, _LOG, _HIGH)
+    low, high = least * np.interp(at, _LOG, _LOW), np.interp(at, _LOG, _HIGH)
     out = 0.0
     parts = chunks(data)
     if len(parts) > 1:
         ratios = [len(c) / len(packer.compress(c)) for c in parts]
-        out = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in ratios) / len(parts)
+        out = sum(not least * CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in ratios) / len(parts)
     return whole, out, bool(low <= whole <= high) and out <= CHUNK_SHARE
 
 
@@ -108,7 +128,7 @@ def signals(texts: list) -> list[tuple]:
         blank = len(data) - sum(map(len, words))
         repeats = repeated_words(words)
         failed = n < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * n
-        whole, share, good = compression(data, packer)
+        whole, share, good = compression(text or "", packer)
         out.append((n, len(text or "") - blank, len(data) - len(data.translate(None, SYMBOLS)), duplicate_lines(data),
                     repeats, failed, whole, share, good and not failed))
     return out

@@ -12,7 +12,9 @@ broken record is an error.
 
 Defined results: null html is the empty payload; a null url is an empty target; of rows with equal payloads of
 at least ``REVISIT_BYTES`` bytes those with the smallest page_id are responses, the others (also with null page_id)
-revisit it; rows equal in page_id and html are one capture; other columns are not read.
+revisit the first of them, and if all page_ids are null all are responses; every row is a capture, also repeated ones
+and those with null page_id, as the record ids hold the row's place in the table (written once, so that it is the same for all readers); an empty table makes an empty
+archive; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.llm.common import prepare, stored, table
+from shelfmatch.llm.heat import join_counted
 from shelfmatch.session import scratch_path
 
 REVISIT_BYTES = 0
@@ -57,22 +60,24 @@ def _record(kind: str, record_id: Column, block: Column, *fields: tuple[str, Col
 def capture_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """The three records of each page, as text, in a column ``record``."""
     base = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
-    base = base.withColumn("sha1", F.sha1(F.col("payload").cast("binary")))
-    first = (base.where(F.octet_length("payload") >= revisit_bytes).groupBy("sha1")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("sha1", "first_id"))
-    rows = base.join(first, "sha1", "left")
+    base = stored(base.withColumns({"sha1": F.sha1(F.col("payload").cast("binary")), "place": F.monotonically_increasing_id()}), "captures")
+    # the first row of each payload that occurs again; the payloads stay behind
+    first = base.select("page_id", "place", "sha1", F.octet_length("payload").alias("size")).where(F.col("size") >= revisit_bytes)
+    first = first.groupBy("sha1").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "place"))).alias("f"), F.count("*").alias("n"))
+    first = stored(first.where("n > 1").select("sha1", "n", F.col("f.page_id").alias("first_id"), F.col("f.place").alias("first_place")), "first-captures")
+    rows = join_counted(base, first, ["sha1"], how="left")
 
-    def urn(page_id: Column) -> Column:
-        return F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(":"), F.col("sha1"))
+    def urn(page_id: Column, place: Column) -> Column:
+        return F.concat_ws(":", F.lit("urn:page"), F.coalesce(page_id.cast("string"), F.lit("null")), "sha1", place.cast("string"))
 
-    own = urn(F.col("page_id"))
+    own = urn(F.col("page_id"), F.col("place"))
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7f]", "%20")
     digest = F.concat(F.lit("sha1:"), base32(F.col("sha1")))
     size = F.octet_length("payload").cast("string")
     common = (("WARC-Date", F.lit("1970-01-01T00:00:00Z")), ("WARC-Target-URI", url))
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     response = F.when(revisit, _record(
-        "revisit", own, F.lit(HTTP), *common, ("WARC-Payload-Digest", digest), ("WARC-Refers-To", F.concat(F.lit("<"), urn(F.col("first_id")), F.lit(">"))),
+        "revisit", own, F.lit(HTTP), *common, ("WARC-Payload-Digest", digest), ("WARC-Refers-To", F.concat(F.lit("<"), urn(F.col("first_id"), F.col("first_place")), F.lit(">"))),
         ("WARC-Profile", F.lit(REVISIT_PROFILE)), ("Content-Type", F.lit("application/http; msgtype=response")),
     )).otherwise(_record(
         "response", own, F.concat(F.lit(HTTP), F.col("payload")), *common, ("WARC-Payload-Digest", digest),
@@ -181,12 +186,12 @@ def op5_warc(spark, sf_dir: str) -> DataFrame:
 
 OP5_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-d AS (SELECT DISTINCT page_id, strlen(h) AS payload_bytes, sha1(h) AS x FROM p),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x FROM p),
 f AS (SELECT x, min(page_id) AS first_id FROM d GROUP BY x),
 b AS (SELECT x, string_agg(substr('{BASE32}', CAST((CAST('0x' || substr(x, 5 * (k // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS BIGINT) + 1, 1), '' ORDER BY k) AS s
       FROM (SELECT x, unnest(range(32)) AS k FROM f) GROUP BY x)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, s AS payload_digest,
-       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM d JOIN f USING (x) JOIN b USING (x)
 """
