@@ -52,14 +52,21 @@ def cover_positions(n: int, window: int) -> np.ndarray:
     return at[at < n]
 
 
+class _Hashes(dict):
+    """Hashes of words, made where they are missing."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= KEPT_LENGTH:
+            self[word] = h
+        return h
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    known = resident(("substrings",), dict)
+    known = resident(("substrings",), _Hashes)
     if len(known) > KEPT_WORDS:
         known.clear()
-    for w in set(words).difference(known):
-        if len(w) <= KEPT_LENGTH:
-            known[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter((known[w] if len(w) <= KEPT_LENGTH else xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -118,15 +125,18 @@ def _kept(texts: list, starts: list, whole: list, window: int) -> list[tuple]:
     out = []
     for text, at, everything in zip(texts, starts, whole, strict=True):
         words = _words(text)
+        if not at and not (everything and len(words) >= window):
+            out.append((len(words), 0, [], b" ".join(words).decode()))
+            continue
         edge = np.zeros(len(words) + 1, dtype=np.int64)
-        if everything and len(words) >= window:
+        if everything:
             edge[0], edge[-1] = 1, -1
-        elif at:
+        else:
             edge[at] += 1
             edge[np.array(at) + window] -= 1
         covered = np.cumsum(edge)[:-1] > 0
         turns = np.nonzero(np.diff(np.concatenate([[False], covered, [False]])))[0].tolist()
-        kept = [words[k] for k in np.nonzero(~covered)[0].tolist()] if covered.any() else words
+        kept = [words[k] for k in np.nonzero(~covered)[0].tolist()]
         out.append((len(words), int(covered.sum()), [{"start": a, "end": b} for a, b in zip(turns[::2], turns[1::2])], b" ".join(kept).decode()))
     return out
 
