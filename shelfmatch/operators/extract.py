@@ -66,11 +66,15 @@ def strip_blocks(html: Column) -> Column:
 
 def html_text(fragment: Column) -> Column:
     """Inner HTML -> text: tags to spaces, entities decoded, blanks collapsed, stripped."""
-    text = F.regexp_replace(fragment, r"<[^>]*>", " ")
-    text = F.when(text.contains("&#"), _numeric_references(text)).otherwise(text)
+    return py_strip(collapse_ws(decode_entities(F.regexp_replace(fragment, r"<[^>]*>", " "))))
+
+
+def decode_entities(text: Column) -> Column:
+    """The basic named and all numeric character references as characters; only texts with one are touched."""
+    out = F.when(text.contains("&#"), _numeric_references(text)).otherwise(text)
     for ent, ch in ENTITIES:
-        text = F.replace(text, F.lit(ent), F.lit(ch))
-    return py_strip(collapse_ws(text))
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def _numeric_references(text: Column) -> Column:

@@ -30,24 +30,13 @@ from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls,
 from shelfmatch.operators.variants import spec_counts, variant_matrix, variant_overlap
 from shelfmatch.operators.vector_search import (add_vectors, cosine_join, ivf_topk, load_store, lsh_topk, save_store,
                                                 search_topk)
+from shelfmatch.plans.registry import ORACLE, QUERIES, query
 from shelfmatch.plans.tables import grouped_catalogue, shop_catalogue, table
 from shelfmatch.session import ensure_session_defaults, scratch_path
 from shelfmatch.sources.files import read_catalogue, read_pages, read_store_keys, write_csv, write_json
 from shelfmatch.sources.sitemap import read_sitemap, write_sitemap
 from shelfmatch.streaming.ingest import PROFILES, stage_batches, staged_stream, stream_insert_if_absent
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-    return deco
-
 
 # ---------------------------------------------------------------- A1 / N4 --
 @query("dedupe_title_part", """
@@ -954,6 +943,9 @@ def drop_keys_nullable(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.select("event_id", F.to_json("record").alias("record"))
 
 
+from shelfmatch.plans import shop_pages  # noqa: E402,F401  registers its queries
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Apply the session settings (UTC, work folder, package shipped to workers) before planning."""
     @functools.wraps(fn)
