@@ -943,7 +943,7 @@ def drop_keys_nullable(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.select("event_id", F.to_json("record").alias("record"))
 
 
-from shelfmatch.plans import shop_pages  # noqa: E402,F401  registers its queries
+from shelfmatch.plans import json_trees, shop_pages  # noqa: E402,F401  these register their queries
 
 
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
