@@ -77,10 +77,11 @@ def is_element(tag: str, *classes: str, id: str | None = None) -> Column:
     return out if id is None else out & (F.coalesce(F.col("id"), F.lit("")) == id)
 
 
-def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id", inside: str | None = None, first: bool = False) -> DataFrame:
+def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id", inside: str | None = None, first: bool | str = False) -> DataFrame:
     """``rows`` with ``name``: the pos of the outermost element around each row (the opening row included) that ``opens`` selects.
 
-    ``inside``: the scope that the element must lie in; ``first``: only the first one in that scope (in the page without it).
+    ``inside``: the scope that the element must lie in; ``first``: only the first one in that scope (in the page without it, or
+    if it is "page").
     """
     in_order = Window.partitionBy(key).orderBy("pos")
     if inside:
@@ -89,7 +90,7 @@ def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id",
     before = F.max(F.when(F.col("_open"), F.col("end"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_start", F.col("_open") & (F.coalesce(before, F.lit(-1)) <= F.col("pos")))
     if first:
-        least = Window.partitionBy(key, inside) if inside else Window.partitionBy(key)
+        least = Window.partitionBy(key, inside) if inside and first != "page" else Window.partitionBy(key)
         rows = rows.withColumn("_start", F.col("_start") & (F.col("pos") == F.min(F.when(F.col("_start"), F.col("pos"))).over(least)))
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = F.last(F.when(F.col("_start"), F.struct("pos", "end")), ignorenulls=True).over(so_far)
@@ -97,6 +98,14 @@ def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id",
     return rows.withColumn(name, F.when(F.col("pos") < F.col("_at.end"), F.col("_at.pos"))).drop("_open", "_start", "_at")
 
 
+def has_class(*classes: str) -> Column:
+    """Whether a row opens an element of any tag with all the classes."""
+    out = F.col("kind") >= 0
+    for c in classes:
+        out = out & F.array_contains("classes", c)
+    return out
+
+
 def texts(where: Column, separator: str = "") -> Column:
     """Aggregate: the texts of the rows where the condition holds, each stripped, blank ones left out, joined in page order."""
     piece = py_strip(F.col("text"))

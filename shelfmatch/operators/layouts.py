@@ -1,4 +1,4 @@
-"""Sections of shop pages (X4-X7, X9, X13, X15, X17) and the product record (X21), over the rows of `elements`.
+"""Sections of shop pages (X2-X18) and the product record (X21), over the rows of `elements`.
 
 A section takes tag rows and returns one row per page that has anything of it; scopes tie together what belongs to one element,
 and aggregates go from the innermost scope outwards, all on the page's key, so a section adds no shuffle to the one that
@@ -14,8 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmatch.functions.prices import parse_price, reward_points
 from shelfmatch.functions.text import py_strip
-from shelfmatch.operators.elements import attribute, is_element, later_wins, tag_rows, texts, whole_text, with_scope
+from shelfmatch.operators.elements import attribute, has_class, is_element, later_wins, tag_rows, texts, whole_text, with_scope
 from shelfmatch.operators.extract import record_status
 
 KEY = "page_id"
@@ -148,11 +149,10 @@ def spec_table(rows: DataFrame, alternatives: tuple = SPEC_SECTIONS) -> DataFram
     """``spec_table``, {section: {key: value}} from table rows of two cells or more, of the first of the ``alternatives``
     (class of the box or None, class of the section) that the page has any section of; ``error`` where a section has no title."""
     section = F.lit(None).cast("int")
-    any_class = lambda c: (F.col("kind") >= 0) & F.array_contains("classes", c)
     for k, (box, cls) in reversed(list(enumerate(alternatives))):
         if box:
-            rows = with_scope(rows, f"box{k}", any_class(box), KEY)
-        rows = with_scope(rows, f"sec{k}", any_class(cls), KEY, f"box{k}" if box else None)
+            rows = with_scope(rows, f"box{k}", has_class(box), KEY)
+        rows = with_scope(rows, f"sec{k}", has_class(cls), KEY, f"box{k}" if box else None)
     chosen = F.min(F.coalesce(*[F.when(_has(f"sec{k}"), F.lit(k)) for k in range(len(alternatives))])).over(Window.partitionBy(KEY))
     rows = rows.withColumn("chosen", chosen)
     for k in range(len(alternatives)):
@@ -238,21 +238,124 @@ def breadcrumb(html: Column) -> Column:
     return F.coalesce(F.filter(names, lambda n: n.isNotNull()), F.array().cast("array<string>"))
 
 
+def _text(scope: str, separator: str = "") -> Column:
+    """Aggregate: the text of the scope, null where the page has no such element."""
+    return F.when(_any(scope), texts(_has(scope), separator))
+
+
+def _list(scope: str, *fields: str) -> Column:
+    """Aggregate over parts: the field (or a struct of the fields) of each part in the scope, in page order."""
+    found = F.array_sort(F.collect_list(F.when(_has(scope), F.struct(F.col(scope).alias("at"), *fields))), lambda a, b: a["at"] - b["at"])
+    return F.transform(found, lambda x: x[fields[0]] if len(fields) == 1 else F.struct(*[x[f].alias(f) for f in fields]))
+
+
+def basics_a(rows: DataFrame) -> DataFrame:
+    """product_name, quantity_sale, detail_rate, product_type (null without breadcrumb)."""
+    rows = _scopes(
+        rows, ("d", is_element("section", "detail"), None, True), ("n", is_element("div", "product-name"), "d", True), ("h", is_element("h1"), "n", True),
+        ("q", is_element("span", "quantity-sale"), "n", True), ("r", is_element("div", "detail-rate"), "n", True), ("b", is_element("ul", "breadcrumb"), "d", True), ("a", is_element("a"), "b", False))
+    parts = rows.where(_has("d")).groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "q", "r", "a")], _any("b").alias("has_b"))
+    return parts.groupBy(KEY).agg(F.max("t_h").alias("product_name"), F.max("t_q").alias("quantity_sale"), F.max("t_r").alias("detail_rate"),
+                                  F.max("has_b").alias("has_b"), _list("a", "t_a").alias("types")).select(
+        KEY, "product_name", "quantity_sale", "detail_rate", F.when(F.col("has_b"), F.col("types")).alias("product_type"))
+
+
+def options_a(rows: DataFrame) -> DataFrame:
+    """selected_capacity (empty where none is), all_colors; null without the box."""
+    rows = _scopes(rows, ("g", is_element("div", "group-box03"), None, True), ("cap", is_element("div", "box03") & ~F.array_contains("classes", "color"), "g", False),
+                   ("act", is_element("a", "act"), "cap", "page"), ("col", is_element("div", "box03", "color"), "g", False), ("a", is_element("a"), "col", False))
+    parts = rows.where(_has("g")).groupBy(KEY, "a").agg(_text("act").alias("act"), _text("a").alias("t"))
+    return parts.groupBy(KEY).agg(F.coalesce(F.max("act"), F.lit("")).alias("selected_capacity"), _list("a", "t").alias("all_colors"))
+
+
+def basics_b(rows: DataFrame) -> DataFrame:
+    """product_name, rating_score, total_ratings (without brackets), actions (labels, then the compare button's)."""
+    rows = _scopes(
+        rows, ("n", is_element("div", "box-product-name"), None, False), ("h", is_element("h1"), "n", "page"), ("rb", is_element("div", "box-rating"), None, True),
+        ("rs", is_element("span") & ~F.array_contains("classes", "total-rating"), "rb", True), ("rt", is_element("span", "total-rating"), "rb", True),
+        ("i", is_element("div", "box-bottom-item"), None, False), ("l", is_element("span", "label"), "i", True),
+        ("cb", is_element("div", "pdp-compare-button-box"), None, False), ("c", is_element("a", "label"), "cb", "page"))
+    parts = rows.groupBy(KEY, "l").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "rs", "rt", "l", "c")])
+    found = parts.groupBy(KEY).agg(*[F.max(f"t_{s}").alias(f"t_{s}") for s in ("h", "rs", "rt", "c")], _list("l", "t_l").alias("labels"))
+    return found.select(KEY, F.col("t_h").alias("product_name"), F.col("t_rs").alias("rating_score"), F.btrim("t_rt", F.lit("()")).alias("total_ratings"),
+                        F.concat("labels", F.when(F.col("t_c").isNull(), F.array().cast("array<string>")).otherwise(F.array("t_c"))).alias("actions"))
+
+
+def _linked(rows: DataFrame, title: str, default: str, item: str, out: str) -> DataFrame:
+    """A title or its default, and the items' texts with their first link (null without)."""
+    rows = with_scope(rows, "link", is_element("a"), KEY, item, True)
+    parts = rows.groupBy(KEY, item).agg(_text(title).alias("title"), texts(_has(item), " ").alias("detail"), _value("link", "href").alias("link"))
+    return parts.groupBy(KEY).agg(F.struct(F.coalesce(F.max("title"), F.lit(default)).alias("title"), _list(item, "detail", "link").alias("items")).alias(out))
+
+
+def promotions_b(rows: DataFrame) -> DataFrame:
+    """``promotions``: title and items (detail, link)."""
+    rows = _scopes(rows, ("hd", has_class("box-product-promotion-header"), None, False), ("t", is_element("span"), "hd", "page"),
+                   ("p", has_class("promotion-pack_item"), None, False), ("i", has_class("box-product-promotion-detail"), "p", True))
+    return _linked(rows, "t", "Khuyến mãi", "i", "promotions")
+
+
+def payment_promotions_b(rows: DataFrame) -> DataFrame:
+    """X11: ``payment_promotions``: title and items (detail, link)."""
+    rows = _scopes(rows, ("hd", has_class("box-more-promotion-title"), None, False), ("t", is_element("span"), "hd", "page"),
+                   ("r", has_class("render-promotion"), None, False), ("u", is_element("ul"), "r", False), ("i", is_element("li"), "u", False))
+    return _linked(rows, "t", "Ưu đãi thanh toán", "i", "payment_promotions")
+
+
+def commitments_b(rows: DataFrame) -> DataFrame:
+    """``commitments``: title and items (detail, link), every description of an item."""
+    rows = _scopes(rows, ("w", has_class("box-warranty-info"), None, False), ("bt", has_class("box-title"), "w", False), ("t", is_element("p"), "bt", "page"),
+                   ("p", has_class("item-warranty-info"), None, False), ("i", is_element("div", "description"), "p", False))
+    return _linked(rows, "t", "Cam kết sản phẩm", "i", "commitments")
+
+
+def basics_c(rows: DataFrame) -> DataFrame:
+    """product_type (breadcrumb texts that are not empty), product_name, rating_score, rating_count."""
+    rows = _scopes(
+        rows, ("nav", is_element("nav", "Breadcrumb"), None, True), ("li", is_element("li"), "nav", False), ("a", is_element("a"), "li", True),
+        ("h", is_element("h1", "text-textOnWhitePrimary", "b2-medium", "pc:l6-semibold"), None, True), ("rb", is_element("div", "ml-1.5", "flex", "items-center", "gap-1"), None, False),
+        ("rs", is_element("div", "text-textOnWhitePrimary", "b2-regular"), "rb", "page"),
+        ("rc", is_element("div", "ml-1", "cursor-pointer", "text-textOnWhiteHyperLink", "f1-medium", "pc:b2-medium"), None, True))
+    parts = rows.groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "rs", "rc", "a")])
+    found = parts.groupBy(KEY).agg(*[F.max(f"t_{s}").alias(f"t_{s}") for s in ("h", "rs", "rc")], _list("a", "t_a").alias("types"))
+    return found.select(KEY, F.filter("types", lambda t: t != "").alias("product_type"), F.col("t_h").alias("product_name"), F.col("t_rs").alias("rating_score"), F.col("t_rc").alias("rating_count"))
+
+
+def price_c(rows: DataFrame) -> DataFrame:
+    """current_price and original_price as numbers (null where they are none), discount_percent, reward_points."""
+    box = (F.col("kind") >= 0) & (F.coalesce(F.col("id"), F.lit("")) == "tradePrice")
+    rows = _scopes(rows, ("b", box, None, True), ("c", is_element("span", "h4-bold"), "b", True), ("o", is_element("span", "text-neutral-gray-5", "line-through"), "b", True),
+                   ("d", is_element("span", "text-red-red-7"), "b", True), ("r", is_element("span", "text-yellow-yellow-7", "b2-medium"), "b", True))
+    found = rows.groupBy(KEY).agg(*[_text(s).alias(f"t_{s}") for s in "codr"])
+    return found.select(KEY, parse_price("t_c").alias("current_price"), parse_price("t_o").alias("original_price"), F.col("t_d").alias("discount_percent"), reward_points("t_r").alias("reward_points"))
+
+
+def extended_warranty_c(rows: DataFrame) -> DataFrame:
+    """``extended_warranty``: title, current_price, original_price of each package, each null where it is missing."""
+    rows = _scopes(
+        rows, ("b", is_element("div", "flex", "flex-col", "gap-2", "px-4", "pb-4", "pt-3"), None, True), ("i", is_element("div", "relative", "grid", "h-14"), "b", False),
+        ("t", is_element("p", "line-clamp-2"), "i", True), ("c", is_element("span", "text-textOnWhiteBrand"), "i", True), ("o", is_element("span", "text-textOnWhiteDisable", "line-through"), "i", True))
+    parts = rows.groupBy(KEY, "i").agg(_text("t").alias("title"), parse_price(_text("c")).alias("current_price"), parse_price(_text("o")).alias("original_price"))
+    return parts.groupBy(KEY).agg(_list("i", "title", "current_price", "original_price").alias("extended_warranty"))
+
+
 @dataclass(frozen=True)
 class Layout:
-    """How the pages of one shop are read: pattern of their URLs, the container, the scopes that lead to the name, the sections."""
+    """How the pages of one shop are read: pattern of their URLs, the container, the sections (one of them has product_name),
+    and whether the product type comes from JSON-LD."""
 
     name: str
     url_pattern: str
     container: Callable[[], Column]
-    name_path: tuple[Callable[[], Column], ...]
     sections: tuple[Callable[[DataFrame], DataFrame], ...]
+    json_breadcrumb: bool = False
 
 
 LAYOUTS = (
-    Layout("A", r"^https?://shop-a\.", lambda: is_element("section", "detail"), (lambda: is_element("div", "product-name"), lambda: is_element("h1")), (specifications, policies)),
-    Layout("B", r"^https?://shop-b\.", lambda: is_element("div", "box-detail-product"), (lambda: is_element("div", "box-product-name"), lambda: is_element("h1")), (priced_options, spec_table)),
-    Layout("C", r"^https?://shop-c\.", lambda: is_element("div", id="ThongTinSanPham"), (lambda: is_element("h1"),), (stateful_options, promotions)),
+    Layout("A", r"^https?://shop-a\.", lambda: is_element("section", "detail"), (basics_a, options_a, specifications, policies)),
+    Layout("B", r"^https?://shop-b\.", lambda: is_element("div", "box-detail-product"),
+           (basics_b, priced_options, promotions_b, payment_promotions_b, commitments_b, spec_table), True),
+    Layout("C", r"^https?://shop-c\.", lambda: is_element("div", id="ThongTinSanPham"), (basics_c, stateful_options, price_c, promotions, extended_warranty_c)),
 )
 
 
@@ -275,19 +378,19 @@ def assemble_products(pages: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
 
 
 def _record(pages: DataFrame, layout: Layout) -> DataFrame:
-    rows = tag_rows(pages, KEY, keep=("url", "layout"))
-    named = with_scope(rows, "box", layout.container(), KEY, first=True)
-    inside = "box"
-    for k, step in enumerate(layout.name_path):
-        named = with_scope(named, f"name{k}", step(), KEY, inside, True)
-        inside = f"name{k}"
-    record = named.groupBy(KEY, "url", "layout").agg(_any("box").alias("has_box"), texts(_has(inside)).alias("product_name")).where("has_box").drop("has_box")
-    fields, error = [], F.lit(None).cast("string")
+    keep = ("url", "layout")
+    if layout.json_breadcrumb:
+        pages = pages.withColumn("breadcrumb", breadcrumb(F.col("html")))
+        keep += ("breadcrumb",)
+    rows = tag_rows(pages, KEY, keep=keep)
+    boxed = with_scope(rows, "box", layout.container(), KEY, first=True)
+    record = boxed.groupBy(KEY, *keep).agg(_any("box").alias("has_box")).where("has_box").drop("has_box")
+    fields, error = [F.col("breadcrumb").alias("product_type")] if layout.json_breadcrumb else [], F.lit(None).cast("string")
     for section in layout.sections:
         part = section(rows)
         record = record.join(part, KEY, "left")
-        fields += [c for c in part.columns if c not in (KEY, "error", "broken")]
+        fields += [F.col(c) for c in part.columns if c not in (KEY, "error", "broken")]
         if "error" in part.columns:
             error = F.col("error")
-    data = F.to_json(F.struct("product_name", *fields))
-    return record.select(KEY, "url", "layout", "product_name", data.alias("product_data"), record_status(F.col("product_name"), error).alias("status"))
+    return record.select(KEY, "url", "layout", F.coalesce("product_name", F.lit("")).alias("product_name"), F.to_json(F.struct(*fields)).alias("product_data"),
+                         record_status(F.col("product_name"), error).alias("status"))

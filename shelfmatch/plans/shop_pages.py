@@ -1,4 +1,4 @@
-"""Queries of the shop page sections (X4-X7, X9, X13, X15, X17, X21) over pages derived from ``part``.
+"""Queries of the shop page sections (X2-X18) and of the product record (X21) over pages derived from ``part``.
 
 Each part gives a page of one layout, written by column expressions with the cases that tell rules apart: missing
 parts, repeated names, nested markup, decoys outside the boxes.  The SQL computes the wanted fields from the columns of ``part``
@@ -60,8 +60,29 @@ def _layout_a() -> list:
         "<div class='block-change'><h3>Nothing</h3></div><div class='block-change'><h3></h3><div class=content-insider>untitled</div></div>",
         _every(5, "<div class='block-change'><h3>Days</h3><div class='content-insider'>later {p_size}</div></div>"), "</div></div>",
     ]
-    name = _every(11, "", other="<div class='product-name'><h1>{p_name} <i>{p_partkey}</i></h1></div>")
-    return ["<section class='", _every(13, "broken", other="detail"), "'>", name, *specs, *policies, "</section>"]
+    basics = [
+        _every(3, "", other="<ul class='breadcrumb x'><li><a>Home</a></li><li><a> <b>{p_type}</b> </a></li></ul>"), "<div class='product-name'>",
+        _every(11, "", other="<h1>{p_name} <i>{p_partkey}</i></h1>"), _every(2, "<span class='quantity-sale'>Sold {p_size}</span>"),
+        "<div class='detail-rate'><p>4.<b>5</b></p></div></div><span class='quantity-sale'>outside</span>",
+        _every(5, "", other="<div class='group-box03'>"), "<div class='box03 group'>", _every(4, "", other="<a class='item act'>{p_size}GB</a><a class=act>second</a>"), "<a>1TB</a></div>",
+        "<div class='box03 color group'><a class='act'>{p_type}</a><a> Red <i>2</i></a></div>", _every(5, "", other="</div>"),
+    ]
+    return ["<section class='", _every(13, "broken", other="detail"), "'>", *basics, *specs, *policies, "</section>"]
+
+
+@query("layout_basics_a", """
+SELECT p_partkey AS page_id, CASE WHEN p_partkey % 11 = 0 OR p_partkey % 13 = 0 THEN NULL ELSE trim(p_name) || p_partkey END AS product_name,
+       CASE WHEN p_partkey % 2 = 0 AND p_partkey % 13 <> 0 THEN 'Sold ' || p_size END AS quantity_sale,
+       CASE WHEN p_partkey % 13 <> 0 THEN '4.5' END AS detail_rate, CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 13 <> 0 THEN 'Home|' || p_type END AS product_type,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN '' ELSE p_size || 'GB' END AS selected_capacity,
+       CASE WHEN p_partkey % 5 <> 0 THEN p_type || '|Red2' END AS all_colors
+FROM part WHERE p_partkey % 5 <> 0 OR p_partkey % 13 <> 0
+""")
+def layout_basics_a(spark: SparkSession, sf: str) -> DataFrame:
+    """No container, no breadcrumb, no name, no capacity chosen or several, no box of options."""
+    rows = tag_rows(_pages(spark, sf, "a", *_layout_a()))
+    both = L.basics_a(rows).join(L.options_a(rows), "page_id", "full")
+    return both.withColumns({c: F.array_join(c, "|") for c in ("product_type", "all_colors")})
 
 
 # ------------------------------------------------------------------- X5 --
@@ -125,8 +146,34 @@ def _layout_c() -> list:
         button.replace("{0}", "x").replace("{1}", text.replace("{0}", "No image")).replace("{2}", ""), "<button><img src='/no-text'></button>",
         _every(2, button.replace("{0}", "Selection_buttonSelect__7lW_h").replace("{1}", "<img src='/first'>").replace("{2}", text.replace("{0}", "Even"))), "</div></div>",
     ]
-    name = _every(11, "", other="<h1>{p_name}</h1>")
-    return ["<div id=ThongTinSanPham>", name, *options, *promotions, "</div>"]
+    name = _every(11, "<h1>no name</h1>", other="<h1 class='pc:l6-semibold text-textOnWhitePrimary b2-medium'>{p_name}</h1>")
+    basics = [
+        _every(4, "", other="<nav class='Breadcrumb'><ul><li><a><span>Home</span></a></li><li><a></a></li><li>no link</li><li><a>{p_type}</a><a>second</a></li></ul></nav>"),
+        _every(3, "", other="<div class='ml-1.5 flex items-center gap-1'><div class='text-textOnWhitePrimary b2-regular'>4.8</div></div>"),
+        "<div class='ml-1 cursor-pointer text-textOnWhiteHyperLink f1-medium pc:b2-medium'>{p_size} votes</div>",
+        _every(5, "", other="<section id='tradePrice'>"), "<span class='h4-bold'>{p_size}.990.000<i>₫</i></span>", _every(2, "<span class='text-neutral-gray-5 line-through'>call us</span>"),
+        "<span class='text-red-red-7'>10%</span><span class='text-yellow-yellow-7 b2-medium'>+{p_size}.497 Điểm</span>", _every(5, "", other="</section>"),
+        _every(7, "", other="<div class='flex flex-col gap-2 px-4 pb-4 pt-3'>"),
+        "<div class='relative grid h-14'><p class='line-clamp-2'>Care {p_size}</p><span class='text-textOnWhiteBrand'>1.{p_partkey}₫</span></div>",
+        "<div class='relative grid h-14'><span class='text-textOnWhiteDisable line-through'>2.000₫</span></div>", _every(7, "", other="</div>"),
+    ]
+    return ["<div id=ThongTinSanPham>", name, *basics, *options, *promotions, "</div>"]
+
+
+@query("layout_basics_c", """
+SELECT p_partkey AS page_id, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'Home|' || p_type END AS product_type, CASE WHEN p_partkey % 11 <> 0 THEN trim(p_name) END AS product_name,
+       CASE WHEN p_partkey % 3 <> 0 THEN '4.8' END AS rating_score, p_size || ' votes' AS rating_count,
+       CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size || '990000' AS BIGINT) END AS current_price, CAST(NULL AS BIGINT) AS original_price,
+       CASE WHEN p_partkey % 5 <> 0 THEN '10%' END AS discount_percent, CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size || '497' AS BIGINT) END AS reward_points,
+       CASE WHEN p_partkey % 7 = 0 THEN '' ELSE 'Care ' || p_size || ' 1' || p_partkey || ' -|- - 2000' END AS warranties
+FROM part
+""")
+def layout_basics_c(spark: SparkSession, sf: str) -> DataFrame:
+    """Empty breadcrumb links, prices that are no numbers, no price box, packages without title or prices."""
+    rows = tag_rows(_pages(spark, sf, "c", *_layout_c()))
+    out = L.basics_c(rows).join(L.price_c(rows), "page_id").join(L.extended_warranty_c(rows), "page_id")
+    line = F.transform("extended_warranty", lambda w: F.concat_ws(" ", *[F.coalesce(w[f].cast("string"), F.lit("-")) for f in ("title", "current_price", "original_price")]))
+    return out.withColumns({"product_type": F.array_join("product_type", "|"), "warranties": F.array_join(line, "|")}).drop("extended_warranty")
 
 
 @query("layout_promotions", """
@@ -181,7 +228,47 @@ def _layout_b() -> list:
         section.replace("{t}", "In no box"), "<div class='tech-specs'><p class=title>Last</p></div>",
     ]
     name = _every(11, "", other="<div class='box-product-name'><h1>{p_name}</h1></div>")
-    return ["<div class='box-detail-product'>", name, *options, *tables, "</div>"]
+    basics = [
+        _every(3, "", other="<div class='box-rating'><span class='total-rating'>({p_size} votes)</span><span>4.9</span><span>x</span></div>"),
+        "<div class='box-bottom-item'><span class='label'>Like</span><span class='label'>second</span></div><div class='box-bottom-item'><span>none</span></div>",
+        _every(2, "<div class='pdp-compare-button-box'><a class='x label'>Compare <b>{p_type}</b></a></div>"),
+    ]
+    boxes = [
+        _every(2, "<section class='box-product-promotion-header'><i></i><span>Deal {p_brand}</span><span>no</span></section>"),
+        "<div class='promotion-pack_item'><p class='box-product-promotion-detail'>Save <b>{p_size}</b> <a href='/d/{p_partkey}'>now</a><a href=/no>!</a></p></div>",
+        "<div class='promotion-pack_item'>no detail</div>", _every(4, "", other="<li class='promotion-pack_item'><div class='box-product-promotion-detail'>Plain <a>link</a></div></li>"),
+        _every(3, "<div class=box-more-promotion-title><span>Pay</span></div>"), "<div class='render-promotion'><ul><li>One <a href='/1?a=1&amp;b=2'>x</a></li><li></li></ul><li>outside</li></div>",
+        "<div class='box-warranty-info'><div class=box-title>", _every(5, "<p>Care</p>"), "</div></div>",
+        "<div class='item-warranty-info'><div class='description'>New <i>{p_type}</i></div><div class='description'><a href=/w>Return</a></div></div><div class='description'>outside</div>",
+    ]
+    return ["<div class='box-detail-product'>", name, *basics, *boxes, *options, *tables, "</div>"]
+
+
+@query("layout_basics_b", """
+SELECT p_partkey AS page_id, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE trim(p_name) END AS product_name, CASE WHEN p_partkey % 3 <> 0 THEN '4.9' END AS rating_score,
+       CASE WHEN p_partkey % 3 <> 0 THEN p_size || ' votes' END AS total_ratings, 'Like' || CASE WHEN p_partkey % 2 = 0 THEN '|Compare' || p_type ELSE '' END AS actions FROM part
+""")
+def layout_basics_b(spark: SparkSession, sf: str) -> DataFrame:
+    """No name, no rating, the count before the score, items without a label, no compare button."""
+    found = L.basics_b(tag_rows(_pages(spark, sf, "b", *_layout_b())))
+    return found.withColumn("actions", F.array_join("actions", "|"))
+
+
+@query("layout_promotion_boxes", """
+SELECT p_partkey AS page_id, CASE WHEN p_partkey % 2 = 0 THEN 'Deal ' || p_brand ELSE 'Khuyến mãi' END AS promotion_title,
+       'Save ' || p_size || ' now ! /d/' || p_partkey || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '|Plain link -' END AS promotions,
+       CASE WHEN p_partkey % 3 = 0 THEN 'Pay' ELSE 'Ưu đãi thanh toán' END AS payment_title, 'One x /1?a=1&b=2| -' AS payments,
+       CASE WHEN p_partkey % 5 = 0 THEN 'Care' ELSE 'Cam kết sản phẩm' END AS commitment_title, 'New ' || p_type || ' -|Return /w' AS commitments
+FROM part
+""")
+def layout_promotion_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles and their defaults, several links in an item or none, a link without address, empty items, items outside."""
+    rows = tag_rows(_pages(spark, sf, "b", *_layout_b()))
+    out = L.promotions_b(rows).join(L.payment_promotions_b(rows), "page_id").join(L.commitments_b(rows), "page_id")
+    joined = lambda c: F.array_join(F.transform(c, lambda i: F.concat(i["detail"], F.lit(" "), F.coalesce(i["link"], F.lit("-")))), "|")
+    return out.select("page_id", F.col("promotions.title").alias("promotion_title"), joined(F.col("promotions.items")).alias("promotions"),
+                      F.col("payment_promotions.title").alias("payment_title"), joined(F.col("payment_promotions.items")).alias("payments"),
+                      F.col("commitments.title").alias("commitment_title"), joined(F.col("commitments.items")).alias("commitments"))
 
 
 @query("layout_versions_colors", """
