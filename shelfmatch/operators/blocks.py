@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of vectors (as doubles) in a block.
-BLOCK_BYTES = 4 << 20
+#: Bytes of vectors (as doubles) in a block; each row is sent once per block of the other side.
+BLOCK_BYTES = 32 << 20
 #: Scores that a kernel computes at once.
 TILE = 1 << 21
 

@@ -34,9 +34,12 @@ from pyspark.sql import types as T
 
 from shelfmatch.functions.vectors import l2_normalize
 from shelfmatch.operators.blocks import BLOCK_BYTES, block_pairs, blocks_for, hash_block
+from shelfmatch.session import scratch_path
 
 # Store vectors that k-means is fitted on, about (a documented bound; exactness never depends on it).
 FIT_ROWS = 100_000
+# Pairs of blocks up to which ``cosine_join`` compares all blocks instead of forming them in clusters.
+PLAIN_PAIRS = 64
 
 
 def metadata_projection(df: DataFrame, text: str) -> DataFrame:
@@ -167,7 +170,10 @@ def _assign(df: DataFrame, cents_bc, vec: str = "embedding") -> DataFrame:
 
 def _clustered(df: DataFrame, cents_bc) -> tuple[DataFrame, dict]:
     """Rows with their cluster, and (rows, dims, radius) of each cluster (one row per cluster)."""
-    rows = _assign(df, cents_bc, "raw")
+    path = scratch_path(df.sparkSession, "assigned")
+    assigned = _assign(df, cents_bc, "raw")
+    assigned.write.parquet(path)
+    rows = df.sparkSession.read.schema(assigned.schema).parquet(path)
     stats = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"), F.max("cdist").alias("r")).collect()
     return rows, {r["cluster"]: (r["n"], r["d"], r["r"]) for r in stats}
 
@@ -214,12 +220,18 @@ def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: in
     spark, once = left.sparkSession, right is None
     ln = _unit(left, "id", "v")
     rn = ln if once else _unit(right, "id", "v")
-    empty = spark.createDataFrame([], "id_l long, id_r long, score double")
-    if rn.isEmpty():
-        return empty
+    kernel = functools.partial(_reaching, t, once)
+    schema = "id_l long, id_r long, score double"
+    nl, nr = blocks_for(ln), blocks_for(rn)
+    if nl * nr <= PLAIN_PAIRS:  # too few pairs of blocks for clusters to save any
+        everyone = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+        lb = ln.withColumn("block", hash_block("id", nl)).withColumn("partners", everyone(nr))
+        rb = rn.withColumn("block", hash_block("id", nr)).withColumn("partners", everyone(nl))
+        return _pairs(lb, rb, kernel, schema, once)
     cents = fit_clusters(rn, clusters, seed, max_iter=10)
     cbc = spark.sparkContext.broadcast(cents)
-    (lc, ls), (rc, rs) = _clustered(ln, cbc), _clustered(rn, cbc)
+    lc, ls = _clustered(ln, cbc)
+    rc, rs = (lc, ls) if once else _clustered(rn, cbc)
     k = len(cents)
     numbers_l, numbers_r = _block_numbers(ls, k), _block_numbers(rs, k)
     reach = float(np.sqrt(2.0 - 2.0 * t)) + 1e-9
@@ -232,10 +244,14 @@ def cosine_join(left: DataFrame, right: DataFrame | None, t: float, clusters: in
 
     lb = _in_blocks(lc, numbers_l).withColumn("partners", _by_cluster(partners(ls, rs, numbers_r), "array<int>"))
     rb = _in_blocks(rc, numbers_r).withColumn("partners", _by_cluster(partners(rs, ls, numbers_l), "array<int>"))
+    return _pairs(lb, rb, kernel, schema, once)
+
+
+def _pairs(lb: DataFrame, rb: DataFrame, kernel, schema: str, once: bool) -> DataFrame:
     if once:  # each pair of blocks once; inside a block both orders are found and one is kept
         lb = lb.withColumn("partners", F.filter("partners", lambda b: b >= F.col("block")))
         rb = rb.withColumn("partners", F.filter("partners", lambda b: b <= F.col("block")))
-    pairs = block_pairs(lb, rb, functools.partial(_reaching, t, once), "id_l long, id_r long, score double")
+    pairs = block_pairs(lb, rb, kernel, schema)
     return pairs.groupBy("id_l", "id_r").agg(F.max("score").alias("score")) if once else pairs
 
 
@@ -297,5 +313,5 @@ def load_store(spark: SparkSession, path: str, model_name: str, dimension: int)
     if info["model_name"] not in (None, "unknown") and info["model_name"] != model_name:
         warnings.append(f"store built with {info['model_name']}, reading with {model_name}")
     if info["dimension"] != dimension:
-        raise ValueError(f"Dimension mismatch: expected {info['dimension']}, got {dimension}")
+        raise ValueError(f"the store has vectors of {info['dimension']} dimensions, not {dimension}")
     return spark.read.parquet(f"{path}/vectors"), warnings

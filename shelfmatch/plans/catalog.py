@@ -25,6 +25,7 @@ from shelfmatch.operators.dedupe import dedupe_by_title, keep_first
 from shelfmatch.operators.extract import Rule, extract_fields, merge_sections, record_status, require_container
 from shelfmatch.operators.ingest import batch_stats, insert_all_batches
 from shelfmatch.operators.match import MatchConfig, match_catalogues, match_summary, rouge_join
+from shelfmatch.operators.sketches import encoded, sketch_topk
 from shelfmatch.operators.specs import drop_keys, group_specs_long, parse_noisy_json, resolve_refs
 from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls, url_counts
 from shelfmatch.operators.variants import spec_counts, variant_matrix, variant_overlap
@@ -451,6 +452,51 @@ def lsh_recall_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _recall(lsh_topk(store, q, k=5, **LSH), search_topk(store, q, k=5), RECALL)
 
 
+#: Searches over compact codes: rows re-ranked per hit, and the greatest share of the store that they may read: the bytes of a code
+#: over those of a vector, plus the vectors that are re-ranked.
+SKETCHES = {"signs": 40, "bytes": 4}
+MOST_READ = 0.3
+
+
+def _sketch_search(spark: SparkSession, sf: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    return encoded(vector_table(spark, sf), kind), label_centroids(spark, sf)
+
+
+@query("sign_topk_vectors")
+def sign_topk_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate top-5 (T3): 256 sign bits of random projections as codes, the 200 most alike re-ranked."""
+    hits = sketch_topk(*_sketch_search(spark, sf, "signs"), k=5, kind="signs", refine=SKETCHES["signs"])
+    return hits.select(F.col("qid").alias("label"), "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("byte_topk_vectors")
+def byte_topk_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate top-5 (T2's quantised form): a byte per dimension as code, the 20 most alike re-ranked."""
+    hits = sketch_topk(*_sketch_search(spark, sf, "bytes"), k=5, kind="bytes", refine=SKETCHES["bytes"])
+    return hits.select(F.col("qid").alias("label"), "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("sketch_recall", """
+SELECT kind, asked, true AS recall_reached, true AS read_bounded FROM (SELECT unnest(['bytes', 'signs']) AS kind), (SELECT unnest(['means', 'rows']) AS asked)
+""")
+def sketch_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """T2, T3 as the two queries have them, for the label means and for every fiftieth row: the share of the exact top 5 found is ``RECALL``
+    or more, and codes and re-ranked vectors are at most ``MOST_READ`` of the floats of the store, per query, where that has 2 000 rows."""
+    store, rows = _rows_as_queries(spark, sf)
+    out = None
+    for asked, queries in (("means", label_centroids(spark, sf)), ("rows", rows)):
+        exact = search_topk(store, queries, k=5).select("qid", "id")
+        for kind, refine in SKETCHES.items():
+            found = sketch_topk(encoded(store, kind), queries, k=5, kind=kind, refine=refine).select("qid", "id", F.lit(1).alias("hit"))
+            recall = exact.join(found, ["qid", "id"], "left").agg((F.count("hit") >= RECALL * F.count("*")).alias("recall_reached"))
+            dims = F.max(F.size("embedding"))
+            code_bytes = F.lit(32.0) if kind == "signs" else dims + 4.0
+            read = store.agg((code_bytes / (4.0 * dims) + 5.0 * refine / F.greatest(F.count("*"), F.lit(2000)) <= MOST_READ).alias("read_bounded"))
+            row = recall.withColumn("kind", F.lit(kind)).join(read.withColumn("kind", F.lit(kind)), "kind").select("kind", F.lit(asked).alias("asked"), "recall_reached", "read_bounded")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("match_semantic_vectors", """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT id_l, id_r, round(score, 6) AS semantic_score FROM (
