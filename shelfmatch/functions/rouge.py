@@ -30,30 +30,40 @@ def rouge_tokens(c: Column | str) -> Column:
     return F.filter(F.split(spaced, " "), lambda t: t != "")
 
 
-def _lcs_bits(a, b) -> int:
-    """LCS length by the bit-parallel recurrence (one big-int step per token of ``a``)."""
-    if a is None or b is None or len(a) == 0 or len(b) == 0:
-        return 0
+def _masks(b: list) -> dict:
+    """For each token of ``b`` the places where it stands, as bits."""
     masks: dict = {}
     for j, y in enumerate(b):
         masks[y] = masks.get(y, 0) | (1 << j)
-    full = (1 << len(b)) - 1
-    v = full
+    return masks
+
+
+def _lcs_bits(a: list, masks: dict, n: int) -> int:
+    """LCS length by the bit-parallel recurrence (one big-int step per token of ``a``), with the masks of the other text of n tokens."""
+    v = full = (1 << n) - 1
     for x in a:
         u = v & masks.get(x, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(b) - bin(v).count("1")
+        if u:
+            v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
 
 
 @pandas_udf(IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common subsequence of two string arrays (Arrow batches).
+    """Length of the longest common subsequence of two token arrays (Arrow batches).
 
     The dynamic programme as nested ``aggregate`` (``lcs_length_native``) is
     interpreted code and allocates an array per cell; this bit-parallel form
     does one integer step per token and verifies ~10x more pairs per second.
+    The masks of ``b`` are made once for a run of rows that share it.
     """
-    return pd.Series([_lcs_bits(x, y) for x, y in zip(a, b)], dtype="int32")
+    out, last, masks = [], None, {}
+    for x, y in zip(a, b):
+        x, y = ([] if v is None else v.tolist() for v in (x, y))
+        if y != last:
+            last, masks = y, _masks(y)
+        out.append(_lcs_bits(x, masks, len(y)) if x and y else 0)
+    return pd.Series(out, dtype="int32")
 
 
 def lcs_length_native(a: Column, b: Column) -> Column:

@@ -12,8 +12,8 @@ No plan here compares every row with every row:
   reduced to their first row per join key (a partial aggregate), so a hot
   title never multiplies into |L_k| x |R_k| rows.
 * ``rouge``: a prefix-filtered token join (``rouge_join``): a pair reaching
-  F1 >= t must share an element of the rarest-first token prefixes, so
-  candidates come from an equi-join on prefix tokens and are verified.
+  F1 >= t must share an element of the prefixes in an order that has frequent
+  elements last, so candidates come from an equi-join on prefix elements (ids and places only) and are verified.
 * ``semantic``: an exact cluster-pruned join (``vector_search.cosine_join``).
 * ``combined``: ROUGE candidates under the bound the weights imply.
 """
@@ -29,6 +29,10 @@ from shelfmatch.functions.rouge import lcs_length, min_overlap, rouge_l_f1, roug
 from shelfmatch.functions.text import DASHED_TITLE_DATASET, clean_title, map_distinct, normalize_title, py_strip
 from shelfmatch.functions.vectors import cosine
 from shelfmatch.operators.dedupe import keep_first
+from shelfmatch.session import scratch_path
+
+# An element is hot if it is one of so many parts of all elements; a hot element's join key is dealt out over so many salts.
+HOT_PARTS, SALTS = 4096, 8
 
 CATALOGUE_COLUMNS = ("_id", "title", "title_cleaned", "capacities", "color_options", "_ord")
 
@@ -164,29 +168,23 @@ def _scored_candidates(a: DataFrame, b: DataFrame, cfg: MatchConfig) -> DataFram
     return pairs
 
 
-def _signed(texts: DataFrame, t: float, suffix: str) -> DataFrame:
-    """One row per prefix element of each text: key, its place, and what the verification needs.
-
-    Elements are (token, occurrence), in one global order: longer tokens first (they are the rarer ones), then by
-    token.  The order needs no statistics of the corpus, so the elements are made where the text is read.
-    """
+def _elements(texts: DataFrame) -> DataFrame:
+    """id, toks (64-bit hashes of the tokens, in order), m, keys: the text's elements, (token, occurrence) hashed."""
     empty = F.col("text").isNull() | (F.col("text") == "")
     toks = F.when(empty, F.array().cast("array<string>")).otherwise(rouge_tokens(py_strip("text")))
+    hashed = F.transform(toks, lambda x: F.xxhash64(x))
+    # bound to lambda variables, so that each step is computed once per text
+    made = _bound(hashed, lambda ts: _bound(F.array_sort(ts), lambda ordered: F.struct(
+        ts.alias("toks"), F.size(ordered).alias("m"), F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x))).alias("keys"))))
+    return texts.select("id", made.alias("e")).select("id", "e.toks", "e.m", "e.keys").where("m > 0")
 
-    def in_order(tokens: Column) -> Column:
-        by_length = F.array_sort(F.transform(tokens, lambda x: F.struct((-F.length(x)).alias("l"), x.alias("x"))))
-        return F.transform(by_length, lambda e: e["x"])
-
-    def prefix(ordered: Column) -> Column:
-        m = F.size(ordered)
-        kept = F.slice(ordered, 1, F.greatest(m - min_overlap(m, t) + 1, F.lit(0)))
-        return F.transform(kept, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x)))
 
-    # bound to lambda variables, so that each step is computed once per text
-    made = _bound(toks, lambda ts: _bound(in_order(ts), lambda ordered: F.struct(
-        ts.alias("toks"), F.size(ordered).alias("m"), prefix(ordered).alias("prefix"))))
-    rows = texts.select("id", made.alias("e")).select("id", "e.m", "e.toks", "e.prefix", F.posexplode("e.prefix").alias("pos", "key"))
-    return rows.select("key", *[F.col(c).alias(f"{c}_{suffix}") for c in ("id", "m", "toks", "prefix", "pos")])
+def _prefixes(elements: DataFrame, hot: DataFrame, t: float) -> DataFrame:
+    """key, id, m, pos, n: the prefix elements of each text, the rest of all texts' elements before the hot ones, these by their frequency."""
+    rows = elements.select("id", "m", F.explode("keys").alias("key")).join(F.broadcast(hot), "key", "left")
+    ordered = rows.groupBy("id", "m").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), "key"))).alias("o"))
+    kept = F.slice("o", 1, F.greatest(F.col("m") - min_overlap(F.col("m"), t) + 1, F.lit(0)))
+    return ordered.select("id", "m", F.posexplode(kept).alias("pos", "e")).select("e.key", "id", "m", "pos", "e.n")
 
 
 def _bound(value: Column, use) -> Column:
@@ -194,6 +192,12 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     """All (id_l, id_r, score) with ROUGE-L F1(text_r, text_l) >= t, t > 0.
 
@@ -202,28 +206,45 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     (``id_l < id_r``).
 
     F1 >= t forces a multiset overlap of at least alpha(m) = ceil(t*m/(2-t))
-    elements, so the first m - alpha + 1 elements of the two texts intersect:
-    one equi-join on prefix elements.  Its condition also holds the length
-    bound, the bound that follows from the places of the common element (no
-    more than the elements behind it can be shared), and that it is the first
-    common one, so each pair comes out once.  The exact LCS (bit-parallel,
-    Arrow batches) decides.  A frequent token's key is a skewed join key,
-    which Spark splits.
+    elements, so the first m - alpha + 1 elements of the two texts, in one global
+    order, intersect: one equi-join on prefix elements, of ids and places only.  The
+    order puts the elements that make 1/``HOT_PARTS`` of all or more (so at most that
+    many, broadcast) last, by frequency; their join keys are salted.  The length bound and
+    the bound that follows from the places of a common element (no more than the
+    elements behind it can be shared) are part of the join.  Tokens are fetched
+    once per candidate, and the exact LCS (bit-parallel, Arrow batches) decides.
+    Tokens and elements are told apart by 64-bit hashes.
     """
     if t <= 0:
         raise ValueError("rouge_join needs t > 0 (every pair qualifies at 0)")
-    self_join = right is None
     if t > 1:  # no score reaches it
         return left.select(F.col("id").alias("id_l"), F.col("id").alias("id_r"), F.lit(0.0).alias("score")).where(F.lit(False))
+    self_join = right is None
+    sides = _elements(left).withColumn("side", F.lit(0))
+    if not self_join:
+        sides = sides.unionByName(_elements(right).withColumn("side", F.lit(1)))
+    both = _written(sides, "rouge-texts")
+    texts_l = both.where("side = 0").drop("side")
+    texts_r = texts_l if self_join else both.where("side = 1").drop("side")
+    total = both.agg(F.sum("m")).first()[0] or 0
+    hot = both.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * HOT_PARTS >= total)
+
+    is_hot = F.col("n") > 0
+    salt_l = F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    salts_r = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    named = lambda df, suffix: df.select("key", "salt", *[F.col(c).alias(f"{c}_{suffix}") for c in ("id", "m", "pos")])
+    pl = named(_prefixes(texts_l, hot, t).withColumn("salt", salt_l), "l")
+    pr = named(_prefixes(texts_r, hot, t).withColumn("salt", F.explode(salts_r)), "r")
     least = F.lit(t) * (F.col("m_l") + F.col("m_r")) / 2.0 - 1e-9
     shared = F.least(F.col("m_l") - F.col("pos_l"), F.col("m_r") - F.col("pos_r"))  # places count from 0
-    cand = _signed(left, t, "l").join(_signed(left if self_join else right, t, "r"), "key").where(
-        (F.least("m_l", "m_r") >= least) & (shared >= least)
-        & (F.get(F.array_intersect("prefix_l", "prefix_r"), 0) == F.col("key")))
+    cand = pl.join(pr, ["key", "salt"]).where((F.least("m_l", "m_r") >= least) & (shared >= least))
     if self_join:
         cand = cand.where(F.col("id_l") < F.col("id_r"))
-    scored = (cand.withColumn("lcs", lcs_length(F.col("toks_r"), F.col("toks_l")))
-                  .withColumn("score", 2.0 * F.col("lcs") / (F.col("m_l") + F.col("m_r"))))
+    pairs = cand.select("id_l", "id_r").distinct()
+    pairs = pairs.join(texts_l.select(F.col("id").alias("id_l"), F.col("toks").alias("toks_l"), F.col("m").alias("m_l")), "id_l")
+    pairs = pairs.join(texts_r.select(F.col("id").alias("id_r"), F.col("toks").alias("toks_r"), F.col("m").alias("m_r")), "id_r")
+    scored = (pairs.withColumn("lcs", lcs_length(F.col("toks_l"), F.col("toks_r")))
+                   .withColumn("score", 2.0 * F.col("lcs") / (F.col("m_l") + F.col("m_r"))))
     return scored.where(F.col("score") >= F.lit(t)).select("id_l", "id_r", "score")
 
 
