@@ -119,25 +119,28 @@ class Whitening:
         self.sums = [int(r.s) for r in sorted(sums.collect())]
         self.n = self.blocks.agg(F.sum("n_rows")).first()[0]
         self.mean = np.array([float(Fraction(s, self.n)) for s in self.sums])
-        #: Number of the first block of each task that made blocks; bands of tasks.
-        self.first, self.bands, total = {}, [], 0
+        #: Number of the first block of each task that made blocks, and how many there are.
+        self.first, self.n_blocks = {}, 0
         for part, count in sorted(map(tuple, self.blocks.groupBy("part").count().collect())):
-            self.first[part] = total
-            if not self.bands or total + count - self.first[self.bands[-1][0]] > BAND:
-                self.bands.append((part, part, 0))
-            start = self.bands[-1][0]
-            total += count
-            self.bands[-1] = (start, part, total - self.first[start])
-
-    def _band(self, start: int, end: int, count: int) -> BlockMatrix:
-        """The centred blocks of the tasks ``start`` to ``end`` as a BlockMatrix, numbered from 0."""
-        first, base, mean, height = self.first, self.first[start], self.mean, self.height
-        band = self.blocks.where(F.col("part").between(start, end)).select("part", "number", "n_rows", "width", "x")
+            self.first[part] = self.n_blocks
+            self.n_blocks += count
+
+    def _bands(self) -> list[tuple[int, int]]:
+        return [(at, min(at + BAND, self.n_blocks)) for at in range(0, self.n_blocks, BAND)]
+
+    def _band(self, low: int, high: int) -> BlockMatrix:
+        """The centred blocks ``low`` to ``high`` - 1 as a BlockMatrix, numbered from 0."""
+        first, mean, height, count = self.first, self.mean, self.height, high - low
+        parts = [p for p, at in first.items() if at < high]
+        parts = [p for p, after in zip(parts, [*[first[p] for p in parts[1:]], self.n_blocks]) if after > low]
+        band = self.blocks.where(F.col("part").between(parts[0], parts[-1])).select("part", "number", "n_rows", "width", "x")
+        for part, edge in ((parts[0], F.col("number") >= low - first[parts[0]]), (parts[-1], F.col("number") < high - first[parts[-1]])):
+            band = band.where((F.col("part") != part) | edge)
         # a product's tasks hold count / sqrt(partitions) blocks each
         least = -(-count * height * self.dimension * 8 // TASK_BYTES) ** 2
         if band.rdd.getNumPartitions() < least:
             band = band.repartition(min(least, count), "part", "number")
-        made = band.rdd.map(lambda r: ((first[r.part] - base + r.number, 0), _centred(r, mean, height)))
+        made = band.rdd.map(lambda r: ((first[r.part] - low + r.number, 0), _centred(r, mean, height)))
         return BlockMatrix(made, height, self.dimension, count * height, self.dimension)
 
     def _gram(self, matrix: BlockMatrix, count: int) -> np.ndarray:
@@ -147,7 +150,7 @@ class Whitening:
         return BlockMatrix(product, self.dimension, self.dimension).toLocalMatrix().toArray()
 
     def _find_components(self, most: int) -> None:
-        scatter = sum(self._gram(self._band(*band), band[2]) for band in self.bands)
+        scatter = sum(self._gram(self._band(*band), band[1] - band[0]) for band in self._bands())
         values, vectors = np.linalg.eigh((scatter + scatter.T) / (2 * self.n))
         trace = float(np.trace(scatter)) / self.n
         found = [k for k in range(len(values) - 1, -1, -1)[:most] if trace > 0 and values[k] >= NO_VARIANCE * trace]
@@ -161,10 +164,9 @@ class Whitening:
         keys = self.blocks.select("part", "number", *KEY, "copies").join(F.broadcast(first), "part")
         keys = keys.select((F.col("first") + F.col("number")).alias("block"), *KEY, "copies")
         gram, parts = np.zeros((c, c)), []
-        for start, end, count in self.bands:
-            base = self.first[start]
-            product = self._band(start, end, count).multiply(BlockMatrix(one, d, c, d, c))
-            made = product.blocks.map(lambda b, base=base: (base + b[0][0], b[1].toArray().tolist()))
+        for low, high in self._bands():
+            product = self._band(low, high).multiply(BlockMatrix(one, d, c, d, c))
+            made = product.blocks.map(lambda b, low=low: (low + b[0][0], b[1].toArray().tolist()))
             parts.append(stored(spark.createDataFrame(made, "block long, whitened array<array<double>>"), "whitened"))
         for part in parts:
             wide = part.select(F.explode("whitened").alias("w"))
