@@ -269,8 +269,8 @@ def _found(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
 
     # 1: copies
     classes = stored(signed.where(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"),
-        F.first("low").alias("low"), F.first("bands").alias("bands")).withColumn("node", F.xxhash64("fingerprint")), "copies")
+        F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))), F.min(F.struct("doc_id", "text_hash"))).alias("one"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"),
+        F.first("low").alias("low"), F.first("bands").alias("bands")).select("fingerprint", "one.*", "copies", "n_shingles", "low", "bands", F.xxhash64("fingerprint").alias("node")), "copies")
 
     # 2, 3: buckets and the pairs in them that the pruning leaves
     members = classes.select(F.explode("bands").alias("bucket"), "node")
@@ -278,13 +278,15 @@ def _found(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     dealt = _blocked(members, "bucket", sizes).join(classes.select("node", "low"), "node").select("bucket", "first", "second", "node", "low")
     dealt = dealt.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second", "node")
     edges = dealt.mapInArrow(functools.partial(_bucket_edges, threshold=threshold), "a long, b long")
-    groups = components(edges).join(classes.select("node", "doc_id", "copies", "n_shingles", "fingerprint"), "node")
+    groups = components(edges).join(classes.select("node", "doc_id", "text_hash", "copies", "n_shingles", "fingerprint"), "node")
 
     # 4: exact links within the components
     sizes = groups.groupBy("component").agg(F.greatest(
         _blocks(F.count("*"), BLOCK), _blocks(F.sum("n_shingles"), BLOCK_SHINGLES)).alias("n_blocks"))
     sets = per_row(_shingle_bytes, "shingles binary, print binary", F.col("text"))
-    texts = (docs.join(groups, docs["doc_id"].eqNullSafe(groups["doc_id"])).withColumn("s", sets)
+    # by id and text, so that rows of one id, or without one, do not meet each other's classes
+    same = docs["doc_id"].eqNullSafe(groups["doc_id"]) & (F.xxhash64(docs["text"]) == groups["text_hash"])
+    texts = (docs.join(groups, same).withColumn("s", sets)
              .where(F.col("s.print") == F.col("fingerprint")).select("component", "node", "copies", F.col("s.shingles").alias("shingles")))
     blocks = _blocked(texts, "component", sizes).select("component", "first", "second", "node", "copies", "own", "shingles")
     dealt = blocks.repartition("component", "first", "second").sortWithinPartitions("component", "first", "second", "node")
