@@ -110,7 +110,7 @@ def _balanced(body: Column, rule: Rule) -> Column:
 
 def rule_column(body: Column, rule: Rule) -> Column:
     if rule.mode == "text":
-        found = F.get(F.regexp_extract_all(body, F.lit(rule.element()), 1), 0)
+        found = F.when(body.rlike(rule.element()), F.regexp_extract(body, rule.element(), 1))
         nested = found.rlike(rf"(?i)<{re.escape(rule.tag)}[\s/>]")
         val = html_text(F.when(nested, _balanced(body, rule)).otherwise(found))
     elif rule.mode == "list":
