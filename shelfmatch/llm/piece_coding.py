@@ -29,8 +29,8 @@ from shelfmatch.llm import pieces
 from shelfmatch.llm.common import fresh, per_row, prepare, resident, table
 from shelfmatch.llm.pieces import SPACE, Pieces
 
-#: Units whose ids are kept between batches; the table is dropped and filled anew beyond it.
-KEPT_UNITS = 300_000
+#: Units whose ids are kept between batches, and characters of them; the table is dropped and filled anew beyond either.
+KEPT_UNITS, KEPT_CHARS = 300_000, 8_000_000
 #: Pairs of pieces kept likewise.
 KEPT_PAIRS = 400_000
 #: Texts whose units are held at once.
@@ -56,6 +56,7 @@ class Coder:
     def __init__(self, model: Pieces):
         self.model = model
         self.known: dict[str, bytes] = {}
+        self.chars = 0  # of the units in it
         names = sorted(model.id)
         if any(SEPARATOR in n for n in names):
             raise ValueError("a piece holds the separator")
@@ -143,6 +144,7 @@ class Coder:
 
     def encode_units(self, units: list[str]) -> None:
         """Ids of ``units``, as little-endian 32-bit integers, into ``known``."""
+        self.chars += sum(map(len, units))
         text = SEPARATOR + "".join(u.replace(" ", SPACE) + SEPARATOR for u in units)
         codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         starts, which = self.occurrences(codes)
@@ -169,8 +171,9 @@ class Coder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         find = self.model.units.findall
         split = [find(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
-        if len(self.known) > KEPT_UNITS:
+        if len(self.known) > KEPT_UNITS or self.chars > KEPT_CHARS:
             self.known.clear()
+            self.chars = 0
         some, size = [], 0
         for u in set().union(*split).difference(self.known):
             some.append(u)

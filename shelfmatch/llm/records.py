@@ -43,8 +43,8 @@ from shelfmatch.session import scratch_path
 #: A text that neither starts nor ends like itself, of bytes that ids cannot give.
 MARKER = "ÿaÿaÿaÿaÿ\n"
 END_ID = 1
-#: Chunks of text whose ids are kept in a Python worker; the table is dropped and filled anew beyond it.
-KEPT_CHUNKS = 400_000
+#: Chunks of text whose ids are kept in a Python worker, and bytes of them; the tables are dropped and filled anew beyond either.
+KEPT_CHUNKS, KEPT_BYTES = 400_000, 16_000_000
 _MARKER = MARKER.encode()
 _OVERHEAD = 8 + 4 + 9 + 4 + len(_MARKER)
 
@@ -100,6 +100,7 @@ class ChunkTokenizer:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.chunks: dict[bytes, bytes] = {}
+        self.bytes = 0  # of the chunks learnt since the tables were dropped
         self.words: dict[str, bytes] = {}
 
     def _learn(self, texts: list[str]) -> None:
@@ -125,11 +126,16 @@ class ChunkTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, 2 or 4 bytes each."""
         split = [t.encode().split() for t in texts]
+        if self.bytes > KEPT_BYTES:
+            self.chunks.clear()
+            self.words.clear()
+            self.bytes = 0
         if len(self.chunks) > KEPT_CHUNKS:
             self.chunks.clear()
         if len(self.words) > KEPT_CHUNKS:
             self.words.clear()
         new = list(set().union(*split).difference(self.chunks))
+        self.bytes += sum(map(len, new))
         words, rests, plain, other = [], [], set(), {""}
         for t in map(bytes.decode, new):
             word = t.rstrip(self._MARKS)
