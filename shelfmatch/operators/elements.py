@@ -83,19 +83,17 @@ def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id",
     ``inside``: the scope that the element must lie in; ``first``: only the first one in that scope (in the page without it, or
     if it is "page").
     """
-    in_order = Window.partitionBy(key).orderBy("pos")
     if inside:
         opens = opens & F.col(inside).isNotNull() & (F.col(inside) < F.col("pos"))
-    rows = rows.withColumn("_open", opens)
-    before = F.max(F.when(F.col("_open"), F.col("end"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_start", F.col("_open") & (F.coalesce(before, F.lit(-1)) <= F.col("pos")))
-    if first:
+    if first:  # nothing that the condition selects stands around the first one
         least = Window.partitionBy(key, inside) if inside and first != "page" else Window.partitionBy(key)
-        rows = rows.withColumn("_start", F.col("_start") & (F.col("pos") == F.min(F.when(F.col("_start"), F.col("pos"))).over(least)))
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = F.last(F.when(F.col("_start"), F.struct("pos", "end")), ignorenulls=True).over(so_far)
-    rows = rows.withColumn("_at", at)
-    return rows.withColumn(name, F.when(F.col("pos") < F.col("_at.end"), F.col("_at.pos"))).drop("_open", "_start", "_at")
+        at = F.min(F.when(opens, F.struct("pos", "end"))).over(least)
+        within = F.col("pos").between(F.col("_at.pos"), F.col("_at.end") - 1)
+    else:  # of the elements that have begun the outermost still open is the one that ends last
+        so_far = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        at = F.max(F.when(opens, F.struct("end", (-F.col("pos")).alias("back"), "pos"))).over(so_far)
+        within = F.col("pos") < F.col("_at.end")
+    return rows.withColumn("_at", at).withColumn(name, F.when(within, F.col("_at.pos"))).drop("_at")
 
 
 def has_class(*classes: str) -> Column:

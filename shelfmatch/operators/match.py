@@ -29,7 +29,7 @@ from shelfmatch.functions.rouge import lcs_length, min_overlap, rouge_l_f1, roug
 from shelfmatch.functions.text import DASHED_TITLE_DATASET, clean_title, map_distinct, normalize_title, py_strip
 from shelfmatch.functions.vectors import cosine
 from shelfmatch.operators.dedupe import keep_first
-from shelfmatch.session import scratch_path
+from shelfmatch.session import written
 
 # An element is hot if it is one of so many parts of all elements; a hot element's join key is dealt out over so many salts.
 HOT_PARTS, SALTS = 4096, 8
@@ -192,12 +192,6 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     """All (id_l, id_r, score) with ROUGE-L F1(text_r, text_l) >= t, t > 0.
 
@@ -223,7 +217,7 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     sides = _elements(left).withColumn("side", F.lit(0))
     if not self_join:
         sides = sides.unionByName(_elements(right).withColumn("side", F.lit(1)))
-    both = _written(sides, "rouge-texts")
+    both = written(sides, "rouge-texts")
     texts_l = both.where("side = 0").drop("side")
     texts_r = texts_l if self_join else both.where("side = 1").drop("side")
     total = both.agg(F.sum("m")).first()[0] or 0

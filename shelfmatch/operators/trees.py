@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.operators.specs import group_specs
-from shelfmatch.session import scratch_path
+from shelfmatch.session import written
 
 ATTRIBUTE_ITEM = "attributeItem"
 ROOT = "__root"
@@ -24,12 +24,6 @@ ROOT = "__root"
 PAYLOAD = r"""(?s)self\.__next_f\.push\(\[1,\s*"16:(.*?)"\]\)"""
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _kind(value: Column) -> Column:
     """OBJECT, ARRAY, STRING or other, of a variant."""
     return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
@@ -65,7 +59,7 @@ def _dereferenced(rows: DataFrame, nodes: DataFrame | None) -> DataFrame:
         known = nodes.select("doc", F.col("key").alias("ref"), F.col("json").alias("_json"), F.col("kind").alias("_kind"))
         # a key on the way, or no node: the reference is null
         fresh = open_.where(~F.array_contains("seen", F.col("ref"))).join(known, ["doc", "ref"])
-        rows = _written(fresh.withColumns({"json": F.col("_json"), "kind": F.col("_kind"), "seen": F.array_append("seen", F.col("ref"))}).select(*rows.columns), "references")
+        rows = written(fresh.withColumns({"json": F.col("_json"), "kind": F.col("_kind"), "seen": F.array_append("seen", F.col("ref"))}).select(*rows.columns), "references")
 
 
 def node_table(documents: DataFrame, doc: str, json: str) -> DataFrame:
@@ -83,12 +77,12 @@ def find_attribute_lists(roots: DataFrame, nodes: DataFrame | None = None, name:
     rows = rows.withColumn("kind", _kind(F.try_parse_json("json")))
     found = None
     while True:
-        rows = _written(_dereferenced(rows, nodes).where(F.col("kind").isin("OBJECT", "ARRAY")), "frontier")
+        rows = written(_dereferenced(rows, nodes).where(F.col("kind").isin("OBJECT", "ARRAY")), "frontier")
         if not rows.limit(1).count():
             break
         below = children(rows).select("doc", F.col("path").alias("parent"), F.array_append("path", F.col("place")).alias("path"), "name",
                                       F.col("child").alias("json"), F.col("child_kind").alias("kind"), "seen")
-        below = _written(_dereferenced(below, nodes), "below")
+        below = written(_dereferenced(below, nodes), "below")
         here = below.where((F.col("name") == name) & (F.col("kind") == "ARRAY"))
         filled = here.where(F.size(F.from_json("json", "array<string>")) > 0).select("doc", "path", "json", "seen")
         found = filled if found is None else found.unionByName(filled)
@@ -106,7 +100,7 @@ def attribute_items(lists: DataFrame, nodes: DataFrame | None = None) -> DataFra
     """The items of each document's list for A6: doc, item_pos, groupName, attributes (displayName, value), references resolved."""
     def level(rows: DataFrame, keep: list[str]) -> DataFrame:
         out = children(rows).select(*keep, F.col("place").alias("at"), "name", F.col("child").alias("json"), F.col("child_kind").alias("kind"), "seen")
-        return _written(_dereferenced(out, nodes), "items")
+        return written(_dereferenced(out, nodes), "items")
 
     items = level(lists.withColumn("kind", F.lit("ARRAY")), ["doc"]).withColumnRenamed("at", "item_pos").where(F.col("kind") == "OBJECT")
     fields = level(items.drop("name"), ["doc", "item_pos"]).drop("at")
@@ -137,8 +131,8 @@ def payload(html: Column) -> Column:
 
 def embedded_specifications(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Key and ``specs`` {group: {name: value}} of each page whose payload holds an attribute list: J8, A7 and A6 in a row."""
-    documents = _written(pages.select(F.col(key).alias("doc"), payload(F.col(html)).alias("json")).where("json IS NOT NULL"), "payloads")
-    nodes = _written(node_table(documents, "doc", "json"), "nodes")
+    documents = written(pages.select(F.col(key).alias("doc"), payload(F.col(html)).alias("json")).where("json IS NOT NULL"), "payloads")
+    nodes = written(node_table(documents, "doc", "json"), "nodes")
     roots = nodes.where(F.col("key") == ROOT).select("doc", "json")
     items = attribute_items(find_attribute_lists(roots, nodes), nodes)
     return group_specs(items, doc="doc").withColumnRenamed("doc", key)

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from shelfmatch.functions.vectors import l2_normalize
 from shelfmatch.operators.blocks import BLOCK_BYTES, block_pairs, blocks_for, hash_block
-from shelfmatch.session import scratch_path
+from shelfmatch.session import written
 
 # Store vectors that k-means is fitted on, about (a documented bound; exactness never depends on it).
 FIT_ROWS = 100_000
@@ -170,10 +170,7 @@ def _assign(df: DataFrame, cents_bc, vec: str = "embedding") -> DataFrame:
 
 def _clustered(df: DataFrame, cents_bc) -> tuple[DataFrame, dict]:
     """Rows with their cluster, and (rows, dims, radius) of each cluster (one row per cluster)."""
-    path = scratch_path(df.sparkSession, "assigned")
-    assigned = _assign(df, cents_bc, "raw")
-    assigned.write.parquet(path)
-    rows = df.sparkSession.read.schema(assigned.schema).parquet(path)
+    rows = written(_assign(df, cents_bc, "raw"), "assigned")
     stats = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"), F.max("cdist").alias("r")).collect()
     return rows, {r["cluster"]: (r["n"], r["d"], r["r"]) for r in stats}
 

@@ -16,7 +16,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -98,3 +98,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared work folder."""
     base = work_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what is lost later is not computed anew."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
