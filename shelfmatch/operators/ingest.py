@@ -85,3 +85,28 @@ def batch_stats(items: DataFrame, stored: DataFrame, key: str, batch_col: str) -
     joined = per_batch.join(ins, batch_col, "left").fillna(0, ["inserted"])
     return joined.select(batch_col, "processed", "inserted",
                          (F.col("processed") - F.col("errors") - F.col("inserted")).alias("duplicates"), "errors")
+
+
+def compact_store(spark: SparkSession, store: str, upto: int, key: str = "url") -> int:
+    """Bring the folders of the batches up to ``upto`` together in that one's; returns the number of files taken in.
+
+    For batches that the stream has committed: a replay of an earlier one would no longer find what was stored before it.  The merged
+    files are written beside the old ones, which are deleted after that, so nothing is ever missing; if that breaks off, rows stand
+    twice until the next compaction, which keeps one of each key.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(store)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("batch_id=")]
+    folders = [p for p in folders if int(p.getName().split("=")[1]) <= upto]
+    old = [f.getPath() for p in folders for f in fs.listStatus(p) if f.getPath().getName().startswith("part-")]
+    if len(old) > 1:
+        rows = spark.read.option("basePath", store).parquet(*[p.toString() for p in old])
+        merged = keep_first(rows, [key], ["batch_id"]).drop("batch_id")
+        merged.hint("rebalance").write.mode("append").parquet(f"{store}/batch_id={upto}")
+        for path in old:
+            fs.delete(path, False)
+        for path in folders:
+            if path.getName() != f"batch_id={upto}":
+                fs.delete(path, True)
+    return len(old)

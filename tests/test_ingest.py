@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from shelfmatch.operators.ingest import insert_if_absent
+from shelfmatch.operators.ingest import compact_store, insert_if_absent
 from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls, url_counts
 from shelfmatch.functions.prices import crawl_time, parse_price, pick_price_text, reward_points, sku_from_url
 from shelfmatch.session import scratch_path
@@ -42,6 +42,19 @@ def test_insert_if_absent_after_a_batch_without_valid_rows_and_with_ties(spark):
     assert insert_if_absent(spark, _batch(spark, [("u1", "c", T0, "s")]), store, 2, key="url", order=["crawled_at"])["inserted"] == 0
 
 
+def test_compaction_keeps_the_rows_and_later_batches_see_them(spark):
+    store = scratch_path(spark, "store")
+    for k in range(6):
+        insert_if_absent(spark, _batch(spark, [(f"u{k}", f"b{k}", T0, "s"), (f"u{k + 1}", f"b{k}", T0, "s")] if k != 3 else []), store, k, key="url", order=["crawled_at"])
+    before = {r["url"]: r["product_data"] for r in spark.read.parquet(store).collect()}
+    assert compact_store(spark, store, 4) == 5  # an empty batch has a file too
+    assert sorted(r["batch_id"] for r in spark.read.parquet(store).select("batch_id").distinct().collect()) == [4, 5]
+    assert {r["url"]: r["product_data"] for r in spark.read.parquet(store).collect()} == before and spark.read.parquet(store).count() == len(before)
+    assert compact_store(spark, store, 4) == 1  # nothing left to do
+    after = insert_if_absent(spark, _batch(spark, [("u0", "late", T0, "s"), ("new", "x", T0, "s")]), store, 6, key="url", order=["crawled_at"])
+    assert (after["inserted"], after["duplicates"]) == (1, 1)
+
+
 def test_url_operators(spark):
     cands = spark.createDataFrame([("https://x.vn/dtdd/a",), ("https://x.vn/dtdd/sac-b",), ("https://x.vn/dtdd/a",),
                                    ("https://x.vn/phu-kien/dtdd",), ("ftp://samsung",)], "url string")
