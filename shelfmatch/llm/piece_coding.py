@@ -12,7 +12,8 @@ separated by a character of no piece, so no edge leaves its unit.  Characters wi
 Decoding joins the pieces' bytes, turns the space mark into a space and removes the dummy prefix.
 
 Defined results: null and empty texts give no ids and decode to the empty text; a text that holds the space mark
-itself decodes with a space in its place, as in the library; every row gives one row.
+itself decodes with a space in its place, as in the library; every row gives one row, an empty table an empty one; new columns get names that the
+table does not have.
 """
 
 from __future__ import annotations

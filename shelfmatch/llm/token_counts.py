@@ -13,7 +13,7 @@ behind it no more, so the map is (head, count behind it, exit state).  Maps comp
 prefix scan over a document's maps gives the entry state and the count before each chunk.
 
 Defined results: null and empty texts have no tokens; the space mark U+2581 counts as a space, as in the library;
-every row gives one row; other columns are not read.
+every row gives one row, an empty table an empty one; other columns are not read.
 """
 
 from __future__ import annotations

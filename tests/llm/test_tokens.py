@@ -77,7 +77,8 @@ def test_suffix_array_sorts_by_the_longest_piece():
 def test_queries_over_odd_rows_and_empty_tables(spark, frame, library):
     rows = rows_of(odd_texts())
     docs = frame(rows, DOCS)
-    got = {r.doc_id: r for r in docs.select("doc_id", token_counts.token_counts(F.col("text")).alias("c")).select("doc_id", "c.*").collect()}
+    named = docs.withColumns({"c": F.lit(1), "n_tokens": F.lit("x"), "n_bytes": F.lit(2)})
+    got = {r.doc_id: r for r in named.select("doc_id", token_counts.token_counts(F.col("text")).alias("c")).select("doc_id", "c.*").collect()}
     assert {i: (r.n_bytes, r.n_tokens) for i, r in got.items()} == {i: (len((t or "").encode()), len(library.encode(t or ""))) for i, t, *_ in rows}
     clash = docs.withColumn("coded", F.lit("x")).withColumn("token_ids", F.lit(1))
     out = piece_coding.tokenised(clash)
@@ -93,7 +94,8 @@ def test_records_round_trip(spark, frame):
     some = texts(300)
     rows = [(i if i != 5 else None, t, None, "x", 1) for i, t in enumerate(some)] + [(7, some[7], None, "y", 2)]
     path = scratch_path(spark, "test-records")
-    records.write_records(frame(rows, DOCS, 4), path, records.default_path())
+    clash = {name: F.lit("x") for name in ("frame", "place", "ids", "file", "start")}
+    records.write_records(frame(rows, DOCS, 4).withColumns(clash), path, records.default_path())
     index = spark.read.parquet(f"{path}/index").orderBy("file", "row").collect()
     want = sorted(((i, t or "") for i, t, *_ in rows), key=lambda r: (r[0] is not None, r[0] or 0))
     start = 0
