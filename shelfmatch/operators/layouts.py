@@ -21,7 +21,42 @@ from shelfmatch.operators.extract import record_status
 
 KEY = "page_id"
 
-# --- fixed values: names of the elements in the shops' pages, labels and defaults ---
+# --- fixed values: elements of the shops' pages (tag and classes; classes of any tag; tag and id), labels and default titles ---
+ELEMENTS = {
+    "detail": ("section", "detail"), "name box": ("div", "product-name"), "quantity sold": ("span", "quantity-sale"),
+    "rating A": ("div", "detail-rate"), "breadcrumb A": ("ul", "breadcrumb"), "option boxes": ("div", "group-box03"), "option box": ("div", "box03"),
+    "chosen option": ("a", "act"), "colour box": ("div", "box03", "color"), "colour slider": ("div", "scrolling_inner"),
+    "colour group": ("div", "box03", "color", "group", "desk"), "colour link": ("a", "box03__item"), "price box": ("div", "price-one"),
+    "fallback title": ("div", "bs_title"), "fallback price": ("div", "bs_price"), "promotion block": ("div", "block__promo"),
+    "promotion title": ("p", "pr-txtb"), "promotion side": ("div", "divb-right"), "loyalty points": ("p", "loyalty__main__point"),
+    "spec group": ("div", "box-specifi"), "policy list": ("ul", "policy__list"), "policy text": ("div", "pl-txt"),
+    "warranty box": ("div", "warranty-box"), "warranty title": ("h2", "title"), "change box": ("div", "change-box"),
+    "change block": ("div", "block-change"), "change text": ("div", "content-insider"), "product box": ("div", "box-detail-product"),
+    "product name": ("div", "box-product-name"), "rating B": ("div", "box-rating"), "number of ratings": ("span", "total-rating"),
+    "bottom item": ("div", "box-bottom-item"), "label": ("span", "label"), "compare box": ("div", "pdp-compare-button-box"),
+    "compare button": ("a", "label"), "product price": ("div", "box-product-price"), "sale price": ("div", "sale-price"),
+    "base price": ("del", "base-price"), "versions": ("div", "box-linked"), "version": ("a", "item-linked"),
+    "variants": ("div", "box-product-variants"), "variant": ("li", "item-variant"), "variant name": ("strong", "item-variant-name"),
+    "variant price": ("span", "item-variant-price"), "commitment text": ("div", "description"), "table title": ("p", "title"),
+    "table row": ("tr", "technical-content-item"), "breadcrumb C": ("nav", "Breadcrumb"),
+    "name C": ("h1", "text-textOnWhitePrimary", "b2-medium", "pc:l6-semibold"), "rating box C": ("div", "ml-1.5", "flex", "items-center", "gap-1"),
+    "rating C": ("div", "text-textOnWhitePrimary", "b2-regular"),
+    "number of ratings C": ("div", "ml-1", "cursor-pointer", "text-textOnWhiteHyperLink", "f1-medium", "pc:b2-medium"),
+    "current price C": ("span", "h4-bold"), "original price C": ("span", "text-neutral-gray-5", "line-through"),
+    "discount C": ("span", "text-red-red-7"), "points C": ("span", "text-yellow-yellow-7", "b2-medium"), "slides": ("div", "swiper-wrapper"),
+    "slide": ("div", "swiper-slide"), "promotion text": ("p", "text-textOnWhitePrimary"),
+    "warranty list": ("div", "flex", "flex-col", "gap-2", "px-4", "pb-4", "pt-3"), "warranty package": ("div", "relative", "grid", "h-14"),
+    "package title": ("p", "line-clamp-2"), "package price": ("span", "text-textOnWhiteBrand"),
+    "package original price": ("span", "text-textOnWhiteDisable", "line-through"),
+}
+CLASSES = {
+    "payment list": "render-promotion", "promotion item": "promotion-pack_item", "commitment item": "item-warranty-info",
+    "commitments": "box-warranty-info", "commitments head": "box-title", "promotion head": "box-product-promotion-header",
+    "promotion detail": "box-product-promotion-detail", "payment head": "box-more-promotion-title",
+}
+IDS = {"policy pop-up": ("div", "popup-baohanh-content"), "location": ("div", "location-detail"), "product information": ("div", "ThongTinSanPham")}
+TRADE_PRICE_ID = "tradePrice"
+PROMOTION_TITLE, PAYMENT_TITLE, COMMITMENT_TITLE = "Khuyến mãi", "Ưu đãi thanh toán", "Cam kết sản phẩm"
 GENERAL_PROMOTION_BOX = ("relative", "flex", "flex-col", "gap-2.5", "rounded-[0.375rem]", "border")
 PAYMENT_BOX = ("flex", "flex-col", "pc:flex-col-reverse", "pc:gap-3")
 PROMOTION_LIST = ("flex", "flex-col", "gap-3")
@@ -34,6 +69,17 @@ SPEC_SECTIONS = (("teleport-modal_content", "technical-content-section"), ("moda
                  ("overlay", "technical-content-section"), (None, "specifications-modal"), (None, "tech-specs"))
 
 
+def _el(name: str) -> Column:
+    """Whether a row opens the named element."""
+    tag, *classes = ELEMENTS[name]
+    return is_element(tag, *classes)
+
+
+def _by_id(name: str) -> Column:
+    tag, ident = IDS[name]
+    return is_element(tag, id=ident)
+
+
 def _scopes(rows: DataFrame, *scopes: tuple) -> DataFrame:
     """Scopes one after the other: (name, condition, scope around it or None, first one only)."""
     for name, opens, inside, first in scopes:
@@ -63,7 +109,7 @@ def _class(scope: str, name: str) -> Column:
 def specifications(rows: DataFrame) -> DataFrame:
     """``specifications``, {group: {key: value}}: list rows of exactly two cells, `:` taken from the key, groups without
     a heading left out; a later group of one name replaces the earlier, a later key the earlier one."""
-    rows = _scopes(rows, ("g", is_element("div", "box-specifi"), None, False), ("h", is_element("h3"), "g", True), ("u", is_element("ul"), "g", False),
+    rows = _scopes(rows, ("g", _el("spec group"), None, False), ("h", is_element("h3"), "g", True), ("u", is_element("ul"), "g", False),
                    ("li", is_element("li"), "u", False), ("c", is_element("aside"), "li", False))
     cells = rows.where(_has("c") | _has("h")).groupBy(KEY, "g", "li", "c").agg(
         texts(F.lit(True)).alias("glued"), texts(F.lit(True), " ").alias("spaced"), _any("h").alias("titled"))
@@ -80,10 +126,10 @@ def policies(rows: DataFrame) -> DataFrame:
     """``policies``: commitments, warranty (title, details) and change_policy {title: text}, where a later block of one title
     wins and a block without text is left out; null where the warranty box lacks a part or a block its title."""
     rows = _scopes(
-        rows, ("pl", is_element("ul", "policy__list"), None, True), ("li", is_element("li"), "pl", False), ("item", is_element("div", "pl-txt"), "li", False),
-        ("pop", is_element("div", id="popup-baohanh-content"), None, True), ("wb", is_element("div", "warranty-box"), "pop", True),
-        ("wt", is_element("h2", "title"), "wb", True), ("ws", is_element("span"), "wb", True), ("cb", is_element("div", "change-box"), "pop", True),
-        ("bl", is_element("div", "block-change"), "cb", False), ("bt", is_element("h3"), "bl", True), ("bc", is_element("div", "content-insider"), "bl", True))
+        rows, ("pl", _el("policy list"), None, True), ("li", is_element("li"), "pl", False), ("item", _el("policy text"), "li", False),
+        ("pop", _by_id("policy pop-up"), None, True), ("wb", _el("warranty box"), "pop", True),
+        ("wt", _el("warranty title"), "wb", True), ("ws", is_element("span"), "wb", True), ("cb", _el("change box"), "pop", True),
+        ("bl", _el("change block"), "cb", False), ("bt", is_element("h3"), "bl", True), ("bc", _el("change text"), "bl", True))
     parts = rows.groupBy(KEY, "item", "bl").agg(
         texts(_has("item")).alias("commitment"), texts(_has("bt")).alias("title"), texts(_has("bc"), "\n").alias("content"),
         texts(_has("wt")).alias("warranty_title"), texts(_has("ws")).alias("warranty_text"),
@@ -105,8 +151,8 @@ def promotions(rows: DataFrame) -> DataFrame:
     other_promotions (less the details label, empty ones left out)."""
     rows = _scopes(
         rows, ("g", is_element("div", *GENERAL_PROMOTION_BOX), None, True), ("gp", is_element("p"), "g", False), ("pay", is_element("div", *PAYMENT_BOX), None, True),
-        ("sw", is_element("div", "swiper-wrapper"), "pay", True), ("slide", is_element("div", "swiper-slide"), "sw", False), ("img", is_element("img"), "slide", True),
-        ("lst", is_element("div", *PROMOTION_LIST), "pay", True), ("op", is_element("p", "text-textOnWhitePrimary"), "lst", False))
+        ("sw", _el("slides"), "pay", True), ("slide", _el("slide"), "sw", False), ("img", is_element("img"), "slide", True),
+        ("lst", is_element("div", *PROMOTION_LIST), "pay", True), ("op", _el("promotion text"), "lst", False))
     parts = rows.groupBy(KEY, "gp", "slide", "op").agg(
         texts(F.lit(True)).alias("text"), _any("img").alias("has_img"), py_strip(F.coalesce(_value("img", "alt"), F.lit(""))).alias("description"),
         py_strip(F.coalesce(_value("img", "src"), F.lit(""))).alias("image_url"))
@@ -126,10 +172,10 @@ def priced_options(rows: DataFrame) -> DataFrame:
     state of one element stay together where some are missing, a later element of one name wins; ``broken`` where a
     colour has no link (the section is then empty)."""
     rows = _scopes(
-        rows, ("pb", is_element("div", "box-product-price"), None, True), ("sale", is_element("div", "sale-price"), "pb", True), ("base", is_element("del", "base-price"), "pb", True),
-        ("vb", is_element("div", "box-linked"), None, True), ("v", is_element("a", "item-linked"), "vb", False), ("vn", is_element("strong"), "v", True),
-        ("cb", is_element("div", "box-product-variants"), None, True), ("c", is_element("li", "item-variant"), "cb", False),
-        ("cn", is_element("strong", "item-variant-name"), "c", True), ("cp", is_element("span", "item-variant-price"), "c", True), ("ca", is_element("a"), "c", True))
+        rows, ("pb", _el("product price"), None, True), ("sale", _el("sale price"), "pb", True), ("base", _el("base price"), "pb", True),
+        ("vb", _el("versions"), None, True), ("v", _el("version"), "vb", False), ("vn", is_element("strong"), "v", True),
+        ("cb", _el("variants"), None, True), ("c", _el("variant"), "cb", False),
+        ("cn", _el("variant name"), "c", True), ("cp", _el("variant price"), "c", True), ("ca", is_element("a"), "c", True))
     parts = rows.groupBy(KEY, "v", "c").agg(
         texts(_has("sale")).alias("sale"), texts(_has("base")).alias("base"), texts(_has("vn")).alias("version"), texts(_has("cn")).alias("colour"),
         texts(_has("cp")).alias("price"), _value("v", "href").alias("version_url"), _value("ca", "href").alias("colour_url"),
@@ -158,7 +204,7 @@ def spec_table(rows: DataFrame, alternatives: tuple = SPEC_SECTIONS) -> DataFram
     for k in range(len(alternatives)):
         section = F.when(F.col("chosen") == k, F.col(f"sec{k}")).otherwise(section)
     rows = rows.withColumn("s", section)
-    rows = _scopes(rows, ("t", is_element("p", "title"), "s", True), ("r", is_element("tr", "technical-content-item"), "s", False), ("c", is_element("td"), "r", False))
+    rows = _scopes(rows, ("t", _el("table title"), "s", True), ("r", _el("table row"), "s", False), ("c", is_element("td"), "r", False))
     cells = rows.where(_has("s")).groupBy(KEY, "s", "r", "c").agg(
         whole_text(F.lit(True)).alias("text"), whole_text(_has("t")).alias("title"), _any("t").alias("titled"))
     lines = cells.groupBy(KEY, "s", "r").agg(
@@ -192,15 +238,15 @@ def stateful_options(rows: DataFrame) -> DataFrame:
 
 def price_and_promotions(rows: DataFrame) -> DataFrame:
     """X4, one page: prices of the primary box, else of the fallback box, else empty; location, promotions, loyalty points."""
-    box = (("one", is_element("div", "price-one"), None, True),)
+    box = (("one", _el("price box"), None, True),)
     primary = (("current", "p", "box-price-present"), ("original", "p", "box-price-old"), ("percent", "p", "box-price-percent"), ("instalment", "span", "label--black"))
     fallback = (("bs_current", "strong"), ("bs_original", "em"), ("bs_percent", "i"))
     rows = _scopes(
-        rows, *box, *[(n, is_element(t, c), "one", True) for n, t, c in primary], ("bs_title", is_element("div", "bs_title"), None, False),
-        ("bs", is_element("div", "bs_price"), "bs_title", True), *[(n, is_element(t), "bs", True) for n, t in fallback],
-        ("loc", is_element("div", id="location-detail"), None, True), ("loc_a", is_element("a"), "loc", True), ("promo", is_element("div", "block__promo"), None, True),
-        ("pt", is_element("p", "pr-txtb"), "promo", True), ("right", is_element("div", "divb-right"), "promo", False), ("rp", is_element("p"), "right", False),
-        ("loyal", is_element("p", "loyalty__main__point"), None, True))
+        rows, *box, *[(n, is_element(t, c), "one", True) for n, t, c in primary], ("bs_title", _el("fallback title"), None, False),
+        ("bs", _el("fallback price"), "bs_title", True), *[(n, is_element(t), "bs", True) for n, t in fallback],
+        ("loc", _by_id("location"), None, True), ("loc_a", is_element("a"), "loc", True), ("promo", _el("promotion block"), None, True),
+        ("pt", _el("promotion title"), "promo", True), ("right", _el("promotion side"), "promo", False), ("rp", is_element("p"), "right", False),
+        ("loyal", _el("loyalty points"), None, True))
     names = [*[n for n, *_ in primary], *[n for n, _ in fallback], "loc_a", "pt", "loyal"]
     parts = rows.groupBy(KEY, "rp").agg(*[whole_text(_has(n)).alias(n) for n in names], whole_text(F.lit(True)).alias("text"), _any("one").alias("has_one"))
     found = parts.groupBy(KEY).agg(*[F.max(n).alias(n) for n in names], F.max("has_one").alias("has_one"),
@@ -214,8 +260,8 @@ def price_and_promotions(rows: DataFrame) -> DataFrame:
 
 def colour_links(rows: DataFrame) -> DataFrame:
     """The colours that a product page links to, a row each: their order, name and href."""
-    rows = _scopes(rows, ("in", is_element("div", "scrolling_inner"), None, False), ("box", is_element("div", "box03", "color", "group", "desk"), "in", False),
-                   ("a", is_element("a", "box03__item"), "box", False))
+    rows = _scopes(rows, ("in", _el("colour slider"), None, False), ("box", _el("colour group"), "in", False),
+                   ("a", _el("colour link"), "box", False))
     return rows.where(_has("a")).groupBy(KEY, "a").agg(whole_text(F.lit(True)).alias("color"), _value("a", "href").alias("href"))
 
 
@@ -252,8 +298,8 @@ def _list(scope: str, *fields: str) -> Column:
 def basics_a(rows: DataFrame) -> DataFrame:
     """product_name, quantity_sale, detail_rate, product_type (null without breadcrumb)."""
     rows = _scopes(
-        rows, ("d", is_element("section", "detail"), None, True), ("n", is_element("div", "product-name"), "d", True), ("h", is_element("h1"), "n", True),
-        ("q", is_element("span", "quantity-sale"), "n", True), ("r", is_element("div", "detail-rate"), "n", True), ("b", is_element("ul", "breadcrumb"), "d", True), ("a", is_element("a"), "b", False))
+        rows, ("d", _el("detail"), None, True), ("n", _el("name box"), "d", True), ("h", is_element("h1"), "n", True),
+        ("q", _el("quantity sold"), "n", True), ("r", _el("rating A"), "n", True), ("b", _el("breadcrumb A"), "d", True), ("a", is_element("a"), "b", False))
     parts = rows.where(_has("d")).groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "q", "r", "a")], _any("b").alias("has_b"))
     return parts.groupBy(KEY).agg(F.max("t_h").alias("product_name"), F.max("t_q").alias("quantity_sale"), F.max("t_r").alias("detail_rate"),
                                   F.max("has_b").alias("has_b"), _list("a", "t_a").alias("types")).select(
@@ -262,8 +308,8 @@ def basics_a(rows: DataFrame) -> DataFrame:
 
 def options_a(rows: DataFrame) -> DataFrame:
     """selected_capacity (empty where none is), all_colors; null without the box."""
-    rows = _scopes(rows, ("g", is_element("div", "group-box03"), None, True), ("cap", is_element("div", "box03") & ~F.array_contains("classes", "color"), "g", False),
-                   ("act", is_element("a", "act"), "cap", "page"), ("col", is_element("div", "box03", "color"), "g", False), ("a", is_element("a"), "col", False))
+    rows = _scopes(rows, ("g", _el("option boxes"), None, True), ("cap", _el("option box") & ~F.array_contains("classes", "color"), "g", False),
+                   ("act", _el("chosen option"), "cap", "page"), ("col", _el("colour box"), "g", False), ("a", is_element("a"), "col", False))
     parts = rows.where(_has("g")).groupBy(KEY, "a").agg(_text("act").alias("act"), _text("a").alias("t"))
     return parts.groupBy(KEY).agg(F.coalesce(F.max("act"), F.lit("")).alias("selected_capacity"), _list("a", "t").alias("all_colors"))
 
@@ -271,10 +317,10 @@ def options_a(rows: DataFrame) -> DataFrame:
 def basics_b(rows: DataFrame) -> DataFrame:
     """product_name, rating_score, total_ratings (without brackets), actions (labels, then the compare button's)."""
     rows = _scopes(
-        rows, ("n", is_element("div", "box-product-name"), None, False), ("h", is_element("h1"), "n", "page"), ("rb", is_element("div", "box-rating"), None, True),
-        ("rs", is_element("span") & ~F.array_contains("classes", "total-rating"), "rb", True), ("rt", is_element("span", "total-rating"), "rb", True),
-        ("i", is_element("div", "box-bottom-item"), None, False), ("l", is_element("span", "label"), "i", True),
-        ("cb", is_element("div", "pdp-compare-button-box"), None, False), ("c", is_element("a", "label"), "cb", "page"))
+        rows, ("n", _el("product name"), None, False), ("h", is_element("h1"), "n", "page"), ("rb", _el("rating B"), None, True),
+        ("rs", is_element("span") & ~F.array_contains("classes", "total-rating"), "rb", True), ("rt", _el("number of ratings"), "rb", True),
+        ("i", _el("bottom item"), None, False), ("l", _el("label"), "i", True),
+        ("cb", _el("compare box"), None, False), ("c", _el("compare button"), "cb", "page"))
     parts = rows.groupBy(KEY, "l").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "rs", "rt", "l", "c")])
     found = parts.groupBy(KEY).agg(*[F.max(f"t_{s}").alias(f"t_{s}") for s in ("h", "rs", "rt", "c")], _list("l", "t_l").alias("labels"))
     return found.select(KEY, F.col("t_h").alias("product_name"), F.col("t_rs").alias("rating_score"), F.btrim("t_rt", F.lit("()")).alias("total_ratings"),
@@ -290,32 +336,32 @@ def _linked(rows: DataFrame, title: str, default: str, item: str, out: str) -> D
 
 def promotions_b(rows: DataFrame) -> DataFrame:
     """``promotions``: title and items (detail, link)."""
-    rows = _scopes(rows, ("hd", has_class("box-product-promotion-header"), None, False), ("t", is_element("span"), "hd", "page"),
-                   ("p", has_class("promotion-pack_item"), None, False), ("i", has_class("box-product-promotion-detail"), "p", True))
-    return _linked(rows, "t", "Khuyến mãi", "i", "promotions")
+    rows = _scopes(rows, ("hd", has_class(CLASSES["promotion head"]), None, False), ("t", is_element("span"), "hd", "page"),
+                   ("p", has_class(CLASSES["promotion item"]), None, False), ("i", has_class(CLASSES["promotion detail"]), "p", True))
+    return _linked(rows, "t", PROMOTION_TITLE, "i", "promotions")
 
 
 def payment_promotions_b(rows: DataFrame) -> DataFrame:
     """X11: ``payment_promotions``: title and items (detail, link)."""
-    rows = _scopes(rows, ("hd", has_class("box-more-promotion-title"), None, False), ("t", is_element("span"), "hd", "page"),
-                   ("r", has_class("render-promotion"), None, False), ("u", is_element("ul"), "r", False), ("i", is_element("li"), "u", False))
-    return _linked(rows, "t", "Ưu đãi thanh toán", "i", "payment_promotions")
+    rows = _scopes(rows, ("hd", has_class(CLASSES["payment head"]), None, False), ("t", is_element("span"), "hd", "page"),
+                   ("r", has_class(CLASSES["payment list"]), None, False), ("u", is_element("ul"), "r", False), ("i", is_element("li"), "u", False))
+    return _linked(rows, "t", PAYMENT_TITLE, "i", "payment_promotions")
 
 
 def commitments_b(rows: DataFrame) -> DataFrame:
     """``commitments``: title and items (detail, link), every description of an item."""
-    rows = _scopes(rows, ("w", has_class("box-warranty-info"), None, False), ("bt", has_class("box-title"), "w", False), ("t", is_element("p"), "bt", "page"),
-                   ("p", has_class("item-warranty-info"), None, False), ("i", is_element("div", "description"), "p", False))
-    return _linked(rows, "t", "Cam kết sản phẩm", "i", "commitments")
+    rows = _scopes(rows, ("w", has_class(CLASSES["commitments"]), None, False), ("bt", has_class(CLASSES["commitments head"]), "w", False), ("t", is_element("p"), "bt", "page"),
+                   ("p", has_class(CLASSES["commitment item"]), None, False), ("i", _el("commitment text"), "p", False))
+    return _linked(rows, "t", COMMITMENT_TITLE, "i", "commitments")
 
 
 def basics_c(rows: DataFrame) -> DataFrame:
     """product_type (breadcrumb texts that are not empty), product_name, rating_score, rating_count."""
     rows = _scopes(
-        rows, ("nav", is_element("nav", "Breadcrumb"), None, True), ("li", is_element("li"), "nav", False), ("a", is_element("a"), "li", True),
-        ("h", is_element("h1", "text-textOnWhitePrimary", "b2-medium", "pc:l6-semibold"), None, True), ("rb", is_element("div", "ml-1.5", "flex", "items-center", "gap-1"), None, False),
-        ("rs", is_element("div", "text-textOnWhitePrimary", "b2-regular"), "rb", "page"),
-        ("rc", is_element("div", "ml-1", "cursor-pointer", "text-textOnWhiteHyperLink", "f1-medium", "pc:b2-medium"), None, True))
+        rows, ("nav", _el("breadcrumb C"), None, True), ("li", is_element("li"), "nav", False), ("a", is_element("a"), "li", True),
+        ("h", _el("name C"), None, True), ("rb", _el("rating box C"), None, False),
+        ("rs", _el("rating C"), "rb", "page"),
+        ("rc", _el("number of ratings C"), None, True))
     parts = rows.groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "rs", "rc", "a")])
     found = parts.groupBy(KEY).agg(*[F.max(f"t_{s}").alias(f"t_{s}") for s in ("h", "rs", "rc")], _list("a", "t_a").alias("types"))
     return found.select(KEY, F.filter("types", lambda t: t != "").alias("product_type"), F.col("t_h").alias("product_name"), F.col("t_rs").alias("rating_score"), F.col("t_rc").alias("rating_count"))
@@ -323,9 +369,9 @@ def basics_c(rows: DataFrame) -> DataFrame:
 
 def price_c(rows: DataFrame) -> DataFrame:
     """current_price and original_price as numbers (null where they are none), discount_percent, reward_points."""
-    box = (F.col("kind") >= 0) & (F.coalesce(F.col("id"), F.lit("")) == "tradePrice")
-    rows = _scopes(rows, ("b", box, None, True), ("c", is_element("span", "h4-bold"), "b", True), ("o", is_element("span", "text-neutral-gray-5", "line-through"), "b", True),
-                   ("d", is_element("span", "text-red-red-7"), "b", True), ("r", is_element("span", "text-yellow-yellow-7", "b2-medium"), "b", True))
+    box = (F.col("kind") >= 0) & (F.coalesce(F.col("id"), F.lit("")) == TRADE_PRICE_ID)
+    rows = _scopes(rows, ("b", box, None, True), ("c", _el("current price C"), "b", True), ("o", _el("original price C"), "b", True),
+                   ("d", _el("discount C"), "b", True), ("r", _el("points C"), "b", True))
     found = rows.groupBy(KEY).agg(*[_text(s).alias(f"t_{s}") for s in "codr"])
     return found.select(KEY, parse_price("t_c").alias("current_price"), parse_price("t_o").alias("original_price"), F.col("t_d").alias("discount_percent"), reward_points("t_r").alias("reward_points"))
 
@@ -333,8 +379,8 @@ def price_c(rows: DataFrame) -> DataFrame:
 def extended_warranty_c(rows: DataFrame) -> DataFrame:
     """``extended_warranty``: title, current_price, original_price of each package, each null where it is missing."""
     rows = _scopes(
-        rows, ("b", is_element("div", "flex", "flex-col", "gap-2", "px-4", "pb-4", "pt-3"), None, True), ("i", is_element("div", "relative", "grid", "h-14"), "b", False),
-        ("t", is_element("p", "line-clamp-2"), "i", True), ("c", is_element("span", "text-textOnWhiteBrand"), "i", True), ("o", is_element("span", "text-textOnWhiteDisable", "line-through"), "i", True))
+        rows, ("b", _el("warranty list"), None, True), ("i", _el("warranty package"), "b", False),
+        ("t", _el("package title"), "i", True), ("c", _el("package price"), "i", True), ("o", _el("package original price"), "i", True))
     parts = rows.groupBy(KEY, "i").agg(_text("t").alias("title"), parse_price(_text("c")).alias("current_price"), parse_price(_text("o")).alias("original_price"))
     return parts.groupBy(KEY).agg(_list("i", "title", "current_price", "original_price").alias("extended_warranty"))
 
@@ -352,10 +398,10 @@ class Layout:
 
 
 LAYOUTS = (
-    Layout("A", r"^https?://shop-a\.", lambda: is_element("section", "detail"), (basics_a, options_a, specifications, policies)),
-    Layout("B", r"^https?://shop-b\.", lambda: is_element("div", "box-detail-product"),
+    Layout("A", r"^https?://shop-a\.", lambda: _el("detail"), (basics_a, options_a, specifications, policies)),
+    Layout("B", r"^https?://shop-b\.", lambda: _el("product box"),
            (basics_b, priced_options, promotions_b, payment_promotions_b, commitments_b, spec_table), True),
-    Layout("C", r"^https?://shop-c\.", lambda: is_element("div", id="ThongTinSanPham"), (basics_c, stateful_options, price_c, promotions, extended_warranty_c)),
+    Layout("C", r"^https?://shop-c\.", lambda: _by_id("product information"), (basics_c, stateful_options, price_c, promotions, extended_warranty_c)),
 )
 
 
