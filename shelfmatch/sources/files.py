@@ -38,7 +38,10 @@ def read_catalogue(spark: SparkSession, path: str, schema: str = CATALOGUE_SCHEM
     # a split's place among all splits (a row each), then the row's place in its task
     split = ("_metadata.file_path", "_metadata.file_block_start")
     placed = df.select(*cols, F.col(split[0]).alias("__file"), F.col(split[1]).alias("__block"), F.monotonically_increasing_id().alias("__row"))
-    splits = df.select(F.col(split[0]).alias("__file"), F.col(split[1]).alias("__block")).distinct()
+    if multi_line:  # a file is one split, and listing the files reads none of them
+        splits = spark.read.format("binaryFile").load(path).select(F.col(split[0]).alias("__file"), F.lit(0).cast("long").alias("__block"))
+    else:
+        splits = df.select(F.col(split[0]).alias("__file"), F.col(split[1]).alias("__block")).distinct()
     ranks = splits.withColumn("__rank", F.row_number().over(Window.orderBy("__file", "__block")).cast("long"))
     order = F.shiftleft(F.col("__rank"), 33) + F.col("__row").bitwiseAND((1 << 33) - 1)
     return placed.join(ranks, ["__file", "__block"]).select(*[f"`{f.name}`" for f in wanted], order.alias("_ord"))
