@@ -44,7 +44,7 @@ from shelfmatch.session import scratch_path
 MARKER = "ÿaÿaÿaÿaÿ\n"
 END_ID = 1
 #: Chunks of text whose ids are kept in a Python worker, and bytes of them; the tables are dropped and filled anew beyond either.
-KEPT_CHUNKS, KEPT_BYTES = 400_000, 16_000_000
+KEPT_CHUNKS, KEPT_BYTES = 400_000, 64_000_000
 _MARKER = MARKER.encode()
 _OVERHEAD = 8 + 4 + 9 + 4 + len(_MARKER)
 
