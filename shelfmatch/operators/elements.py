@@ -1,14 +1,17 @@
 """Elements of HTML pages as rows: tags, their matching ends, and containment by position.
 
 ``tag_rows`` cuts each page at its tags (script and style blocks and comments removed): a row is a tag with the text
-behind it, numbered by ``pos``.  A page's rows are dealt to one partition by the page's key, once; everything after that is
-windows and aggregates on that key, which Spark runs on the same partitioning without another shuffle.
+behind it, numbered by ``pos``; a page's rows stand together, in order, where the page was read.  ``with_scopes`` relies on that
+(rows that were shuffled go through windows: ``with_scope``) and deals what it keeps to the page's key, once; everything after that is
+aggregates on that key, which Spark runs on the same partitioning without another shuffle.
 
 * The end of an element is the end tag of its name on its own level, where the level counts the open elements of that name, so an
   element left open does not disturb others.  An element without an end tag ends at the next opening of its name, else with
   the page.
 * ``with_scope`` adds a column that holds, on each row, the position of the outermost matching element around it, else null: an
   as-of assignment of rows to the nearest opening before them, cut off at its end.
+* ``with_scopes`` adds many such columns at once, before the shuffle: an Arrow function finds the ends and scopes of whole batches of
+  pages.  Rows that lie in no scope, or open none and have no text, are left out, but for the page's first.
 * ``texts`` joins the texts of a scope in page order.
 
 Keys must tell pages apart.  Null html gives no rows.
@@ -16,8 +19,16 @@ Keys must tell pages apart.  Null html gives no rows.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmatch.functions.text import py_strip
 from shelfmatch.operators.extract import decode_entities, strip_blocks
@@ -26,14 +37,24 @@ from shelfmatch.operators.extract import decode_entities, strip_blocks
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 #: A tag's slash, name and attributes, and the text up to the next tag.
 _TAG = r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>((?:[^<]++|<(?![a-zA-Z/]))*+)"""
+#: The same, up to the tag's end: what stands in its brackets.
+_INNER = r"""^<(/?[a-zA-Z][^\s/>]*+(?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>"""
 _NO_END = 2_000_000_000
 
 
+def _quoted(attrs: Column, name: str) -> Column:
+    """The value of an attribute with its quotes; empty where the tag lacks it."""
+    return F.regexp_extract(attrs, rf"""(?is)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+
+
+def _unquoted(value: Column) -> Column:
+    inner = F.when(value.rlike("""^["']"""), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+    return F.when(value != "", decode_entities(inner))
+
+
 def attribute(attrs: Column, name: str) -> Column:
     """The value of an attribute, entities decoded; null where the tag lacks it."""
-    pattern = rf"""(?is)(?:^|\s){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = F.concat(*[F.regexp_extract(attrs, pattern, k) for k in (1, 2, 3)])
-    return F.when(attrs.rlike(pattern), decode_entities(value))
+    return F.get(F.transform(F.array(_quoted(attrs, name)), _unquoted), 0)
 
 
 def tag_rows(pages: DataFrame, key: str = "page_id", html: str = "html", tags: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -42,27 +63,34 @@ def tag_rows(pages: DataFrame, key: str = "page_id", html: str = "html", tags: t
     ``tags`` are those the caller asks about: rows of others stay only where text follows them.
     """
     body = strip_blocks(F.col(html))
-    parts = [F.regexp_extract_all(body, F.lit(_TAG), k) for k in (1, 2, 3, 4)]
-    cut = pages.select(key, *keep, F.posexplode(F.arrays_zip(*parts)).alias("pos", "t"))
-    slash, name, attrs, text = (F.col("t").getField(str(k)) for k in range(4))
-    rows = cut.select(key, *keep, "pos", F.lower(name).alias("tag"), slash.alias("slash"), attrs.alias("attrs"), decode_entities(text).alias("text"))
+    # one pass over the page; a tag's parts are taken from its own short text, in steps that are each computed once
+    cut = pages.select(key, *keep, F.posexplode(F.regexp_extract_all(body, F.lit(_TAG), 0)).alias("pos", "whole"))
+    cut = cut.withColumn("inner", F.regexp_extract("whole", _INNER, 1))
+    cut = cut.withColumn("name", F.regexp_extract("inner", r"^/?([a-zA-Z][^\s/>]*+)", 1))
+    slash, text = F.substring("inner", 1, 1) == "/", F.substring("whole", F.length("inner") + 3, F.length("whole"))
+    attrs = F.substring("inner", F.length("name") + F.when(slash, 2).otherwise(1), F.length("inner"))
+    rows = cut.select(key, *keep, "pos", F.lower("name").alias("tag"), slash.alias("slash"), attrs.alias("attrs"), decode_entities(text).alias("text"))
     if tags:
         rows = rows.where(F.col("tag").isin(*tags) | ~F.col("text").rlike(r"^\s*$"))
     void = F.col("tag").isin(*VOID) | F.col("attrs").endswith("/")
-    rows = rows.withColumn("kind", F.when(F.col("slash") == "/", -1).when(void, 0).otherwise(1)).drop("slash")
-    rows = rows.withColumns({"classes": F.split(F.coalesce(attribute(F.col("attrs"), "class"), F.lit("")), r"\s+"), "id": attribute(F.col("attrs"), "id")})
-    # the one shuffle: a page's rows meet, and all windows below are on this key; packed, so that all readers of the rows want the
-    # same columns of it and can share it
+    rows = rows.withColumn("kind", F.when(F.col("slash"), -1).when(void, 0).otherwise(1)).drop("slash")
+    rows = rows.withColumns({"classes": _quoted(F.col("attrs"), "class"), "id": _quoted(F.col("attrs"), "id")})
+    rows = rows.withColumns({"classes": F.split(F.coalesce(_unquoted(F.col("classes")), F.lit("")), r"\s+"), "id": _unquoted(F.col("id"))})
+    return _with_ends(rows, key)
+
+
+def packed_by_key(rows: DataFrame, key: str) -> DataFrame:
+    """The one shuffle: a page's rows meet; packed, so that all readers of the rows want the same columns of it and can share it."""
     columns = [c for c in rows.columns if c != key]
     packed = rows.select(key, F.array(F.struct(*columns)).alias("row")).repartition(key)
-    return _with_ends(packed.select(key, *[F.element_at("row", 1)[c].alias(c) for c in columns]), key)
+    return packed.select(key, *[F.element_at("row", 1)[c].alias(c) for c in columns])
 
 
 def _with_ends(rows: DataFrame, key: str) -> DataFrame:
     by_tag = Window.partitionBy(key, "tag").orderBy("pos")
     level = F.sum("kind").over(by_tag.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.when(F.col("kind") == -1, 1).otherwise(0)
-    following = by_tag.rowsBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumns({"level": level, "next_open": F.first(F.when(F.col("kind") == 1, F.col("pos")), ignorenulls=True).over(following)})
+    by_kind = Window.partitionBy(key, "tag", "kind").orderBy("pos")  # only openings ask for the next one
+    rows = rows.withColumn("level", level).withColumn("next_open", F.lead("pos").over(by_kind))
     on_level = Window.partitionBy(key, "tag", "level").orderBy("pos")
     ended = F.when(F.lead("kind").over(on_level) == -1, F.lead("pos").over(on_level))
     end = F.coalesce(ended, "next_open", F.lit(_NO_END))
@@ -96,6 +124,162 @@ def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id",
     return rows.withColumn("_at", at).withColumn(name, F.when(within, F.col("_at.pos"))).drop("_at")
 
 
+@dataclass(frozen=True)
+class Scope:
+    """A scope for ``with_scopes``: as for ``with_scope``; ``after``: the element begins behind the end of that scope's element;
+    ``of``: no element of its own, but the first of these scopes that a row lies in, or, if ``first`` is "page", that its page has."""
+
+    name: str
+    opens: Column | None = None
+    inside: str | None = None
+    first: bool | str = False
+    after: str | None = None
+    of: tuple[str, ...] = ()
+
+
+def with_scopes(rows: DataFrame, scopes: Sequence[Scope], key: str = "page_id", carry: Sequence[str] = ("text",)) -> DataFrame:
+    """key, pos, the ``carry`` columns and a column per scope, as ``with_scope`` adds them one after the other, dealt by key.
+
+    ``rows``: from ``tag_rows``, with their pages together.  Pages are told apart by their place too, so two of one key do not mix elements.
+    """
+    if len(scopes) > 62:
+        raise ValueError("too many scopes for one mask")
+    rules = tuple((s.name, s.inside, s.first, s.after, s.of) for s in scopes)
+    bits = [F.when(s.opens, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, s in enumerate(scopes) if s.opens is not None]
+    mask = functools.reduce(Column.bitwiseOR, bits)
+    kept = rows.select(key, "pos", *carry)
+    schema = T.StructType([*kept.schema, *[T.StructField(s.name, T.IntegerType()) for s in scopes]])
+    sent = rows.select(key, "pos", *carry, F.col("text").alias("_text"), F.col("tag").alias("_tag"), F.col("kind").alias("_kind"), mask.alias("_opens"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pages in _whole_pages(batches):
+            found, keep = _scopes_of(rules, pages)
+            own = pages.select(kept_names).to_batches()[0] if pages.num_rows else None
+            if own is not None:
+                arrays = [*own.columns, *[pa.array(np.maximum(c, 0).astype(np.int32), mask=c < 0) for c in found]]
+                yield pa.RecordBatch.from_arrays(arrays, [*kept_names, *[r[0] for r in rules]]).filter(pa.array(keep))
+
+    kept_names = kept.columns
+    return packed_by_key(sent.mapInArrow(run, schema), key)
+
+
+def _page_starts(rows: pa.Table) -> np.ndarray:
+    """Places at which a row belongs to another page than the row before it: another key, or a pos that does not grow."""
+    if rows.num_rows < 2:
+        return np.zeros(0, dtype=np.int64)
+    pos, keys = rows.column(1).to_numpy(), rows.column(0).combine_chunks()
+    now, before = keys.slice(1), keys.slice(0, len(keys) - 1)
+    both_null = pc.and_(pc.is_null(now), pc.is_null(before))
+    other = pc.fill_null(pc.not_equal(now, before), True)
+    changed = pc.and_not(other, both_null).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(changed | (np.diff(pos) <= 0)) + 1
+
+
+def _whole_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches cut where pages begin: what follows the last beginning waits for the next batch."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if waiting:  # the last row tells whether the batch begins with another page
+            last = waiting[-1].slice(waiting[-1].num_rows - 1)
+            starts = _page_starts(pa.Table.from_batches([last, batch])) - 1
+        else:
+            starts = _page_starts(pa.Table.from_batches([batch]))
+        if len(starts):
+            yield pa.Table.from_batches([*waiting, batch.slice(0, starts[-1])]).combine_chunks()
+            waiting = [batch.slice(starts[-1])]
+        else:
+            waiting.append(batch)
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _scopes_of(rules: tuple, rows: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each rule of ``with_scopes`` the pos of each row's element, -1 without; and which rows to keep."""
+    begins = np.zeros(rows.num_rows, dtype=bool)
+    begins[:1] = True
+    begins[_page_starts(rows)] = True
+    pos, kind, opens = (rows.column(c).to_numpy().astype(np.int64) for c in ("pos", "_kind", "_opens"))
+    tag = rows.column("_tag").combine_chunks().dictionary_encode().indices.to_numpy()
+    found = _find_scopes(rules, np.cumsum(begins) - 1, pos, tag, kind, opens)
+    says = pc.fill_null(pc.not_equal(rows.column("_text"), ""), False).to_numpy()
+    inside = np.any([c >= 0 for c in found], axis=0) if found else begins
+    return found, begins | (opens != 0) | (says & inside)
+
+
+def _ends(page: np.ndarray, pos: np.ndarray, tag: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """The ends of elements, as ``_with_ends`` has them."""
+    order = np.lexsort((pos, tag, page))
+    k, p = kind[order], pos[order]
+    begins = np.concatenate([[True], (np.diff(page[order]) != 0) | (np.diff(tag[order]) != 0)])
+    own = np.cumsum(begins) - 1  # the page's rows of one tag
+    open_before = np.cumsum(k) - k
+    level = np.cumsum(k) - open_before[begins][own] + (k == -1)
+    last = len(p)
+    opening = np.concatenate([np.where(k == 1, np.arange(last), last), [last]])
+    following = np.minimum.accumulate(opening[::-1])[::-1][1:]
+    p_, own_ = np.concatenate([p, [_NO_END]]), np.concatenate([own, [-1]])
+    end = np.where(own_[following] == own, p_[following], _NO_END)
+    by_level = np.lexsort((level, own))
+    here, then = by_level[:-1], by_level[1:]
+    closed = (own[here] == own[then]) & (level[here] == level[then]) & (k[then] == -1)
+    end[here[closed]] = p[then[closed]]
+    out = np.empty(last, dtype=np.int64)
+    out[order] = np.where(k == 1, end, p + 1)
+    return out
+
+
+def _find_scopes(rules: tuple, page: np.ndarray, pos: np.ndarray, tag: np.ndarray, kind: np.ndarray, opens: np.ndarray) -> list[np.ndarray]:
+    """For each rule the pos of each row's element, -1 without; rows in the order of page and pos."""
+    end = _ends(page, pos, tag, kind)
+    new_page = np.concatenate([[True], np.diff(page) != 0])
+    made: dict[str, np.ndarray] = {}
+    for bit, (name, inside, first, after, of) in enumerate(rules):
+        if of:
+            made[name] = _first_of(page, [made[x] for x in of], first == "page")
+            continue
+        begins = (opens >> bit) & 1 == 1
+        if inside:
+            begins &= (made[inside] >= 0) & (made[inside] < pos)
+        if after:
+            behind = np.full(page[-1] + 1, -1)
+            opening = made[after] == pos
+            np.maximum.at(behind, page[opening], end[opening])
+            begins &= (behind[page] >= 0) & (pos >= behind[page])
+        at = np.flatnonzero(begins)
+        if first:
+            parts = new_page | np.concatenate([[True], np.diff(made[inside]) != 0]) if inside and first != "page" else new_page
+            part = np.cumsum(parts) - 1
+            element = np.full(part[-1] + 1, -1)
+            element[part[at][::-1]] = at[::-1]  # the first one is written last
+            element = element[part]
+        else:  # of the elements that have begun the outermost still open is the one that ends last
+            element = np.full(len(pos), -1)
+            if len(at):
+                rank = np.empty(len(at), dtype=np.int64)
+                by_end = np.lexsort((-pos[at], end[at]))
+                rank[by_end] = np.arange(len(at))
+                best = np.maximum.accumulate(page[at] * len(at) + rank)  # pages ascend, so a later page's are greater
+                so_far = np.cumsum(begins) - 1
+                known = (so_far >= 0) & (best[so_far] // len(at) == page)
+                element[known] = at[by_end[best[so_far[known]] % len(at)]]
+        within = (element >= 0) & (pos >= pos[element]) & (pos < end[element])
+        made[name] = np.where(within, pos[element], -1)
+    return [made[r[0]] for r in rules]
+
+
+def _first_of(page: np.ndarray, scopes: list[np.ndarray], of_page: bool) -> np.ndarray:
+    out, open_ = np.full(len(page), -1), np.ones(len(page), dtype=bool)
+    for scope in scopes:
+        present = scope >= 0
+        if of_page:
+            present = (np.bincount(page, present) > 0)[page]
+        out = np.where(present & open_, scope, out)
+        open_ &= ~present
+    return out
+
+
 def has_class(*classes: str) -> Column:
     """Whether a row opens an element of any tag with all the classes."""
     out = F.col("kind") >= 0

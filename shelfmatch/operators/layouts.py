@@ -8,15 +8,16 @@ the record's others stay.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.prices import parse_price, reward_points
 from shelfmatch.functions.text import py_strip
-from shelfmatch.operators.elements import attribute, has_class, is_element, later_wins, tag_rows, texts, whole_text, with_scope
+from shelfmatch.operators.elements import Scope, attribute, has_class, is_element, later_wins, tag_rows, texts, whole_text, with_scopes
 from shelfmatch.operators.extract import record_status
 
 KEY = "page_id"
@@ -80,11 +81,46 @@ def _by_id(name: str) -> Column:
     return is_element(tag, id=ident)
 
 
-def _scopes(rows: DataFrame, *scopes: tuple) -> DataFrame:
+def _scopes(*scopes: tuple) -> list[Scope]:
     """Scopes one after the other: (name, condition, scope around it or None, first one only)."""
-    for name, opens, inside, first in scopes:
-        rows = with_scope(rows, name, opens, KEY, inside, first)
-    return rows
+    return [Scope(*s) for s in scopes]
+
+
+def section(scopes: Callable[..., list[Scope]], *carry: str) -> Callable:
+    """A section of the rows that lie in its scopes: made of rows from ``tag_rows``, or of ``dealt`` ones; ``carry``: what it reads
+    of them beside ``text``; further arguments are those of its scopes."""
+    def of(build: Callable[[DataFrame], DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(build)
+        def read(rows: DataFrame, *options) -> DataFrame:
+            own = scopes(*options)
+            if options or _own(read, own[0].name) not in rows.columns:
+                rows = _deal(rows, [(read, own)])
+            return build(rows.select(KEY, "pos", "text", *carry, *[F.col(_own(read, s.name)).alias(s.name) for s in own]))
+
+        read.scopes, read.carry = scopes, carry
+        return read
+    return of
+
+
+def _own(read: Callable, name: str) -> str:
+    return f"{read.__name__}__{name}"
+
+
+def dealt(rows: DataFrame, *sections: Callable, more: tuple[Scope, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that any of the sections (or ``more`` scopes) reads, with all their scopes, dealt by the page's key: one shuffle for all.
+
+    Sections filter what they have aggregated: a filter on the rows would go below the shuffle, and no two would share it.
+    """
+    return _deal(rows, [(read, read.scopes()) for read in sections], more, keep)
+
+
+def _deal(rows: DataFrame, sections: list, more: tuple[Scope, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    every = list(more)
+    for read, scopes in sections:
+        own = functools.partial(_own, read)
+        every += [replace(s, name=own(s.name), inside=s.inside and own(s.inside), after=s.after and own(s.after), of=tuple(map(own, s.of))) for s in scopes]
+    carry = dict.fromkeys(("text", *(c for read, _ in sections for c in read.carry), *keep))
+    return with_scopes(rows, every, KEY, tuple(carry))
 
 
 def _has(scope: str) -> Column:
@@ -106,13 +142,14 @@ def _class(scope: str, name: str) -> Column:
     return F.coalesce(F.max(F.when(F.col(scope) == F.col("pos"), F.array_contains("classes", name))), F.lit(False))
 
 
+@section(lambda: _scopes(
+    ("g", _el("spec group"), None, False), ("h", is_element("h3"), "g", True), ("u", is_element("ul"), "g", False),
+    ("li", is_element("li"), "u", False), ("c", is_element("aside"), "li", False)))
 def specifications(rows: DataFrame) -> DataFrame:
     """``specifications``, {group: {key: value}}: list rows of exactly two cells, `:` taken from the key, groups without
     a heading left out; a later group of one name replaces the earlier, a later key the earlier one."""
-    rows = _scopes(rows, ("g", _el("spec group"), None, False), ("h", is_element("h3"), "g", True), ("u", is_element("ul"), "g", False),
-                   ("li", is_element("li"), "u", False), ("c", is_element("aside"), "li", False))
-    cells = rows.where(_has("c") | _has("h")).groupBy(KEY, "g", "li", "c").agg(
-        texts(F.lit(True)).alias("glued"), texts(F.lit(True), " ").alias("spaced"), _any("h").alias("titled"))
+    read = _has("c") | _has("h")
+    cells = rows.groupBy(KEY, "g", "li", "c").agg(texts(read).alias("glued"), texts(read, " ").alias("spaced"), _any("h").alias("titled"))
     lines = cells.groupBy(KEY, "g", "li").agg(
         F.array_sort(F.collect_list(F.when(_has("c"), F.struct("c", "glued", "spaced")))).alias("cells"),
         F.max(F.when(F.col("titled") & F.col("c").isNull(), F.col("glued"))).alias("title"))
@@ -122,14 +159,14 @@ def specifications(rows: DataFrame) -> DataFrame:
     return groups.groupBy(KEY).agg(later_wins(F.collect_list(F.struct(F.col("g").alias("pos"), "key", "value"))).alias("specifications"))
 
 
+@section(lambda: _scopes(
+    ("pl", _el("policy list"), None, True), ("li", is_element("li"), "pl", False), ("item", _el("policy text"), "li", False),
+    ("pop", _by_id("policy pop-up"), None, True), ("wb", _el("warranty box"), "pop", True),
+    ("wt", _el("warranty title"), "wb", True), ("ws", is_element("span"), "wb", True), ("cb", _el("change box"), "pop", True),
+    ("bl", _el("change block"), "cb", False), ("bt", is_element("h3"), "bl", True), ("bc", _el("change text"), "bl", True)))
 def policies(rows: DataFrame) -> DataFrame:
     """``policies``: commitments, warranty (title, details) and change_policy {title: text}, where a later block of one title
     wins and a block without text is left out; null where the warranty box lacks a part or a block its title."""
-    rows = _scopes(
-        rows, ("pl", _el("policy list"), None, True), ("li", is_element("li"), "pl", False), ("item", _el("policy text"), "li", False),
-        ("pop", _by_id("policy pop-up"), None, True), ("wb", _el("warranty box"), "pop", True),
-        ("wt", _el("warranty title"), "wb", True), ("ws", is_element("span"), "wb", True), ("cb", _el("change box"), "pop", True),
-        ("bl", _el("change block"), "cb", False), ("bt", is_element("h3"), "bl", True), ("bc", _el("change text"), "bl", True))
     parts = rows.groupBy(KEY, "item", "bl").agg(
         texts(_has("item")).alias("commitment"), texts(_has("bt")).alias("title"), texts(_has("bc"), "\n").alias("content"),
         texts(_has("wt")).alias("warranty_title"), texts(_has("ws")).alias("warranty_text"),
@@ -146,13 +183,13 @@ def policies(rows: DataFrame) -> DataFrame:
     return found.select(KEY, F.when(~broken, whole).alias("policies"))
 
 
+@section(lambda: _scopes(
+    ("g", is_element("div", *GENERAL_PROMOTION_BOX), None, True), ("gp", is_element("p"), "g", False), ("pay", is_element("div", *PAYMENT_BOX), None, True),
+    ("sw", _el("slides"), "pay", True), ("slide", _el("slide"), "sw", False), ("img", is_element("img"), "slide", True),
+    ("lst", is_element("div", *PROMOTION_LIST), "pay", True), ("op", _el("promotion text"), "lst", False)), "attrs")
 def promotions(rows: DataFrame) -> DataFrame:
     """general_promotions, payment_promotions (description, image_url; slides without an image left out) and
     other_promotions (less the details label, empty ones left out)."""
-    rows = _scopes(
-        rows, ("g", is_element("div", *GENERAL_PROMOTION_BOX), None, True), ("gp", is_element("p"), "g", False), ("pay", is_element("div", *PAYMENT_BOX), None, True),
-        ("sw", _el("slides"), "pay", True), ("slide", _el("slide"), "sw", False), ("img", is_element("img"), "slide", True),
-        ("lst", is_element("div", *PROMOTION_LIST), "pay", True), ("op", _el("promotion text"), "lst", False))
     parts = rows.groupBy(KEY, "gp", "slide", "op").agg(
         texts(F.lit(True)).alias("text"), _any("img").alias("has_img"), py_strip(F.coalesce(_value("img", "alt"), F.lit(""))).alias("description"),
         py_strip(F.coalesce(_value("img", "src"), F.lit(""))).alias("image_url"))
@@ -167,15 +204,15 @@ def promotions(rows: DataFrame) -> DataFrame:
         F.transform("other", lambda x: x["text"]).alias("other_promotions"))
 
 
+@section(lambda: _scopes(
+    ("pb", _el("product price"), None, True), ("sale", _el("sale price"), "pb", True), ("base", _el("base price"), "pb", True),
+    ("vb", _el("versions"), None, True), ("v", _el("version"), "vb", False), ("vn", is_element("strong"), "v", True),
+    ("cb", _el("variants"), None, True), ("c", _el("variant"), "cb", False),
+    ("cn", _el("variant name"), "c", True), ("cp", _el("variant price"), "c", True), ("ca", is_element("a"), "c", True)), "attrs", "classes")
 def priced_options(rows: DataFrame) -> DataFrame:
     """sale_price, base_price, versions {name: (url, is_active)} and colors {name: (price, url, is_active)}: name, URL, price and
     state of one element stay together where some are missing, a later element of one name wins; ``broken`` where a
     colour has no link (the section is then empty)."""
-    rows = _scopes(
-        rows, ("pb", _el("product price"), None, True), ("sale", _el("sale price"), "pb", True), ("base", _el("base price"), "pb", True),
-        ("vb", _el("versions"), None, True), ("v", _el("version"), "vb", False), ("vn", is_element("strong"), "v", True),
-        ("cb", _el("variants"), None, True), ("c", _el("variant"), "cb", False),
-        ("cn", _el("variant name"), "c", True), ("cp", _el("variant price"), "c", True), ("ca", is_element("a"), "c", True))
     parts = rows.groupBy(KEY, "v", "c").agg(
         texts(_has("sale")).alias("sale"), texts(_has("base")).alias("base"), texts(_has("vn")).alias("version"), texts(_has("cn")).alias("colour"),
         texts(_has("cp")).alias("price"), _value("v", "href").alias("version_url"), _value("ca", "href").alias("colour_url"),
@@ -191,63 +228,64 @@ def priced_options(rows: DataFrame) -> DataFrame:
     return found.select(KEY, *[F.when(~F.col("broken"), F.col(c)).alias(c) for c in whole], "broken")
 
 
-def spec_table(rows: DataFrame, alternatives: tuple = SPEC_SECTIONS) -> DataFrame:
+def _table_scopes(alternatives: tuple = SPEC_SECTIONS) -> list[Scope]:
+    scopes = []
+    for k, (box, cls) in enumerate(alternatives):
+        scopes += [Scope(f"box{k}", has_class(box))] if box else []
+        scopes.append(Scope(f"sec{k}", has_class(cls), f"box{k}" if box else None))
+    chosen = Scope("s", first="page", of=tuple(f"sec{k}" for k in range(len(alternatives))))
+    return [*scopes, chosen, Scope("t", _el("table title"), "s", True), Scope("r", _el("table row"), "s"), Scope("c", is_element("td"), "r")]
+
+
+@section(_table_scopes)
+def spec_table(rows: DataFrame) -> DataFrame:
     """``spec_table``, {section: {key: value}} from table rows of two cells or more, of the first of the ``alternatives``
     (class of the box or None, class of the section) that the page has any section of; ``error`` where a section has no title."""
-    section = F.lit(None).cast("int")
-    for k, (box, cls) in reversed(list(enumerate(alternatives))):
-        if box:
-            rows = with_scope(rows, f"box{k}", has_class(box), KEY)
-        rows = with_scope(rows, f"sec{k}", has_class(cls), KEY, f"box{k}" if box else None)
-    chosen = F.min(F.coalesce(*[F.when(_has(f"sec{k}"), F.lit(k)) for k in range(len(alternatives))])).over(Window.partitionBy(KEY))
-    rows = rows.withColumn("chosen", chosen)
-    for k in range(len(alternatives)):
-        section = F.when(F.col("chosen") == k, F.col(f"sec{k}")).otherwise(section)
-    rows = rows.withColumn("s", section)
-    rows = _scopes(rows, ("t", _el("table title"), "s", True), ("r", _el("table row"), "s", False), ("c", is_element("td"), "r", False))
-    cells = rows.where(_has("s")).groupBy(KEY, "s", "r", "c").agg(
+    cells = rows.groupBy(KEY, "s", "r", "c").agg(
         whole_text(F.lit(True)).alias("text"), whole_text(_has("t")).alias("title"), _any("t").alias("titled"))
     lines = cells.groupBy(KEY, "s", "r").agg(
         F.array_sort(F.collect_list(F.when(_has("c"), F.struct("c", "text")))).alias("cells"), F.max(F.when(F.col("titled"), F.col("title"))).alias("title"))
     pair = F.struct(F.col("r").alias("pos"), F.col("cells")[0]["text"].alias("key"), F.get(F.col("cells"), F.lit(1))["text"].alias("value"))
     sections = lines.groupBy(KEY, "s").agg(F.max("title").alias("key"), later_wins(F.collect_list(F.when(F.size("cells") >= 2, pair))).alias("value"))
     found = sections.groupBy(KEY).agg(
-        F.max(F.col("key").isNull()).alias("untitled"), later_wins(F.collect_list(F.when(F.col("key").isNotNull(), F.struct(F.col("s").alias("pos"), "key", "value")))).alias("m"))
+        _any("s").alias("has_s"), F.max(_has("s") & F.col("key").isNull()).alias("untitled"), later_wins(F.collect_list(F.when(F.col("key").isNotNull(), F.struct(F.col("s").alias("pos"), "key", "value")))).alias("m")).where("has_s")
     return found.select(KEY, F.when(~F.col("untitled"), F.col("m")).alias("spec_table"), F.when(F.col("untitled"), "a section has no title").alias("error"))
 
 
+def _after_label(name: str, label: str) -> tuple:
+    """The first block of the options box behind the label."""
+    at = f"{name}_label"
+    return (at, is_element("span") & (F.col("text") == label), "o", True), (name, is_element("div"), "o", True, at)
+
+
+@section(lambda: _scopes(
+    ("o", is_element("div", *OPTIONS_BOX), None, True), *_after_label("st", STORAGE_LABEL), *_after_label("co", COLOUR_LABEL),
+    ("box", None, None, False, None, ("st", "co")), ("b", is_element("button"), "box", False), ("t", is_element("span", *OPTION_TEXT), "b", True), ("i", is_element("img"), "b", True)), "attrs", "classes")
 def stateful_options(rows: DataFrame) -> DataFrame:
     """storage_options (value, is_selected) and color_options (name, image_url, is_selected), the buttons of the box after
     each label; a colour needs both text and image."""
-    rows = _scopes(rows, ("o", is_element("div", *OPTIONS_BOX), None, True))
-    for name, label in (("st", STORAGE_LABEL), ("co", COLOUR_LABEL)):
-        rows = with_scope(rows, f"{name}_label", is_element("span") & (F.col("text") == label), KEY, "o", True)
-        ended = F.max(F.when(F.col("pos") == F.col(f"{name}_label"), F.col("end"))).over(Window.partitionBy(KEY))
-        rows = rows.withColumn(f"{name}_after", ended)
-        rows = with_scope(rows, name, is_element("div") & (F.col("pos") >= F.col(f"{name}_after")), KEY, "o", True)
-    rows = rows.withColumn("box", F.coalesce("st", "co"))
-    rows = _scopes(rows, ("b", is_element("button"), "box", False), ("t", is_element("span", *OPTION_TEXT), "b", True), ("i", is_element("img"), "b", True))
-    buttons = rows.where(_has("o")).groupBy(KEY, "st", "co", "b").agg(
-        texts(_has("t")).alias("text"), _any("t").alias("has_text"), _any("i").alias("has_image"), _value("i", "src").alias("image"), _class("b", SELECTED).alias("selected"))
+    buttons = rows.groupBy(KEY, "st", "co", "b").agg(
+        _any("o").alias("has_o"),         texts(_has("t")).alias("text"), _any("t").alias("has_text"), _any("i").alias("has_image"), _value("i", "src").alias("image"), _class("b", SELECTED).alias("selected"))
     storage = F.when(_has("st") & _has("b") & F.col("has_text"), F.struct("b", F.struct(F.col("text").alias("value"), F.col("selected").alias("is_selected")).alias("v")))
     colour = F.when(_has("co") & _has("b") & F.col("has_text") & F.col("has_image"), F.struct(
         "b", F.struct(F.col("text").alias("name"), F.col("image").alias("image_url"), F.col("selected").alias("is_selected")).alias("v")))
-    found = buttons.groupBy(KEY).agg(F.array_sort(F.collect_list(storage)).alias("s"), F.array_sort(F.collect_list(colour)).alias("c"))
+    found = buttons.groupBy(KEY).agg(F.max("has_o").alias("has_o"), F.array_sort(F.collect_list(storage)).alias("s"), F.array_sort(F.collect_list(colour)).alias("c")).where("has_o")
     return found.select(KEY, F.transform("s", lambda x: x["v"]).alias("storage_options"), F.transform("c", lambda x: x["v"]).alias("color_options"))
 
 
+_PRIMARY = (("current", "p", "box-price-present"), ("original", "p", "box-price-old"), ("percent", "p", "box-price-percent"), ("instalment", "span", "label--black"))
+_FALLBACK = (("bs_current", "strong"), ("bs_original", "em"), ("bs_percent", "i"))
+
+
+@section(lambda: _scopes(
+    ("one", _el("price box"), None, True), *[(n, is_element(t, c), "one", True) for n, t, c in _PRIMARY], ("bs_title", _el("fallback title"), None, False),
+    ("bs", _el("fallback price"), "bs_title", True), *[(n, is_element(t), "bs", True) for n, t in _FALLBACK],
+    ("loc", _by_id("location"), None, True), ("loc_a", is_element("a"), "loc", True), ("promo", _el("promotion block"), None, True),
+    ("pt", _el("promotion title"), "promo", True), ("right", _el("promotion side"), "promo", False), ("rp", is_element("p"), "right", False),
+    ("loyal", _el("loyalty points"), None, True)))
 def price_and_promotions(rows: DataFrame) -> DataFrame:
     """X4, one page: prices of the primary box, else of the fallback box, else empty; location, promotions, loyalty points."""
-    box = (("one", _el("price box"), None, True),)
-    primary = (("current", "p", "box-price-present"), ("original", "p", "box-price-old"), ("percent", "p", "box-price-percent"), ("instalment", "span", "label--black"))
-    fallback = (("bs_current", "strong"), ("bs_original", "em"), ("bs_percent", "i"))
-    rows = _scopes(
-        rows, *box, *[(n, is_element(t, c), "one", True) for n, t, c in primary], ("bs_title", _el("fallback title"), None, False),
-        ("bs", _el("fallback price"), "bs_title", True), *[(n, is_element(t), "bs", True) for n, t in fallback],
-        ("loc", _by_id("location"), None, True), ("loc_a", is_element("a"), "loc", True), ("promo", _el("promotion block"), None, True),
-        ("pt", _el("promotion title"), "promo", True), ("right", _el("promotion side"), "promo", False), ("rp", is_element("p"), "right", False),
-        ("loyal", _el("loyalty points"), None, True))
-    names = [*[n for n, *_ in primary], *[n for n, _ in fallback], "loc_a", "pt", "loyal"]
+    names = [*[n for n, *_ in _PRIMARY], *[n for n, _ in _FALLBACK], "loc_a", "pt", "loyal"]
     parts = rows.groupBy(KEY, "rp").agg(*[whole_text(_has(n)).alias(n) for n in names], whole_text(F.lit(True)).alias("text"), _any("one").alias("has_one"))
     found = parts.groupBy(KEY).agg(*[F.max(n).alias(n) for n in names], F.max("has_one").alias("has_one"),
                                    F.array_sort(F.collect_list(F.when(_has("rp"), F.struct("rp", "text")))).alias("list"))
@@ -258,18 +296,20 @@ def price_and_promotions(rows: DataFrame) -> DataFrame:
         F.transform("list", lambda x: x["text"]).alias("promo_list"), F.col("loyal").alias("loyalty_points"))
 
 
+@section(lambda: _scopes(
+    ("in", _el("colour slider"), None, False), ("box", _el("colour group"), "in", False),
+    ("a", _el("colour link"), "box", False)), "attrs")
 def colour_links(rows: DataFrame) -> DataFrame:
     """The colours that a product page links to, a row each: their order, name and href."""
-    rows = _scopes(rows, ("in", _el("colour slider"), None, False), ("box", _el("colour group"), "in", False),
-                   ("a", _el("colour link"), "box", False))
-    return rows.where(_has("a")).groupBy(KEY, "a").agg(whole_text(F.lit(True)).alias("color"), _value("a", "href").alias("href"))
+    links = rows.groupBy(KEY, "a").agg(whole_text(F.lit(True)).alias("color"), _value("a", "href").alias("href"), _any("a").alias("is_link"))
+    return links.where("is_link").drop("is_link")
 
 
 def prices_per_colour(pages: DataFrame, url: str = "url") -> DataFrame:
     """page_id of the product, color, and the prices and promotions of the colour's own page, a row per colour whose page is known.
 
     The pages are cut into rows once; links and prices are both read from them, and joined on the address."""
-    rows = tag_rows(pages, KEY, keep=(url,))
+    rows = dealt(tag_rows(pages, KEY), price_and_promotions, colour_links)
     prices = price_and_promotions(rows).join(pages.select(KEY, url), KEY).drop(KEY)
     return colour_links(rows).join(prices, F.col("href") == F.col(url)).drop("href", url)
 
@@ -295,32 +335,33 @@ def _list(scope: str, *fields: str) -> Column:
     return F.transform(found, lambda x: x[fields[0]] if len(fields) == 1 else F.struct(*[x[f].alias(f) for f in fields]))
 
 
+@section(lambda: _scopes(
+    ("d", _el("detail"), None, True), ("n", _el("name box"), "d", True), ("h", is_element("h1"), "n", True),
+    ("q", _el("quantity sold"), "n", True), ("r", _el("rating A"), "n", True), ("b", _el("breadcrumb A"), "d", True), ("a", is_element("a"), "b", False)))
 def basics_a(rows: DataFrame) -> DataFrame:
     """product_name, quantity_sale, detail_rate, product_type (null without breadcrumb)."""
-    rows = _scopes(
-        rows, ("d", _el("detail"), None, True), ("n", _el("name box"), "d", True), ("h", is_element("h1"), "n", True),
-        ("q", _el("quantity sold"), "n", True), ("r", _el("rating A"), "n", True), ("b", _el("breadcrumb A"), "d", True), ("a", is_element("a"), "b", False))
-    parts = rows.where(_has("d")).groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "q", "r", "a")], _any("b").alias("has_b"))
+    parts = rows.groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "q", "r", "a")], _any("b").alias("has_b"), _any("d").alias("has_d")).where("has_d")
     return parts.groupBy(KEY).agg(F.max("t_h").alias("product_name"), F.max("t_q").alias("quantity_sale"), F.max("t_r").alias("detail_rate"),
                                   F.max("has_b").alias("has_b"), _list("a", "t_a").alias("types")).select(
         KEY, "product_name", "quantity_sale", "detail_rate", F.when(F.col("has_b"), F.col("types")).alias("product_type"))
 
 
+@section(lambda: _scopes(
+    ("g", _el("option boxes"), None, True), ("cap", _el("option box") & ~F.array_contains("classes", "color"), "g", False),
+    ("act", _el("chosen option"), "cap", "page"), ("col", _el("colour box"), "g", False), ("a", is_element("a"), "col", False)))
 def options_a(rows: DataFrame) -> DataFrame:
     """selected_capacity (empty where none is), all_colors; null without the box."""
-    rows = _scopes(rows, ("g", _el("option boxes"), None, True), ("cap", _el("option box") & ~F.array_contains("classes", "color"), "g", False),
-                   ("act", _el("chosen option"), "cap", "page"), ("col", _el("colour box"), "g", False), ("a", is_element("a"), "col", False))
-    parts = rows.where(_has("g")).groupBy(KEY, "a").agg(_text("act").alias("act"), _text("a").alias("t"))
+    parts = rows.groupBy(KEY, "a").agg(_text("act").alias("act"), _text("a").alias("t"), _any("g").alias("has_g")).where("has_g")
     return parts.groupBy(KEY).agg(F.coalesce(F.max("act"), F.lit("")).alias("selected_capacity"), _list("a", "t").alias("all_colors"))
 
 
+@section(lambda: _scopes(
+    ("n", _el("product name"), None, False), ("h", is_element("h1"), "n", "page"), ("rb", _el("rating B"), None, True),
+    ("rs", is_element("span") & ~F.array_contains("classes", "total-rating"), "rb", True), ("rt", _el("number of ratings"), "rb", True),
+    ("i", _el("bottom item"), None, False), ("l", _el("label"), "i", True),
+    ("cb", _el("compare box"), None, False), ("c", _el("compare button"), "cb", "page")))
 def basics_b(rows: DataFrame) -> DataFrame:
     """product_name, rating_score, total_ratings (without brackets), actions (labels, then the compare button's)."""
-    rows = _scopes(
-        rows, ("n", _el("product name"), None, False), ("h", is_element("h1"), "n", "page"), ("rb", _el("rating B"), None, True),
-        ("rs", is_element("span") & ~F.array_contains("classes", "total-rating"), "rb", True), ("rt", _el("number of ratings"), "rb", True),
-        ("i", _el("bottom item"), None, False), ("l", _el("label"), "i", True),
-        ("cb", _el("compare box"), None, False), ("c", _el("compare button"), "cb", "page"))
     parts = rows.groupBy(KEY, "l").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "rs", "rt", "l", "c")])
     found = parts.groupBy(KEY).agg(*[F.max(f"t_{s}").alias(f"t_{s}") for s in ("h", "rs", "rt", "c")], _list("l", "t_l").alias("labels"))
     return found.select(KEY, F.col("t_h").alias("product_name"), F.col("t_rs").alias("rating_score"), F.btrim("t_rt", F.lit("()")).alias("total_ratings"),
@@ -328,59 +369,61 @@ def basics_b(rows: DataFrame) -> DataFrame:
 
 
 def _linked(rows: DataFrame, title: str, default: str, item: str, out: str) -> DataFrame:
-    """A title or its default, and the items' texts with their first link (null without)."""
-    rows = with_scope(rows, "link", is_element("a"), KEY, item, True)
+    """A title or its default, and the items' texts with their first link (scope ``link``; null without)."""
     parts = rows.groupBy(KEY, item).agg(_text(title).alias("title"), texts(_has(item), " ").alias("detail"), _value("link", "href").alias("link"))
     return parts.groupBy(KEY).agg(F.struct(F.coalesce(F.max("title"), F.lit(default)).alias("title"), _list(item, "detail", "link").alias("items")).alias(out))
 
 
+@section(lambda: _scopes(
+    ("hd", has_class(CLASSES["promotion head"]), None, False), ("t", is_element("span"), "hd", "page"),
+    ("p", has_class(CLASSES["promotion item"]), None, False), ("i", has_class(CLASSES["promotion detail"]), "p", True), ("link", is_element("a"), "i", True)), "attrs")
 def promotions_b(rows: DataFrame) -> DataFrame:
     """``promotions``: title and items (detail, link)."""
-    rows = _scopes(rows, ("hd", has_class(CLASSES["promotion head"]), None, False), ("t", is_element("span"), "hd", "page"),
-                   ("p", has_class(CLASSES["promotion item"]), None, False), ("i", has_class(CLASSES["promotion detail"]), "p", True))
     return _linked(rows, "t", PROMOTION_TITLE, "i", "promotions")
 
 
+@section(lambda: _scopes(
+    ("hd", has_class(CLASSES["payment head"]), None, False), ("t", is_element("span"), "hd", "page"),
+    ("r", has_class(CLASSES["payment list"]), None, False), ("u", is_element("ul"), "r", False), ("i", is_element("li"), "u", False), ("link", is_element("a"), "i", True)), "attrs")
 def payment_promotions_b(rows: DataFrame) -> DataFrame:
     """X11: ``payment_promotions``: title and items (detail, link)."""
-    rows = _scopes(rows, ("hd", has_class(CLASSES["payment head"]), None, False), ("t", is_element("span"), "hd", "page"),
-                   ("r", has_class(CLASSES["payment list"]), None, False), ("u", is_element("ul"), "r", False), ("i", is_element("li"), "u", False))
     return _linked(rows, "t", PAYMENT_TITLE, "i", "payment_promotions")
 
 
+@section(lambda: _scopes(
+    ("w", has_class(CLASSES["commitments"]), None, False), ("bt", has_class(CLASSES["commitments head"]), "w", False), ("t", is_element("p"), "bt", "page"),
+    ("p", has_class(CLASSES["commitment item"]), None, False), ("i", _el("commitment text"), "p", False), ("link", is_element("a"), "i", True)), "attrs")
 def commitments_b(rows: DataFrame) -> DataFrame:
     """``commitments``: title and items (detail, link), every description of an item."""
-    rows = _scopes(rows, ("w", has_class(CLASSES["commitments"]), None, False), ("bt", has_class(CLASSES["commitments head"]), "w", False), ("t", is_element("p"), "bt", "page"),
-                   ("p", has_class(CLASSES["commitment item"]), None, False), ("i", _el("commitment text"), "p", False))
     return _linked(rows, "t", COMMITMENT_TITLE, "i", "commitments")
 
 
+@section(lambda: _scopes(
+    ("nav", _el("breadcrumb C"), None, True), ("li", is_element("li"), "nav", False), ("a", is_element("a"), "li", True),
+    ("h", _el("name C"), None, True), ("rb", _el("rating box C"), None, False),
+    ("rs", _el("rating C"), "rb", "page"),
+    ("rc", _el("number of ratings C"), None, True)))
 def basics_c(rows: DataFrame) -> DataFrame:
     """product_type (breadcrumb texts that are not empty), product_name, rating_score, rating_count."""
-    rows = _scopes(
-        rows, ("nav", _el("breadcrumb C"), None, True), ("li", is_element("li"), "nav", False), ("a", is_element("a"), "li", True),
-        ("h", _el("name C"), None, True), ("rb", _el("rating box C"), None, False),
-        ("rs", _el("rating C"), "rb", "page"),
-        ("rc", _el("number of ratings C"), None, True))
     parts = rows.groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "rs", "rc", "a")])
     found = parts.groupBy(KEY).agg(*[F.max(f"t_{s}").alias(f"t_{s}") for s in ("h", "rs", "rc")], _list("a", "t_a").alias("types"))
     return found.select(KEY, F.filter("types", lambda t: t != "").alias("product_type"), F.col("t_h").alias("product_name"), F.col("t_rs").alias("rating_score"), F.col("t_rc").alias("rating_count"))
 
 
+@section(lambda: _scopes(
+    ("b", (F.col("kind") >= 0) & (F.coalesce(F.col("id"), F.lit("")) == TRADE_PRICE_ID), None, True), ("c", _el("current price C"), "b", True), ("o", _el("original price C"), "b", True),
+    ("d", _el("discount C"), "b", True), ("r", _el("points C"), "b", True)))
 def price_c(rows: DataFrame) -> DataFrame:
     """current_price and original_price as numbers (null where they are none), discount_percent, reward_points."""
-    box = (F.col("kind") >= 0) & (F.coalesce(F.col("id"), F.lit("")) == TRADE_PRICE_ID)
-    rows = _scopes(rows, ("b", box, None, True), ("c", _el("current price C"), "b", True), ("o", _el("original price C"), "b", True),
-                   ("d", _el("discount C"), "b", True), ("r", _el("points C"), "b", True))
     found = rows.groupBy(KEY).agg(*[_text(s).alias(f"t_{s}") for s in "codr"])
     return found.select(KEY, parse_price("t_c").alias("current_price"), parse_price("t_o").alias("original_price"), F.col("t_d").alias("discount_percent"), reward_points("t_r").alias("reward_points"))
 
 
+@section(lambda: _scopes(
+    ("b", _el("warranty list"), None, True), ("i", _el("warranty package"), "b", False),
+    ("t", _el("package title"), "i", True), ("c", _el("package price"), "i", True), ("o", _el("package original price"), "i", True)))
 def extended_warranty_c(rows: DataFrame) -> DataFrame:
     """``extended_warranty``: title, current_price, original_price of each package, each null where it is missing."""
-    rows = _scopes(
-        rows, ("b", _el("warranty list"), None, True), ("i", _el("warranty package"), "b", False),
-        ("t", _el("package title"), "i", True), ("c", _el("package price"), "i", True), ("o", _el("package original price"), "i", True))
     parts = rows.groupBy(KEY, "i").agg(_text("t").alias("title"), parse_price(_text("c")).alias("current_price"), parse_price(_text("o")).alias("original_price"))
     return parts.groupBy(KEY).agg(_list("i", "title", "current_price", "original_price").alias("extended_warranty"))
 
@@ -428,9 +471,8 @@ def _record(pages: DataFrame, layout: Layout) -> DataFrame:
     if layout.json_breadcrumb:
         pages = pages.withColumn("breadcrumb", breadcrumb(F.col("html")))
         keep += ("breadcrumb",)
-    rows = tag_rows(pages, KEY, keep=keep)
-    boxed = with_scope(rows, "box", layout.container(), KEY, first=True)
-    record = boxed.groupBy(KEY, *keep).agg(_any("box").alias("has_box")).where("has_box").drop("has_box")
+    rows = dealt(tag_rows(pages, KEY, keep=keep), *layout.sections, more=(Scope("box", layout.container(), first=True),), keep=keep)
+    record = rows.groupBy(KEY, *keep).agg(_any("box").alias("has_box")).where("has_box").drop("has_box")
     fields, error = [F.col("breadcrumb").alias("product_type")] if layout.json_breadcrumb else [], F.lit(None).cast("string")
     for section in layout.sections:
         part = section(rows)

@@ -33,8 +33,13 @@ def _every(n: int, *parts: str | Column, at: int = 0, other: str = "") -> Column
     return F.when(F.col("p_partkey") % n == at, _html(*parts)).otherwise(_html(other))
 
 
+def _parts(spark: SparkSession, sf: str) -> DataFrame:
+    """``part``, dealt to all cores: a row of its few and small files becomes a page of a hundred tags."""
+    return table(spark, sf, "part").repartition(max(4 * spark.sparkContext.defaultParallelism, 32), "p_partkey")
+
+
 def _pages(spark: SparkSession, sf: str, shop: str, *body: str | Column) -> DataFrame:
-    part = table(spark, sf, "part")
+    part = _parts(spark, sf)
     html = _html("<!DOCTYPE html><html><head><title>t</title><style>p > a {color}".replace("{color}", "color"), "</style></head><body>", *body, "</body></html>")
     return part.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit(f"https://shop-{shop}.example/p/"), F.col("p_partkey").cast("string")).alias("url"), html.alias("html"))
 
@@ -80,7 +85,7 @@ FROM part WHERE p_partkey % 5 <> 0 OR p_partkey % 13 <> 0
 """)
 def layout_basics_a(spark: SparkSession, sf: str) -> DataFrame:
     """No container, no breadcrumb, no name, no capacity chosen or several, no box of options."""
-    rows = tag_rows(_pages(spark, sf, "a", *_layout_a()))
+    rows = L.dealt(tag_rows(_pages(spark, sf, "a", *_layout_a())), L.basics_a, L.options_a)
     both = L.basics_a(rows).join(L.options_a(rows), "page_id", "full")
     return both.withColumns({c: F.array_join(c, "|") for c in ("product_type", "all_colors")})
 
@@ -170,7 +175,7 @@ FROM part
 """)
 def layout_basics_c(spark: SparkSession, sf: str) -> DataFrame:
     """Empty breadcrumb links, prices that are no numbers, no price box, packages without title or prices."""
-    rows = tag_rows(_pages(spark, sf, "c", *_layout_c()))
+    rows = L.dealt(tag_rows(_pages(spark, sf, "c", *_layout_c())), L.basics_c, L.price_c, L.extended_warranty_c)
     out = L.basics_c(rows).join(L.price_c(rows), "page_id").join(L.extended_warranty_c(rows), "page_id")
     line = F.transform("extended_warranty", lambda w: F.concat_ws(" ", *[F.coalesce(w[f].cast("string"), F.lit("-")) for f in ("title", "current_price", "original_price")]))
     return out.withColumns({"product_type": F.array_join("product_type", "|"), "warranties": F.array_join(line, "|")}).drop("extended_warranty")
@@ -263,7 +268,7 @@ FROM part
 """)
 def layout_promotion_boxes(spark: SparkSession, sf: str) -> DataFrame:
     """Titles and their defaults, several links in an item or none, a link without address, empty items, items outside."""
-    rows = tag_rows(_pages(spark, sf, "b", *_layout_b()))
+    rows = L.dealt(tag_rows(_pages(spark, sf, "b", *_layout_b())), L.promotions_b, L.payment_promotions_b, L.commitments_b)
     out = L.promotions_b(rows).join(L.payment_promotions_b(rows), "page_id").join(L.commitments_b(rows), "page_id")
     joined = lambda c: F.array_join(F.transform(c, lambda i: F.concat(i["detail"], F.lit(" "), F.coalesce(i["link"], F.lit("-")))), "|")
     return out.select("page_id", F.col("promotions.title").alias("promotion_title"), joined(F.col("promotions.items")).alias("promotions"),
@@ -323,7 +328,7 @@ FROM c WHERE i < 2 OR p_partkey % 4 <> 0
 """)
 def layout_color_prices(spark: SparkSession, sf: str) -> DataFrame:
     """A product page links its colours' pages, which have the primary price box, the fallback box or none; a link may lead nowhere."""
-    part = table(spark, sf, "part")
+    part = _parts(spark, sf)
     link = "<a class='box03__item' href='https://shop-a.example/c/{p_partkey}0'> {p_type} 0</a>"
     links = ["<div class='scrolling_inner'><div class='box03 color group desk'>", *[link.replace("0'>", f"{i}'>").replace(" 0<", f" <i>{i}</i><") for i in range(3)],
              "</div><div class='box03 desk'><a class='box03__item' href='/other'>No</a></div></div>"]

@@ -93,3 +93,45 @@ def test_a_section_and_a_record_shuffle_the_rows_once(spark):
         assert exchanges(L.assemble_products(pages, L.LAYOUTS[:1])) == (1, 4)  # the container and four sections read the same shuffle
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_scopes_found_at_once_equal_those_of_windows(spark):
+    import random
+
+    from shelfmatch.operators.elements import Scope, with_scopes
+
+    rng = random.Random(5)
+    piece = lambda: rng.choice(["<div class=a>", "<div class='a b'>", "<p>", "<span>", "</div>", "</p>", "</span>", "<img class=a>", "<br/>", "x", " "])
+    htmls = ["".join(piece() for _ in range(rng.randint(0, 40))) for _ in range(120)] + [None, "", "no tag"]
+    rows = rows_of(spark, *htmls)
+    a, p, s = (is_element(*x) for x in (("div", "a"), ("p",), ("span",)))
+    scopes = [Scope("x", a), Scope("y", p, "x", True), Scope("z", s, None, True), Scope("w", s, "x", "page"), Scope("v", p, "x")]
+    slow = rows
+    for scope in scopes:
+        slow = with_scope(slow, scope.name, scope.opens, "page_id", scope.inside, scope.first)
+    names = [x.name for x in scopes]
+    fast = {(r.page_id, r.pos): tuple(r[n] for n in names) for r in with_scopes(rows, scopes).collect()}
+    want = {(r.page_id, r.pos): (tuple(r[n] for n in names), r.text) for r in slow.select("page_id", "pos", "text", *names).collect()}
+    assert fast and all(want[k][0] == v for k, v in fast.items())
+    gone = want.keys() - fast.keys()
+    assert all(pos and (not text or not any(x is not None for x in found)) for (_, pos), (found, text) in want.items() if (_, pos) in gone)
+
+
+def test_whole_pages_whatever_the_batches_are():
+    import pyarrow as pa
+
+    from shelfmatch.operators.elements import _whole_pages
+
+    keys, pos = [1, 1, 1, 2, 2, 2, 2, None, None, 3, 3], [0, 1, 2, 0, 1, 0, 1, 0, 1, 4, 5]  # two pages of key 2
+    rows = pa.record_batch({"k": pa.array(keys), "pos": pa.array(pos)})
+    starts = {0, 3, 5, 7, 9, 11}
+    for size in range(1, 12):
+        batches = [rows.slice(i, size) for i in range(0, 11, size)]
+        got = [t.num_rows for t in _whole_pages(iter(batches))]
+        assert sum(got) == 11 and {sum(got[:i]) for i in range(len(got) + 1)} <= starts
+
+
+def test_derived_pages_are_dealt_before_they_are_cut(spark):
+    from shelfmatch.plans.shop_pages import _pages
+
+    assert _pages(spark, "/root/testdata/sf0.001", "a", "<p>{p_name}</p>").rdd.getNumPartitions() >= 32  # the file of parts is one task
