@@ -123,10 +123,18 @@ def payload(html: Column) -> Column:
     raw = F.regexp_replace(F.regexp_extract(html, PAYLOAD, 1), r"[\r\n]|\\[nr]", "")
     raw = F.regexp_replace(raw, r'(?<!\\)"', r'\\"')  # a quote that is not escaped, and a backslash that escapes nothing
     raw = F.regexp_replace(raw, r'\\(?![\\/"bfnrtu])', r"\\\\")
-    text = F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), raw, F.lit('"'))), "$", "string")
-    root, rest = F.regexp_extract(text, r"(?s)^([^\]]*\])", 1), F.regexp_extract(text, r"(?s)^[^\]]*\],*(.*)$", 1)
-    whole = F.concat(F.lit(f'{{"{ROOT}":'), root, F.when(rest == "", "").otherwise(","), rest, F.lit("}"))
-    return F.when((raw != "") & F.try_parse_json(whole).isNotNull(), whole)
+
+    def whole(text: Column) -> Column:
+        root, rest = F.regexp_extract(text, r"(?s)^([^\]]*\])", 1), F.regexp_extract(text, r"(?s)^[^\]]*\],*(.*)$", 1)
+        return _once(rest, lambda r: F.concat(F.lit(f'{{"{ROOT}":'), root, F.when(r == "", "").otherwise(","), r, F.lit("}")))
+
+    text = _once(raw, lambda r: F.when(r != "", F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), r, F.lit('"'))), "$", "string")))
+    return _once(_once(text, whole), lambda w: F.when(F.try_parse_json(w).isNotNull(), w))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def embedded_specifications(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

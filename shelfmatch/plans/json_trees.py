@@ -10,13 +10,18 @@ from shelfmatch.plans.registry import query
 from shelfmatch.plans.tables import table
 
 
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """``events``, dealt to all cores: a row of its few files becomes a document, and a walk keeps to the tasks that it began with."""
+    return table(spark, sf, "events").repartition(max(4 * spark.sparkContext.defaultParallelism, 32), "event_id")
+
+
 @query("attribute_lists_events", """
 SELECT event_id, '[{"groupName":"' || event_type || '"},' || event_id || ']' AS items FROM events WHERE event_id % 7 <> 0
 """)
 def attribute_lists_events(spark: SparkSession, sf: str) -> DataFrame:
     """Trees of eight depths; before the list stand empty lists, strings that look like one and names that sort behind it, after
     it other lists on higher levels; a seventh has none."""
-    ev = table(spark, sf, "events")
+    ev = _events(spark, sf)
     number = F.col("event_id").cast("string")
     held = F.concat(F.lit('{"attributeItem":[{"groupName":"'), F.col("event_type"), F.lit('"},'), number, F.lit("]}"))
     inner = F.when(F.col("event_id") % 7 == 0, F.lit('{"attributeItem":"no list"}')).otherwise(held)
@@ -37,7 +42,7 @@ UNION ALL SELECT event_id, 'Other', NULL, NULL FROM p
 def embedded_specs_events(spark: SparkSession, sf: str) -> DataFrame:
     """J8, A7 and A6 as one job: references to lists, items, names and values, to themselves, around a circle and to nothing;
     pages without payload and with one that is no JSON."""
-    ev = table(spark, sf, "events")
+    ev = _events(spark, sf)
     nodes = F.concat(
         F.lit('["$","$L1",null,{"data":"$2"}],"2":{"loop":"$2","x":"$3"},"3":{"list":{"attributeItem":"$4"}},"4":["$5",{"groupName":"Other","attributes":[]},{"groupName":" "}],'
               '"5":{"groupName":"  '), F.col("event_type"), F.lit(' ","attributes":["$6",{"displayName":"user","value":'), F.col("user_id").cast("string"),
