@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,13 +113,24 @@ def _unit(df: DataFrame, id_col: str, vec: str) -> DataFrame:
 
 def _best(k: int, qids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray):
     """The k best rows of ``m`` for each query, by similarity, then by id (ids ascend)."""
-    sims = q @ m.T
+    yield _best_of(k, qids, ids, q @ m.T)
+
+
+def _best_of(k: int, qids: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> tuple:
     kk = min(k, len(ids))
     kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1, None]
     above, equal = sims > kth, sims == kth
     keep = above | (equal & (np.cumsum(equal, axis=1) <= kk - above.sum(axis=1, keepdims=True)))
     rows, cols = np.nonzero(keep)
-    yield qids[rows], ids[cols], sims[rows, cols]
+    return qids[rows], ids[cols], sims[rows, cols]
+
+
+def _best_within(k: int, max_distance: float, qids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray):
+    """The k nearest rows of ``m`` for each query that lie nearer than ``max_distance``, with 1 - distance^2 / 2."""
+    d2 = np.maximum((q * q).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2 * q @ m.T, 0)
+    score = np.where(np.sqrt(d2) < max_distance, 1.0 - d2 / 2.0, -np.inf)
+    a, b, best = _best_of(k, qids, ids, score)
+    yield a[best > -np.inf], b[best > -np.inf], best[best > -np.inf]
 
 
 def search_topk(store: DataFrame, queries: DataFrame, k: int = 5, qid: str = "qid", vec: str = "embedding",
@@ -285,14 +296,35 @@ def ivf_topk(store: DataFrame, queries: DataFrame, k: int = 5, nlist: int = 100,
 def lsh_topk(store: DataFrame, queries: DataFrame, k: int = 5, bucket_length: float = 0.5, tables: int = 4,
              qid: str = "qid", vec: str = "embedding", seed: int = 7, max_distance: float = 1.2) -> DataFrame:
     """Approximate top-k; candidates share a random-projection bucket in some table and lie within ``max_distance``."""
-    s = store.select("id", array_to_vector("embedding").alias("features"))
-    q = queries.select(F.col(qid).alias("qid"), array_to_vector(l2_normalize(vec)).alias("features"))
+    s = store.select("id", F.col("embedding").cast("array<double>").alias("embedding")).distinct()
+    q = queries.select(F.col(qid).cast("long").alias("id"), l2_normalize(vec).alias("embedding")).distinct()
+    as_features = lambda df: df.withColumn("features", array_to_vector("embedding"))
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                      numHashTables=tables, seed=seed).fit(s)
-    joined = lsh.approxSimilarityJoin(q, s, threshold=max_distance, distCol="dist")
-    cand = joined.select(F.col("datasetA.qid").alias("qid"), F.col("datasetB.id").alias("id"),
-                         (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("score"))
-    return _merge_topk(cand, k).select("qid", "id", "score", "rank")
+                                      numHashTables=tables, seed=seed).fit(as_features(s))
+
+    def hashed(df: DataFrame) -> DataFrame:
+        rows = lsh.transform(as_features(df)).select("id", "embedding", F.posexplode("hashes").alias("table", "h"))
+        return rows.select("id", "embedding", "table", vector_to_array("h")[0].cast("long").alias("bucket"))
+
+    def parts(df: DataFrame, name: str) -> DataFrame:
+        """How many blocks the rows of each bucket make."""
+        n = df.groupBy("table", "bucket").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"))
+        return n.select("table", "bucket", F.greatest(F.ceil(F.col("n") * F.col("d") * 8 / BLOCK_BYTES), F.lit(1)).cast("int").alias(name))
+
+    hs, hq = hashed(s), hashed(q)
+    buckets = written(parts(hq, "nq").join(parts(hs, "ns"), ["table", "bucket"]), "buckets")  # a row per bucket
+
+    def in_blocks(df: DataFrame, own: str, other: str, q_first: bool) -> DataFrame:
+        """Rows in a block of their bucket, sent to each block that the other side has there; a pair of blocks is a group."""
+        part = hash_block("id", 1 << 30)
+        met = df.join(F.broadcast(buckets), ["table", "bucket"]).withColumn("mine", F.pmod(part, F.col(own)))
+        met = met.withColumn("its", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        pair = ("mine", "its") if q_first else ("its", "mine")
+        return met.select("id", "embedding", F.xxhash64("table", "bucket", *pair).alias("block")).withColumn("partners", F.array("block"))
+
+    cand = block_pairs(in_blocks(hq, "nq", "ns", True), in_blocks(hs, "ns", "nq", False), functools.partial(_best_within, k, max_distance), "qid long, id long, score double")
+    # the k best of each bucket hold the k best of all; a pair may meet in several tables
+    return _merge_topk(cand.groupBy("qid", "id").agg(F.max("score").alias("score")), k).select("qid", "id", "score", "rank")
 
 
 def save_store(store: DataFrame, path: str, model_name: str, dimension: int) -> None:
