@@ -71,3 +71,9 @@ def test_payload_forms(spark):
     assert got[0] == '{"__root":["$1"],"1":{"a":"xy"}}' and got[1] == '{"__root":["$1"],"1":2}' and got[2] == '{"__root":[1]}'
     assert got[3:6] == [None] * 3
     assert embedded_specifications(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_documents_of_events_are_dealt_to_all_cores(spark):
+    from shelfmatch.plans.json_trees import _events
+
+    assert _events(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 32  # the file of events is one task

@@ -115,3 +115,25 @@ def test_dense_ids_follow_order_across_partitions(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
     rows = with_dense_ids(df, start=10, order=["k"]).collect()
     assert sorted((r["id"], r["k"]) for r in rows) == [(k + 10, k) for k in range(3000)]
+
+
+def test_lsh_topk_equals_a_join_on_buckets_without_shuffling_pairs(spark):
+    import numpy as np
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(300, 8))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, embedding array<double>")
+    queries = store.where("id % 20 = 0").withColumnRenamed("id", "qid")
+    found = lsh_topk(store, queries, k=4, bucket_length=0.7, tables=3, max_distance=0.9)
+    assert "datasetA" not in found._jdf.queryExecution().executedPlan().toString()
+    both = store.select("id", array_to_vector("embedding").alias("features"))
+    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=0.7, numHashTables=3, seed=7).fit(both)
+    pairs = lsh.approxSimilarityJoin(both.where("id % 20 = 0"), both, 0.9, "dist").selectExpr("datasetA.id AS q", "datasetB.id AS i", "dist").collect()
+    want = {q: [i for _, _, i in sorted((round(r.dist, 9), r.i, r.i) for r in pairs if r.q == q)[:4]] for q in {r.q for r in pairs}}
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: (r["qid"], r["rank"])):
+        got.setdefault(r["qid"], []).append(r["id"])
+    assert got == want and len(want) == 15
