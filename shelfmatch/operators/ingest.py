@@ -65,6 +65,34 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, store: str, batch_id
             "first_item": counts["first_item"]}
 
 
+def insert_flushes(spark: SparkSession, batch: DataFrame, store: str, batch_id: int, flush: str, key: str = "url",
+                   order: Sequence[str] = (), valid: Column | None = None, quarantine: str | None = None) -> DataFrame:
+    """Many logical batches in one folder of the store: what ``insert_if_absent`` makes of the batches that ``flush`` numbers, one
+    after the other.  A key's first row is that of its first flush; the store keeps the column.  A stats row per flush, lazily read
+    from ``batch`` and the folder just written (``elapsed`` is that of the whole)."""
+    t0 = time.time()
+    good = F.col(key).isNotNull() & F.coalesce(valid if valid is not None else F.lit(True), F.lit(False))
+    ordered = list(order) or [key]
+    if quarantine is not None:
+        bad = batch.where(~good)
+        if not bad.isEmpty():
+            _write_batch(bad, quarantine, batch_id)
+    first = keep_first(batch.where(good), [key], [flush, *ordered])
+    if _store_exists(spark, store):
+        stored = spark.read.schema(T.StructType([batch.schema[key], T.StructField("batch_id", T.LongType())])).parquet(store)
+        first = first.join(stored.where(F.col("batch_id") < batch_id).select(key), key, "left_anti")
+    _write_batch(first, store, batch_id)
+    written = spark.read.schema(T.StructType([batch.schema[flush], T.StructField("batch_id", T.LongType())])).parquet(store)
+    inserted = written.where(F.col("batch_id") == batch_id).groupBy(flush).agg(F.count(F.lit(1)).alias("inserted"))
+    counts = batch.groupBy(flush).agg(F.count(F.lit(1)).alias("processed"), F.sum(F.when(good, 0).otherwise(1)).cast("long").alias("errors"),
+                                      F.min(ordered[0]).alias("first_item"))
+    elapsed = time.time() - t0
+    both = counts.join(inserted, flush, "left").fillna(0, ["inserted"])
+    return both.select(F.lit(batch_id).cast("long").alias("batch_id"), flush, "processed", "inserted",
+                       (F.col("processed") - F.col("errors") - F.col("inserted")).alias("duplicates"), "errors", F.lit(float(elapsed)).alias("elapsed"),
+                       (F.col("processed") / F.lit(max(elapsed, 1.0))).alias("rate"), "first_item")
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """The batch's own folder, as many files as Spark makes of its size (one, for a small batch)."""
     df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -651,14 +651,16 @@ def load_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_event_stream(spark: SparkSession, sf: str, valid=None, profile: str | None = None) -> str:
-    """Run the streaming load of the daily batches, with a profile in micro-batches of its size; the folder that holds its
-    store, stats and quarantine."""
+    """Run the streaming load of the daily batches, with a profile in micro-batches of its size, a day's in one trigger; the folder
+    that holds its store, stats and quarantine."""
     base = scratch_path(spark, "event-stream")
     items = _events_by_day(spark, sf)
-    stage_batches(items, "batch_day", f"{base}/in", ["ts", "event_id"], PROFILES[profile] if profile else None)
-    stream = staged_stream(spark, f"{base}/in", items.schema, PROFILES[profile or "default"])
-    stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/checkpoint", key="user_id",
-                            order=["batch_day", "ts", "event_id"], valid=valid, quarantine=f"{base}/quarantine").awaitTermination()
+    flush = "flush" if profile else None
+    stage_batches(items, "batch_day", f"{base}/in", ["ts", "event_id"], PROFILES[profile] if profile else None, flush)
+    staged = items.withColumn(flush, F.lit(0).cast("long")) if flush else items
+    stream = staged_stream(spark, f"{base}/in", staged.schema, PROFILES[profile or "default"])
+    stream_insert_if_absent(stream, f"{base}/store", f"{base}/stats", f"{base}/checkpoint", key="user_id", order=["batch_day", "ts", "event_id"],
+                            valid=valid, quarantine=f"{base}/quarantine", flush=flush).awaitTermination()
     return base
 
 
@@ -667,7 +669,8 @@ WITH d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_day, count(*) AS n
 SELECT batch_day, CAST((n + 199) // 200 AS BIGINT) AS n_batches, CAST(n AS BIGINT) AS processed, true AS bounded FROM d
 """)
 def stream_profile_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """ST1: with the profile of 200 items each day comes in as many micro-batches as it needs, none with more."""
+    """ST1: with the profile of 200 items each day comes in as many micro-batches as it needs, none with more.  A trigger takes a day's
+    micro-batches together, so their number does not set the number of jobs."""
     base = _run_event_stream(spark, sf, profile="fast")
     per_day = spark.read.parquet(f"{base}/stats").groupBy(F.col("first_item").alias("batch_day"))
     return per_day.agg(F.count("*").alias("n_batches"), F.sum("processed").alias("processed"), (F.max("processed") <= PROFILES["fast"].size).alias("bounded"))

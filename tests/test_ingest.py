@@ -7,6 +7,7 @@ from shelfmatch.operators.urls import contains_brand, keyword_filter, new_urls,
 from shelfmatch.functions.prices import crawl_time, parse_price, pick_price_text, reward_points, sku_from_url
 from shelfmatch.session import scratch_path
 from shelfmatch.sources.sitemap import read_sitemap
+from shelfmatch.streaming.ingest import BatchProfile, _file_order, stage_batches, staged_stream, stream_insert_if_absent
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -111,3 +112,28 @@ def test_catalogue_columns_are_bound_by_name_in_file_order(spark, tmp_path):
     (tmp_path / "c.csv").write_text("_id,title\n1,x\n")
     with pytest.raises(ValueError, match="lacks columns"):
         read_catalogue(spark, str(tmp_path / "c.csv"))
+
+
+def test_many_micro_batches_of_a_trigger_load_as_one_by_one(spark):
+    rows = [(k, k % 7 if k % 5 else None, f"d{k // 23}") for k in range(60)]  # days of 23, 23 and 14 items, in fours
+    items = spark.createDataFrame(rows, "event_id long, user long, day string")
+    profile, base = BatchProfile(4, 1), scratch_path(spark, "test-flush")
+    for name, flush in (("one", None), ("many", "flush")):
+        stage_batches(items, "day", f"{base}/{name}/in", ["event_id"], profile, flush)
+        schema = (items.withColumn(flush, F.lit(0).cast("long")) if flush else items).schema
+        stream = staged_stream(spark, f"{base}/{name}/in", schema, profile)
+        load = stream_insert_if_absent(stream, *[f"{base}/{name}/{x}" for x in ("store", "stats", "ck")], key="user", order=["day", "event_id"],
+                                       valid=F.col("event_id") != 1, quarantine=f"{base}/{name}/bad", flush=flush)
+        load.awaitTermination()
+    read = lambda path, *columns: sorted(map(tuple, spark.read.parquet(f"{base}/{path}").select(*columns).collect()), key=str)
+    stats = ("first_item", "processed", "inserted", "duplicates", "errors")
+    assert read("many/stats", *stats) == read("one/stats", *stats) and len(read("one/stats", *stats)) == 16
+    assert read("many/store", *items.columns) == read("one/store", *items.columns)
+    assert read("many/bad", *items.columns) == read("one/bad", *items.columns)
+    triggers = spark.read.parquet(f"{base}/many/stats").select("batch_id").distinct().count()
+    assert triggers == 3
+
+
+def test_staged_files_beyond_a_thousand_keep_their_order():
+    names = [f"day=1/part-00000-u.c{k:03d}.snappy.parquet" for k in (999, 1000, 1001, 100)]
+    assert [_file_order(x)[1] for x in sorted(names, key=_file_order)] == [100, 999, 1000, 1001]
