@@ -63,19 +63,26 @@ def tag_rows(pages: DataFrame, key: str = "page_id", html: str = "html", tags: t
     ``tags`` are those the caller asks about: rows of others stay only where text follows them.
     """
     body = strip_blocks(F.col(html))
-    # one pass over the page; a tag's parts are taken from its own short text, in steps that are each computed once
+    # one pass over the page; a tag's parts are taken from its own short text, in steps that are each computed once, and by patterns
+    # only where the plain cut at the first ">" does not do: a tag without quotes before it ends there
     cut = pages.select(key, *keep, F.posexplode(F.regexp_extract_all(body, F.lit(_TAG), 0)).alias("pos", "whole"))
-    cut = cut.withColumn("inner", F.regexp_extract("whole", _INNER, 1))
-    cut = cut.withColumn("name", F.regexp_extract("inner", r"^/?([a-zA-Z][^\s/>]*+)", 1))
-    slash, text = F.substring("inner", 1, 1) == "/", F.substring("whole", F.length("inner") + 3, F.length("whole"))
-    attrs = F.substring("inner", F.length("name") + F.when(slash, 2).otherwise(1), F.length("inner"))
+    cut = cut.withColumn("head", F.substring_index("whole", ">", 1))
+    plain = ~F.col("head").contains('"') & ~F.col("head").contains("'")
+    cut = cut.withColumn("inner", F.when(plain, F.substring("head", 2, 1 << 30)).otherwise(F.regexp_extract("whole", _INNER, 1)))
+    cut = cut.withColumn("slash", F.substring("inner", 1, 1) == "/")
+    bare = F.when(F.col("slash"), F.substring("inner", 2, 1 << 30)).otherwise(F.col("inner"))
+    cut = cut.withColumn("bare", bare).withColumn("name", F.when(F.col("bare").rlike(r"[\s/>]"), F.regexp_extract("bare", r"^([a-zA-Z][^\s/>]*+)", 1)).otherwise(F.col("bare")))
+    slash, text = F.col("slash"), F.substring("whole", F.length("inner") + 3, F.length("whole"))
+    attrs = F.substring("bare", F.length("name") + 1, F.length("bare"))
     rows = cut.select(key, *keep, "pos", F.lower("name").alias("tag"), slash.alias("slash"), attrs.alias("attrs"), decode_entities(text).alias("text"))
     if tags:
         rows = rows.where(F.col("tag").isin(*tags) | ~F.col("text").rlike(r"^\s*$"))
     void = F.col("tag").isin(*VOID) | F.col("attrs").endswith("/")
     rows = rows.withColumn("kind", F.when(F.col("slash"), -1).when(void, 0).otherwise(1)).drop("slash")
-    rows = rows.withColumns({"classes": _quoted(F.col("attrs"), "class"), "id": _quoted(F.col("attrs"), "id")})
-    rows = rows.withColumns({"classes": F.split(F.coalesce(_unquoted(F.col("classes")), F.lit("")), r"\s+"), "id": _unquoted(F.col("id"))})
+    said = lambda name: F.when(F.col("attrs").contains("="), _quoted(F.col("attrs"), name)).otherwise("")
+    rows = rows.withColumns({"classes": said("class"), "id": said("id")})
+    classes = F.when(F.col("classes") == "", F.array(F.lit(""))).otherwise(F.split(F.coalesce(_unquoted(F.col("classes")), F.lit("")), r"\s+"))
+    rows = rows.withColumns({"classes": classes, "id": _unquoted(F.col("id"))})
     return _with_ends(rows, key)
 
 
@@ -138,7 +145,8 @@ class Scope:
 
 
 def with_scopes(rows: DataFrame, scopes: Sequence[Scope], key: str = "page_id", carry: Sequence[str] = ("text",)) -> DataFrame:
-    """key, pos, the ``carry`` columns and a column per scope, as ``with_scope`` adds them one after the other, dealt by key.
+    """key, pos, the ``carry`` columns (attrs and classes: of rows that open a scope) and a column per scope, as ``with_scope`` adds
+    them one after the other, dealt by key.
 
     ``rows``: from ``tag_rows``, with their pages together.  Pages are told apart by their place too, so two of one key do not mix elements.
     """
@@ -147,9 +155,13 @@ def with_scopes(rows: DataFrame, scopes: Sequence[Scope], key: str = "page_id",
     rules = tuple((s.name, s.inside, s.first, s.after, s.of) for s in scopes)
     bits = [F.when(s.opens, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, s in enumerate(scopes) if s.opens is not None]
     mask = functools.reduce(Column.bitwiseOR, bits)
-    kept = rows.select(key, "pos", *carry)
+    sent = rows.select(key, "pos", "text", "tag", "kind", "attrs", "classes", *[c for c in carry if c not in ("text", "attrs", "classes")], mask.alias("_opens"))
+    opens = F.col("_opens") != 0
+    carried = [F.when(opens, F.col(c)).alias(c) if c in ("attrs", "classes") else F.col(c) for c in carry]
+    more = [] if "text" in carry else ["text"]
+    kept = sent.select(key, "pos", *carried)
     schema = T.StructType([*kept.schema, *[T.StructField(s.name, T.IntegerType()) for s in scopes]])
-    sent = rows.select(key, "pos", *carry, F.col("text").alias("_text"), F.col("tag").alias("_tag"), F.col("kind").alias("_kind"), mask.alias("_opens"))
+    sent = sent.select(key, "pos", *carried, *more, F.col("tag").alias("_tag"), F.col("kind").alias("_kind"), "_opens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pages in _whole_pages(batches):
@@ -203,7 +215,7 @@ def _scopes_of(rules: tuple, rows: pa.Table) -> tuple[list[np.ndarray], np.ndarr
     pos, kind, opens = (rows.column(c).to_numpy().astype(np.int64) for c in ("pos", "_kind", "_opens"))
     tag = rows.column("_tag").combine_chunks().dictionary_encode().indices.to_numpy()
     found = _find_scopes(rules, np.cumsum(begins) - 1, pos, tag, kind, opens)
-    says = pc.fill_null(pc.not_equal(rows.column("_text"), ""), False).to_numpy()
+    says = pc.fill_null(pc.not_equal(rows.column("text"), ""), False).to_numpy()
     inside = np.any([c >= 0 for c in found], axis=0) if found else begins
     return found, begins | (opens != 0) | (says & inside)
 

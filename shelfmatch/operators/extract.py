@@ -61,7 +61,9 @@ def strip_blocks(html: Column) -> Column:
     """Remove script and style blocks and comments."""
     no_script = F.regexp_replace(html, r"(?is)<script\b.*?</script>", " ")
     no_style = F.regexp_replace(no_script, r"(?is)<style\b.*?</style>", " ")
-    return F.regexp_replace(no_style, r"(?s)<!--.*?-->", " ")
+    cleaned = F.regexp_replace(no_style, r"(?s)<!--.*?-->", " ")
+    lower = F.lower(html)  # the patterns run on the pages that have any of them
+    return F.when(lower.contains("<script") | lower.contains("<style") | lower.contains("<!--"), cleaned).otherwise(html)
 
 
 def html_text(fragment: Column) -> Column:

@@ -135,3 +135,24 @@ def test_derived_pages_are_dealt_before_they_are_cut(spark):
     from shelfmatch.plans.shop_pages import _pages
 
     assert _pages(spark, "/root/testdata/sf0.001", "a", "<p>{p_name}</p>").rdd.getNumPartitions() >= 32  # the file of parts is one task
+
+
+def test_tags_without_quotes_are_cut_without_patterns_and_give_the_same_parts(spark):
+    html = ("<A>x</A ><a/>y<a b=1>z<a class = 'p  q' x='>' id=\"i>1\">t > u</a><br/><q'r s='>'>v<b c=\"'\">w<d CLASS=k ID=n>e<!-- <i> --><f\t>g"
+            "<SCRIPT><h></script>&lt;<u\nclass=\"\">")
+    rows = tag_rows(spark.createDataFrame([(1, html), (2, None), (3, "<p>plain")], "page_id long, html string")).orderBy("page_id", "pos").collect()
+    got = [(r.page_id, r.kind, r.tag, r.classes, r.id, r.text) for r in rows]
+    none = [""]
+    assert got == [
+        (1, 1, "a", none, None, "x"), (1, -1, "a", none, None, ""), (1, 0, "a", none, None, "y"), (1, 1, "a", none, None, "z"),
+        (1, 1, "a", ["p", "q"], "i>1", "t > u"), (1, -1, "a", none, None, ""), (1, 0, "br", none, None, ""), (1, 1, "q'r", none, None, "v"),
+        (1, 1, "b", none, None, "w"), (1, 1, "d", ["k"], "n", "e "), (1, 1, "f", none, None, "g <"), (1, 1, "u", none, None, ""), (3, 1, "p", none, None, "plain")]
+
+
+def test_only_openings_send_attributes_through_the_shuffle(spark):
+    from shelfmatch.operators.elements import Scope, is_element, with_scopes
+
+    rows = tag_rows(spark.createDataFrame([(1, "<p class=a>x<b class=c>y</b></p>")], "page_id long, html string"))
+    sent = with_scopes(rows, [Scope("s", is_element("p"))], carry=("text", "attrs", "classes")).orderBy("pos").collect()
+    assert [(r.text, r.attrs, r.classes, r.s) for r in sent] == [("x", " class=a", ["a"], 0), ("y", None, None, 0)]
+
