@@ -38,6 +38,8 @@ from shelfmatch.session import written
 
 # Store vectors that k-means is fitted on, about (a documented bound; exactness never depends on it).
 FIT_ROWS = 100_000
+# Columns in a run of which ``_best_of`` takes the maximum first.
+RUN = 32
 # Pairs of blocks up to which ``cosine_join`` compares all blocks instead of forming them in clusters.
 PLAIN_PAIRS = 64
 
@@ -117,7 +119,21 @@ def _best(k: int, qids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarra
 
 
 def _best_of(k: int, qids: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> tuple:
+    """The k best columns of each row, equal ones by column: the k-th greatest of the maxima of runs of columns is at most the k-th best
+    value, so few columns reach it, and only those are ranked."""
     kk = min(k, len(ids))
+    runs = len(ids) // RUN
+    if kk and runs >= 4 * kk:
+        tops = sims[:, :runs * RUN].reshape(len(sims), runs, RUN).max(axis=2)
+        bound = np.partition(tops, runs - kk, axis=1)[:, runs - kk]
+        if np.isfinite(tops).all() and not np.isnan(sims[:, runs * RUN:]).any():
+            rows, cols = np.divmod(np.flatnonzero(sims >= bound[:, None]), len(ids))
+            best = sims[rows, cols]
+            order = np.lexsort((cols, -best, rows))
+            rows, cols, best = rows[order], cols[order], best[order]
+            first = np.searchsorted(rows, np.arange(len(sims)))
+            kept = np.arange(len(rows)) - first[rows] < kk
+            return qids[rows[kept]], ids[cols[kept]], best[kept]
     kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1, None]
     above, equal = sims > kth, sims == kth
     keep = above | (equal & (np.cumsum(equal, axis=1) <= kk - above.sum(axis=1, keepdims=True)))

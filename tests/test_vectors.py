@@ -137,3 +137,21 @@ def test_lsh_topk_equals_a_join_on_buckets_without_shuffling_pairs(spark):
     for r in sorted(found.collect(), key=lambda r: (r["qid"], r["rank"])):
         got.setdefault(r["qid"], []).append(r["id"])
     assert got == want and len(want) == 15
+
+
+def test_best_columns_are_ranked_among_few_candidates(monkeypatch):
+    from shelfmatch.operators import vector_search
+
+    rng, calls = np.random.default_rng(5), []
+    sims = np.round(rng.normal(size=(20, 1000)), 1)  # many equal values
+    ids = np.arange(1000) * 3
+    plain = np.partition
+    monkeypatch.setattr(vector_search.np, "partition", lambda a, *rest, **named: calls.append(a.shape) or plain(a, *rest, **named))
+    a, b, best = vector_search._best_of(4, np.arange(20), ids, sims)
+    want = [(q, int(ids[c]), float(sims[q, c])) for q in range(20) for c in sorted(range(1000), key=lambda c: (-sims[q, c], c))[:4]]
+    assert sorted(zip(a.tolist(), b.tolist(), best.tolist())) == sorted(want)
+    assert calls == [(20, 1000 // vector_search.RUN)]  # not the whole rows
+    sims[3, 7] = np.nan  # a vector that is no number is never among the best
+    a, b, _ = vector_search._best_of(4, np.arange(20), ids, sims)
+    assert len(a) == 80 and (3, 21) not in set(zip(a.tolist(), b.tolist()))
+
