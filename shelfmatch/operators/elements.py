@@ -12,6 +12,8 @@ aggregates on that key, which Spark runs on the same partitioning without anothe
   as-of assignment of rows to the nearest opening before them, cut off at its end.
 * ``with_scopes`` adds many such columns at once, before the shuffle: an Arrow function finds the ends and scopes of whole batches of
   pages.  Rows that lie in no scope, or open none and have no text, are left out, but for the page's first.
+* ``tag_rows`` of ``scopes`` whose conditions are data (``Opens``) does both at once: tags are cut by position in whole batches of pages, and
+  only rows that are kept leave the Arrow function.
 * ``texts`` joins the texts of a scope in page order.
 
 Keys must tell pages apart.  Null html gives no rows.
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmatch.functions.text import py_strip
+from shelfmatch.operators import tag_cut
 from shelfmatch.operators.extract import decode_entities, strip_blocks
 
 #: Elements that have no end tag.
@@ -57,11 +60,15 @@ def attribute(attrs: Column, name: str) -> Column:
     return F.get(F.transform(F.array(_quoted(attrs, name)), _unquoted), 0)
 
 
-def tag_rows(pages: DataFrame, key: str = "page_id", html: str = "html", tags: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def tag_rows(pages: DataFrame, key: str = "page_id", html: str = "html", tags: tuple[str, ...] | None = None, keep: tuple[str, ...] = (),
+             scopes: Sequence[Scope] | None = None, carry: Sequence[str] = ("text",)) -> DataFrame:
     """key, the ``keep`` columns, pos, kind (1: opens, -1: ends, 0: has no end), tag, attrs, classes, id, text, end.
 
     ``tags`` are those the caller asks about: rows of others stay only where text follows them.
+    ``scopes``, with conditions of ``Opens``: the rows that lie in them, dealt by key, as ``scoped_rows`` has them.
     """
+    if scopes is not None:
+        return scoped_rows(pages, scopes, key, html, keep, carry)
     body = strip_blocks(F.col(html))
     # one pass over the page; a tag's parts are taken from its own short text, in steps that are each computed once, and by patterns
     # only where the plain cut at the first ">" does not do: a tag without quotes before it ends there
@@ -112,6 +119,27 @@ def is_element(tag: str, *classes: str, id: str | None = None) -> Column:
     return out if id is None else out & (F.coalesce(F.col("id"), F.lit("")) == id)
 
 
+@dataclass(frozen=True)
+class Opens:
+    """The elements that a scope is made of: of the tag (None: any) with all the ``classes`` and none of ``without``, the id, and the
+    ``text`` right behind the opening tag."""
+
+    tag: str | None
+    classes: tuple[str, ...] = ()
+    id: str | None = None
+    without: tuple[str, ...] = ()
+    text: str | None = None
+
+    def column(self) -> Column:
+        """The condition on rows of ``tag_rows``."""
+        out = has_class(*self.classes) if self.tag is None else is_element(self.tag, *self.classes)
+        if self.id is not None:
+            out = out & (F.coalesce(F.col("id"), F.lit("")) == self.id)
+        for c in self.without:
+            out = out & ~F.array_contains("classes", c)
+        return out if self.text is None else out & (F.col("text") == self.text)
+
+
 def with_scope(rows: DataFrame, name: str, opens: Column, key: str = "page_id", inside: str | None = None, first: bool | str = False) -> DataFrame:
     """``rows`` with ``name``: the pos of the outermost element around each row (the opening row included) that ``opens`` selects.
 
@@ -137,7 +165,7 @@ class Scope:
     ``of``: no element of its own, but the first of these scopes that a row lies in, or, if ``first`` is "page", that its page has."""
 
     name: str
-    opens: Column | None = None
+    opens: Column | Opens | None = None
     inside: str | None = None
     first: bool | str = False
     after: str | None = None
@@ -153,7 +181,8 @@ def with_scopes(rows: DataFrame, scopes: Sequence[Scope], key: str = "page_id",
     if len(scopes) > 62:
         raise ValueError("too many scopes for one mask")
     rules = tuple((s.name, s.inside, s.first, s.after, s.of) for s in scopes)
-    bits = [F.when(s.opens, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, s in enumerate(scopes) if s.opens is not None]
+    opened = [s.opens.column() if isinstance(s.opens, Opens) else s.opens for s in scopes]
+    bits = [F.when(c, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, c in enumerate(opened) if c is not None]
     mask = functools.reduce(Column.bitwiseOR, bits)
     sent = rows.select(key, "pos", "text", "tag", "kind", "attrs", "classes", *[c for c in carry if c not in ("text", "attrs", "classes")], mask.alias("_opens"))
     opens = F.col("_opens") != 0
@@ -175,6 +204,96 @@ def with_scopes(rows: DataFrame, scopes: Sequence[Scope], key: str = "page_id",
     return packed_by_key(sent.mapInArrow(run, schema), key)
 
 
+def scoped_rows(pages: DataFrame, scopes: Sequence[Scope], key: str = "page_id", html: str = "html", keep: tuple[str, ...] = (), carry: Sequence[str] = ("text",)) -> DataFrame:
+    """``with_scopes(tag_rows(pages, key, html, keep=keep), scopes, key, carry)`` of scopes whose conditions are ``Opens``, less the rows without
+    text that begin no scope's element: pages are cut and their scopes found by one Arrow function, so only what is kept becomes a row."""
+    if len(scopes) > 62:
+        raise ValueError("too many scopes for one mask")
+    rules, conditions = tuple((s.name, s.inside, s.first, s.after, s.of) for s in scopes), tuple(s.opens for s in scopes)
+    types = {"text": T.StringType(), "attrs": T.StringType(), "classes": T.ArrayType(T.StringType()), **{c: pages.schema[c].dataType for c in keep}}
+    schema = T.StructType([pages.schema[key], T.StructField("pos", T.IntegerType()), *[T.StructField(c, types[c]) for c in carry],
+                           *[T.StructField(s.name, T.IntegerType()) for s in scopes]])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, count in tag_cut.groups(batch.column("body")):
+                group = batch.slice(first, count)
+                tags = tag_cut.cut(group.column("body"), VOID)
+                if not len(tags.page):
+                    continue
+                opens = _opening(conditions, tags)
+                rows, found = _kept_scopes(rules, tags, opens)
+                of, opening = tags.page[rows], opens[rows] != 0
+                made = {key: group.column(key).take(pa.array(of)), "pos": pa.array(tags.pos[rows].astype(np.int32))}
+                for c in carry:
+                    if c == "text":
+                        made[c] = tags.texts(rows)
+                    elif c in keep:
+                        made[c] = group.column(c).take(pa.array(of))
+                    else:
+                        attrs = tags.attrs(rows)
+                        made[c] = pc.if_else(pa.array(opening), attrs if c == "attrs" else tag_cut.class_lists(tag_cut.value(attrs, "class")), None)
+                made |= {r[0]: pa.array(np.maximum(c, 0).astype(np.int32), mask=c < 0) for r, c in zip(rules, found)}
+                yield pa.RecordBatch.from_arrays([made[n] for n in names], names)
+
+    sent = pages.select(key, *keep, strip_blocks(F.col(html)).alias("body"))
+    return packed_by_key(sent.mapInArrow(run, schema), key)
+
+
+def _opening(conditions: tuple, tags: tag_cut.Tags) -> np.ndarray:
+    """For each tag the bits of the conditions that it fulfils."""
+    opens = np.zeros(len(tags.page), dtype=np.int64)
+    code = {n: k for k, n in enumerate(tags.names)}
+    by_tag: dict = {}
+    for bit, c in enumerate(conditions):
+        if c is not None and (c.tag is None or c.tag in code):
+            by_tag.setdefault(c.tag, []).append((bit, c))
+    for tag, own in by_tag.items():
+        rows = np.flatnonzero((tags.kind >= 0) if tag is None else (tags.kind >= 0) & (tags.tag == code[tag]))
+        said = np.flatnonzero(tags.end[rows] > tags.name_end[rows])  # places of those with attributes
+        attrs = tags.attrs(rows[said]) if any(c.classes or c.without or c.id for _, c in own) else None
+        classes = ids = None
+        if any(c.classes or c.without for _, c in own):  # the names of the class attribute, each between two blanks
+            classes = pc.replace_substring_regex(pc.fill_null(tag_cut.value(attrs, "class"), ""), r"[\s\x0b]+", "  ")
+            classes = pc.binary_join_element_wise(" ", classes, " ", "")
+        if any(c.id for _, c in own):
+            ids = tag_cut.value(attrs, "id")
+
+        def where(found: pa.Array) -> np.ndarray:
+            out = np.zeros(len(rows), dtype=bool)
+            out[said] = pc.fill_null(found, False).to_numpy(zero_copy_only=False)
+            return out
+
+        for bit, c in own:
+            fits = np.ones(len(rows), dtype=bool)
+            for name in c.classes:
+                fits &= where(pc.match_substring(classes, f" {name} "))
+            for name in c.without:
+                fits &= ~where(pc.match_substring(classes, f" {name} "))
+            if c.id is not None:
+                fits &= where(pc.equal(ids, c.id))
+            if c.text is not None:
+                fits[fits] = pc.equal(tags.texts(rows[fits]), c.text).to_numpy(zero_copy_only=False)
+            opens[rows[fits]] |= 1 << bit
+    return opens
+
+
+def _kept_scopes(rules: tuple, tags: tag_cut.Tags, opens: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The rows to keep, and for each rule the pos of their elements, -1 without."""
+    end, opening = tags.pos + 1, opens != 0
+    asked = np.zeros(len(tags.names), dtype=bool)
+    asked[tags.tag[opening]] = True  # only elements of these tags need their ends
+    of = asked[tags.tag]
+    end[of] = _ends(tags.page[of], tags.pos[of], tags.tag[of], tags.kind[of])
+    says, begins = tags.text_end > tags.end + 1, tags.pos == 0
+    rows = np.flatnonzero(says | begins | opening)
+    found = _find_scopes(rules, tags.page[rows], tags.pos[rows], end[rows], opens[rows])
+    inside, at = np.any([c >= 0 for c in found], axis=0), np.any([c == tags.pos[rows] for c in found], axis=0)
+    keep = begins[rows] | at | (says[rows] & inside)
+    return rows[keep], [c[keep] for c in found]
+
+
 def _page_starts(rows: pa.Table) -> np.ndarray:
     """Places at which a row belongs to another page than the row before it: another key, or a pos that does not grow."""
     if rows.num_rows < 2:
@@ -214,7 +333,8 @@ def _scopes_of(rules: tuple, rows: pa.Table) -> tuple[list[np.ndarray], np.ndarr
     begins[_page_starts(rows)] = True
     pos, kind, opens = (rows.column(c).to_numpy().astype(np.int64) for c in ("pos", "_kind", "_opens"))
     tag = rows.column("_tag").combine_chunks().dictionary_encode().indices.to_numpy()
-    found = _find_scopes(rules, np.cumsum(begins) - 1, pos, tag, kind, opens)
+    page = np.cumsum(begins) - 1
+    found = _find_scopes(rules, page, pos, _ends(page, pos, tag, kind), opens)
     says = pc.fill_null(pc.not_equal(rows.column("text"), ""), False).to_numpy()
     inside = np.any([c >= 0 for c in found], axis=0) if found else begins
     return found, begins | (opens != 0) | (says & inside)
@@ -222,6 +342,8 @@ def _scopes_of(rules: tuple, rows: pa.Table) -> tuple[list[np.ndarray], np.ndarr
 
 def _ends(page: np.ndarray, pos: np.ndarray, tag: np.ndarray, kind: np.ndarray) -> np.ndarray:
     """The ends of elements, as ``_with_ends`` has them."""
+    if not len(pos):
+        return np.zeros(0, dtype=np.int64)
     order = np.lexsort((pos, tag, page))
     k, p = kind[order], pos[order]
     begins = np.concatenate([[True], (np.diff(page[order]) != 0) | (np.diff(tag[order]) != 0)])
@@ -242,9 +364,8 @@ def _ends(page: np.ndarray, pos: np.ndarray, tag: np.ndarray, kind: np.ndarray)
     return out
 
 
-def _find_scopes(rules: tuple, page: np.ndarray, pos: np.ndarray, tag: np.ndarray, kind: np.ndarray, opens: np.ndarray) -> list[np.ndarray]:
+def _find_scopes(rules: tuple, page: np.ndarray, pos: np.ndarray, end: np.ndarray, opens: np.ndarray) -> list[np.ndarray]:
     """For each rule the pos of each row's element, -1 without; rows in the order of page and pos."""
-    end = _ends(page, pos, tag, kind)
     new_page = np.concatenate([[True], np.diff(page) != 0])
     made: dict[str, np.ndarray] = {}
     for bit, (name, inside, first, after, of) in enumerate(rules):
@@ -300,9 +421,15 @@ def has_class(*classes: str) -> Column:
     return out
 
 
+def _stripped(text: Column) -> Column:
+    """``py_strip``; a text that begins and ends with a printable ASCII character is as it is."""
+    bare = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(bare, text).otherwise(py_strip(text))
+
+
 def texts(where: Column, separator: str = "") -> Column:
     """Aggregate: the texts of the rows where the condition holds, each stripped, blank ones left out, joined in page order."""
-    piece = py_strip(F.col("text"))
+    piece = _stripped(F.col("text"))
     found = F.array_sort(F.collect_list(F.when(where & (piece != ""), F.struct("pos", piece.alias("text")))))
     return F.array_join(F.transform(found, lambda t: t["text"]), separator)
 

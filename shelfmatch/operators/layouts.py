@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions.prices import parse_price, reward_points
 from shelfmatch.functions.text import py_strip
-from shelfmatch.operators.elements import Scope, attribute, has_class, is_element, later_wins, tag_rows, texts, whole_text, with_scopes
+from shelfmatch.operators.elements import Opens, Scope, attribute, later_wins, tag_rows, texts, whole_text, with_scopes
 from shelfmatch.operators.extract import record_status
 
 KEY = "page_id"
@@ -70,15 +70,23 @@ SPEC_SECTIONS = (("teleport-modal_content", "technical-content-section"), ("moda
                  ("overlay", "technical-content-section"), (None, "specifications-modal"), (None, "tech-specs"))
 
 
-def _el(name: str) -> Column:
-    """Whether a row opens the named element."""
+def _el(name: str) -> Opens:
+    """The named element."""
     tag, *classes = ELEMENTS[name]
-    return is_element(tag, *classes)
+    return Opens(tag, tuple(classes))
 
 
-def _by_id(name: str) -> Column:
+def _by_id(name: str) -> Opens:
     tag, ident = IDS[name]
-    return is_element(tag, id=ident)
+    return Opens(tag, id=ident)
+
+
+def _tag(tag: str, *classes: str) -> Opens:
+    return Opens(tag, classes)
+
+
+def _any_tag(*classes: str) -> Opens:
+    return Opens(None, classes)
 
 
 def _scopes(*scopes: tuple) -> list[Scope]:
@@ -87,7 +95,7 @@ def _scopes(*scopes: tuple) -> list[Scope]:
 
 
 def section(scopes: Callable[..., list[Scope]], *carry: str) -> Callable:
-    """A section of the rows that lie in its scopes: made of rows from ``tag_rows``, or of ``dealt`` ones; ``carry``: what it reads
+    """A section of the rows that lie in its scopes: made of pages (with html), of rows from ``tag_rows``, or of ``dealt`` ones; ``carry``: what it reads
     of them beside ``text``; further arguments are those of its scopes."""
     def of(build: Callable[[DataFrame], DataFrame]) -> Callable[..., DataFrame]:
         @functools.wraps(build)
@@ -107,7 +115,7 @@ def _own(read: Callable, name: str) -> str:
 
 
 def dealt(rows: DataFrame, *sections: Callable, more: tuple[Scope, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
-    """The rows that any of the sections (or ``more`` scopes) reads, with all their scopes, dealt by the page's key: one shuffle for all.
+    """The rows of pages (or rows from ``tag_rows``) that any of the sections (or ``more`` scopes) reads, with all their scopes, dealt by the page's key: one shuffle for all.
 
     Sections filter what they have aggregated: a filter on the rows would go below the shuffle, and no two would share it.
     """
@@ -120,6 +128,8 @@ def _deal(rows: DataFrame, sections: list, more: tuple[Scope, ...] = (), keep: t
         own = functools.partial(_own, read)
         every += [replace(s, name=own(s.name), inside=s.inside and own(s.inside), after=s.after and own(s.after), of=tuple(map(own, s.of))) for s in scopes]
     carry = dict.fromkeys(("text", *(c for read, _ in sections for c in read.carry), *keep))
+    if "html" in rows.columns:
+        return tag_rows(rows, KEY, keep=keep, scopes=every, carry=tuple(carry))
     return with_scopes(rows, every, KEY, tuple(carry))
 
 
@@ -143,8 +153,8 @@ def _class(scope: str, name: str) -> Column:
 
 
 @section(lambda: _scopes(
-    ("g", _el("spec group"), None, False), ("h", is_element("h3"), "g", True), ("u", is_element("ul"), "g", False),
-    ("li", is_element("li"), "u", False), ("c", is_element("aside"), "li", False)))
+    ("g", _el("spec group"), None, False), ("h", _tag("h3"), "g", True), ("u", _tag("ul"), "g", False),
+    ("li", _tag("li"), "u", False), ("c", _tag("aside"), "li", False)))
 def specifications(rows: DataFrame) -> DataFrame:
     """``specifications``, {group: {key: value}}: list rows of exactly two cells, `:` taken from the key, groups without
     a heading left out; a later group of one name replaces the earlier, a later key the earlier one."""
@@ -160,10 +170,10 @@ def specifications(rows: DataFrame) -> DataFrame:
 
 
 @section(lambda: _scopes(
-    ("pl", _el("policy list"), None, True), ("li", is_element("li"), "pl", False), ("item", _el("policy text"), "li", False),
+    ("pl", _el("policy list"), None, True), ("li", _tag("li"), "pl", False), ("item", _el("policy text"), "li", False),
     ("pop", _by_id("policy pop-up"), None, True), ("wb", _el("warranty box"), "pop", True),
-    ("wt", _el("warranty title"), "wb", True), ("ws", is_element("span"), "wb", True), ("cb", _el("change box"), "pop", True),
-    ("bl", _el("change block"), "cb", False), ("bt", is_element("h3"), "bl", True), ("bc", _el("change text"), "bl", True)))
+    ("wt", _el("warranty title"), "wb", True), ("ws", _tag("span"), "wb", True), ("cb", _el("change box"), "pop", True),
+    ("bl", _el("change block"), "cb", False), ("bt", _tag("h3"), "bl", True), ("bc", _el("change text"), "bl", True)))
 def policies(rows: DataFrame) -> DataFrame:
     """``policies``: commitments, warranty (title, details) and change_policy {title: text}, where a later block of one title
     wins and a block without text is left out; null where the warranty box lacks a part or a block its title."""
@@ -184,9 +194,9 @@ def policies(rows: DataFrame) -> DataFrame:
 
 
 @section(lambda: _scopes(
-    ("g", is_element("div", *GENERAL_PROMOTION_BOX), None, True), ("gp", is_element("p"), "g", False), ("pay", is_element("div", *PAYMENT_BOX), None, True),
-    ("sw", _el("slides"), "pay", True), ("slide", _el("slide"), "sw", False), ("img", is_element("img"), "slide", True),
-    ("lst", is_element("div", *PROMOTION_LIST), "pay", True), ("op", _el("promotion text"), "lst", False)), "attrs")
+    ("g", _tag("div", *GENERAL_PROMOTION_BOX), None, True), ("gp", _tag("p"), "g", False), ("pay", _tag("div", *PAYMENT_BOX), None, True),
+    ("sw", _el("slides"), "pay", True), ("slide", _el("slide"), "sw", False), ("img", _tag("img"), "slide", True),
+    ("lst", _tag("div", *PROMOTION_LIST), "pay", True), ("op", _el("promotion text"), "lst", False)), "attrs")
 def promotions(rows: DataFrame) -> DataFrame:
     """general_promotions, payment_promotions (description, image_url; slides without an image left out) and
     other_promotions (less the details label, empty ones left out)."""
@@ -206,9 +216,9 @@ def promotions(rows: DataFrame) -> DataFrame:
 
 @section(lambda: _scopes(
     ("pb", _el("product price"), None, True), ("sale", _el("sale price"), "pb", True), ("base", _el("base price"), "pb", True),
-    ("vb", _el("versions"), None, True), ("v", _el("version"), "vb", False), ("vn", is_element("strong"), "v", True),
+    ("vb", _el("versions"), None, True), ("v", _el("version"), "vb", False), ("vn", _tag("strong"), "v", True),
     ("cb", _el("variants"), None, True), ("c", _el("variant"), "cb", False),
-    ("cn", _el("variant name"), "c", True), ("cp", _el("variant price"), "c", True), ("ca", is_element("a"), "c", True)), "attrs", "classes")
+    ("cn", _el("variant name"), "c", True), ("cp", _el("variant price"), "c", True), ("ca", _tag("a"), "c", True)), "attrs", "classes")
 def priced_options(rows: DataFrame) -> DataFrame:
     """sale_price, base_price, versions {name: (url, is_active)} and colors {name: (price, url, is_active)}: name, URL, price and
     state of one element stay together where some are missing, a later element of one name wins; ``broken`` where a
@@ -231,10 +241,10 @@ def priced_options(rows: DataFrame) -> DataFrame:
 def _table_scopes(alternatives: tuple = SPEC_SECTIONS) -> list[Scope]:
     scopes = []
     for k, (box, cls) in enumerate(alternatives):
-        scopes += [Scope(f"box{k}", has_class(box))] if box else []
-        scopes.append(Scope(f"sec{k}", has_class(cls), f"box{k}" if box else None))
+        scopes += [Scope(f"box{k}", _any_tag(box))] if box else []
+        scopes.append(Scope(f"sec{k}", _any_tag(cls), f"box{k}" if box else None))
     chosen = Scope("s", first="page", of=tuple(f"sec{k}" for k in range(len(alternatives))))
-    return [*scopes, chosen, Scope("t", _el("table title"), "s", True), Scope("r", _el("table row"), "s"), Scope("c", is_element("td"), "r")]
+    return [*scopes, chosen, Scope("t", _el("table title"), "s", True), Scope("r", _el("table row"), "s"), Scope("c", _tag("td"), "r")]
 
 
 @section(_table_scopes)
@@ -255,12 +265,12 @@ def spec_table(rows: DataFrame) -> DataFrame:
 def _after_label(name: str, label: str) -> tuple:
     """The first block of the options box behind the label."""
     at = f"{name}_label"
-    return (at, is_element("span") & (F.col("text") == label), "o", True), (name, is_element("div"), "o", True, at)
+    return (at, Opens("span", text=label), "o", True), (name, _tag("div"), "o", True, at)
 
 
 @section(lambda: _scopes(
-    ("o", is_element("div", *OPTIONS_BOX), None, True), *_after_label("st", STORAGE_LABEL), *_after_label("co", COLOUR_LABEL),
-    ("box", None, None, False, None, ("st", "co")), ("b", is_element("button"), "box", False), ("t", is_element("span", *OPTION_TEXT), "b", True), ("i", is_element("img"), "b", True)), "attrs", "classes")
+    ("o", _tag("div", *OPTIONS_BOX), None, True), *_after_label("st", STORAGE_LABEL), *_after_label("co", COLOUR_LABEL),
+    ("box", None, None, False, None, ("st", "co")), ("b", _tag("button"), "box", False), ("t", _tag("span", *OPTION_TEXT), "b", True), ("i", _tag("img"), "b", True)), "attrs", "classes")
 def stateful_options(rows: DataFrame) -> DataFrame:
     """storage_options (value, is_selected) and color_options (name, image_url, is_selected), the buttons of the box after
     each label; a colour needs both text and image."""
@@ -278,10 +288,10 @@ _FALLBACK = (("bs_current", "strong"), ("bs_original", "em"), ("bs_percent", "i"
 
 
 @section(lambda: _scopes(
-    ("one", _el("price box"), None, True), *[(n, is_element(t, c), "one", True) for n, t, c in _PRIMARY], ("bs_title", _el("fallback title"), None, False),
-    ("bs", _el("fallback price"), "bs_title", True), *[(n, is_element(t), "bs", True) for n, t in _FALLBACK],
-    ("loc", _by_id("location"), None, True), ("loc_a", is_element("a"), "loc", True), ("promo", _el("promotion block"), None, True),
-    ("pt", _el("promotion title"), "promo", True), ("right", _el("promotion side"), "promo", False), ("rp", is_element("p"), "right", False),
+    ("one", _el("price box"), None, True), *[(n, _tag(t, c), "one", True) for n, t, c in _PRIMARY], ("bs_title", _el("fallback title"), None, False),
+    ("bs", _el("fallback price"), "bs_title", True), *[(n, _tag(t), "bs", True) for n, t in _FALLBACK],
+    ("loc", _by_id("location"), None, True), ("loc_a", _tag("a"), "loc", True), ("promo", _el("promotion block"), None, True),
+    ("pt", _el("promotion title"), "promo", True), ("right", _el("promotion side"), "promo", False), ("rp", _tag("p"), "right", False),
     ("loyal", _el("loyalty points"), None, True)))
 def price_and_promotions(rows: DataFrame) -> DataFrame:
     """X4, one page: prices of the primary box, else of the fallback box, else empty; location, promotions, loyalty points."""
@@ -309,7 +319,7 @@ def prices_per_colour(pages: DataFrame, url: str = "url") -> DataFrame:
     """page_id of the product, color, and the prices and promotions of the colour's own page, a row per colour whose page is known.
 
     The pages are cut into rows once; links and prices are both read from them, and joined on the address."""
-    rows = dealt(tag_rows(pages, KEY), price_and_promotions, colour_links)
+    rows = dealt(pages, price_and_promotions, colour_links)
     prices = price_and_promotions(rows).join(pages.select(KEY, url), KEY).drop(KEY)
     return colour_links(rows).join(prices, F.col("href") == F.col(url)).drop("href", url)
 
@@ -336,8 +346,8 @@ def _list(scope: str, *fields: str) -> Column:
 
 
 @section(lambda: _scopes(
-    ("d", _el("detail"), None, True), ("n", _el("name box"), "d", True), ("h", is_element("h1"), "n", True),
-    ("q", _el("quantity sold"), "n", True), ("r", _el("rating A"), "n", True), ("b", _el("breadcrumb A"), "d", True), ("a", is_element("a"), "b", False)))
+    ("d", _el("detail"), None, True), ("n", _el("name box"), "d", True), ("h", _tag("h1"), "n", True),
+    ("q", _el("quantity sold"), "n", True), ("r", _el("rating A"), "n", True), ("b", _el("breadcrumb A"), "d", True), ("a", _tag("a"), "b", False)))
 def basics_a(rows: DataFrame) -> DataFrame:
     """product_name, quantity_sale, detail_rate, product_type (null without breadcrumb)."""
     parts = rows.groupBy(KEY, "a").agg(*[_text(s).alias(f"t_{s}") for s in ("h", "q", "r", "a")], _any("b").alias("has_b"), _any("d").alias("has_d")).where("has_d")
@@ -347,8 +357,8 @@ def basics_a(rows: DataFrame) -> DataFrame:
 
 
 @section(lambda: _scopes(
-    ("g", _el("option boxes"), None, True), ("cap", _el("option box") & ~F.array_contains("classes", "color"), "g", False),
-    ("act", _el("chosen option"), "cap", "page"), ("col", _el("colour box"), "g", False), ("a", is_element("a"), "col", False)))
+    ("g", _el("option boxes"), None, True), ("cap", replace(_el("option box"), without=("color",)), "g", False),
+    ("act", _el("chosen option"), "cap", "page"), ("col", _el("colour box"), "g", False), ("a", _tag("a"), "col", False)))
 def options_a(rows: DataFrame) -> DataFrame:
     """selected_capacity (empty where none is), all_colors; null without the box."""
     parts = rows.groupBy(KEY, "a").agg(_text("act").alias("act"), _text("a").alias("t"), _any("g").alias("has_g")).where("has_g")
@@ -356,8 +366,8 @@ def options_a(rows: DataFrame) -> DataFrame:
 
 
 @section(lambda: _scopes(
-    ("n", _el("product name"), None, False), ("h", is_element("h1"), "n", "page"), ("rb", _el("rating B"), None, True),
-    ("rs", is_element("span") & ~F.array_contains("classes", "total-rating"), "rb", True), ("rt", _el("number of ratings"), "rb", True),
+    ("n", _el("product name"), None, False), ("h", _tag("h1"), "n", "page"), ("rb", _el("rating B"), None, True),
+    ("rs", Opens("span", without=("total-rating",)), "rb", True), ("rt", _el("number of ratings"), "rb", True),
     ("i", _el("bottom item"), None, False), ("l", _el("label"), "i", True),
     ("cb", _el("compare box"), None, False), ("c", _el("compare button"), "cb", "page")))
 def basics_b(rows: DataFrame) -> DataFrame:
@@ -375,31 +385,31 @@ def _linked(rows: DataFrame, title: str, default: str, item: str, out: str) -> D
 
 
 @section(lambda: _scopes(
-    ("hd", has_class(CLASSES["promotion head"]), None, False), ("t", is_element("span"), "hd", "page"),
-    ("p", has_class(CLASSES["promotion item"]), None, False), ("i", has_class(CLASSES["promotion detail"]), "p", True), ("link", is_element("a"), "i", True)), "attrs")
+    ("hd", _any_tag(CLASSES["promotion head"]), None, False), ("t", _tag("span"), "hd", "page"),
+    ("p", _any_tag(CLASSES["promotion item"]), None, False), ("i", _any_tag(CLASSES["promotion detail"]), "p", True), ("link", _tag("a"), "i", True)), "attrs")
 def promotions_b(rows: DataFrame) -> DataFrame:
     """``promotions``: title and items (detail, link)."""
     return _linked(rows, "t", PROMOTION_TITLE, "i", "promotions")
 
 
 @section(lambda: _scopes(
-    ("hd", has_class(CLASSES["payment head"]), None, False), ("t", is_element("span"), "hd", "page"),
-    ("r", has_class(CLASSES["payment list"]), None, False), ("u", is_element("ul"), "r", False), ("i", is_element("li"), "u", False), ("link", is_element("a"), "i", True)), "attrs")
+    ("hd", _any_tag(CLASSES["payment head"]), None, False), ("t", _tag("span"), "hd", "page"),
+    ("r", _any_tag(CLASSES["payment list"]), None, False), ("u", _tag("ul"), "r", False), ("i", _tag("li"), "u", False), ("link", _tag("a"), "i", True)), "attrs")
 def payment_promotions_b(rows: DataFrame) -> DataFrame:
     """X11: ``payment_promotions``: title and items (detail, link)."""
     return _linked(rows, "t", PAYMENT_TITLE, "i", "payment_promotions")
 
 
 @section(lambda: _scopes(
-    ("w", has_class(CLASSES["commitments"]), None, False), ("bt", has_class(CLASSES["commitments head"]), "w", False), ("t", is_element("p"), "bt", "page"),
-    ("p", has_class(CLASSES["commitment item"]), None, False), ("i", _el("commitment text"), "p", False), ("link", is_element("a"), "i", True)), "attrs")
+    ("w", _any_tag(CLASSES["commitments"]), None, False), ("bt", _any_tag(CLASSES["commitments head"]), "w", False), ("t", _tag("p"), "bt", "page"),
+    ("p", _any_tag(CLASSES["commitment item"]), None, False), ("i", _el("commitment text"), "p", False), ("link", _tag("a"), "i", True)), "attrs")
 def commitments_b(rows: DataFrame) -> DataFrame:
     """``commitments``: title and items (detail, link), every description of an item."""
     return _linked(rows, "t", COMMITMENT_TITLE, "i", "commitments")
 
 
 @section(lambda: _scopes(
-    ("nav", _el("breadcrumb C"), None, True), ("li", is_element("li"), "nav", False), ("a", is_element("a"), "li", True),
+    ("nav", _el("breadcrumb C"), None, True), ("li", _tag("li"), "nav", False), ("a", _tag("a"), "li", True),
     ("h", _el("name C"), None, True), ("rb", _el("rating box C"), None, False),
     ("rs", _el("rating C"), "rb", "page"),
     ("rc", _el("number of ratings C"), None, True)))
@@ -411,7 +421,7 @@ def basics_c(rows: DataFrame) -> DataFrame:
 
 
 @section(lambda: _scopes(
-    ("b", (F.col("kind") >= 0) & (F.coalesce(F.col("id"), F.lit("")) == TRADE_PRICE_ID), None, True), ("c", _el("current price C"), "b", True), ("o", _el("original price C"), "b", True),
+    ("b", Opens(None, id=TRADE_PRICE_ID), None, True), ("c", _el("current price C"), "b", True), ("o", _el("original price C"), "b", True),
     ("d", _el("discount C"), "b", True), ("r", _el("points C"), "b", True)))
 def price_c(rows: DataFrame) -> DataFrame:
     """current_price and original_price as numbers (null where they are none), discount_percent, reward_points."""
@@ -435,7 +445,7 @@ class Layout:
 
     name: str
     url_pattern: str
-    container: Callable[[], Column]
+    container: Callable[[], Opens]
     sections: tuple[Callable[[DataFrame], DataFrame], ...]
     json_breadcrumb: bool = False
 
@@ -471,7 +481,7 @@ def _record(pages: DataFrame, layout: Layout) -> DataFrame:
     if layout.json_breadcrumb:
         pages = pages.withColumn("breadcrumb", breadcrumb(F.col("html")))
         keep += ("breadcrumb",)
-    rows = dealt(tag_rows(pages, KEY, keep=keep), *layout.sections, more=(Scope("box", layout.container(), first=True),), keep=keep)
+    rows = dealt(pages, *layout.sections, more=(Scope("box", layout.container(), first=True),), keep=keep)
     record = rows.groupBy(KEY, *keep).agg(_any("box").alias("has_box")).where("has_box").drop("has_box")
     fields, error = [F.col("breadcrumb").alias("product_type")] if layout.json_breadcrumb else [], F.lit(None).cast("string")
     for section in layout.sections:

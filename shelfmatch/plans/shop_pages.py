@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.operators import layouts as L
-from shelfmatch.operators.elements import tag_rows
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.tables import table
 
@@ -85,7 +84,7 @@ FROM part WHERE p_partkey % 5 <> 0 OR p_partkey % 13 <> 0
 """)
 def layout_basics_a(spark: SparkSession, sf: str) -> DataFrame:
     """No container, no breadcrumb, no name, no capacity chosen or several, no box of options."""
-    rows = L.dealt(tag_rows(_pages(spark, sf, "a", *_layout_a())), L.basics_a, L.options_a)
+    rows = L.dealt(_pages(spark, sf, "a", *_layout_a()), L.basics_a, L.options_a)
     both = L.basics_a(rows).join(L.options_a(rows), "page_id", "full")
     return both.withColumns({c: F.array_join(c, "|") for c in ("product_type", "all_colors")})
 
@@ -103,7 +102,7 @@ SELECT k AS page_id, grp AS spec_group, name AS spec_name, value AS spec_value F
 """)
 def layout_specifications(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of one or three cells, a group without heading, a repeated group and key, an empty value and an empty group."""
-    found = L.specifications(tag_rows(_pages(spark, sf, "a", *_layout_a())))
+    found = L.specifications(_pages(spark, sf, "a", *_layout_a()))
     groups = found.select("page_id", F.explode("specifications").alias("spec_group", "pairs"))
     return groups.select("page_id", "spec_group", F.explode_outer("pairs").alias("spec_name", "spec_value"))
 
@@ -121,7 +120,7 @@ FROM part
 """)
 def layout_policies(spark: SparkSession, sf: str) -> DataFrame:
     """A commitment without text, blocks without text or title, a repeated title, no pop-up, no warranty box, one that lacks its text."""
-    found = L.policies(tag_rows(_pages(spark, sf, "a", *_layout_a())))
+    found = L.policies(_pages(spark, sf, "a", *_layout_a()))
     p, change = F.col("policies"), F.col("policies.change_policy")
     return found.select(
         "page_id", p.isNull().alias("broken"), F.array_join(p["commitments"], "|").alias("commitments"), p["warranty_policy"]["title"].alias("warranty_title"),
@@ -175,7 +174,7 @@ FROM part
 """)
 def layout_basics_c(spark: SparkSession, sf: str) -> DataFrame:
     """Empty breadcrumb links, prices that are no numbers, no price box, packages without title or prices."""
-    rows = L.dealt(tag_rows(_pages(spark, sf, "c", *_layout_c())), L.basics_c, L.price_c, L.extended_warranty_c)
+    rows = L.dealt(_pages(spark, sf, "c", *_layout_c()), L.basics_c, L.price_c, L.extended_warranty_c)
     out = L.basics_c(rows).join(L.price_c(rows), "page_id").join(L.extended_warranty_c(rows), "page_id")
     line = F.transform("extended_warranty", lambda w: F.concat_ws(" ", *[F.coalesce(w[f].cast("string"), F.lit("-")) for f in ("title", "current_price", "original_price")]))
     return out.withColumns({"product_type": F.array_join("product_type", "|"), "warranties": F.array_join(line, "|")}).drop("extended_warranty")
@@ -190,7 +189,7 @@ FROM part
 """)
 def layout_promotions(spark: SparkSession, sf: str) -> DataFrame:
     """Items before any box, a second box, slides without image or description, texts of the label alone, no payment box."""
-    found = L.promotions(tag_rows(_pages(spark, sf, "c", *_layout_c())))
+    found = L.promotions(_pages(spark, sf, "c", *_layout_c()))
     payment = F.transform("payment_promotions", lambda p: F.concat_ws(" ", p["description"], p["image_url"]))
     return found.select("page_id", F.array_join("general_promotions", "|").alias("general_promotions"), F.array_join(payment, "|").alias("payment_promotions"),
                         F.array_join("other_promotions", "|").alias("other_promotions"))
@@ -205,7 +204,7 @@ FROM part
 """)
 def layout_options(spark: SparkSession, sf: str) -> DataFrame:
     """Buttons without text, colours without image or text, image before text, no storage label."""
-    found = L.stateful_options(tag_rows(_pages(spark, sf, "c", *_layout_c())))
+    found = L.stateful_options(_pages(spark, sf, "c", *_layout_c()))
     joined = lambda c, *fields: F.array_join(F.transform(c, lambda o: F.concat_ws(" ", *[o[f].cast("string") for f in fields])), "|")
     return found.select("page_id", joined("storage_options", "value", "is_selected").alias("storage_options"),
                         joined("color_options", "name", "image_url", "is_selected").alias("color_options"))
@@ -255,7 +254,7 @@ SELECT p_partkey AS page_id, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE trim(p_
 """)
 def layout_basics_b(spark: SparkSession, sf: str) -> DataFrame:
     """No name, no rating, the count before the score, items without a label, no compare button."""
-    found = L.basics_b(tag_rows(_pages(spark, sf, "b", *_layout_b())))
+    found = L.basics_b(_pages(spark, sf, "b", *_layout_b()))
     return found.withColumn("actions", F.array_join("actions", "|"))
 
 
@@ -268,7 +267,7 @@ FROM part
 """)
 def layout_promotion_boxes(spark: SparkSession, sf: str) -> DataFrame:
     """Titles and their defaults, several links in an item or none, a link without address, empty items, items outside."""
-    rows = L.dealt(tag_rows(_pages(spark, sf, "b", *_layout_b())), L.promotions_b, L.payment_promotions_b, L.commitments_b)
+    rows = L.dealt(_pages(spark, sf, "b", *_layout_b()), L.promotions_b, L.payment_promotions_b, L.commitments_b)
     out = L.promotions_b(rows).join(L.payment_promotions_b(rows), "page_id").join(L.commitments_b(rows), "page_id")
     joined = lambda c: F.array_join(F.transform(c, lambda i: F.concat(i["detail"], F.lit(" "), F.coalesce(i["link"], F.lit("-")))), "|")
     return out.select("page_id", F.col("promotions.title").alias("promotion_title"), joined(F.col("promotions.items")).alias("promotions"),
@@ -289,7 +288,7 @@ FROM v JOIN part ON p_partkey = k WHERE k % 9 <> 0
 def layout_versions_colors(spark: SparkSession, sf: str) -> DataFrame:
     """Missing prices and links shift nothing, items without a name and outside the box are left out, a repeated version, a colour
     without any link empties the section."""
-    found = L.priced_options(tag_rows(_pages(spark, sf, "b", *_layout_b()))).where("NOT broken")
+    found = L.priced_options(_pages(spark, sf, "b", *_layout_b())).where("NOT broken")
     versions = F.transform(F.map_entries("versions"), lambda e: F.struct(
         F.lit("version").alias("kind"), e["key"].alias("name"), F.lit(None).cast("string").alias("price"), e["value"]["url"].alias("link"), e["value"]["is_active"].alias("is_active")))
     colours = F.transform(F.map_entries("colors"), lambda e: F.struct(
@@ -308,7 +307,7 @@ FROM (SELECT p_partkey, p_size, unnest(CASE p_partkey % 6 WHEN 0 THEN ['First',
 """)
 def layout_spec_table(spark: SparkSession, sf: str) -> DataFrame:
     """Each alternative is the first for some pages; rows of one and three cells, rows of another class, a section without title."""
-    found = L.spec_table(tag_rows(_pages(spark, sf, "b", *_layout_b())))
+    found = L.spec_table(_pages(spark, sf, "b", *_layout_b()))
     sections = found.select("page_id", "error", F.explode_outer("spec_table").alias("section", "pairs"))
     return sections.select("page_id", "section", "error", F.explode_outer("pairs").alias("spec_name", "spec_value")).select("page_id", "section", "spec_name", "spec_value", "error")
 

@@ -156,3 +156,39 @@ def test_only_openings_send_attributes_through_the_shuffle(spark):
     sent = with_scopes(rows, [Scope("s", is_element("p"))], carry=("text", "attrs", "classes")).orderBy("pos").collect()
     assert [(r.text, r.attrs, r.classes, r.s) for r in sent] == [("x", " class=a", ["a"], 0), ("y", None, None, 0)]
 
+
+
+def test_tags_cut_by_position_equal_those_of_the_pattern(spark):
+    import random
+
+    from shelfmatch.operators.elements import Opens, Scope, with_scopes
+
+    rng = random.Random(3)
+    pieces = ["<div class=a>", "<div class='a b'>", "<DIV id=\"q\" CLASS=\"b  a\">", "<div class='&#97;' id='&#113;'>", "<p>", "<span>", "</div>", "</p>", "</Span >", "<br/>", "x", " ",
+              "é", "lab", "&amp;&nbsp;", "&#38;#65;", "a < b", "<p\tclass\x0b=\x0ba>", "<div class>", "<p class=''>", "<p class=' a '>", "<span class=c>lab</span>", "<İ>", "\n"]
+    odd = ["<img class=a src='x>y'>", "<", "</", "</ p>", "</3>", "<p class='a", "'", "\"", ">", "<a\"b c\">", "<q'r s='>'>", "<p x='\"' y=\"'\">", "<!-- <p> -->", "<style>p > a</style>", "<!--"]
+    page = lambda some: "".join(rng.choice(some) for _ in range(rng.randint(0, 40)))
+    htmls = [page(pieces) for _ in range(300)] + [page(pieces + odd) for _ in range(300)] + [None, "", "no tag", "<p", "<p>", "<"]
+    pages = spark.createDataFrame([(k, f"u{k % 3}", h) for k, h in enumerate(htmls)], PAGES).repartition(3)
+    scopes = [Scope("x", Opens("div", ("a",))), Scope("y", Opens("p"), "x", True), Scope("w", Opens("span", without=("c",)), "x", "page"), Scope("i", Opens("div", id="q")),
+              Scope("l", Opens("span", text="lab")), Scope("f", Opens("div"), None, False, "l"), Scope("g", Opens(None, ("a",))), Scope("o", None, None, False, None, ("x", "i"))]
+    carry, names = ("text", "attrs", "classes", "url"), [s.name for s in scopes]
+    by_pattern = {(r.page_id, r.pos): r for r in with_scopes(tag_rows(pages, keep=("url",)), scopes, carry=carry).collect()}
+    by_place = {(r.page_id, r.pos): r for r in tag_rows(pages, keep=("url",), scopes=scopes, carry=carry).collect()}
+    assert by_place and all(by_pattern[k] == r for k, r in by_place.items())
+    gone = [r for k, r in by_pattern.items() if k not in by_place]  # without text, and no scope's element begins there
+    assert not any(r.pos == 0 or r.pos in [r[n] for n in names] or (r.text and any(r[n] is not None for n in names)) for r in gone)
+
+
+def test_sections_of_pages_make_no_row_of_a_tag_they_do_not_read(spark):
+    pages = spark.range(9).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit("<b>" * 50 + "<p>x</p>").alias("html"))
+    for section in {s for layout in L.LAYOUTS for s in layout.sections}:
+        plan = section(pages)._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and plan.count("MapInArrow") == 1, section
+    assert L.dealt(pages, L.policies).count() == 9  # the first row of each page
+    assert sorted(map(tuple, L.policies(pages).collect())) == sorted(map(tuple, L.policies(tag_rows(pages)).collect()))
+
+
+def test_texts_are_stripped_of_all_white_space(spark):
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate([" a ", "b", "\u2003é\x1f", "c\n", "", "\xa0", "~", "\x1cd"])], "pos int, text string")
+    assert rows.agg(texts(F.lit(True), "|").alias("t")).first().t == "a|b|é|c|~|d"
