@@ -11,10 +11,12 @@ is not applied (documented difference).
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import IntegerType
 
 from shelfmatch.functions.text import py_strip
@@ -48,22 +50,58 @@ def _lcs_bits(a: list, masks: dict, n: int) -> int:
     return n - v.bit_count()
 
 
-@pandas_udf(IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
+def _tokens(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all lists one behind the other, as numbers that are equal where tokens are."""
+    both = pa.concat_arrays([a.flatten(), b.flatten()])
+    if not pa.types.is_int64(both.type) or both.null_count:
+        both = both.dictionary_encode(null_encoding="encode").indices
+    both = both.to_numpy(zero_copy_only=False)
+    n = len(a.flatten())
+    return both[:n], both[n:]
+
+
+def _padded(tokens: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of at most ``width`` tokens as rows of a matrix, and which of its places hold one."""
+    held = np.arange(width) < length[:, None]
+    return tokens[np.where(held, start[:, None] + np.arange(width), 0)], held
+
+
+def _lcs_of_rows(a: tuple, b: tuple, n: np.ndarray) -> np.ndarray:
+    """``_lcs_bits`` of all rows at once; the lists of ``b`` in rows of 8, 16, 32 or 64 places."""
+    (ta, in_a), (tb, in_b) = a, b
+    bits = np.dtype(f"<u{tb.shape[1] // 8}")
+    v = full = np.full(len(n), 2**64 - 1, dtype=np.uint64) >> (64 - n).astype(np.uint64)
+    for i in range(ta.shape[1]):
+        same = (tb == ta[:, i, None]) & in_b & in_a[:, i, None]
+        u = v & np.packbits(same, axis=1, bitorder="little").view(bits)[:, 0].astype(np.uint64)
+        v = ((v + u) | (v - u)) & full
+    return n - np.bitwise_count(v)
+
+
+@arrow_udf(IntegerType())
+def lcs_length(a: pa.Array, b: pa.Array) -> pa.Array:
     """Length of the longest common subsequence of two token arrays (Arrow batches).
 
     The dynamic programme as nested ``aggregate`` (``lcs_length_native``) is
     interpreted code and allocates an array per cell; this bit-parallel form
-    does one integer step per token and verifies ~10x more pairs per second.
-    The masks of ``b`` are made once for a run of rows that share it.
+    takes a step per token of ``a`` for all pairs of a batch whose texts have at most 64 tokens,
+    grouped by length; longer texts go one by one, an integer step per token.
     """
-    out, last, masks = [], None, {}
-    for x, y in zip(a, b):
-        x, y = ([] if v is None else v.tolist() for v in (x, y))
-        if y != last:
-            last, masks = y, _masks(y)
-        out.append(_lcs_bits(x, masks, len(y)) if x and y else 0)
-    return pd.Series(out, dtype="int32")
+    ta, tb = _tokens(a, b)
+    m, n = (pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (a, b))
+    at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
+    out = np.zeros(len(m), dtype=np.int32)
+    width = lambda k: np.maximum(2 ** np.ceil(np.log2(np.maximum(k, 1))).astype(np.int64), 8)
+    group = np.where((m > 0) & (n > 0), np.where((m <= 64) & (n <= 64), width(m) * 1000 + width(n), -1), 0)
+    for g in np.unique(group[group > 0]).tolist():
+        rows = np.flatnonzero(group == g)
+        for k in range(0, len(rows), 4096):
+            some = rows[k:k + 4096]
+            out[some] = _lcs_of_rows(_padded(ta, at_a[some], m[some], int(m[some].max())), _padded(tb, at_b[some], n[some], g % 1000), n[some])
+    for r in np.flatnonzero(group < 0).tolist():
+        y = tb[at_b[r]:at_b[r] + n[r]].tolist()
+        out[r] = _lcs_bits(ta[at_a[r]:at_a[r] + m[r]].tolist(), _masks(y), len(y))
+    return pa.array(out)
 
 
 def lcs_length_native(a: Column, b: Column) -> Column:

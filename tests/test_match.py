@@ -175,3 +175,27 @@ def test_combined_keeps_pairs_without_vectors_and_on_the_bound(spark):
     assert len(match_catalogues(c.join(same, "_ord"), d.join(same, "_ord"), cfg).collect()) == 1
     cfg = MatchConfig(main_score="combined", threshold=0.9, weights={"rouge": 0.3, "semantic": 0.3}, use_rouge=True, use_semantic=True)
     assert match_catalogues(a.join(same, "_ord"), b.join(same, "_ord"), cfg).count() == 0
+
+
+def test_common_subsequences_of_a_batch_are_found_at_once(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    from shelfmatch.functions import rouge
+
+    rng = random.Random(1)
+    sizes = (None, 0, 1, 2, 7, 8, 9, 16, 17, 33, 63, 64)
+    lists = lambda some: [None if k is None else [rng.randint(0, rng.choice((2, 6, 40))) for _ in range(k)] for k in (rng.choice(some) for _ in range(600))]
+    one_by_one = rouge._lcs_bits
+    plain = lambda x, y: one_by_one(x, rouge._masks(y), len(y)) if x and y else 0
+    of_type = lambda rows, word: pa.array(rows if word is None else [r and [word.format(t) for t in r] for r in rows], pa.list_(pa.string() if word else pa.int64()))
+    for some, slow in ((sizes, False), ((*sizes, 65, 100), True)):
+        a, b = lists(some), lists(some)
+        want, calls = [plain(x, y) for x, y in zip(a, b)], []
+        monkeypatch.setattr(rouge, "_lcs_bits", lambda *x: calls.append(1) or one_by_one(*x))
+        for word in (None, "t{}"):
+            got = rouge.lcs_length.func(of_type(a, word), of_type(b, word))
+            assert got.to_pylist() == want
+            assert rouge.lcs_length.func(of_type(a, word)[50:90], of_type(b, word)[50:90]).to_pylist() == want[50:90]
+        assert bool(calls) is slow  # only texts of more than 64 tokens go one by one
