@@ -318,10 +318,13 @@ def colour_links(rows: DataFrame) -> DataFrame:
 def prices_per_colour(pages: DataFrame, url: str = "url") -> DataFrame:
     """page_id of the product, color, and the prices and promotions of the colour's own page, a row per colour whose page is known.
 
-    The pages are cut into rows once; links and prices are both read from them, and joined on the address."""
+    The pages are cut into rows once; links and prices are both read from them, and joined on the address.  Both joins are by sorting: pages are many
+    rows of few source bytes, so their size is guessed far too small, and a broadcast would gather them in the driver."""
     rows = dealt(pages, price_and_promotions, colour_links)
-    prices = price_and_promotions(rows).join(pages.select(KEY, url), KEY).drop(KEY)
-    return colour_links(rows).join(prices, F.col("href") == F.col(url)).drop("href", url)
+    addresses = pages.where(F.col(KEY).isNotNull()).select(F.col(KEY).alias("_at"), url)
+    # null-safe: a plain comparison would filter keys below the shuffle, and links and prices would not share it
+    prices = price_and_promotions(rows).join(addresses.hint("merge"), F.col(KEY).eqNullSafe(F.col("_at"))).drop(KEY, "_at")
+    return colour_links(rows).join(prices.hint("merge"), F.col("href") == F.col(url)).drop("href", url)
 
 
 def breadcrumb(html: Column) -> Column:

@@ -192,3 +192,19 @@ def test_sections_of_pages_make_no_row_of_a_tag_they_do_not_read(spark):
 def test_texts_are_stripped_of_all_white_space(spark):
     rows = spark.createDataFrame([(k, t) for k, t in enumerate([" a ", "b", "\u2003é\x1f", "c\n", "", "\xa0", "~", "\x1cd"])], "pos int, text string")
     assert rows.agg(texts(F.lit(True), "|").alias("t")).first().t == "a|b|é|c|~|d"
+
+
+def test_prices_per_colour_neither_broadcast_pages_nor_cut_them_twice(spark):
+    """Derived pages are guessed to be as few bytes as their table's file, so a broadcast of millions of them failed in the driver."""
+    link = "<div class=scrolling_inner><div class='box03 color group desk'><a class=box03__item href='{}'>{}</a></div></div>"
+    price = "<div class='price-one'><p class='box-price-present'>{}</p></div>"
+    made = [(1, "/p/1", link.format("/c/1", "red")), (2, "/p/2", link.format("/c/none", "blue")), (3, "/c/1", price.format("10")), (3, "/c/1", price.format("10")),
+            (None, "/p/3", link.format("/c/2", "green")), (4, "/c/2", price.format("20")), (4, "/c/3", None), (5, "/p/5", link.format("/c/3", "grey")), (None, "/c/4", price.format("30")),
+            (6, "/p/6", link.format("/c/4", "pink"))]
+    found = L.prices_per_colour(spark.createDataFrame(made, PAGES).repartition(3))
+    got = [(r.page_id, r.color, r.current_price) for r in found.collect()]
+    # a page that comes twice gives its links' rows twice, its price being the joined text; a key names its addresses, a null key none
+    assert sorted(got, key=str) == sorted([(1, "red", "1010"), (1, "red", "1010"), (None, "green", "20"), (5, "grey", "20")], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
+    assert plan[:plan.index("== Initial Plan ==")].count("MapInArrow") == 1
