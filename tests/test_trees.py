@@ -77,3 +77,39 @@ def test_documents_of_events_are_dealt_to_all_cores(spark):
     from shelfmatch.plans.json_trees import _events
 
     assert _events(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 32  # the file of events is one task
+
+
+def test_a_walk_starts_no_job_per_level(spark):
+    """Levels were written and nodes shuffled once per level and reference; now a document is walked where its rows meet."""
+    deep = '{"a":[' * 30 + '{"x":"$1"}' + "]}" * 30
+    documents = spark.createDataFrame([(k, '{"__root":%s,"1":{"attributeItem":["$2"]},"2":{"groupName":"G"}}' % deep) for k in range(20)], ROOTS).repartition(3)
+    table = node_table(documents, "doc", "json")
+    sc = spark.sparkContext
+    sc.setJobGroup("walk", "walk")
+    try:
+        found = find_attribute_lists(table.where(F.col("key") == "__root").select("doc", "json"), table)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not sc.statusTracker().getJobIdsForGroup("walk")
+    assert sorted((r.doc, r.json, r.seen) for r in found.collect()) == [(k, '["$2"]', ["1"]) for k in range(20)]
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_written_as_spark_writes_them(spark):
+    texts = ['[ {"a" : 1.50, "b":"\\u00e9\\/\\u001f\\n"} , -0, 1e5, "x", null, [1 , 2.0E+3], true]', "[1.0] junk", "[12345678901234567890123, 0.1e-10]"]
+    docs = spark.createDataFrame([(k, '{"x": {"attributeItem":%s}}' % t) for k, t in enumerate(texts)], ROOTS)
+    want = {r.doc: r.w for r in docs.select("doc", F.from_json(F.from_json("json", "map<string,string>")["x"], "map<string,string>")["attributeItem"].alias("w")).collect()}
+    assert want[0] == '[{"a":1.5,"b":"é/\\u001F\\n"},0,100000.0,"x",null,[1,2000.0],true]'
+    assert {r.doc: r.json for r in find_attribute_lists(docs).collect()} == {k: w for k, w in want.items() if k != 1}
+
+
+def test_documents_that_share_a_key_and_null_keys(spark):
+    item = '["$i",{"groupName":"H","attributes":[{"displayName":"a","value":%s}]}]'
+    made = [(1, '{"__root":{"x":{"attributeItem":%s}},"i":{"groupName":"G%s"}}' % (item % v, v)) for v in (5, 5, 7)]
+    made += [(None, '{"__root":{"attributeItem":["$i",{"groupName":"N"}],"z":[{"attributeItem":[1]}]},"i":{}}'), (2, '{"__root":{"a":{"attributeItem":[]},"b":["$i"]},"i":{"c":{"attributeItem":["$j"]}}}')]
+    table = node_table(spark.createDataFrame(made, ROOTS).repartition(3), "doc", "json")
+    found = find_attribute_lists(table.where(F.col("key") == "__root").select("doc", "json"), table)
+    assert {(r.doc, r.json, tuple(r.seen)) for r in found.collect()} == {
+        (1, item % 5, ()), (None, '["$i",{"groupName":"N"}]', ()), (2, '["$j"]', ("i",))}
+    got = {(r.doc, r.item_pos, r.groupName, tuple(map(tuple, r.attributes))) for r in attribute_items(found, table).collect()}
+    assert got == {(1, 0, "G5", ()), (1, 0, "G7", ()), (1, 1, "H", (("a", "5"),)), (None, 1, None, ())}
