@@ -89,7 +89,11 @@ def lcs_length(a: pa.Array, b: pa.Array) -> pa.Array:
     """
     ta, tb = _tokens(a, b)
     m, n = (pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (a, b))
-    at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
+    return pa.array(lcs_of(ta, np.cumsum(m) - m, m, tb, np.cumsum(n) - n, n))
+
+
+def lcs_of(ta: np.ndarray, at_a: np.ndarray, m: np.ndarray, tb: np.ndarray, at_b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``lcs_length`` of pairs of lists: those of ``m`` tokens from ``at_a`` in ``ta``, and of ``n`` from ``at_b`` in ``tb``."""
     out = np.zeros(len(m), dtype=np.int32)
     width = lambda k: np.maximum(2 ** np.ceil(np.log2(np.maximum(k, 1))).astype(np.int64), 8)
     group = np.where((m > 0) & (n > 0), np.where((m <= 64) & (n <= 64), width(m) * 1000 + width(n), -1), 0)
@@ -101,7 +105,7 @@ def lcs_length(a: pa.Array, b: pa.Array) -> pa.Array:
     for r in np.flatnonzero(group < 0).tolist():
         y = tb[at_b[r]:at_b[r] + n[r]].tolist()
         out[r] = _lcs_bits(ta[at_a[r]:at_a[r] + m[r]].tolist(), _masks(y), len(y))
-    return pa.array(out)
+    return out
 
 
 def lcs_length_native(a: Column, b: Column) -> Column:

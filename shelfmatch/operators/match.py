@@ -20,19 +20,25 @@ No plan here compares every row with every row:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.functions.rouge import lcs_length, min_overlap, rouge_l_f1, rouge_tokens, string_score
+from shelfmatch.functions.rouge import lcs_length, lcs_of, min_overlap, rouge_l_f1, rouge_tokens, string_score
 from shelfmatch.functions.text import DASHED_TITLE_DATASET, clean_title, map_distinct, normalize_title, py_strip
 from shelfmatch.functions.vectors import cosine
+from shelfmatch.operators.blocks import _groups, hash_block
 from shelfmatch.operators.dedupe import keep_first
 from shelfmatch.session import written
 
 # An element is hot if it is one of so many parts of all elements; a hot element's join key is dealt out over so many salts.
 HOT_PARTS, SALTS = 4096, 8
+# From so many pairs of equal prefix elements on they are compared with what blocks would send; a block's tokens; pairs of texts and of elements held at once.
+DENSE_PAIRS, BLOCK_TOKENS, TILE = 1 << 24, 1 << 17, 1 << 21
 
 CATALOGUE_COLUMNS = ("_id", "title", "title_cleaned", "capacities", "color_options", "_ord")
 
@@ -207,6 +213,9 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     the bound that follows from the places of a common element (no more than the
     elements behind it can be shared) are part of the join.  Tokens are fetched
     once per candidate, and the exact LCS (bit-parallel, Arrow batches) decides.
+
+    Where more pairs of prefix elements are equal than texts are sent to blocks (short texts, a low t: a share of all pairs are candidates, which no
+    disk holds), each two blocks of texts meet in a task instead, and only pairs that reach t leave it (``_dense_pairs``).
     Tokens and elements are told apart by 64-bit hashes.
     """
     if t <= 0:
@@ -220,7 +229,7 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     both = written(sides, "rouge-texts")
     texts_l = both.where("side = 0").drop("side")
     texts_r = texts_l if self_join else both.where("side = 1").drop("side")
-    total = both.agg(F.sum("m")).first()[0] or 0
+    n, total = both.agg(F.count("*"), F.coalesce(F.sum("m"), F.lit(0))).first()
     hot = both.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * HOT_PARTS >= total)
 
     is_hot = F.col("n") > 0
@@ -229,6 +238,11 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     named = lambda df, suffix: df.select("key", "salt", *[F.col(c).alias(f"{c}_{suffix}") for c in ("id", "m", "pos")])
     pl = named(_prefixes(texts_l, hot, t).withColumn("salt", salt_l), "l")
     pr = named(_prefixes(texts_r, hot, t).withColumn("salt", F.explode(salts_r)), "r")
+    blocks = -(-total // BLOCK_TOKENS)
+    counts = [p.groupBy("key", "salt").agg(F.count("*").alias(c)) for p, c in ((pl, "n_l"), (pr, "n_r"))]
+    equal = counts[0].join(counts[1], ["key", "salt"]).agg(F.sum(F.col("n_l") * F.col("n_r"))).first()[0] or 0
+    if equal >= DENSE_PAIRS and equal >= n * (blocks + 1):
+        return _dense_pairs(texts_l, None if self_join else texts_r, t, blocks)
     least = F.lit(t) * (F.col("m_l") + F.col("m_r")) / 2.0 - 1e-9
     shared = F.least(F.col("m_l") - F.col("pos_l"), F.col("m_r") - F.col("pos_r"))  # places count from 0
     cand = pl.join(pr, ["key", "salt"]).where((F.least("m_l", "m_r") >= least) & (shared >= least))
@@ -242,6 +256,78 @@ def rouge_join(left: DataFrame, right: DataFrame | None, t: float) -> DataFrame:
     return scored.where(F.col("score") >= F.lit(t)).select("id_l", "id_r", "score")
 
 
+def _dense_pairs(left: DataFrame, right: DataFrame | None, t: float, blocks: int) -> DataFrame:
+    """The pairs of ``rouge_join`` by blocks: a text is sent to each pair of blocks that its own is in; there the elements that two texts share are
+    counted, and the LCS of those that share enough for t decides.  Memory is bounded by two blocks and a tile of pairs."""
+    def sent(texts: DataFrame, side: int, partners: Column) -> DataFrame:
+        dealt = texts.where(F.col("id").isNotNull()).select("id", "toks", hash_block("id", blocks).alias("own")).withColumn("other", F.explode(partners))
+        first, second = (F.col("own"), F.col("other")) if side == 0 else (F.col("other"), F.col("own"))
+        return dealt.select(first.alias("first"), second.alias("second"), F.lit(side).alias("side"), "id", "toks")
+
+    every, self_join = F.sequence(F.lit(0), F.lit(blocks - 1)), right is None
+    both = sent(left, 0, F.sequence(F.col("own"), F.lit(blocks - 1)) if self_join else every)
+    both = both.unionByName(sent(left if self_join else right, 1, F.sequence(F.lit(0), F.col("own")) if self_join else every))
+    groups = blocks * (blocks + 1) // 2 if self_join else blocks * blocks
+    both = both.repartition(max(min(groups, 4096), 1), "first", "second").sortWithinPartitions("first", "second", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _groups(batches):
+            l, r = ([b for side, b in parts if side == k] for k in (0, 1))
+            same = self_join and bool(parts) and parts[0][1].column(0)[0].as_py() == parts[0][1].column(1)[0].as_py()
+            for ids_l, ids_r, score in _block_pairs(l, r, t) if l and r else ():
+                if self_join:
+                    once = ids_l < ids_r if same else ids_l != ids_r
+                    ids_l, ids_r, score = np.minimum(ids_l, ids_r)[once], np.maximum(ids_l, ids_r)[once], score[once]
+                yield pa.RecordBatch.from_arrays([pa.array(ids_l), pa.array(ids_r), pa.array(score)], ["id_l", "id_r", "score"])
+
+    kind = left.schema["id"].dataType.simpleString()
+    return both.mapInArrow(run, f"id_l {kind}, id_r {kind}, score double")
+
+
+def _block(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """ids, tokens, their number in each text, and their elements: (token, occurrence) as one number."""
+    ids = np.concatenate([p.column(3).to_numpy(zero_copy_only=False) for p in parts])
+    tokens = np.concatenate([p.column(4).flatten().to_numpy(zero_copy_only=False) for p in parts])
+    m = np.concatenate([np.diff(p.column(4).offsets.to_numpy()) for p in parts]).astype(np.int64)
+    row = np.repeat(np.arange(len(m)), m)
+    order = np.lexsort((tokens, row))
+    begins = np.concatenate([[True], (np.diff(tokens[order]) != 0) | (np.diff(row[order]) != 0)])
+    first = np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))
+    elements = np.empty(len(tokens), dtype=np.uint64)
+    elements[order] = tokens[order].view(np.uint64) + (np.arange(len(order)) - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ids, tokens, m, elements
+
+
+def _block_pairs(left: list, right: list, t: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """ids and scores of the pairs of two blocks that reach t."""
+    ids_l, tokens_l, m, elements_l = _block(left)
+    ids_r, tokens_r, n, elements_r = _block(right)
+    at_l, at_r, width = np.cumsum(m) - m, np.cumsum(n) - n, len(n)
+    order = np.argsort(elements_r, kind="stable")
+    known, rows_r = elements_r[order], np.repeat(np.arange(width), n)[order]
+    begin, end = np.searchsorted(known, elements_l, "left"), np.searchsorted(known, elements_l, "right")
+    shared = end - begin
+    held = np.cumsum(np.add.reduceat(shared, at_l) + width)  # places that the rows so far take
+    least = lambda a, b: t * (m[a] + n[b]) / 2.0 - 1e-9
+    a = 0
+    while a < len(m):
+        b = max(a + 1, int(np.searchsorted(held, (held[a - 1] if a else 0) + TILE, "right")))
+        some = slice(at_l[a], at_l[b - 1] + m[b - 1])
+        count = shared[some]
+        behind = np.cumsum(count)
+        places = np.repeat(begin[some] - behind + count, count) + np.arange(behind[-1])
+        row = np.repeat(np.arange(b - a), m[a:b])
+        found = np.bincount(np.repeat(row * width, count) + rows_r[places], minlength=(b - a) * width)
+        pairs = np.flatnonzero(found >= max(1, t * (m[a:b].min() + n.min()) / 2.0 - 1e-9))
+        l, r = a + pairs // width, pairs % width
+        enough = found[pairs] >= least(l, r)
+        l, r = l[enough], r[enough]
+        score = 2.0 * lcs_of(tokens_l, at_l[l], m[l], tokens_r, at_r[r], n[r]) / (m[l] + n[r])
+        reach = score >= t
+        yield ids_l[l[reach]], ids_r[r[reach]], score[reach]
+        a = b
+
+
 def matching_pairs(cat1: DataFrame, cat2: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """``(n)``: rows whose sum is the number of pairs at or above the threshold, before one pair per title is chosen.
 

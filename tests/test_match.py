@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -104,6 +105,25 @@ def test_rouge_join_random_texts_no_miss(spark):
     assert {(r["id_l"], r["id_r"]) for r in rouge_join(df, None, 0.25).collect()} == low
 
 
+@pytest.mark.parametrize("t", [0.2, 0.3, 0.6, 1.0])
+def test_rouge_join_by_blocks_equals_the_join_of_prefixes(spark, monkeypatch, t):
+    """Candidates of short texts at a low t are a share of all pairs, and their shuffles filled the disk."""
+    rnd = random.Random(5)
+    rows = [(i * 11 % 301, " ".join(rnd.choice(VOCAB + ["the", "the", "of"]) for _ in range(rnd.choice([1, 3, 8, 8, 12, 90])))) for i in range(150)]
+    rows += [(400, ""), (401, None), (402, "?"), (403, "the the the the"), (404, "the the")]
+    df, other = (spark.createDataFrame(r, "id long, text string").repartition(3) for r in (rows, [(i + 5, x) for i, x in rows[40:]]))
+    of = lambda pairs: {(r["id_l"], r["id_r"]): r["score"] for r in pairs.collect()}
+    by_prefix = of(rouge_join(df, None, t)), of(rouge_join(df, other, t))
+    monkeypatch.setattr("shelfmatch.operators.match.DENSE_PAIRS", 0)
+    monkeypatch.setattr("shelfmatch.operators.match.BLOCK_TOKENS", 800)
+    monkeypatch.setattr("shelfmatch.operators.match.TILE", 300)
+    dense = rouge_join(df, None, t), rouge_join(df, other, t)
+    assert (of(dense[0]), of(dense[1])) == by_prefix and len(by_prefix[0]) == dense[0].count() > 0
+    if t <= 0.3:  # no pair of ids goes through a shuffle
+        assert all("id_l" not in x for d in dense for x in d._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+        assert all("Join" not in d._jdf.queryExecution().executedPlan().toString() for d in dense)
+
+
 def test_rouge_join_of_long_texts_ships_ids(spark):
     rnd = random.Random(4)
     words = [f"w{k}" for k in range(3000)]
